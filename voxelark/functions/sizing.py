@@ -14,7 +14,7 @@ import tempfile
 import uuid
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -41,11 +41,18 @@ def shared_dir(spark: SparkSession) -> str:
 
 
 def materialize(df: DataFrame, label: str = "table") -> DataFrame:
-    """Write ``df`` once and read it back: survives lost executors, cuts lineage."""
+    """Write ``df`` once and read it back: survives lost executors, cuts lineage.
+
+    The size is observed while writing, so choosing a join later costs no job.
+    """
     spark = df.sparkSession
     path = f"{shared_dir(spark)}/voxelark/{label}-{uuid.uuid4().hex}"
-    df.write.mode("errorifexists").parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    seen = Observation()
+    total = F.coalesce(F.sum(_row_width(df)), F.lit(0)).alias("bytes")
+    df.observe(seen, total).write.mode("errorifexists").parquet(path)
+    table = spark.read.schema(df.schema).parquet(path)
+    table.measured = int(seen.get["bytes"])
+    return table
 
 
 def _width(field: T.StructField):
@@ -58,17 +65,17 @@ def _width(field: T.StructField):
     return F.lit(16)
 
 
-def measured_bytes(df: DataFrame) -> int:
-    """Approximate in-memory size, measured rather than assumed."""
+def _row_width(df: DataFrame):
     width = F.lit(0).cast("long")
     for field in df.schema.fields:
         width = width + _width(field)
-    return int(df.agg(F.coalesce(F.sum(width), F.lit(0)).alias("b")).first()["b"])
+    return width
 
 
-def fits_broadcast(df: DataFrame) -> bool:
-    limit = int(df.sparkSession.conf.get(BROADCAST_CONF, str(DEFAULT_BROADCAST_BYTES)))
-    return measured_bytes(df) <= limit
+def fits_broadcast(table: DataFrame) -> bool:
+    """Whether a written table's measured size is below the broadcast bound."""
+    limit = int(table.sparkSession.conf.get(BROADCAST_CONF, str(DEFAULT_BROADCAST_BYTES)))
+    return table.measured <= limit
 
 
 def salt_column(df: DataFrame, buckets: int):
@@ -100,14 +107,16 @@ def attach(
     keys: Sequence[str],
     how: str = "left",
     label: str = "attach",
-    written: bool = False,
+    part_of: DataFrame | None = None,
 ) -> DataFrame:
     """Join per-group numbers to rows without ever shuffling a hot group whole.
 
-    ``small`` must hold at most one row per key. ``written`` says it already is a
-    materialized table, so it is measured without being recomputed.
+    ``small`` must hold at most one row per key. If it is a narrow selection from
+    an already written table, name that table in ``part_of``: its size bounds the
+    selection and nothing is written again.
     """
-    table = small if written else materialize(small, label)
-    if fits_broadcast(table):
+    table = materialize(small, label) if part_of is None else small
+    bounded = table if part_of is None else part_of
+    if fits_broadcast(bounded):
         return rows.join(F.broadcast(table), list(keys), how)
     return salted_join(rows, table, keys, how)

@@ -497,6 +497,8 @@ def _apply(model: CombatModel, df: DataFrame, average_covariates: bool) -> DataF
     ]
     if unknown:
         raise ValueError(f"batches not part of the training table: {unknown}")
+    if not average_covariates:
+        _refuse_unknown_levels(df, design)
     place = {f: i for i, f in enumerate(names)}
     order = F.create_map(*[x for f, i in place.items() for x in (F.lit(f), F.lit(i))])
     sd = F.sqrt("var_pooled")
@@ -516,7 +518,6 @@ def _apply(model: CombatModel, df: DataFrame, average_covariates: bool) -> DataF
     terms = design.term_names()
     use_covariates = bool(terms) and not average_covariates
     if use_covariates:
-        require_columns(df, [*design.covars, *design.continuous])
         coefficient = F.struct(
             order[F.col("feature")].alias("i"),
             F.array(*[F.col("betas")[t] for t in terms]).alias("b"),
@@ -543,6 +544,15 @@ def _apply(model: CombatModel, df: DataFrame, average_covariates: bool) -> DataF
     return rows.select(*[harmonized(c) if c in place else col(c) for c in df.columns])
 
 
+def _refuse_unknown_levels(df: DataFrame, design: Design) -> None:
+    require_columns(df, [*design.covars, *design.continuous])
+    for c in design.covars:
+        value = col(c).cast("string")
+        odd = df.filter(value.isNull() | ~value.isin(design.levels[c])).select(c).limit(1).collect()
+        if odd:
+            raise ValueError(f"covariate {c!r} has a level the training table lacks: {odd[0][c]!r}")
+
+
 def attach_batch(
     features: DataFrame,
     batch: DataFrame,

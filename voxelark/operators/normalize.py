@@ -96,7 +96,7 @@ class NormalizerModel:
         if self.stratified:
             own = levels.filter((F.col("__level") != ALL) & (F.col("__k") == len(self.features))).drop("__k")
             tagged = df.withColumn("__level", col(self.by).cast("string"))
-            rows = attach(tagged, own, ["__level"], label="normalizer-levels", written=True)
+            rows = attach(tagged, own, ["__level"], part_of=levels)
             center, scale = F.coalesce("__c", c_all), F.coalesce("__s", s_all)
         else:
             rows, center, scale = df, c_all, s_all
@@ -185,5 +185,5 @@ def attach_stats(long: DataFrame, stats: DataFrame, by: str = "sub_Analysis") ->
     rows = long.withColumn("__level", col(by).cast("string"))
     rows = attach(rows, known, ["__level"], label="levels")
     rows = rows.withColumn("__level", F.when(F.col("__own"), F.col("__level")).otherwise(F.lit(ALL)))
-    rows = attach(rows, packed, ["__level", "feature"], written=True)
+    rows = attach(rows, packed, ["__level", "feature"], part_of=packed)
     return rows.select(*[col(c) for c in long.columns], "__stats.*")

@@ -100,9 +100,9 @@ def rank_select(
     )
     open_targets = targets.filter(F.col("__min") < F.col("__max"))
     open_buckets = open_targets.groupBy(*keys, "__b").agg(
-        F.first("__min").alias("__min"), F.first("__max").alias("__max")
+        F.max("__min").alias("__min"), F.max("__max").alias("__max")
     )
-    inside = attach(data, open_buckets, [*keys, "__b"], "inner", "rank-buckets")
+    inside = attach(data, open_buckets, [*keys, "__b"], "inner", part_of=targets)
     share = (F.col("__v") - F.col("__min")) / (F.col("__max") - F.col("__min"))
     inside = inside.withColumn("__s", F.floor(share * _SLICES).cast("int"))
     counted = inside.groupBy(*keys, "__b", "__s", "__v").agg(F.count("*").alias("__n"))

@@ -21,6 +21,7 @@ def build_session(app: str = "voxelark", master: str | None = None, **extra: str
         "spark.sql.session.timeZone": "UTC",
         "spark.sql.execution.arrow.pyspark.enabled": "true",
         "spark.ui.enabled": "false",
+        "spark.ui.showConsoleProgress": "false",
         **extra,
     }
     for key, value in settings.items():
