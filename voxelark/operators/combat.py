@@ -24,7 +24,7 @@ from dataclasses import dataclass, field
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from voxelark.functions.columns import KEYS, col, feature_columns, finite, to_long
@@ -162,19 +162,32 @@ def _cells(df: DataFrame, names: Sequence[str], design: Design) -> DataFrame:
     return wide.select(*kept, F.inline(entries)).select(*kept, "feature", "m.*")
 
 
-def _incomplete(cells: DataFrame) -> list[str]:
-    lacking = cells.filter(F.col("seen") < F.col("n")).select("feature").distinct()
-    return sorted(r["feature"] for r in lacking.collect())
+def _facts(cells: DataFrame, design: Design, any_feature: str) -> dict:
+    """Everything the driver has to know about the cells, in one small job:
+    features with gaps, covariate levels, sizes of the reference and of the smallest batch.
+    """
+    per_batch = cells.groupBy("__batch").agg(
+        F.sum(F.when(F.col("feature") == any_feature, F.col("n"))).alias("n"),
+        F.collect_set(F.when(F.col("seen") < F.col("n"), F.col("feature"))).alias("gaps"),
+        *[F.collect_set(col(c)).alias(f"l{i}") for i, c in enumerate(design.covars)],
+    )
+    is_ref = F.col("__batch") == F.lit(design.ref_batch)
+    other = F.when(~F.coalesce(is_ref, F.lit(False)), F.struct("n", "__batch"))
 
+    def union(name: str) -> Column:
+        return F.array_sort(F.array_distinct(F.flatten(F.collect_set(name))))
 
-def _levels(cells: DataFrame, covars: Sequence[str]) -> dict[str, list[str]]:
-    found = {}
-    for c in covars:
-        rows = cells.select(c).distinct().limit(MAX_DESIGN_COLUMNS + 1).collect()
-        if len(rows) > MAX_DESIGN_COLUMNS:
+    row = per_batch.agg(
+        F.max(F.when(is_ref, F.col("n"))).alias("ref_size"),
+        F.min(other).alias("smallest"),
+        union("gaps").alias("gaps"),
+        *[union(f"l{i}").alias(f"l{i}") for i in range(len(design.covars))],
+    ).first()
+    levels = {c: row[f"l{i}"] for i, c in enumerate(design.covars)}
+    for c, found in levels.items():
+        if len(found) > MAX_DESIGN_COLUMNS:
             raise ValueError(f"covariate {c!r} has more than {MAX_DESIGN_COLUMNS} levels")
-        found[c] = sorted(r[c] for r in rows)
-    return found
+    return {"gaps": row["gaps"] or [], "levels": levels, "ref_size": row["ref_size"], "smallest": row["smallest"]}
 
 
 def _inverse_cross_product(cells: DataFrame, design: Design, any_feature: str) -> np.ndarray:
@@ -294,16 +307,15 @@ def _location_scale(cells: DataFrame, design: Design, any_feature: str):
         (F.sum("mod_sum") / F.sum("n")).alias("mod_mean"),
     )
     zero = F.col("__var") <= F.lit(ZERO_VARIANCE) * F.pow("stand_mean", 2)
-    flags = per_feature.agg(
-        F.count_if(zero).alias("zeros"), F.count_if(~zero).alias("others")
-    ).first()
     # The median of the flags "variance is not zero" replaces a zero variance.
-    filler = 1.0 if flags["others"] > flags["zeros"] else 0.5 if flags["others"] == flags["zeros"] else 0.0
+    features = Window.partitionBy(F.lit(1))
+    balance = F.count_if(~zero).over(features) - F.count_if(zero).over(features)
+    filler = (F.signum(balance.cast("double")) + 1) / 2
     per_feature = per_feature.join(beta, "feature").select(
         "feature",
         "stand_mean",
         "mod_mean",
-        F.when(zero, F.lit(filler)).otherwise(F.col("__var")).alias("var_pooled"),
+        F.when(zero, filler).otherwise(F.col("__var")).alias("var_pooled"),
         "__beta",
     )
     return materialize(per_feature, "combat-features"), per_batch
@@ -442,40 +454,33 @@ def fit_combat(
     require_columns(df, [batch_col, *covars, *continuous])
     if features is None:
         features = feature_columns(df, exclude=[batch_col, *covars, *continuous])
-    design = Design(batch_col, covars, continuous)
+    design = Design(batch_col, covars, continuous, ref_batch=None if ref_batch is None else str(ref_batch))
     cells = materialize(_cells(df, features, design), "combat-cells")
-    incomplete = _incomplete(cells)
-    if incomplete and not drop_incomplete:
-        raise ValueError(f"features with missing or non-finite values: {incomplete}")
-    names = [f for f in features if f not in set(incomplete)]
+    facts = _facts(cells, design, features[0])
+    if facts["gaps"] and not drop_incomplete:
+        raise ValueError(f"features with missing or non-finite values: {facts['gaps']}")
+    names = [f for f in features if f not in set(facts["gaps"])]
     if not names:
         raise ValueError("no complete feature to harmonize")
-    if incomplete:
-        cells = cells.filter(~F.col("feature").isin(incomplete))
-    design.levels = _levels(cells, covars)
-    sizes = cells.filter(F.col("feature") == names[0]).groupBy("__batch").agg(F.sum("n").alias("n"))
-    if ref_batch is not None:
-        found = sizes.filter(F.col("__batch") == str(ref_batch)).first()
-        if found is None:
-            if on_missing_ref != "ignore":
-                raise ValueError(f"reference batch {ref_batch!r} not found")
-        elif found["n"] < 2:
-            raise ValueError("the reference batch needs at least two samples")
-        else:
-            design.ref_batch = str(ref_batch)
-    if not mean_only:
-        lonely = sizes.filter(F.col("n") < 2)
-        if design.ref_batch is not None:
-            lonely = lonely.filter(F.col("__batch") != design.ref_batch)
-        single = [r["__batch"] for r in lonely.limit(20).collect()]
-        if single:
-            raise ValueError(f"batches with one sample have no variance (use mean_only): {single}")
     if eb and len(names) < 2:
         raise ValueError("empirical Bayes needs at least two features; use eb=False")
+    if facts["gaps"]:
+        cells = cells.filter(~F.col("feature").isin(facts["gaps"]))
+    design.levels = facts["levels"]
+    if design.ref_batch is not None and facts["ref_size"] is None:
+        if on_missing_ref != "ignore":
+            raise ValueError(f"reference batch {ref_batch!r} not found")
+        design.ref_batch = None
+    if design.ref_batch is not None and facts["ref_size"] < 2:
+        raise ValueError("the reference batch needs at least two samples")
+    if not mean_only and facts["smallest"] is not None and facts["smallest"]["n"] < 2:
+        raise ValueError(
+            f"batch {facts['smallest']['__batch']!r} has one sample and so no variance; use mean_only"
+        )
 
     per_feature, per_batch = _location_scale(cells, design, names[0])
     estimates = materialize(_estimates(per_feature, per_batch, mean_only), "combat-estimates")
-    priors = materialize(_priors(estimates, mean_only), "combat-priors")
+    priors = _priors(estimates, mean_only)
     stars = _shrunken(estimates, priors, eb, parametric, mean_only, design.ref_batch)
     feature_batches = estimates.drop("ssq", "n").join(stars, ["feature", "batch"])
     feature_batches = materialize(feature_batches, "combat-stars")
@@ -486,19 +491,16 @@ def fit_combat(
     return CombatModel(table, priors, feature_batches, names, design, mean_only)
 
 
+def _known(condition: Column, value: Column, what: str, shown: Column) -> Column:
+    """``value``, or a failure while running, so no extra pass checks the rows first."""
+    message = F.concat(F.lit(f"{what} not part of the training table: "), F.coalesce(shown, F.lit("NULL")))
+    return F.when(condition, value).otherwise(F.raise_error(message))
+
+
 def _apply(model: CombatModel, df: DataFrame, average_covariates: bool) -> DataFrame:
     design, names = model.design, model.names
     require_columns(df, [design.batch, *names])
     rows = df.withColumn("__batch", col(design.batch).cast("string"))
-    known = model.batches.select(F.col("batch").alias("__batch"))
-    unknown = [
-        r["__batch"]
-        for r in rows.select("__batch").distinct().join(known, "__batch", "left_anti").limit(20).collect()
-    ]
-    if unknown:
-        raise ValueError(f"batches not part of the training table: {unknown}")
-    if not average_covariates:
-        _refuse_unknown_levels(df, design)
     place = {f: i for i, f in enumerate(names)}
     order = F.create_map(*[x for f, i in place.items() for x in (F.lit(f), F.lit(i))])
     sd = F.sqrt("var_pooled")
@@ -515,8 +517,15 @@ def _apply(model: CombatModel, df: DataFrame, average_covariates: bool) -> DataF
         .agg(F.sort_array(F.collect_list(entry)).alias("__e"))
     )
     rows = attach(rows, arrays, ["__batch"], label="combat-arrays")
+    rows = rows.withColumn("__e", _known(F.col("__e").isNotNull(), F.col("__e"), "batch", F.col("__batch")))
     terms = design.term_names()
     use_covariates = bool(terms) and not average_covariates
+    if not average_covariates:
+        require_columns(df, [*design.covars, *design.continuous])
+        for c in design.covars:
+            value = col(c).cast("string")
+            seen = F.coalesce(value.isin(design.levels[c]), F.lit(False))
+            rows = rows.withColumn("__e", _known(seen, F.col("__e"), f"covariate {c}", value))
     if use_covariates:
         coefficient = F.struct(
             order[F.col("feature")].alias("i"),
@@ -544,15 +553,6 @@ def _apply(model: CombatModel, df: DataFrame, average_covariates: bool) -> DataF
     return rows.select(*[harmonized(c) if c in place else col(c) for c in df.columns])
 
 
-def _refuse_unknown_levels(df: DataFrame, design: Design) -> None:
-    require_columns(df, [*design.covars, *design.continuous])
-    for c in design.covars:
-        value = col(c).cast("string")
-        odd = df.filter(value.isNull() | ~value.isin(design.levels[c])).select(c).limit(1).collect()
-        if odd:
-            raise ValueError(f"covariate {c!r} has a level the training table lacks: {odd[0][c]!r}")
-
-
 def attach_batch(
     features: DataFrame,
     batch: DataFrame,

@@ -136,19 +136,15 @@ def describe_levels(
     ``'all'`` would be ambiguous and is refused.
     """
     level = col(by).cast("string")
+    reserved = F.raise_error(F.lit(f"column {by} contains the reserved level {ALL}"))
+    level = F.when(level == ALL, reserved).otherwise(level)
     tagged = df.select(level.alias("level"), *[col(f) for f in features])
-    sizes = tagged.groupBy("level").count().agg(
-        F.coalesce(F.sum("count"), F.lit(0)).alias("rows"),
-        F.coalesce(F.bool_or(F.col("level") == ALL), F.lit(False)).alias("clash"),
-    )
-    facts = sizes.first()
-    if facts["clash"]:
-        raise ValueError(f"column {by!r} contains the reserved level {ALL!r}")
     empty = [F.lit(None).cast("double").alias(p) for p in ("p25", "p50", "p75")]
     columns = ["level", "feature", *STAT_COLUMNS]
     if quartiles:
-        strata = describe(tagged, features, ["level"], int(facts["rows"]))
-        overall = describe(tagged, features, (), int(facts["rows"])).withColumn("level", F.lit(ALL))
+        rows = df.count()
+        strata = describe(tagged, features, ["level"], rows)
+        overall = describe(tagged, features, (), rows).withColumn("level", F.lit(ALL))
         table = strata.filter(F.col("level").isNotNull()).select(columns).unionByName(overall.select(columns))
     else:
         strata = materialize(moments(tagged, features, ["level"]), "moments")

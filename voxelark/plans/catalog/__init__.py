@@ -5,7 +5,7 @@ from __future__ import annotations
 import importlib
 
 # Modules each defining QUERIES (name -> callable) and ORACLES (name -> SQL).
-MODULES = ("tables", "harmonize")
+MODULES = ("tables", "harmonize", "images")
 
 
 def _gather(attribute: str) -> dict:
