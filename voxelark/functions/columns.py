@@ -44,9 +44,13 @@ def finite(column: Column) -> Column:
     return F.when(F.abs(value) < F.lit(float("inf")), value)
 
 
+# Added before rounding, so values exactly half way do not depend on the last bit.
+NUDGE = 1e-9
+
+
 def tidy(column: Column, digits: int = 6) -> Column:
     """Rounded double without negative zero, for comparing results."""
-    return F.round(column, digits) + F.lit(0.0)
+    return F.round(column + F.lit(NUDGE), digits) + F.lit(0.0)
 
 
 def to_long(df: DataFrame, keys: Sequence[str], features: Sequence[str]) -> DataFrame:

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from voxelark.functions.columns import col, tidy
+from voxelark.functions.columns import NUDGE, col, tidy
 
 
 def load(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -28,7 +28,7 @@ def rounded(df: DataFrame, digits: int = 6, only: Sequence[str] | None = None) -
 
 
 def sql_round(expression: str, digits: int = 6) -> str:
-    return f"round({expression}, {digits}) + 0.0"
+    return f"round({expression} + {NUDGE}, {digits}) + 0.0"
 
 
 def voxel_grid(embeddings: DataFrame, keys: Sequence[str] = ("vec_id",)) -> DataFrame:
