@@ -269,11 +269,13 @@ def _effect(design: Design, value) -> Column:
 def _location_scale(cells: DataFrame, design: Design, any_feature: str):
     """Per feature: grand mean, pooled variance. Per feature and batch: estimates."""
     beta = _coefficients(cells, design, any_feature)
+    if design.terms:
+        beta = materialize(beta, "combat-coefficients")
     fitted = cells.join(beta, "feature").withColumn("__mod", _effect(design, design.cell_value))
-    batch_level = fitted.groupBy("feature", "__batch").agg(
-        F.sum("n").alias("__nb"),
-        F.try_divide(F.sum(F.col("n") * (F.col("mean") - F.col("__mod"))), F.sum("n")).alias("__b"),
-    )
+    whole = Window.partitionBy("feature", "__batch")
+    size = F.sum("n").over(whole)
+    level = F.sum(F.col("n") * (F.col("mean") - F.col("__mod"))).over(whole) / size
+    fitted = fitted.withColumns({"__nb": size, "__b": level})
     spread = F.col("m2") + F.col("n") * F.pow(F.col("mean") - F.col("__mod") - F.col("__b"), 2)
     for i in range(len(design.continuous)):
         j = len(design.terms) - len(design.continuous) + i
@@ -283,8 +285,7 @@ def _location_scale(cells: DataFrame, design: Design, any_feature: str):
             other = len(design.terms) - len(design.continuous) + k
             spread = spread + F.col("__beta")[j] * F.col("__beta")[other] * F.col(f"__cc{lo}_{hi}")
     per_batch = (
-        fitted.join(batch_level, ["feature", "__batch"])
-        .groupBy("feature", "__batch")
+        fitted.groupBy("feature", "__batch")
         .agg(
             F.first("__nb").alias("n"),
             F.first("__b").alias("level"),
