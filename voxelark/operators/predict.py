@@ -46,7 +46,8 @@ def predict(
 ) -> DataFrame:
     """Keys and ``predictions``, scored batch-wise in the workers.
 
-    Only keys and the model's own features reach Python. A Spark ML model is
+    Only keys and the model's own features reach Python; the model travels with the
+    task code (Spark ships a large one once per executor). A Spark ML model is
     applied as it is.
     """
     keys = list(keys)
@@ -55,13 +56,12 @@ def predict(
         return scored.select(*[col(k) for k in keys], F.col("prediction").alias("predictions"))
     names = list(feature_names) if feature_names is not None else model_features(model)
     require_columns(df, [*keys, *names])
-    shared = df.sparkSession.sparkContext.broadcast(model)
     needed = list(dict.fromkeys([*keys, *names]))
 
     def score(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             out = batch[keys].copy()
-            out["predictions"] = np.asarray(shared.value.predict(batch[names])) if len(batch) else []
+            out["predictions"] = np.asarray(model.predict(batch[names])) if len(batch) else []
             yield out
 
     narrow = df.select(*[col(c) for c in needed])
