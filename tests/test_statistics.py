@@ -135,19 +135,34 @@ def test_many_copies_are_all_reported(spark, monkeypatch):
     assert stats.duplicates(df, ["key"], ["o"]).count() == 99
 
 
-def test_salted_join_equals_plain_join(spark):
-    rows = spark.range(1000).select((F.col("id") % 3).alias("k"), "id")
-    small = table(spark, [(0, "zero"), (1, "one")], "k long, name string")
-    spark.conf.set(sizing.BROADCAST_CONF, "0")
+@pytest.mark.parametrize("hot", [100, 10_000])
+def test_skew_join_equals_plain_join(spark, hot):
+    key = F.when(F.col("id") % 10 < 6, 0).when(F.col("id") % 10 == 9, None).otherwise(F.col("id") % 10)
+    rows = spark.range(1000).select(key.cast("long").alias("k"), "id")
+    small = table(spark, [(0, "zero"), (7, "seven")], "k long, name string")
+    settings_ = {sizing.BROADCAST_CONF: "0", sizing.HOT_CONF: str(hot), "spark.sql.autoBroadcastJoinThreshold": "-1"}
     try:
-        got = sizing.attach(rows, small, ["k"])
-        plan = got._jdf.queryExecution().toString()
+        for name, value in settings_.items():
+            spark.conf.set(name, value)
+        for how in ("left", "inner"):
+            got = sizing.attach(rows, small, ["k"], how).select("k", "id", "name")
+            plan = got._jdf.queryExecution().toString()
+            assert ("__salt" in plan) == (hot == 100)
+            want = rows.join(small, "k", how).select("k", "id", "name")
+            assert got.exceptAll(want).count() == 0 and got.count() == want.count()
     finally:
-        spark.conf.unset(sizing.BROADCAST_CONF)
-    assert "__salt" in plan
-    want = rows.join(small, "k", "left")
-    assert got.select("k", "id", "name").exceptAll(want.select("k", "id", "name")).count() == 0
-    assert got.count() == 1000
+        for name in settings_:
+            spark.conf.unset(name)
+
+
+def test_describe_levels_beyond_the_builtin_bound(spark, features, monkeypatch):
+    small = stats.describe_levels(features, ["f", "x_diagnostics"]).orderBy("sub_Analysis", "feature").collect()
+    monkeypatch.setattr(stats, "BUILTIN_GROUP_ROWS", 1)
+    monkeypatch.setattr(quantiles, "BUILTIN_GROUP_ROWS", 1)
+    large = stats.describe_levels(features, ["f", "x_diagnostics"]).orderBy("sub_Analysis", "feature").collect()
+    for a, b in zip(small, large, strict=True):
+        assert a[:3] == b[:3]
+        assert list(a[3:]) == [pytest.approx(v) if v is not None else None for v in b[3:]]
 
 
 def test_shared_folder_follows_the_session(spark):

@@ -4,8 +4,8 @@ Most operators here are two-pass: one aggregation per group (stratum, batch,
 volume), then a narrow map over the rows that needs the group's few numbers.
 ``attach`` is that second step. The aggregated side is written once to the
 shared checkpoint folder, its size is measured, and only then is the join
-strategy chosen: broadcast below a byte bound, otherwise a salted shuffle join
-in which a hot group is spread over many tasks.
+strategy chosen: broadcast below a byte bound, otherwise a shuffle join in which
+the rows of hot keys, and only those, are salted over many tasks.
 """
 
 from __future__ import annotations
@@ -13,6 +13,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
@@ -22,6 +23,8 @@ BROADCAST_CONF = "spark.voxelark.broadcastBytes"
 SALT_CONF = "spark.voxelark.saltBuckets"
 DEFAULT_BROADCAST_BYTES = 64 * 1024 * 1024
 DEFAULT_SALT_BUCKETS = 32
+HOT_CONF = "spark.voxelark.hotRows"
+DEFAULT_HOT_ROWS = 1_000_000
 _fallback_dirs: dict[str, str] = {}
 
 
@@ -92,13 +95,33 @@ def salt_column(df: DataFrame, buckets: int):
     return F.pmod(F.xxhash64(*plain) + F.spark_partition_id(), F.lit(buckets)).cast("int")
 
 
-def salted_join(rows: DataFrame, small: DataFrame, keys: Sequence[str], how: str) -> DataFrame:
-    """Shuffle join whose ``small`` side (one row per key) is repeated per salt."""
-    buckets = int(rows.sparkSession.conf.get(SALT_CONF, str(DEFAULT_SALT_BUCKETS)))
-    salts = F.explode(F.sequence(F.lit(0), F.lit(buckets - 1))).alias("__salt")
-    left = rows.withColumn("__salt", salt_column(rows, buckets))
-    right = small.select("*", salts)
-    return left.join(right, [*keys, "__salt"], how).drop("__salt")
+def skew_join(rows: DataFrame, table: DataFrame, keys: Sequence[str], how: str) -> DataFrame:
+    """Shuffle join with a ``table`` of one row per key, whatever the skew of ``rows``.
+
+    Keys with more rows than the hot bound are counted first (map-side combined).
+    Only their rows are salted and only their table entries repeated per salt, so
+    ordinary keys cost what a plain join costs. NULL keys match nothing and are
+    spread too.
+    """
+    spark, keys = rows.sparkSession, list(keys)
+    bound = int(spark.conf.get(HOT_CONF, str(DEFAULT_HOT_ROWS)))
+    buckets = int(spark.conf.get(SALT_CONF, str(DEFAULT_SALT_BUCKETS)))
+    counts = rows.groupBy(*keys).agg(F.count("*").alias("__rows"))
+    hot = materialize(
+        counts.filter(F.col("__rows") > bound).select(*keys, F.lit(True).alias("__hot")), "hot-keys"
+    )
+    if hot.measured == 0:
+        return rows.join(table, keys, how)
+    missing = reduce(lambda a, b: a | b, [F.col(f"`{k}`").isNull() for k in keys])
+    # At most rows / bound keys can be hot; the planner may still refuse a broadcast.
+    marked = F.broadcast(hot) if fits_broadcast(hot) else hot
+    left = rows.join(marked, keys, "left")
+    spread = F.coalesce(F.col("__hot"), F.lit(False)) | missing
+    left = left.withColumn("__salt", F.when(spread, salt_column(rows, buckets)).otherwise(0)).drop("__hot")
+    every = F.sequence(F.lit(0), F.lit(buckets - 1))
+    right = table.join(marked, keys, "left")
+    right = right.withColumn("__salt", F.explode(F.when(F.col("__hot"), every).otherwise(F.array(F.lit(0)))))
+    return left.join(right.drop("__hot"), [*keys, "__salt"], how).drop("__salt")
 
 
 def attach(
@@ -119,4 +142,4 @@ def attach(
     bounded = table if part_of is None else part_of
     if fits_broadcast(bounded):
         return rows.join(F.broadcast(table), list(keys), how)
-    return salted_join(rows, table, keys, how)
+    return skew_join(rows, table, keys, how)

@@ -141,16 +141,25 @@ def describe_levels(
     tagged = df.select(level.alias("level"), *[col(f) for f in features])
     empty = [F.lit(None).cast("double").alias(p) for p in ("p25", "p50", "p75")]
     columns = ["level", "feature", *STAT_COLUMNS]
-    if quartiles:
-        rows = df.count()
+    rows = df.count() if quartiles else 0
+    if quartiles and rows <= BUILTIN_GROUP_ROWS and len(features) <= WIDE_FEATURE_LIMIT:
         strata = describe(tagged, features, ["level"], rows)
         overall = describe(tagged, features, (), rows).withColumn("level", F.lit(ALL))
         table = strata.filter(F.col("level").isNotNull()).select(columns).unionByName(overall.select(columns))
+        return table.withColumnRenamed("level", by)
+    strata = materialize(moments(tagged, features, ["level"]), "moments")
+    overall = overall_moments(strata).select(F.lit(ALL).alias("level"), "*")
+    table = strata.filter(F.col("level").isNotNull()).unionByName(overall)
+    if quartiles:
+        levels = F.explode(F.array_compact(F.array("level", F.lit(ALL)))).alias("level")
+        long = to_long(tagged, ["level"], features).select(levels, "feature", "value")
+        quantiles = grouped_quantiles(long, ["level", "feature"], "value", QUARTILES, rows)
+        table = table.join(quantiles, ["level", "feature"], "left").withColumns(
+            {"p25": F.col("q")[0], "p50": F.col("q")[1], "p75": F.col("q")[2]}
+        )
     else:
-        strata = materialize(moments(tagged, features, ["level"]), "moments")
-        overall = overall_moments(strata).select(F.lit(ALL).alias("level"), "*", *empty)
-        own = strata.filter(F.col("level").isNotNull()).select("*", *empty)
-        table = own.select(columns).unionByName(overall.select(columns))
+        table = table.select("*", *empty)
+    table = table.select(columns)
     return table.withColumnRenamed("level", by)
 
 

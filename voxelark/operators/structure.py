@@ -43,7 +43,10 @@ def matching_files(manifest: DataFrame, keys: Sequence[str] = KEYS) -> DataFrame
     parts = sized.withColumn("__at", F.explode(starts)).select(
         patient, "path", "file_name", F.lower(F.substr("file_name", F.col("__at"), F.col("__k"))).alias("__part")
     )
-    by_text = parts.distinct().join(plain, [patient, "__part"]).select(patient, sub, "path", "file_name")
+    # Names differing only in case share a part, so each part has one row of names.
+    named = plain.groupBy(patient, "__part").agg(F.collect_set(sub).alias("__names"))
+    by_text = attach(parts.distinct(), named, [patient, "__part"], "inner", "names")
+    by_text = by_text.select(patient, F.explode("__names").alias(sub), "path", "file_name")
     patterns = subs.filter(is_pattern)
     by_pattern = files.join(patterns, patient).filter(
         F.expr(f"file_name rlike concat('(?i)', `{sub}`)")
