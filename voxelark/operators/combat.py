@@ -504,6 +504,9 @@ def _apply(model: CombatModel, df: DataFrame, average_covariates: bool) -> DataF
     rows = df.withColumn("__batch", col(design.batch).cast("string"))
     place = {f: i for i, f in enumerate(names)}
     order = F.create_map(*[x for f, i in place.items() for x in (F.lit(f), F.lit(i))])
+    terms = design.term_names()
+    use_covariates = bool(terms) and not average_covariates
+    coefficients = [F.col("betas")[t] for t in terms] if use_covariates else []
     sd = F.sqrt("var_pooled")
     level = F.col("stand_mean") + (F.col("mod_mean") if average_covariates else F.lit(0.0))
     entry = F.struct(
@@ -511,6 +514,7 @@ def _apply(model: CombatModel, df: DataFrame, average_covariates: bool) -> DataF
         level.alias("m"),
         (F.col("gamma_star") * sd).alias("shift"),
         F.try_divide(F.lit(1.0), F.sqrt("delta_star")).alias("rate"),
+        F.array(*coefficients).cast("array<double>").alias("b"),
     )
     arrays = (
         model.feature_batches.join(model.features, "feature")
@@ -519,8 +523,6 @@ def _apply(model: CombatModel, df: DataFrame, average_covariates: bool) -> DataF
     )
     rows = attach(rows, arrays, ["__batch"], label="combat-arrays")
     rows = rows.withColumn("__e", _known(F.col("__e").isNotNull(), F.col("__e"), "batch", F.col("__batch")))
-    terms = design.term_names()
-    use_covariates = bool(terms) and not average_covariates
     if not average_covariates:
         require_columns(df, [*design.covars, *design.continuous])
         for c in design.covars:
@@ -528,14 +530,6 @@ def _apply(model: CombatModel, df: DataFrame, average_covariates: bool) -> DataF
             seen = F.coalesce(value.isin(design.levels[c]), F.lit(False))
             rows = rows.withColumn("__e", _known(seen, F.col("__e"), f"covariate {c}", value))
     if use_covariates:
-        coefficient = F.struct(
-            order[F.col("feature")].alias("i"),
-            F.array(*[F.col("betas")[t] for t in terms]).alias("b"),
-        )
-        table = model.features.groupBy(F.lit(1).alias("__one")).agg(
-            F.sort_array(F.collect_list(coefficient)).alias("__w")
-        )
-        rows = attach(rows.withColumn("__one", F.lit(1)), table, ["__one"], label="combat-betas")
         rows = rows.withColumn("__z", F.array(*[design.row_value(j) for j in range(len(terms))]))
 
     def harmonized(name: str) -> Column:
@@ -544,7 +538,7 @@ def _apply(model: CombatModel, df: DataFrame, average_covariates: bool) -> DataF
         center = e["m"]
         if use_covariates:
             for j in range(len(terms)):
-                center = center + F.col("__w")[i]["b"][j] * F.col("__z")[j]
+                center = center + e["b"][j] * F.col("__z")[j]
         y = finite(col(name))
         value = (y - center - e["shift"]) * e["rate"] + center
         if design.ref_batch is not None and not average_covariates:

@@ -5,7 +5,7 @@ from __future__ import annotations
 import importlib
 
 # Modules each defining QUERIES (name -> callable) and ORACLES (name -> SQL).
-MODULES = ("tables", "harmonize", "images", "spatial", "texture", "manifest", "arrivals")
+MODULES = ("tables", "harmonize", "images", "spatial", "texture", "extraction", "manifest", "arrivals")
 
 
 def _gather(attribute: str) -> dict:

@@ -1,4 +1,4 @@
-"""Incremental ingestion, chains of steps and whole-study extraction."""
+"""Incremental ingestion, and chains of steps replayed on new data."""
 
 from __future__ import annotations
 
@@ -8,8 +8,7 @@ from pyspark.sql import functions as F
 
 from voxelark.functions.sizing import shared_dir
 from voxelark.operators.predict import LinearScorer
-from voxelark.plans.catalog.common import load, rounded, sql_round, voxel_grid
-from voxelark.plans.extraction import FeatureConfig, extract_features
+from voxelark.plans.catalog.common import load, rounded, sql_round
 from voxelark.plans.pipeline import Pipeline, Step
 from voxelark.streaming.arrivals import (
     append_results,
@@ -128,39 +127,6 @@ def scored_stream(spark, sf_dir):
     return rounded(spark.read.parquet(f"{where}/out").select(*ID, "predictions"))
 
 
-def harmonized_chain_replayed(spark, sf_dir):
-    """Harmonize, then normalize: both follow the training table on new data."""
-    df = load(spark, sf_dir, "lineitem")
-    columns = [*ID, "l_returnflag", *FEATURES]
-    train, new = df.filter(F.col("l_shipdate") < CUT), df.filter(F.col("l_shipdate") >= CUT)
-    steps = [
-        Step(
-            "harmonize",
-            {"batch": train.select(*ID, "l_linestatus"), "batch_col": "l_linestatus", "names": FEATURES,
-             "ref_batch": "F"},
-        ),
-        Step("normalize", {"features": FEATURES, "method": "minmax", "by": "l_returnflag"}),
-    ]
-    bundle, _ = Pipeline(steps, {"keys": ID}).fit(train.select(*columns))
-    return rounded(
-        bundle.transform(
-            new.select(*columns), {"harmonize": {"batch": new.select(*ID, "l_linestatus")}}
-        )
-    )
-
-
-def extracted_features(spark, sf_dir):
-    """Original and filtered features of every volume in one wide table."""
-    image = voxel_grid(load(spark, sf_dir, "embeddings"))
-    mask = image.withColumn("value", F.when(F.col("value") > -0.12, 1).otherwise(0))
-    configs = [
-        FeatureConfig("Original", bin_width=0.07),
-        FeatureConfig("Gabor_S4", "Gabor", 0.07, pad=2, size=4, freq=0.25, classes=("firstorder", "glcm")),
-        FeatureConfig("LoG", "LoG", 0.07, pad=2, sigma=[1.0], classes=("firstorder",)),
-    ]
-    return rounded(extract_features(image, mask, configs, ["vec_id"]))
-
-
 QUERIES = {
     "new_items": new_items,
     "stable_sizes": stable_sizes,
@@ -169,8 +135,6 @@ QUERIES = {
     "pool_summaries": pool_summaries,
     "training_replayed": training_replayed,
     "scored_stream": scored_stream,
-    "harmonized_chain_replayed": harmonized_chain_replayed,
-    "extracted_features": extracted_features,
 }
 
 # ---------------------------------------------------------------- checking SQL

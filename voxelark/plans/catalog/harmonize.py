@@ -2,10 +2,21 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import functions as F
 
-from voxelark.operators.combat import combat, combat_external, fit_combat, standardized_long
+from voxelark.functions.sizing import shared_dir
+from voxelark.operators.combat import (
+    CombatModel,
+    attach_batch,
+    combat,
+    combat_external,
+    fit_combat,
+    standardized_long,
+)
 from voxelark.plans.catalog.common import load, rounded, sql_round
+from voxelark.plans.pipeline import Pipeline, Step
 
 ID = ["l_orderkey", "l_linenumber", "l_suppkey", "l_partkey"]
 NAMES = ["l_quantity", "price", "l_discount", "l_tax"]
@@ -109,7 +120,40 @@ def combat_trained_estimates(spark, sf_dir):
     return rounded(model.apply_trained(df.filter(F.col("l_shipdate") >= CUT)).select(*ID, *NAMES))
 
 
+def combat_saved_estimates(spark, sf_dir):
+    """Estimates written, read back, and applied to the same vectors."""
+    df = _vectors(spark, sf_dir)
+    path = f"{shared_dir(spark)}/voxelark/combat-{uuid.uuid4().hex}"
+    fit_combat(df, WIDE).save(path)
+    return rounded(CombatModel.load(spark, path).transform(df).drop("batch"))
+
+
+def harmonized_chain_replayed(spark, sf_dir):
+    """Harmonize, then normalize: both follow the training table on new data."""
+    df = _items(spark, sf_dir)
+    columns = [*ID, "l_returnflag", *NAMES]
+    train, new = df.filter(F.col("l_shipdate") < CUT), df.filter(F.col("l_shipdate") >= CUT)
+    steps = [
+        Step("harmonize", {"batch": train.select(*ID, "l_linestatus"), "batch_col": "l_linestatus",
+                           "names": NAMES, "ref_batch": "F"}),
+        Step("normalize", {"features": NAMES, "method": "minmax", "by": "l_returnflag"}),
+    ]
+    bundle, _ = Pipeline(steps, {"keys": ID}).fit(train.select(*columns))
+    overrides = {"harmonize": {"batch": new.select(*ID, "l_linestatus")}}
+    return rounded(bundle.transform(new.select(*columns), overrides))
+
+
+def batches_attached(spark, sf_dir):
+    df = _items(spark, sf_dir)
+    suppliers = df.select("l_suppkey", "batch").distinct()
+    features = load(spark, sf_dir, "lineitem").select(*ID, "l_quantity")
+    return attach_batch(features, suppliers, ["batch"], ["l_suppkey"])
+
+
 QUERIES = {
+    "batches_attached": batches_attached,
+    "combat_saved_estimates": combat_saved_estimates,
+    "harmonized_chain_replayed": harmonized_chain_replayed,
     "combat_parametric": _harmonized_items(),
     "combat_no_shrinkage": _harmonized_items(eb=False),
     "combat_mean_only": _harmonized_items(mean_only=True),
@@ -201,7 +245,7 @@ pri AS (SELECT batch, max(n) AS n, avg(gh) AS gbar, var_samp(gh) AS t2,
 
 
 def _data_sql(base, ids, names, ref=None, covariate=False, mode="parametric", train="TRUE",
-              where="TRUE", average=False):
+              where="TRUE", average=False, rounding=True):
     mod = "modavg" if average else (
         "b1 * CASE cov WHEN 'N' THEN 1.0 ELSE 0.0 END + b2 * CASE cov WHEN 'R' THEN 1.0 ELSE 0.0 END"
     )
@@ -214,7 +258,7 @@ res AS (SELECT {keys}, feature, {keep}((y - grand - ({mod})) / sqrt(v) - gs) / s
   FROM long JOIN beta USING (feature) JOIN gm USING (feature) JOIN vp USING (feature) JOIN ma USING (feature)
   JOIN stars USING (feature, batch) WHERE {where})
 SELECT {keys}, """ + ", ".join(
-        sql_round(f"max(CASE WHEN feature = '{f}' THEN h END)") + f" AS {f}" for f in names
+        (sql_round if rounding else str)(f"max(CASE WHEN feature = '{f}' THEN h END)") + f" AS {f}" for f in names
     ) + f" FROM res GROUP BY {keys}"
 
 
@@ -227,13 +271,26 @@ _EXTERNAL = f"""SELECT * REPLACE (CASE WHEN l_shipdate < '{CUT}' THEN {{name}} E
  l_shipdate >= '{CUT}' AS is_new FROM ({_LINESTATUS})"""
 
 
-def _external_sql(name, ref):
+def _external_sql(name, ref, **options):
     ids = [*ID, "is_new"]
-    sql = _data_sql(_EXTERNAL.format(name=name), ids, NAMES, ref, where="is_new")
+    sql = _data_sql(_EXTERNAL.format(name=name), ids, NAMES, ref, where="is_new", **options)
     return f"SELECT * EXCLUDE (is_new) FROM ({sql})"
 
 
+_TRAINED = _data_sql(f"SELECT * FROM ({_LINESTATUS}) WHERE l_shipdate < '{CUT}'", ID, NAMES, "F", rounding=False)
+_CHAIN = f"""WITH tr AS ({_TRAINED}), nw AS ({_external_sql("batch || '_ref'", "F_ref", rounding=False)}),
+flag AS (SELECT {', '.join(ID)}, l_returnflag FROM lineitem),
+lim AS (SELECT l_returnflag, {', '.join(f'min({f}) AS lo_{f}, max({f}) AS hi_{f}' for f in NAMES)}
+  FROM tr JOIN flag USING ({', '.join(ID)}) GROUP BY 1)
+SELECT {', '.join(ID)}, l_returnflag, {', '.join(
+    sql_round(f'({f} - lo_{f}) / nullif(hi_{f} - lo_{f}, 0)') + f' AS {f}' for f in NAMES)}
+FROM nw JOIN flag USING ({', '.join(ID)}) JOIN lim USING (l_returnflag)"""
+
 ORACLES = {
+    "batches_attached": f"""SELECT {', '.join(ID)}, l_quantity, n_name AS batch FROM lineitem
+ JOIN supplier ON l_suppkey = s_suppkey JOIN nation ON s_nationkey = n_nationkey""",
+    "combat_saved_estimates": _data_sql(_VECTORS, ["vec_id"], WIDE),
+    "harmonized_chain_replayed": _CHAIN,
     "combat_parametric": _data_sql(_ITEMS, ID, NAMES),
     "combat_no_shrinkage": _data_sql(_ITEMS, ID, NAMES, mode="none"),
     "combat_mean_only": _data_sql(_ITEMS, ID, NAMES, mode="mean"),

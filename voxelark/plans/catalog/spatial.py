@@ -151,19 +151,20 @@ linear AS (SELECT v.vec_id, tx AS x, ty AS y, tz AS z, {guard} AS value
   FROM corners c JOIN vox v ON v.x = c.cx AND v.y = c.cy AND v.z = c.cz GROUP BY 1, 2, 3, 4)"""
 
 
-def _convolved_sql(kernels: dict, per_filter: bool) -> str:
+def _convolved_sql(kernels: dict, per_filter: bool, rounding: bool = True) -> str:
     """Direct sum over every kernel tap with coordinates clamped to the grid."""
     rows = ", ".join(
         f"('{name}', {dx}, {dy}, {dz}, {w!r}::DOUBLE)" for name, taps in kernels.items() for dx, dy, dz, w in taps
     )
     inside = " AND ".join(f"v.{a} = least(greatest(t.{a} - k.d{a}, 0), 3)" for a in "xyz")
     label = "k.filter_id, " if per_filter else ""
+    total = sql_round("sum(w * value)") if rounding else "sum(w * value)"
     return f"""WITH {VOX}, kernel(filter_id, dx, dy, dz, w) AS (VALUES {rows}),
 place AS (SELECT CAST(i % 4 AS INTEGER) AS x, CAST((i // 4) % 4 AS INTEGER) AS y,
   CAST(i // 16 AS INTEGER) AS z FROM range(64) AS r(i)),
 reach AS (SELECT t.x AS tx, t.y AS ty, t.z AS tz, v.x, v.y, v.z, {label}sum(k.w) AS w
   FROM place t, kernel k, place v WHERE {inside} GROUP BY ALL)
-SELECT vox.vec_id, tx AS x, ty AS y, tz AS z, {label.replace('k.', '')}{sql_round('sum(w * value)')} AS value
+SELECT vox.vec_id, tx AS x, ty AS y, tz AS z, {label.replace('k.', '')}{total} AS value
 FROM vox JOIN reach USING (x, y, z) GROUP BY ALL"""
 
 

@@ -2,10 +2,17 @@
 
 from __future__ import annotations
 
+import uuid
+
+from pyspark.ml import Pipeline as MlPipeline
+from pyspark.ml.feature import VectorAssembler
+from pyspark.ml.regression import LinearRegression
 from pyspark.sql import functions as F
 
 from voxelark.functions.columns import to_long
+from voxelark.functions.sizing import shared_dir
 from voxelark.operators.normalize import (
+    NormalizerModel,
     attach_stats,
     fit_normalizer,
     normalize,
@@ -23,7 +30,14 @@ from voxelark.operators.stats import (
     stats_to_wide,
 )
 from voxelark.plans.catalog.common import load, rounded, sql_round
-from voxelark.sources.tables import assemble_configs, merge_feature_tables, prefix_features
+from voxelark.sources.tables import (
+    append_features,
+    assemble_configs,
+    merge_feature_tables,
+    prefix_features,
+    read_features,
+    write_features,
+)
 
 FEATURES = ["l_quantity", "l_extendedprice", "l_discount", "l_tax"]
 ID = ["l_orderkey", "l_linenumber", "l_suppkey", "l_partkey"]
@@ -173,7 +187,37 @@ def scored_rows(spark, sf_dir):
     return rounded(predict(_lineitem(spark, sf_dir), model, keys=ID))
 
 
+def scored_by_spark_model(spark, sf_dir):
+    """A Spark ML regression of price on quantity, fitted and applied."""
+    df = _lineitem(spark, sf_dir)
+    stages = [
+        VectorAssembler(inputCols=["l_quantity"], outputCol="features"),
+        LinearRegression(featuresCol="features", labelCol="l_extendedprice", solver="normal"),
+    ]
+    return rounded(predict(df, MlPipeline(stages=stages).fit(df), keys=ID), 3)
+
+
+def saved_statistics_applied(spark, sf_dir):
+    """Statistics written, read back, and applied."""
+    df = _lineitem(spark, sf_dir)
+    path = f"{shared_dir(spark)}/voxelark/normalizer-{uuid.uuid4().hex}"
+    fit_normalizer(df, FEATURES, "zscore", STRATUM, all_statistics=True).save(path)
+    return rounded(NormalizerModel.load(spark, path).transform(df))
+
+
+def appended_table(spark, sf_dir):
+    """A table written, appended to, and read back."""
+    df = _lineitem(spark, sf_dir)
+    path = f"{shared_dir(spark)}/voxelark/features-{uuid.uuid4().hex}"
+    write_features(df.filter(F.col(STRATUM) == "A"), path)
+    append_features(df.filter(F.col(STRATUM) == "N"), path)
+    return read_features(spark, path)
+
+
 QUERIES = {
+    "scored_by_spark_model": scored_by_spark_model,
+    "saved_statistics_applied": saved_statistics_applied,
+    "appended_table": appended_table,
     "describe_all": describe_all,
     "describe_by_stratum": describe_by_stratum,
     "describe_with_overall": describe_with_overall,
@@ -297,6 +341,11 @@ _DEDUPE_COLUMNS = ", ".join([*ID, STRATUM, *FEATURES])
 _LISTED = "SELECT n_nationkey FROM nation WHERE n_regionkey = 1"
 
 ORACLES = {
+    "scored_by_spark_model": f"""SELECT {', '.join(ID)}, {sql_round('a + b * l_quantity', 3)} AS predictions
+FROM lineitem, (SELECT regr_intercept(l_extendedprice, l_quantity) AS a,
+  regr_slope(l_extendedprice, l_quantity) AS b FROM lineitem)""",
+    "saved_statistics_applied": _normalize_sql("zscore", True),
+    "appended_table": f"SELECT {', '.join([*ID, STRATUM, *FEATURES])} FROM lineitem WHERE {STRATUM} IN ('A', 'N')",
     "describe_all": f"WITH long AS ({_LONG}) SELECT feature, {_stats_sql(4)} FROM long GROUP BY 1",
     "describe_by_stratum": f"WITH long AS ({_LONG}) SELECT {STRATUM}, feature, {_stats_sql(4)} FROM long GROUP BY 1, 2",
     "describe_with_overall": f"WITH long AS ({_LONG}) {_levels_sql(4)}",
