@@ -58,6 +58,22 @@ def materialize(df: DataFrame, label: str = "table") -> DataFrame:
     return table
 
 
+ONE_PARTITION_BYTES = 4 * 1024 * 1024
+
+
+def compact(table: DataFrame) -> DataFrame:
+    """A written table in one partition if it is measured to be tiny.
+
+    Later groupings and joins of such tables then need no shuffle; anything larger
+    stays distributed.
+    """
+    if table.measured > ONE_PARTITION_BYTES:
+        return table
+    single = table.coalesce(1)
+    single.measured = table.measured
+    return single
+
+
 def _width(field: T.StructField):
     column = F.col(f"`{field.name}`")
     kind = field.dataType

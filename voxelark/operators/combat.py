@@ -28,7 +28,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from voxelark.functions.columns import KEYS, col, feature_columns, finite, to_long
-from voxelark.functions.sizing import attach, materialize
+from voxelark.functions.sizing import attach, compact, materialize
 from voxelark.operators.selection import check_complete, require_columns
 from voxelark.operators.stats import WIDE_FEATURE_LIMIT, dedupe_first
 
@@ -270,7 +270,7 @@ def _location_scale(cells: DataFrame, design: Design, any_feature: str):
     """Per feature: grand mean, pooled variance. Per feature and batch: estimates."""
     beta = _coefficients(cells, design, any_feature)
     if design.terms:
-        beta = materialize(beta, "combat-coefficients")
+        beta = compact(materialize(beta, "combat-coefficients"))
     fitted = cells.join(beta, "feature").withColumn("__mod", _effect(design, design.cell_value))
     whole = Window.partitionBy("feature", "__batch")
     size = F.sum("n").over(whole)
@@ -294,7 +294,7 @@ def _location_scale(cells: DataFrame, design: Design, any_feature: str):
         )
         .withColumnRenamed("__batch", "batch")
     )
-    per_batch = materialize(per_batch, "combat-batches")
+    per_batch = compact(materialize(per_batch, "combat-batches"))
     if design.ref_batch is None:
         grand = F.sum(F.col("n") * F.col("level")) / F.sum("n")
         variance = F.sum("rss") / F.sum("n")
@@ -319,7 +319,7 @@ def _location_scale(cells: DataFrame, design: Design, any_feature: str):
         F.when(zero, filler).otherwise(F.col("__var")).alias("var_pooled"),
         "__beta",
     )
-    return materialize(per_feature, "combat-features"), per_batch
+    return compact(materialize(per_feature, "combat-features")), per_batch
 
 
 def _estimates(per_feature: DataFrame, per_batch: DataFrame, mean_only: bool) -> DataFrame:
@@ -456,7 +456,7 @@ def fit_combat(
     if features is None:
         features = feature_columns(df, exclude=[batch_col, *covars, *continuous])
     design = Design(batch_col, covars, continuous, ref_batch=None if ref_batch is None else str(ref_batch))
-    cells = materialize(_cells(df, features, design), "combat-cells")
+    cells = compact(materialize(_cells(df, features, design), "combat-cells"))
     facts = _facts(cells, design, features[0])
     if facts["gaps"] and not drop_incomplete:
         raise ValueError(f"features with missing or non-finite values: {facts['gaps']}")
@@ -480,11 +480,11 @@ def fit_combat(
         )
 
     per_feature, per_batch = _location_scale(cells, design, names[0])
-    estimates = materialize(_estimates(per_feature, per_batch, mean_only), "combat-estimates")
+    estimates = compact(materialize(_estimates(per_feature, per_batch, mean_only), "combat-estimates"))
     priors = _priors(estimates, mean_only)
     stars = _shrunken(estimates, priors, eb, parametric, mean_only, design.ref_batch)
     feature_batches = estimates.drop("ssq", "n").join(stars, ["feature", "batch"])
-    feature_batches = materialize(feature_batches, "combat-stars")
+    feature_batches = compact(materialize(feature_batches, "combat-stars"))
     terms = F.array(*[F.lit(t) for t in design.term_names()]) if design.terms else F.array().cast("array<string>")
     table = per_feature.select(
         "feature", "stand_mean", "var_pooled", "mod_mean", F.map_from_arrays(terms, "__beta").alias("betas")

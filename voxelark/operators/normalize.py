@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from voxelark.functions.columns import col, feature_columns, number
-from voxelark.functions.sizing import attach, materialize
+from voxelark.functions.sizing import attach, compact, materialize
 from voxelark.operators.stats import ALL, STAT_COLUMNS, describe_levels
 
 # Accepted spellings, compared without case, blanks and dashes.
@@ -148,7 +148,11 @@ def fit_normalizer(
         whole = df.select(*[col(f) for f in features]).withColumn(by, F.lit(None).cast("string"))
         stats = describe_levels(whole, features, by, quartiles)
     return NormalizerModel(
-        materialize(stats.select(by, "feature", *STAT_COLUMNS), "feature-stats"), features, name, by, stratified
+        compact(materialize(stats.select(by, "feature", *STAT_COLUMNS), "feature-stats")),
+        features,
+        name,
+        by,
+        stratified,
     )
 
 

@@ -22,7 +22,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from voxelark.functions.columns import col, number
-from voxelark.functions.sizing import attach, materialize
+from voxelark.functions.sizing import attach, compact, materialize
 
 BUILTIN_GROUP_ROWS = 1_000_000
 _STEPS_PER_OCTAVE = 4096
@@ -94,7 +94,7 @@ def rank_select(
         .filter((F.col("__rank") >= F.col("__start")) & (F.col("__rank") < F.col("__end")))
         .withColumn("__rank", F.col("__rank") - F.col("__start"))
     )
-    targets = materialize(targets, "rank-targets")
+    targets = compact(materialize(targets, "rank-targets"))
     settled = targets.filter(F.col("__min") == F.col("__max")).select(
         *keys, "__p", "__side", "__frac", F.col("__min").alias("__v")
     )

@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from voxelark.functions.columns import col, number, struct_of, to_long
-from voxelark.functions.sizing import attach, materialize
+from voxelark.functions.sizing import attach, compact, materialize
 from voxelark.operators.quantiles import BUILTIN_GROUP_ROWS, grouped_quantiles
 
 ALL = "all"
@@ -147,7 +147,7 @@ def describe_levels(
         overall = describe(tagged, features, (), rows).withColumn("level", F.lit(ALL))
         table = strata.filter(F.col("level").isNotNull()).select(columns).unionByName(overall.select(columns))
         return table.withColumnRenamed("level", by)
-    strata = materialize(moments(tagged, features, ["level"]), "moments")
+    strata = compact(materialize(moments(tagged, features, ["level"]), "moments"))
     overall = overall_moments(strata).select(F.lit(ALL).alias("level"), "*")
     table = strata.filter(F.col("level").isNotNull()).unionByName(overall)
     if quartiles:

@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from voxelark.functions.columns import KEYS
-from voxelark.functions.sizing import attach, materialize
+from voxelark.functions.sizing import attach, compact, materialize
 
 MAX_ROUNDS = 100
 _SHIFT, _ORIGIN = 21, 1 << 20
@@ -62,27 +62,27 @@ def _touching(runs: DataFrame, keys: list[str]) -> DataFrame:
 def zone_sizes(levels: DataFrame, keys: Sequence[str] = KEYS) -> DataFrame:
     """``keys, node, level, size``: one row per connected zone."""
     keys = list(keys)
-    runs = materialize(_runs(levels, keys), "zone-runs")
+    runs = compact(materialize(_runs(levels, keys), "zone-runs"))
     nodes = runs.select(*keys, "node", "level", "size")
-    edges = materialize(_touching(runs, keys), "zone-edges")
+    edges = compact(materialize(_touching(runs, keys), "zone-edges"))
     for _ in range(MAX_ROUNDS):
         if edges.measured == 0:
             return nodes
         hooks = edges.groupBy(*keys, F.col("a").alias("node")).agg(F.min("b").alias("up"))
         hooks = hooks.withColumn("up", F.least("up", "node"))
         # Every hooked node is itself in the table, so one hop up always finds a row.
-        hooks = materialize(hooks, "zone-hooks")
+        hooks = compact(materialize(hooks, "zone-hooks"))
         above = hooks.select(*keys, F.col("node").alias("up"), F.col("up").alias("top"))
         hops = attach(hooks, above, [*keys, "up"], "inner", part_of=hooks)
-        hops = materialize(hops.select(*keys, "node", "top"), "zone-hops")
+        hops = compact(materialize(hops.select(*keys, "node", "top"), "zone-hops"))
         nodes = nodes.join(hops, [*keys, "node"], "left").select(
             *keys, F.coalesce("top", "node").alias("node"), "level", "size"
         )
         nodes = nodes.groupBy(*keys, "node").agg(F.first("level").alias("level"), F.sum("size").alias("size"))
-        nodes = materialize(nodes, "zone-nodes")
+        nodes = compact(materialize(nodes, "zone-nodes"))
         for end in ("a", "b"):
             moved = hops.select(*keys, F.col("node").alias(end), F.col("top").alias("__to"))
             edges = attach(edges, moved, [*keys, end], "inner", part_of=hops)
             edges = edges.withColumn(end, F.col("__to")).drop("__to")
-        edges = materialize(edges.filter(F.col("a") != F.col("b")).distinct(), "zone-edges")
+        edges = compact(materialize(edges.filter(F.col("a") != F.col("b")).distinct(), "zone-edges"))
     raise RuntimeError(f"zones did not settle in {MAX_ROUNDS} rounds")
