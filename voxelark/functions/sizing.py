@@ -58,7 +58,7 @@ def materialize(df: DataFrame, label: str = "table") -> DataFrame:
     return table
 
 
-ONE_PARTITION_BYTES = 4 * 1024 * 1024
+ONE_PARTITION_BYTES = 512 * 1024
 
 
 def compact(table: DataFrame) -> DataFrame:

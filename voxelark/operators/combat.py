@@ -492,10 +492,14 @@ def fit_combat(
     return CombatModel(table, priors, feature_batches, names, design, mean_only)
 
 
-def _known(condition: Column, value: Column, what: str, shown: Column) -> Column:
-    """``value``, or a failure while running, so no extra pass checks the rows first."""
-    message = F.concat(F.lit(f"{what} not part of the training table: "), F.coalesce(shown, F.lit("NULL")))
-    return F.when(condition, value).otherwise(F.raise_error(message))
+def _zero_if_known(checks: Sequence[tuple[Column, str, Column]]) -> Column:
+    """0.0, or a failure while running, so no extra pass checks the rows first."""
+    result = None
+    for known, what, shown in checks:
+        message = F.concat(F.lit(f"{what} not part of the training table: "), F.coalesce(shown, F.lit("NULL")))
+        failed = F.raise_error(message).cast("double")
+        result = F.when(~known, failed) if result is None else result.when(~known, failed)
+    return result.otherwise(F.lit(0.0))
 
 
 def _apply(model: CombatModel, df: DataFrame, average_covariates: bool) -> DataFrame:
@@ -514,33 +518,38 @@ def _apply(model: CombatModel, df: DataFrame, average_covariates: bool) -> DataF
         level.alias("m"),
         (F.col("gamma_star") * sd).alias("shift"),
         F.try_divide(F.lit(1.0), F.sqrt("delta_star")).alias("rate"),
-        F.array(*coefficients).cast("array<double>").alias("b"),
+        *[c.alias(f"b{j}") for j, c in enumerate(coefficients)],
     )
-    arrays = (
+    packed = (
         model.feature_batches.join(model.features, "feature")
         .groupBy(F.col("batch").alias("__batch"))
         .agg(F.sort_array(F.collect_list(entry)).alias("__e"))
     )
+    # Plain arrays of doubles: reading one number per feature and row stays cheap.
+    arrays = packed.select(
+        "__batch",
+        *[F.col("__e")[k].alias(f"__{k}") for k in ("m", "shift", "rate")],
+        *[F.col("__e")[f"b{j}"].alias(f"__b{j}") for j in range(len(coefficients))],
+    )
     rows = attach(rows, arrays, ["__batch"], label="combat-arrays")
-    rows = rows.withColumn("__e", _known(F.col("__e").isNotNull(), F.col("__e"), "batch", F.col("__batch")))
+    checks = [(F.col("__m").isNotNull(), "batch", F.col("__batch"))]
     if not average_covariates:
         require_columns(df, [*design.covars, *design.continuous])
         for c in design.covars:
             value = col(c).cast("string")
             seen = F.coalesce(value.isin(design.levels[c]), F.lit(False))
-            rows = rows.withColumn("__e", _known(seen, F.col("__e"), f"covariate {c}", value))
+            checks.append((seen, f"covariate {c}", value))
+    rows = rows.withColumn("__known", _zero_if_known(checks))
     if use_covariates:
-        rows = rows.withColumn("__z", F.array(*[design.row_value(j) for j in range(len(terms))]))
+        rows = rows.withColumns({f"__z{j}": design.row_value(j) for j in range(len(terms))})
 
     def harmonized(name: str) -> Column:
         i = place[name]
-        e = F.col("__e")[i]
-        center = e["m"]
-        if use_covariates:
-            for j in range(len(terms)):
-                center = center + e["b"][j] * F.col("__z")[j]
+        center = F.col("__m")[i] + F.col("__known")
+        for j in range(len(coefficients)):
+            center = center + F.col(f"__b{j}")[i] * F.col(f"__z{j}")
         y = finite(col(name))
-        value = (y - center - e["shift"]) * e["rate"] + center
+        value = (y - center - F.col("__shift")[i]) * F.col("__rate")[i] + center
         if design.ref_batch is not None and not average_covariates:
             value = F.when(F.col("__batch") == design.ref_batch, y).otherwise(value)
         return value.alias(name)
