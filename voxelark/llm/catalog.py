@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from voxelark.llm import decontaminate, pieces, sharding
+from voxelark.llm import decontaminate, html, language, pieces, sharding
 
-MODULES = (sharding, pieces, decontaminate)
+MODULES = (sharding, language, html, pieces, decontaminate)
 
 
 def llm_queries() -> dict:
