@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from voxelark.llm import decontaminate, html, language, pieces, sharding
+from voxelark.llm import decontaminate, html, language, pieces, sharding, suffixes, superkmers
 
-MODULES = (sharding, language, html, pieces, decontaminate)
+MODULES = (sharding, language, superkmers, html, suffixes, pieces, decontaminate)
 
 
 def llm_queries() -> dict:
