@@ -6,8 +6,8 @@ occurs more than once. Rows are range-partitioned by their leading token, the ei
 bytes at the anchor, with splitters taken from a sample; equal leading tokens never
 straddle a boundary, so strings are compared inside a range. Each bucket sorts its
 suffixes locally by multikey quicksort over tokens of eight bytes. A leading token of
-more than HOT_ROWS occurrences would overflow a range: its suffixes are dealt one by
-one over all tasks and compared across all of them by 128-bit hashes.
+more than HOT_ROWS occurrences would overflow a range: its suffixes are dealt over all
+tasks by their whole content and compared across all of them.
 
 A byte is removed if a string of SIZE bytes covering it also starts earlier, in a smaller
 doc_id or earlier in the same document. Strings never cross documents and are judged on
@@ -25,7 +25,6 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from voxelark.functions.sizing import attach
 from voxelark.llm.common import slices, table
 from voxelark.llm.windows import (
     Kind,
@@ -34,7 +33,6 @@ from voxelark.llm.windows import (
     anchor_rows,
     bucket_count,
     bucket_spans,
-    byte_tokens,
     chosen_runs,
     hot_spans,
     merged,
@@ -89,13 +87,12 @@ def _pack(kind: Kind, splitters: np.ndarray | None, share: int):
                 continue
             spread = (lead * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(40)
             bucket = np.searchsorted(splitters, lead, side="right") * share + (spread % np.uint64(share)).astype(np.int64)
-            raw = t.payload.tobytes()
             yield pa.RecordBatch.from_arrays(
                 [
                     pa.array(bucket.astype(np.int64)),
                     pa.array(ids[text].astype(np.int64)),
                     pa.array(first - t.offsets[text]),
-                    pa.array([raw[a : a + k + kind.size - 1] for a, k in zip(first.tolist(), n.tolist())], pa.binary()),
+                    pa.array([kind.pack(t, a, k + kind.size - 1) for a, k in zip(first.tolist(), n.tolist())], pa.binary()),
                 ],
                 names=["bucket", "doc_id", "start", "packed"],
             )
@@ -122,7 +119,9 @@ def _sort(kind: Kind):
 
 def repeated_spans(docs: DataFrame, size: int = SIZE, gram: int = GRAM) -> tuple[DataFrame, DataFrame]:
     """Spans of bytes (doc_id, lo, hi) that also start earlier, and the ids of whole copies."""
-    kind = Kind(byte_tokens, size, gram)
+    if gram < TOKEN:
+        raise ValueError(f"an anchor must hold the leading token: gram >= {TOKEN}")
+    kind = Kind(False, size, gram)
     single, copies = without_copies(docs)
     lists, seen = repeated_anchors(anchor_rows(single, kind), within=True)
     buckets = bucket_count(single, seen["runs"], PACKED)
@@ -130,17 +129,17 @@ def repeated_spans(docs: DataFrame, size: int = SIZE, gram: int = GRAM) -> tuple
     wanted = lists.select("doc_id", "anchors").filter(F.size("anchors") > 0)
     # Documents drawn by a hash of their id until about SAMPLE leading tokens are met.
     part = F.pmod(F.xxhash64("doc_id"), F.lit(max(1, -(-seen["runs"] // SAMPLE)))) == 0
-    some = attach(single, wanted.filter(part), ["doc_id"], "inner", part_of=lists)
+    some = single.join(wanted.filter(part), "doc_id")
     leads = some.mapInArrow(_pack(kind, None, 1), "lead long").limit(2 * SAMPLE).toPandas()["lead"].to_numpy(np.int64)
     ordered = np.sort(leads.view(np.uint64))
     splitters = ordered[np.arange(1, ranges) * len(ordered) // ranges] if len(ordered) else np.empty(0, np.uint64)
-    met = attach(single, wanted, ["doc_id"], "inner", part_of=lists)
+    met = single.join(wanted, "doc_id")
     packed = met.mapInArrow(
         _pack(kind, splitters, -(-buckets // ranges)), "bucket long, doc_id long, start long, packed binary"
     )
     spans = packed.groupBy("bucket").applyInArrow(_sort(kind), "doc_id long, lo long, hi long")
     if seen["hot"]:
-        hot = attach(single, lists.select("doc_id", "hot").filter(F.size("hot") > 0), ["doc_id"], "inner", part_of=lists)
+        hot = single.join(lists.select("doc_id", "hot").filter(F.size("hot") > 0), "doc_id")
         spans = spans.union(hot_spans(hot, kind, within=True))
     return spans, copies
 

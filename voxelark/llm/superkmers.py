@@ -6,7 +6,7 @@ string (a super-k-mer) to the bucket of that minimiser; equal windows have equal
 minimisers and meet there. In a bucket the windows of the distinct strings are sorted
 word by word, so equal windows are found exactly. Only minimisers that occur in two
 documents are packed and moved (see ``windows``); minimisers of more than HOT_ROWS
-occurrences take the window-wise way.
+occurrences are split further before they travel.
 
 A word is removed if a window that covers it also starts in a document of a smaller
 doc_id. Null texts have no words; texts of fewer than SIZE words lose nothing; a text
@@ -23,7 +23,6 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from voxelark.functions.sizing import attach
 from voxelark.llm.common import slices, table
 from voxelark.llm.windows import (
     Kind,
@@ -37,7 +36,6 @@ from voxelark.llm.windows import (
     repeated_anchors,
     with_spans,
     without_copies,
-    word_tokens,
 )
 
 SIZE = 50
@@ -52,8 +50,7 @@ def _pack(kind: Kind, buckets: int):
             ids = batch.column(0).to_numpy(zero_copy_only=False)
             t = kind.tokens(_binary(batch, 1))
             text, first, n, anchor, _ = chosen_runs(kind, t, batch.column(2).to_pylist())
-            words = t.payload
-            packed = [b" ".join(words[a : a + k + kind.size - 1].tolist()) for a, k in zip(first.tolist(), n.tolist())]
+            packed = [kind.pack(t, a, k + kind.size - 1) for a, k in zip(first.tolist(), n.tolist())]
             yield pa.RecordBatch.from_arrays(
                 [
                     pa.array((anchor % np.uint64(buckets)).astype(np.int64)),
@@ -91,15 +88,15 @@ def _sort(kind: Kind):
 
 def repeated_spans(docs: DataFrame, size: int = SIZE, gram: int = GRAM) -> tuple[DataFrame, DataFrame]:
     """Spans of words (doc_id, lo, hi) that repeat passages of smaller documents, and the ids of whole copies."""
-    kind = Kind(word_tokens, size, gram)
+    kind = Kind(True, size, gram)
     single, copies = without_copies(docs)
     lists, seen = repeated_anchors(anchor_rows(single, kind), within=False)
     buckets = bucket_count(single, seen["runs"], PACKED)
-    met = attach(single, lists.select("doc_id", "anchors").filter(F.size("anchors") > 0), ["doc_id"], "inner", part_of=lists)
+    met = single.join(lists.select("doc_id", "anchors").filter(F.size("anchors") > 0), "doc_id")
     packed = met.mapInArrow(_pack(kind, buckets), "bucket long, doc_id long, start long, packed binary")
     spans = packed.groupBy("bucket").applyInArrow(_sort(kind), "doc_id long, lo long, hi long")
     if seen["hot"]:
-        hot = attach(single, lists.select("doc_id", "hot").filter(F.size("hot") > 0), ["doc_id"], "inner", part_of=lists)
+        hot = single.join(lists.select("doc_id", "hot").filter(F.size("hot") > 0), "doc_id")
         spans = spans.union(hot_spans(hot, kind, within=False))
     return spans, copies
 

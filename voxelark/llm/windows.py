@@ -10,9 +10,8 @@ than windows (about 2 / (window - m + 2) of n).
 2. ``anchor_rows``: one row per distinct (document, anchor).
 3. ``repeated_anchors``: anchors that can hold an equal window; one list per document.
 4. The caller cuts the runs of those anchors out of the texts and compares them.
-   Anchors with more than HOT_ROWS occurrences are kept apart: their windows are
-   compared one by one by 128-bit hashes (``hot_spans``), because one anchor of a line
-   that many documents share would else fill one task.
+   Anchors with more than HOT_ROWS occurrences are kept apart (``hot_spans``), because
+   one anchor of a line that many documents share would else fill one task.
 5. ``with_spans``: the removed spans of each document beside its text.
 """
 
@@ -29,30 +28,30 @@ from pyspark.sql import functions as F
 from voxelark.functions.sizing import attach, materialize
 from voxelark.llm.common import slices, stored
 
-#: Occurrences from which the windows of an anchor are compared one by one.
+#: Occurrences from which an anchor is hot.
 HOT_ROWS = 2_000
 #: Bytes of packed runs in a bucket, on average.
 BUCKET_BYTES = 2 << 20
-_BASES = (np.uint64(0x9E3779B97F4A7C15), np.uint64(0xD1B54A32D192ED03))
-_BYTE_HASH = np.random.default_rng(11).integers(0, 2**63, size=(2, 256), dtype=np.uint64) * np.uint64(2) + np.uint64(1)
+#: Windows of a hot anchor compared together in the second round.
+CHUNK = 8
+_BASE = 0x9E3779B97F4A7C15
+_BYTE_HASH = np.random.default_rng(11).integers(0, 2**63, size=256, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 
 
 @lru_cache(maxsize=4)
-def _powers(n: int, which: int) -> tuple[np.ndarray, np.ndarray]:
-    base = _BASES[which]
-    inverse = np.uint64(pow(int(base), -1, 1 << 64))
+def _powers(n: int) -> tuple[np.ndarray, np.ndarray]:
     ones = np.ones(n + 1, np.uint64)
-    up, down = ones * base, ones * inverse
+    up, down = ones * np.uint64(_BASE), ones * np.uint64(pow(_BASE, -1, 1 << 64))
     up[0] = down[0] = 1
     return np.cumprod(up, dtype=np.uint64), np.cumprod(down, dtype=np.uint64)
 
 
-def rolling(x: np.ndarray, m: int, which: int = 0) -> np.ndarray:
+def rolling(x: np.ndarray, m: int) -> np.ndarray:
     """64-bit hashes of all m-grams of the token hashes ``x``."""
     if len(x) < m:
         return np.empty(0, np.uint64)
     size = 1 << max(16, int(len(x)).bit_length())
-    up, down = (p[: len(x) + 1] for p in _powers(size, which))
+    up, down = (p[: len(x) + 1] for p in _powers(size))
     sums = np.concatenate([np.zeros(1, np.uint64), np.cumsum(x * up[: len(x)], dtype=np.uint64)])
     h = (sums[m:] - sums[:-m]) * down[: len(x) - m + 1]
     h ^= h >> np.uint64(32)
@@ -74,14 +73,14 @@ def sliding_min(g: np.ndarray, width: int) -> np.ndarray:
 class Tokens:
     """Tokens of some texts side by side, with hashes."""
 
-    def __init__(self, hashes: np.ndarray, offsets: np.ndarray, payload, second: Callable[[], np.ndarray]):
-        self.hashes, self.offsets, self.payload, self.second = hashes, offsets, payload, second
+    def __init__(self, hashes: np.ndarray, offsets: np.ndarray, payload: np.ndarray):
+        self.hashes, self.offsets, self.payload = hashes, offsets, payload
 
 
 def byte_tokens(texts: list[bytes]) -> Tokens:
     raw = np.frombuffer(b"".join(texts), np.uint8)
     offsets = np.concatenate([[0], np.cumsum([len(t) for t in texts])]).astype(np.int64)
-    return Tokens(_BYTE_HASH[0][raw], offsets, raw, lambda: _BYTE_HASH[1][raw])
+    return Tokens(_BYTE_HASH[raw], offsets, raw)
 
 
 def word_tokens(texts: list[bytes]) -> Tokens:
@@ -92,14 +91,25 @@ def word_tokens(texts: list[bytes]) -> Tokens:
     words = np.array([w for ws in per_text for w in ws], dtype=object)
     offsets = np.concatenate([[0], np.cumsum([len(ws) for ws in per_text])]).astype(np.int64)
     hashes = hash_array(words, categorize=False) if len(words) else np.empty(0, np.uint64)
-    return Tokens(hashes, offsets, words, lambda: hash_array(words, hash_key="fedcba9876543210", categorize=False))
+    return Tokens(hashes, offsets, words)
 
 
 class Kind:
     """What a token is, how long a window is, and the length of an anchor."""
 
-    def __init__(self, tokens: Callable[[list[bytes]], Tokens], size: int, gram: int):
-        self.tokens, self.size, self.gram = tokens, size, gram
+    def __init__(self, words: bool, size: int, gram: int):
+        self.words, self.size, self.gram = words, size, gram
+        self.tokens = word_tokens if words else byte_tokens
+
+    def pack(self, t: Tokens, at: int, n: int) -> bytes:
+        """``n`` tokens as one string."""
+        return b" ".join(t.payload[at : at + n].tolist()) if self.words else t.payload[at : at + n].tobytes()
+
+    def length(self, packed: str):
+        """Tokens of a packed column."""
+        if self.words:
+            return F.size(F.split(F.col(packed).cast("string"), " ")).cast("long")
+        return F.octet_length(packed).cast("long")
 
     def runs(self, t: Tokens):
         """Text number, first window, number of windows and anchor of every run; also the m-gram hashes."""
@@ -323,40 +333,110 @@ def chosen_runs(kind: Kind, t: Tokens, lists: list) -> tuple:
     return text[keep], first[keep], n[keep], anchor[keep], grams
 
 
+def _split_runs(kind: Kind):
+    """Runs into chunks of at most CHUNK windows, cut at places that depend on the content around the anchor only."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        width = kind.size - kind.gram + 1
+        for batch in slices(batches, "packed"):
+            t = kind.tokens(_binary(batch, 2))
+            grams = rolling(t.hashes, kind.gram)
+            n = np.diff(t.offsets) - kind.size + 1
+            body = np.repeat(np.arange(len(n)), n)
+            at = np.repeat(t.offsets[:-1], n) + np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)
+            anchor = batch.column(3).to_numpy(zero_copy_only=False).view(np.uint64)[body]
+            away = np.empty(len(at), np.int64)
+            for k in range(0, len(at), 20_000):
+                x = at[k : k + 20_000, None]
+                away[k : k + 20_000] = np.argmax(grams[x + np.arange(width)] == anchor[k : k + 20_000, None], axis=1)
+            new = np.ones(len(at), bool)
+            place = at + away
+            new[1:] = (body[1:] != body[:-1]) | (place[1:] != place[:-1]) | (away[1:] // CHUNK != away[:-1] // CHUNK)
+            yield _parts(kind, batch, t, body, at, np.flatnonzero(new))
+
+    return run
+
+
+def _split_windows(kind: Kind):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in slices(batches, "packed"):
+            t = kind.tokens(_binary(batch, 2))
+            n = np.diff(t.offsets) - kind.size + 1
+            body = np.repeat(np.arange(len(n)), n)
+            at = np.repeat(t.offsets[:-1], n) + np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)
+            for k in range(0, len(at), 20_000):
+                some = np.arange(min(20_000, len(at) - k))
+                yield _parts(kind, batch, t, body[k : k + 20_000], at[k : k + 20_000], some)
+
+    return run
+
+
+def _parts(kind: Kind, batch: pa.RecordBatch, t: Tokens, body, at, first) -> pa.RecordBatch:
+    """Bodies of the pieces of ``at`` that begin at the positions ``first``."""
+    n = np.diff(np.concatenate([first, [len(at)]]))
+    ids = batch.column(0).to_numpy(zero_copy_only=False)
+    starts = batch.column(1).to_numpy(zero_copy_only=False)
+    b, a = body[first], at[first]
+    return pa.RecordBatch.from_arrays(
+        [
+            pa.array(ids[b].astype(np.int64)),
+            pa.array((starts[b] + a - t.offsets[b]).astype(np.int64)),
+            pa.array([kind.pack(t, x, k + kind.size - 1) for x, k in zip(a.tolist(), n.tolist())], pa.binary()),
+            pa.array(batch.column(3).to_numpy(zero_copy_only=False)[b].astype(np.int64)),
+        ],
+        names=["doc_id", "start", "packed", "anchor"],
+    )
+
+
 def hot_spans(met: DataFrame, kind: Kind, within: bool) -> DataFrame:
-    """(doc_id, lo, hi): removed windows of hot anchors, compared one by one by their hashes.
+    """(doc_id, lo, hi): removed windows of hot anchors, without gathering an anchor's rows.
 
-    ``met`` has doc_id, text and the list ``hot``.
+    ``met`` has doc_id, text and the list ``hot``. Three times packed pieces are
+    compared as a whole (grouped minimum of their places, pre-aggregated) and only
+    the first occurrence of each distinct piece is cut finer: runs, chunks of a run,
+    single windows. What many documents share ends in the first round, so few
+    windows travel alone.
     """
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def runs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches):
-            ids = batch.column(0).to_numpy(zero_copy_only=False)
             t = kind.tokens(_binary(batch, 1))
-            text, first, n, _, _ = chosen_runs(kind, t, batch.column(2).to_pylist())
-            at = np.repeat(first, n) + np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)
-            text = np.repeat(text, n)
-            one, two = rolling(t.hashes, kind.size), rolling(t.second(), kind.size, 1)
-            for k in range(0, len(at), 100_000):
-                a, x = at[k : k + 100_000], text[k : k + 100_000]
-                yield pa.RecordBatch.from_arrays(
-                    [
-                        pa.array(one[a].view(np.int64)),
-                        pa.array(two[a].view(np.int64)),
-                        pa.array(ids[x].astype(np.int64)),
-                        pa.array((a - t.offsets[x]).astype(np.int64)),
-                    ],
-                    names=["one", "two", "doc_id", "lo"],
-                )
-
-    windows, _ = stored(met.mapInArrow(run, "one long, two long, doc_id long, lo long"), "hot-windows")
-    place = F.struct("doc_id", "lo") if within else F.struct("doc_id")
-    firsts = windows.groupBy("one", "two").agg(F.min(place).alias("place"), F.count(F.lit(1)).alias("n")).filter("n > 1").drop("n")
-    return (
-        windows.join(firsts, ["one", "two"])
-        .filter(place > F.col("place"))
-        .select("doc_id", "lo", (F.col("lo") + kind.size).alias("hi"))
-    )
+            text, first, n, anchor, _ = chosen_runs(kind, t, batch.column(2).to_pylist())
+            ids = batch.column(0).to_numpy(zero_copy_only=False)
+            yield pa.RecordBatch.from_arrays(
+                [
+                    pa.array(ids[text].astype(np.int64)),
+                    pa.array(first - t.offsets[text]),
+                    pa.array([kind.pack(t, a, k + kind.size - 1) for a, k in zip(first.tolist(), n.tolist())], pa.binary()),
+                    pa.array(anchor.view(np.int64)),
+                ],
+                names=["doc_id", "start", "packed", "anchor"],
+            )
+
+    shape = "doc_id long, start long, packed binary, anchor long"
+    spans = None
+    for label, split in (("runs", runs), ("chunks", _split_runs(kind)), ("windows", _split_windows(kind))):
+        pieces, _ = stored(met.mapInArrow(split, shape), f"hot-{label}")
+        by_doc = pieces.groupBy("packed", "anchor", "doc_id").agg(F.collect_list("start").alias("starts"))
+        firsts = by_doc.groupBy("packed", "anchor").agg(
+            F.min(F.struct("doc_id", F.array_sort("starts").alias("starts"))).alias("f"), F.max("doc_id").alias("last")
+        )
+        firsts, _ = stored(firsts, f"hot-{label}-firsts")
+        several = F.col("f.doc_id") < F.col("last")
+        later = F.col("doc_id") > F.col("f.doc_id")
+        if within:
+            several = several | (F.size("f.starts") > 1)
+            later = later | (F.col("start") > F.col("f.starts")[0])
+        gone = (
+            pieces.join(firsts.filter(several), ["packed", "anchor"])
+            .filter(later)
+            .select("doc_id", F.col("start").alias("lo"), kind.length("packed").alias("length"))
+            .select("doc_id", "lo", (F.col("lo") + F.col("length")).alias("hi"))
+        )
+        spans = gone if spans is None else spans.union(gone)
+        starts = F.slice("f.starts", 1, 1) if within else F.col("f.starts")
+        met = firsts.select(F.col("f.doc_id").alias("doc_id"), F.explode(starts).alias("start"), "packed", "anchor")
+    return spans
 
 
 def with_spans(docs: DataFrame, spans: DataFrame, copies: DataFrame) -> DataFrame:
@@ -364,7 +444,7 @@ def with_spans(docs: DataFrame, spans: DataFrame, copies: DataFrame) -> DataFram
     listed = spans.groupBy("doc_id").agg(F.collect_list(F.struct("lo", "hi")).alias("spans"))
     both = copies.join(listed, "doc_id", "full")
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("binary").alias("text"))
-    return attach(rows, both, ["doc_id"], "left", "spans").select("doc_id", "text", "copy", "spans")
+    return rows.join(both, "doc_id", "left").select("doc_id", "text", "copy", "spans")
 
 
 def merged(spans: list[dict] | None) -> list[tuple[int, int]]:
