@@ -25,6 +25,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from voxelark.functions.sizing import attach
 from voxelark.llm.common import slices, table
 from voxelark.llm.windows import (
     Kind,
@@ -139,7 +140,7 @@ def repeated_spans(docs: DataFrame, size: int = SIZE, gram: int = GRAM) -> tuple
     )
     spans = packed.groupBy("bucket").applyInArrow(_sort(kind), "doc_id long, lo long, hi long")
     if seen["hot"]:
-        hot = single.join(lists.select("doc_id", "hot").filter(F.size("hot") > 0), "doc_id")
+        hot = attach(single, lists.select("doc_id", "hot").filter(F.size("hot") > 0), ["doc_id"], "inner", "hot-lists")
         spans = spans.union(hot_spans(hot, kind, within=True))
     return spans, copies
 
