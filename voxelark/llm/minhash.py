@@ -13,8 +13,9 @@ class, represented by the smallest doc_id; all further work is between classes.
 3. Links make components. Buckets whose members lie in one component are done. In the
    others only pairs from different components can still matter; they are compared
    in tiles of bounded size, the members of the largest component against the rest,
-   so that no bucket is one task and no pair is emitted before it has survived.
-   Their links are added, and the components are final.
+   first by signatures and then by whole sets, so that no bucket is one task and only
+   pairs that reach the threshold leave a tile. Their links are verified and added,
+   and the components are final.
 
 Pairs inside one component are not looked for: they change no component. With 24
 bands of 4 a pair at similarity 0.8 shares no bucket with probability 3e-6.
@@ -35,6 +36,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from voxelark.functions.sizing import attach
 from voxelark.llm.common import components, slices, stored, table
 
 BANDS, ROWS = 24, 4
@@ -168,12 +170,33 @@ def pruned(pairs: DataFrame, classes: DataFrame, percent: int) -> DataFrame:
     return both.mapInArrow(run, "a long, b long")
 
 
+def _texts(docs: DataFrame, needed: DataFrame) -> DataFrame:
+    """(doc_id, text) of the needed documents; repeated rows of a document count once."""
+    texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").filter(F.col("doc_id").isNotNull())
+    found = attach(texts, needed.distinct(), ["doc_id"], "inner", "needed")
+    return stored(found.dropDuplicates(["doc_id"]), "texts")[0]
+
+
+def _exact_sets(texts: DataFrame, width: int) -> DataFrame:
+    """(rep, members): the whole shingle sets as 32-bit hashes.
+
+    Equal hashes of different shingles only raise a common count, so a pair that
+    fails on these sets fails on the texts.
+    """
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in slices(batches):
+            sets = [(shingle_hashes(words_of(t), width) >> np.uint64(32)).astype(np.uint32) for t in batch.column(1).to_pylist()]
+            yield pa.RecordBatch.from_arrays(
+                [batch.column(0), pa.array([x.tobytes() for x in sets], pa.binary())], names=["rep", "members"]
+            )
+
+    return texts.mapInArrow(run, "rep long, members binary")
+
+
 def verified(pairs: DataFrame, docs: DataFrame, percent: int, width: int) -> DataFrame:
     """Pairs whose full sets reach the threshold."""
-    texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").filter(F.col("doc_id").isNotNull())
-    # Only documents of surviving pairs travel; repeated rows of a document count once.
-    needed = pairs.select(F.explode(F.array("a", "b")).alias("doc_id")).distinct()
-    texts, _ = stored(texts.join(needed, "doc_id", "left_semi").dropDuplicates(["doc_id"]), "texts")
+    texts = _texts(docs, pairs.select(F.explode(F.array("a", "b")).alias("doc_id")))
     both = pairs.join(texts.toDF("a", "ta"), "a").join(texts.toDF("b", "tb"), "b").select("a", "b", "ta", "tb")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -188,8 +211,10 @@ def verified(pairs: DataFrame, docs: DataFrame, percent: int, width: int) -> Dat
     return both.mapInArrow(run, "a long, b long")
 
 
-def _tiles(bands: DataFrame, labels: DataFrame, classes: DataFrame, percent: int) -> DataFrame:
-    """Surviving pairs from different components of buckets that hold several."""
+def _tiles(
+    bands: DataFrame, labels: DataFrame, classes: DataFrame, docs: DataFrame, percent: int, width: int
+) -> DataFrame:
+    """Pairs from different components of buckets that hold several, if their full sets can reach the threshold."""
     placed = bands.join(labels, bands.rep == labels.node, "left").select(
         "bucket", "rep", F.coalesce("component", "rep").alias("component")
     )
@@ -214,9 +239,11 @@ def _tiles(bands: DataFrame, labels: DataFrame, classes: DataFrame, percent: int
     with_rest = F.transform(rest, lambda t: F.struct(F.least(t, F.col("own")).alias("x"), F.greatest(t, F.col("own")).alias("y")))
     as_main = F.transform(rest, lambda t: F.struct((-F.col("own") - 1).alias("x"), t.alias("y")))
     rows = rows.withColumn("tile", F.explode(F.when(F.col("in_main"), as_main).otherwise(F.concat(with_main, with_rest))))
-    rows = rows.join(classes.select("rep", "signature", "n_shingles"), "rep").select(
-        "bucket", F.col("tile.x").alias("x"), F.col("tile.y").alias("y"), "own", "in_main", "rep", "component", "signature", "n_shingles"
+    rows, _ = stored(
+        rows.select("bucket", F.col("tile.x").alias("x"), F.col("tile.y").alias("y"), "own", "in_main", "rep", "component"), "tiles"
     )
+    sets = _exact_sets(_texts(docs, rows.select(F.col("rep").alias("doc_id"))), width)
+    rows = rows.join(classes.select("rep", "signature", "n_shingles").join(sets, "rep"), "rep")
     least = least_matches(percent / 100)
 
     def run(group: pa.Table) -> pa.Table:
@@ -224,6 +251,10 @@ def _tiles(bands: DataFrame, labels: DataFrame, classes: DataFrame, percent: int
         main = group.column("in_main").to_numpy()
         x, y = group.column("x")[0].as_py(), group.column("y")[0].as_py()
         signatures = _signatures(group.column("signature").to_pylist())
+        members = [np.frombuffer(m, np.uint32) for m in group.column("members").to_pylist()]
+        _, codes = np.unique(np.concatenate(members), return_inverse=True)
+        ends = np.cumsum(n)
+        inside = np.zeros(codes.max() + 1, bool)
         left = np.flatnonzero(main if x < 0 else own == x)
         right = np.flatnonzero(~main if x < 0 else own == y)
         a_found, b_found = [], []
@@ -232,6 +263,13 @@ def _tiles(bands: DataFrame, labels: DataFrame, classes: DataFrame, percent: int
             j = j[100 * np.minimum(n[j], n[i]) >= percent * np.maximum(n[j], n[i])]
             if len(j):
                 j = j[survivors(np.broadcast_to(signatures[i], (len(j), signatures.shape[1])), signatures[j], least)]
+            if len(j):
+                own_codes = codes[ends[i] - n[i] : ends[i]]
+                inside[own_codes] = True
+                theirs = np.concatenate([codes[ends[k] - n[k] : ends[k]] for k in j])
+                common = np.add.reduceat(inside[theirs].astype(np.int64), np.cumsum(n[j]) - n[j])
+                inside[own_codes] = False
+                j = j[100 * common >= percent * (n[i] + n[j] - common)]
                 a_found.append(np.full(len(j), rep[i]))
                 b_found.append(rep[j])
         a = np.concatenate(a_found) if a_found else np.empty(0, np.int64)
@@ -263,7 +301,7 @@ def near_duplicates(docs: DataFrame, width: int, percent: int = 80) -> DataFrame
     first, _ = stored(pruned(pairs, classes, percent), "candidates")
     links, _ = stored(verified(first, docs, percent, width), "links")
     labels = components(links)
-    second, seen = stored(_tiles(bands, labels, classes, percent), "more-candidates")
+    second, seen = stored(_tiles(bands, labels, classes, docs, percent, width), "more-candidates")
     if seen["rows"]:
         more, seen = stored(verified(second, docs, percent, width), "more-links")
         if seen["rows"]:
