@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from voxelark.llm import decontaminate, html, language, minhash, pieces, sharding, suffixes, superkmers
+from voxelark.llm import decontaminate, embeddings, html, language, minhash, pieces, rollup, sharding, suffixes, superkmers
 
-MODULES = (minhash, sharding, language, superkmers, html, suffixes, pieces, decontaminate)
+MODULES = (rollup, minhash, sharding, language, superkmers, embeddings, html, suffixes, pieces, decontaminate)
 
 
 def llm_queries() -> dict:
