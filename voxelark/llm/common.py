@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from voxelark.functions.sizing import shared_dir
 
 #: Bytes of text a Python helper turns into arrays at a time; bounds the memory of a worker.
-SLICE_BYTES = 1 << 20
+SLICE_BYTES = 1 << 19
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -29,7 +29,17 @@ def stored(df: DataFrame, label: str, *counts) -> tuple[DataFrame, dict]:
     path = f"{shared_dir(spark)}/voxelark-llm/{label}-{uuid.uuid4().hex}"
     seen = Observation()
     df.observe(seen, F.count(F.lit(1)).alias("rows"), *counts).write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path), seen.get
+    kept = spark.read.schema(df.schema).parquet(path)
+    kept.folder = path
+    return kept, seen.get
+
+
+def discard(*tables: DataFrame) -> None:
+    """Delete stored tables that nothing reads any more: what was made of them is stored itself."""
+    for kept in tables:
+        spark = kept.sparkSession
+        path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(kept.folder)
+        path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def slices(batches: Iterator[pa.RecordBatch], column: str = "text") -> Iterator[pa.RecordBatch]:
@@ -83,9 +93,11 @@ def components(edges: DataFrame) -> DataFrame:
             .filter("a <> b")
             .distinct()
         )
+        before = links
         links, seen = stored(
             small, "components", F.sum(F.xxhash64("a", "b").cast("decimal(38,0)")).alias("print"),
         )
+        discard(before)
         # The set of links is the same as before: every node hangs on its root.
         now = (seen["rows"], seen["print"])
         if now == print_of:

@@ -37,7 +37,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from voxelark.functions.sizing import attach
-from voxelark.llm.common import components, slices, stored, table
+from voxelark.llm.common import components, discard, slices, stored, table
 
 BANDS, ROWS = 24, 4
 BATCH = 16
@@ -300,12 +300,14 @@ def near_duplicates(docs: DataFrame, width: int, percent: int = 80) -> DataFrame
     )
     first, _ = stored(pruned(pairs, classes, percent), "candidates")
     links, _ = stored(verified(first, docs, percent, width), "links")
+    discard(first)
     labels = components(links)
     second, seen = stored(_tiles(bands, labels, classes, docs, percent, width), "more-candidates")
     if seen["rows"]:
         more, seen = stored(verified(second, docs, percent, width), "more-links")
         if seen["rows"]:
             labels = components(links.union(more))
+    discard(bands)
     by_print = classes.join(labels, classes.rep == labels.node, "left").select(
         "print", "rep", F.coalesce("component", "rep").alias("component")
     )

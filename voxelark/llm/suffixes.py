@@ -28,6 +28,7 @@ from pyspark.sql import functions as F
 from voxelark.functions.sizing import attach
 from voxelark.llm.common import slices, table
 from voxelark.llm.windows import (
+    PARTS,
     Kind,
     Tokens,
     _binary,
@@ -36,7 +37,6 @@ from voxelark.llm.windows import (
     bucket_spans,
     chosen_runs,
     hot_spans,
-    merged,
     repeated_anchors,
     with_spans,
     without_copies,
@@ -153,7 +153,7 @@ def remove_repeated(docs: DataFrame, size: int = SIZE, gram: int = GRAM) -> Data
         for batch in slices(batches):
             kept, n_bytes, n_spans = [], [], []
             for text, copy, cuts in zip(_binary(batch, 1), batch.column(2).to_pylist(), batch.column(3).to_pylist()):
-                gone = [(0, len(text))] if copy and len(text) >= size else merged(cuts)
+                gone = [(0, len(text))] if copy and len(text) >= size else [(c["lo"], c["hi"]) for c in cuts or ()]
                 n_bytes.append(len(text))
                 n_spans.append(len(gone))
                 edges = [0, *(x for span in gone for x in span), len(text)]
@@ -168,8 +168,32 @@ def remove_repeated(docs: DataFrame, size: int = SIZE, gram: int = GRAM) -> Data
                 names=["doc_id", "kept", "n_bytes", "n_removed", "n_spans"],
             )
 
-    rows = with_spans(docs, spans, copies)
-    return rows.mapInArrow(run, "doc_id long, kept binary, n_bytes long, n_removed long, n_spans long")
+    rows = with_spans(docs.select("doc_id", "text"), spans, copies)
+    return rows.selectExpr(*PARTS).mapInArrow(run, "doc_id long, kept binary, n_bytes long, n_removed long, n_spans long")
+
+
+def cleaned(docs: DataFrame, size: int = SIZE, gram: int = GRAM) -> DataFrame:
+    """The documents, all columns kept, with repeated strings cut out of ``text``.
+
+    A character of which bytes were removed goes whole.
+    """
+    spans, copies = repeated_spans(docs, size, gram)
+    rows, columns = with_spans(docs, spans, copies), docs.columns
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in slices(batches):
+            texts = batch.column(batch.schema.get_field_index("text")).to_pylist()
+            copy, spans = (batch.column(batch.schema.get_field_index(c)).to_pylist() for c in ("__copy", "__spans"))
+            for k, text in enumerate(texts):
+                if text and (copy[k] or spans[k]):
+                    raw = text.encode()
+                    gone = [(0, len(raw))] if copy[k] and len(raw) >= size else [(c["lo"], c["hi"]) for c in spans[k] or ()]
+                    edges = [0, *(x for span in gone for x in span), len(raw)]
+                    texts[k] = b"".join(raw[a:b] for a, b in zip(edges[::2], edges[1::2])).decode("utf-8", "ignore")
+            arrays = [pa.array(texts, pa.string()) if c == "text" else batch.column(batch.schema.get_field_index(c)) for c in columns]
+            yield pa.RecordBatch.from_arrays(arrays, names=columns)
+
+    return rows.mapInArrow(run, docs.schema)
 
 
 def suffix_query(spark: SparkSession, sf_dir: str) -> DataFrame:

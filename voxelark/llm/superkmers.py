@@ -26,6 +26,7 @@ from pyspark.sql import functions as F
 from voxelark.functions.sizing import attach
 from voxelark.llm.common import slices, table
 from voxelark.llm.windows import (
+    PARTS,
     Kind,
     _binary,
     anchor_rows,
@@ -33,7 +34,6 @@ from voxelark.llm.windows import (
     bucket_spans,
     chosen_runs,
     hot_spans,
-    merged,
     repeated_anchors,
     with_spans,
     without_copies,
@@ -114,7 +114,7 @@ def remove_repeated(docs: DataFrame, size: int = SIZE, gram: int = GRAM) -> Data
                 n_words.append(len(words))
                 if copy and len(words) >= size:
                     words = []
-                for lo, hi in reversed(merged(cuts)):
+                for lo, hi in reversed([(c["lo"], c["hi"]) for c in cuts or ()]):
                     del words[lo:hi]
                 n_removed.append(n_words[-1] - len(words))
                 kept.append(b" ".join(words))
@@ -123,7 +123,7 @@ def remove_repeated(docs: DataFrame, size: int = SIZE, gram: int = GRAM) -> Data
                 names=["doc_id", "kept", "n_words", "n_removed"],
             )
 
-    rows = with_spans(docs, spans, copies).mapInArrow(run, "doc_id long, kept binary, n_words long, n_removed long")
+    rows = with_spans(docs.select("doc_id", "text"), spans, copies).selectExpr(*PARTS).mapInArrow(run, "doc_id long, kept binary, n_words long, n_removed long")
     return rows.withColumn("kept", F.col("kept").cast("string"))
 
 

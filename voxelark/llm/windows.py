@@ -26,7 +26,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from voxelark.functions.sizing import attach, materialize
-from voxelark.llm.common import slices, stored
+from voxelark.llm.common import discard, slices, stored
 
 #: Occurrences from which an anchor is hot.
 HOT_ROWS = 2_000
@@ -37,6 +37,9 @@ CHUNK = 8
 _BASE = 0x9E3779B97F4A7C15
 _BYTE_HASH = np.random.default_rng(11).integers(0, 2**63, size=256, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 
+#: What the removers read of ``with_spans``.
+PARTS = ["__id AS doc_id", "cast(text AS binary) AS text", "__copy AS copy", "__spans AS spans"]
+
 
 @lru_cache(maxsize=4)
 def _powers(n: int) -> tuple[np.ndarray, np.ndarray]:
@@ -192,13 +195,15 @@ def repeated_anchors(rows: DataFrame, within: bool) -> tuple[DataFrame, dict]:
     ``within`` counts repetitions inside one document as well. Documents without
     such an anchor have no row.
     """
-    counts = rows.groupBy("anchor").agg(
-        F.sum("n").alias("total"), F.min("doc_id").alias("a"), F.max("doc_id").alias("b")
-    )
-    counts = counts.filter("total > 1" if within else "a < b").select("anchor", "total")
+    if within:
+        counts = rows.groupBy("anchor").agg(F.sum("n").alias("total")).filter("total > 1")
+    else:
+        # A row is a document here: two of them are two documents.
+        counts = rows.groupBy("anchor").agg(F.count(F.lit(1)).alias("total")).filter("total > 1")
     hot = F.col("total") > HOT_ROWS
     listed = (
-        rows.join(counts, "anchor")
+        rows.select("doc_id", "anchor")
+        .join(counts, "anchor")
         .groupBy("doc_id")
         .agg(
             F.collect_list(F.when(~hot, F.col("anchor"))).alias("anchors"),
@@ -206,6 +211,7 @@ def repeated_anchors(rows: DataFrame, within: bool) -> tuple[DataFrame, dict]:
         )
     )
     table = materialize(listed, "repeated")
+    discard(rows)
     seen = table.agg(
         F.coalesce(F.sum(F.size("anchors").cast("long")), F.lit(0)).alias("runs"),
         F.coalesce(F.sum(F.size("hot").cast("long")), F.lit(0)).alias("hot"),
@@ -439,20 +445,29 @@ def hot_spans(met: DataFrame, kind: Kind, within: bool) -> DataFrame:
     return spans
 
 
+def merged_spans(spans):
+    """A column of spans as maximal runs of their union, in order."""
+    start = F.slice(spans, 1, 0)
+
+    def add(done, span):
+        last = F.element_at(done, -1)
+        grown = F.struct(last["lo"].alias("lo"), F.greatest(last["hi"], span["hi"]).alias("hi"))
+        apart = (F.size(done) == 0) | (span["lo"] > F.try_element_at(done, F.lit(-1))["hi"])
+        return F.when(apart, F.concat(done, F.array(span))).otherwise(
+            F.concat(F.slice(done, 1, F.greatest(F.size(done) - 1, F.lit(0))), F.array(grown))
+        )
+
+    return F.aggregate(F.array_sort(spans), start, add)
+
+
 def with_spans(docs: DataFrame, spans: DataFrame, copies: DataFrame) -> DataFrame:
-    """(doc_id, text, copy, spans): every document with the spans to remove, in no order."""
+    """Every document (all columns) with ``copy`` and the merged ``spans`` to remove.
+
+    The spans of documents that lose something are a small table; it is joined by its
+    measured size.
+    """
     listed = spans.groupBy("doc_id").agg(F.collect_list(F.struct("lo", "hi")).alias("spans"))
-    both = copies.join(listed, "doc_id", "full")
-    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("binary").alias("text"))
-    return rows.join(both, "doc_id", "left").select("doc_id", "text", "copy", "spans")
-
-
-def merged(spans: list[dict] | None) -> list[tuple[int, int]]:
-    """Maximal runs of the union of spans."""
-    out: list[list[int]] = []
-    for lo, hi in sorted((s["lo"], s["hi"]) for s in spans or ()):
-        if out and lo <= out[-1][1]:
-            out[-1][1] = max(out[-1][1], hi)
-        else:
-            out.append([lo, hi])
-    return [(a, b) for a, b in out]
+    listed = listed.select("doc_id", merged_spans(F.col("spans")).alias("spans"))
+    both = copies.join(listed, "doc_id", "full").select(F.col("doc_id").alias("__id"), F.col("copy").alias("__copy"), F.col("spans").alias("__spans"))
+    rows = docs.withColumn("__id", F.col("doc_id").cast("long"))
+    return attach(rows, both, ["__id"], "left", "spans")
