@@ -19,36 +19,29 @@ from voxelark.llm.common import table
 COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
 
 
+def _without(docs: DataFrame, dropped: DataFrame) -> DataFrame:
+    """The documents whose id is not among the dropped ones; their few ids are joined by measured size."""
+    ids = dropped.select("doc_id").distinct().withColumn("__dropped", F.lit(True))
+    return attach(docs, ids, ["doc_id"], "left", "dropped").filter(F.col("__dropped").isNull()).select(*COLUMNS)
+
+
 def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Drops documents whose language can't be told: null texts, texts without a letter, ambiguous decisions."""
     model = language.fit(docs)
-    accepted = language.predict(docs, model).filter(~F.col("ambiguous")).select("doc_id").distinct()
-    return docs.join(accepted, "doc_id", "left_semi").select(*COLUMNS)
+    said = language.predict(docs, model)
+    return _without(docs, said.filter("ambiguous"))
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Keeps the smallest document of every group (shingles of five words, similarity 0.8)."""
-    kept = minhash.near_duplicates(docs, width=5).filter("kept").select("doc_id").distinct()
-    return docs.join(kept, "doc_id", "left_semi").select(*COLUMNS)
+    return _without(docs, minhash.near_duplicates(docs, width=5).filter(~F.col("kept")))
 
 
 def cut_repeated_strings(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Removes strings of 100 bytes that start earlier; a character cut in two goes whole.
-
-    Documents of which nothing remains are dropped.
-    """
-    done = suffixes.remove_repeated(docs).select("doc_id", "kept", "n_removed")
-    # Bytes of characters that lost a part are not text any more.
-    text = F.regexp_replace(F.try_validate_utf8(F.col("kept").cast("string")), "�", "")
-    repaired = F.coalesce(text, F.regexp_replace(F.make_valid_utf8(F.col("kept").cast("string")), "�", ""))
-    changed = done.filter("n_removed > 0").select("doc_id", repaired.alias("__text")).dropDuplicates(["doc_id"])
-    rows = attach(docs, changed, ["doc_id"], "left", "changed")
-    new = F.coalesce("__text", "text")
-    return (
-        rows.withColumn("text", new)
-        .withColumn("n_chars", F.char_length("text").cast(docs.schema["n_chars"].dataType))
-        .filter("text is null or char_length(trim(text)) > 0")
-        .select(*COLUMNS)
+    """Removes strings of 100 bytes that start earlier; documents of which nothing remains are dropped."""
+    rest = suffixes.cleaned(docs.select(*COLUMNS))
+    return rest.withColumn("n_chars", F.char_length("text").cast(docs.schema["n_chars"].dataType)).filter(
+        "text is null or char_length(trim(text)) > 0"
     )
 
 
