@@ -65,6 +65,8 @@ def _lengths(values: pa.Array) -> list[int]:
 def components(edges: DataFrame) -> DataFrame:
     """Connected components of an undirected graph: (node, component), component the smallest node.
 
+    Smallest nodes themselves have no row.
+
     ``edges`` has long columns ``a`` and ``b``. Alternating large-star and small-star
     rounds, each a grouped minimum (pre-aggregated before its shuffle) and a join
     that AQE may split, so a node with very many links is never gathered in one
