@@ -54,6 +54,9 @@ class ChunkTable:
             return
         # The library adds the first marker itself.
         encoded = self.processor.encode(new, num_threads=1)
+        if "" in new:
+            # A marker at the very end of a text; the library has no empty text to give it for.
+            encoded[new.index("")] = [self.processor.piece_to_id(MARK)]
         self.code.update(zip(new, range(len(self.code), len(self.code) + len(new))))
         self.decoded += self.processor.decode(encoded, num_threads=1)
         self.lengths.append(np.fromiter(map(len, encoded), np.int64, len(encoded)))
