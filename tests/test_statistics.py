@@ -6,6 +6,7 @@ from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
+from voxelark.functions.sizing import materialize
 from voxelark.functions import sizing
 from voxelark.functions.columns import feature_columns, to_long, to_wide
 from voxelark.operators import quantiles, stats
@@ -174,3 +175,15 @@ def test_shared_folder_follows_the_session(spark):
 def test_infinite_values_keep_describe_going(spark):
     df = table(spark, [(1.0,), (math.inf,)], "f double")
     assert stats.describe(df, ["f"]).first()["max"] == math.inf
+
+
+def test_duplicates_with_null_keys(spark):
+    rows = [(None, 1), (None, 2), (None, 2), (1, 5), (1, 4)]
+    df = spark.createDataFrame(rows, "k int, v int")
+    got = sorted((r.k or 0, r.v) for r in stats.duplicates(df, ["k"], ["v"]).collect())
+    assert got == [(0, 2), (0, 2), (1, 5)]
+
+
+def test_nested_values_are_measured(spark):
+    df = spark.range(100).selectExpr("struct(id, repeat('x', 10000) AS t) AS s", "array(repeat('y', 1000)) AS a")
+    assert 1_100_000 <= materialize(df, "nested").measured <= 2_200_000

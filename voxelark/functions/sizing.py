@@ -31,12 +31,14 @@ _fallback_dirs: dict[str, str] = {}
 def shared_dir(spark: SparkSession) -> str:
     """Folder for cut lineage: the cluster's ``spark.checkpoint.dir``.
 
-    Only when the session names none (unit tests, a laptop) is a temporary
-    folder made.
+    Only when a local session names none (unit tests, a laptop) is a temporary
+    folder made; a cluster without the setting is refused.
     """
     configured = spark.conf.get("spark.checkpoint.dir", None)
     if configured:
         return configured.rstrip("/")
+    if not spark.sparkContext.master.startswith("local"):
+        raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
     app = spark.sparkContext.applicationId
     if app not in _fallback_dirs:
         _fallback_dirs[app] = tempfile.mkdtemp(prefix="voxelark-")
@@ -74,14 +76,32 @@ def compact(table: DataFrame) -> DataFrame:
     return single
 
 
-def _width(field: T.StructField):
-    column = F.col(f"`{field.name}`")
-    kind = field.dataType
+def _bytes(column, kind: T.DataType):
+    """Bytes of a value, nested values included."""
     if isinstance(kind, (T.StringType, T.BinaryType)):
-        return F.coalesce(F.length(column), F.lit(0)) + 24
-    if isinstance(kind, (T.ArrayType, T.MapType)):
-        return F.coalesce(F.size(column), F.lit(0)) * 16 + 32
-    return F.lit(16)
+        own = F.octet_length(column) + 24
+    elif isinstance(kind, T.StructType):
+        own = F.lit(16)
+        for field in kind.fields:
+            own = own + _bytes(column.getField(field.name), field.dataType)
+    elif isinstance(kind, T.ArrayType):
+        own = _total(column, kind.elementType) + 32
+    elif isinstance(kind, T.MapType):
+        own = _total(F.map_keys(column), kind.keyType) + _total(F.map_values(column), kind.valueType) + 64
+    else:
+        return F.lit(16).cast("long")
+    return F.coalesce(own.cast("long"), F.lit(24).cast("long"))
+
+
+def _total(column, kind: T.DataType):
+    """Bytes of the elements of an array."""
+    if isinstance(kind, (T.StringType, T.BinaryType, T.StructType, T.ArrayType, T.MapType)):
+        return F.aggregate(column, F.lit(0).cast("long"), lambda sum_, x: sum_ + _bytes(x, kind))
+    return F.size(column).cast("long") * 16
+
+
+def _width(field: T.StructField):
+    return _bytes(F.col(f"`{field.name}`"), field.dataType)
 
 
 def _row_width(df: DataFrame):

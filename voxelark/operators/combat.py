@@ -373,6 +373,8 @@ def _parametric(estimates: DataFrame, priors: DataFrame) -> DataFrame:
                 gamma, delta = new_gamma, new_delta
                 if not change > CONVERGENCE:
                     break
+            else:
+                raise ValueError(f"batch {pdf['batch'].iloc[0]!r} did not converge in {MAX_ROUNDS} rounds")
         return pd.DataFrame(
             {"feature": pdf["feature"], "batch": pdf["batch"], "gamma_star": gamma, "delta_star": delta}
         )

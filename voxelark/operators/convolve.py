@@ -100,9 +100,9 @@ def _along(column: Column, taps: Taps, line, ends) -> Column:
 
 def _windows(keys: Sequence[str], axis: str):
     line = Window.partitionBy(*keys, *[a for a in XYZ if a != axis]).orderBy(axis)
-    before = line.rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    after = line.rowsBetween(Window.currentRow, Window.unboundedFollowing)
-    return line, (before, after)
+    # One frame for both ends: a frame that starts at the current row is computed anew for every row.
+    whole = line.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+    return line, (whole, whole)
 
 
 def apply_filters(

@@ -220,9 +220,11 @@ def duplicates(df: DataFrame, keys: Sequence[str], order_by: Sequence[str]) -> D
     order = [*order_by, *[c for c in rest if c not in order_by]]
     folded = df.groupBy(*[col(c) for c in df.columns]).agg(F.count("*").alias("__n"))
     ordered = folded.withColumn("__o", struct_of(order))
-    first = ordered.groupBy(*keys).agg(F.min("__o").alias("__first"), F.sum("__n").alias("__rows"))
-    repeated = first.filter(F.col("__rows") > 1).select(*keys, "__first")
-    joined = attach(ordered, repeated, keys, "inner", "first-rows")
+    # Keys as one struct: it is never NULL itself, and NULL fields of equal keys are equal.
+    ordered = ordered.withColumn("__k", struct_of(keys))
+    first = ordered.groupBy("__k").agg(F.min("__o").alias("__first"), F.sum("__n").alias("__rows"))
+    repeated = first.filter(F.col("__rows") > 1).select("__k", "__first")
+    joined = attach(ordered, repeated, ["__k"], "inner", "first-rows")
     copies = joined.withColumn(
         "__n", F.col("__n") - F.when(F.col("__o") == F.col("__first"), 1).otherwise(0)
     ).filter(F.col("__n") > 0)

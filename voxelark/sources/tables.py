@@ -62,7 +62,7 @@ def write_stats(df: DataFrame, path: str) -> str:
     except AnalysisException as error:
         if error.getCondition() != "PATH_ALREADY_EXISTS":
             raise
-    stamped = f"{path.rstrip('/')}_{datetime.now():%Y%m%d%H%M%S}"
+    stamped = f"{path.rstrip('/')}_{datetime.now():%Y%m%d%H%M%S%f}"
     df.write.mode("errorifexists").parquet(stamped)
     return stamped
 
