@@ -187,3 +187,32 @@ def test_duplicates_with_null_keys(spark):
 def test_nested_values_are_measured(spark):
     df = spark.range(100).selectExpr("struct(id, repeat('x', 10000) AS t) AS s", "array(repeat('y', 1000)) AS a")
     assert 1_100_000 <= materialize(df, "nested").measured <= 2_200_000
+
+
+@pytest.mark.parametrize("values", [
+    [1.0, 2.0, 3.0, 5.0],
+    [float("inf"), float("-inf"), 1.0, 2.0, 3.0],
+    [float("inf"), float("inf"), float("inf"), 1.0],
+    [-0.0, 0.0, -1e-300, 1e-300],
+    [5e-324, 1e-323, 1.5e-323, 2e-323],
+    [None, None],
+    [1.0 + k * 2.0**-50 for k in range(40)] + [2.0],
+])
+def test_large_and_small_groups_agree(spark, monkeypatch, values):
+    """Both paths give the same rows, the NULL stratum and groups without values included."""
+    rows = [(level, v) for level in ("a", None) for v in values]
+    frame = table(spark, rows, "sub_Analysis string, f double")
+
+    def answers():
+        described = stats.describe(frame, ["f"], ["sub_Analysis"]).select("sub_Analysis", "p25", "p50", "p75").collect()
+        quarters = grouped_quantiles(frame, ["sub_Analysis"], "f", [0.25, 0.5, 0.9]).collect()
+        order = lambda found: sorted(map(repr, map(tuple, found)))
+        return order(described), order(quarters)
+
+    small = answers()
+    monkeypatch.setattr(stats, "BUILTIN_GROUP_ROWS", 0)
+    monkeypatch.setattr(quantiles, "BUILTIN_GROUP_ROWS", 0)
+    large = answers()
+    assert small == large or [[r.replace("-0.0", "0.0") for r in part] for part in small] == [
+        [r.replace("-0.0", "0.0") for r in part] for part in large
+    ]

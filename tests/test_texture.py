@@ -6,6 +6,8 @@ import math
 import numpy as np
 import pytest
 
+from pyspark.sql import functions as F
+
 from voxelark.operators import texture
 from voxelark.operators.zones import zone_sizes
 from voxelark.plans.extraction import FeatureConfig, extract_features
@@ -123,6 +125,15 @@ def test_a_winding_zone_is_one_zone(spark):
     assert [r["size"] for r in zone_sizes(levels_frame(spark, snake), K).collect()] == [int(snake.sum())]
 
 
+@pytest.mark.parametrize("shape", [(1, 600, 1), (300, 300, 1)])
+def test_wide_zones_settle(spark, shape):
+    """A long line of touching runs and a whole slice of one level are one zone each."""
+    axis = F.explode(F.sequence(F.lit(0), F.lit(shape[1] - 1)))
+    frame = spark.range(shape[0]).select(F.lit("p").alias("patientID"), F.col("id").cast("int").alias("x"), axis.alias("y"))
+    frame = frame.withColumns({"z": F.lit(0), "value": F.lit(1.0), "level": F.lit(1)})
+    assert [r["size"] for r in zone_sizes(frame, K).collect()] == [shape[0] * shape[1]]
+
+
 def test_neighbourhoods(spark, array):
     data = cells(array)
     for r in texture.neighbourhoods(levels_frame(spark, array), K).collect():

@@ -282,3 +282,21 @@ def test_study_is_routed_by_kind(spark, array):
     assert set(map(tuple, frame[["patientID", "series"]].drop_duplicates().values)) == {
         ("p", "img.nii.gz"), ("p", "mask.nii.gz"), ("q", "img.nii.gz"),
     }
+
+
+def test_missing_voxels_stay_missing(spark):
+    """NULL and NaN voxels get no value from windowing, binning or scaling, and none end the job."""
+    values = [0.0, 5.0, 10.0, None, float("nan"), 1e12]
+    rows = [("p", "a", x, 0, 0, v) for x, v in enumerate(values)]
+    v = spark.createDataFrame(rows, "patientID string, sub_Analysis string, x int, y int, z int, value double")
+    mask = v.filter("x < 5").withColumn("value", F.lit(1.0))
+
+    def got(df):
+        return [r["value"] for r in df.orderBy("x").collect()]
+
+    assert got(intensity.window_intensity(v, 5, 10)) == [0.0, 5.0, 10.0, None, None, 10.0]
+    assert got(intensity.bin_intensity(v, n_bins=2, mask=mask)) == [0, 1, 1, None, None, 1]
+    assert got(intensity.bin_intensity(v, bin_width=5, mask=mask)) == [0, 1, 1, None, None, 1]
+    assert got(intensity.scale_uint8(v, mask)) == [0, 127, 255, None, None, 255]
+    for method in ("linear", "zscore", "robust"):
+        assert [x is None for x in got(intensity.scale_intensity(v, method, mask))] == [False] * 3 + [True] * 2 + [False]

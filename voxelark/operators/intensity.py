@@ -2,7 +2,8 @@
 
 A voxel table has one row per voxel: volume keys, ``x, y, z`` and ``value``.
 Operators needing numbers of the whole volume aggregate once per volume and then
-map the voxels with those few numbers attached.
+map the voxels with those few numbers attached. NULL and NaN voxels are missing: they
+count for nothing and stay NULL.
 """
 
 from __future__ import annotations
@@ -43,7 +44,8 @@ WINDOW_PRESETS = {
 def window_intensity(voxels: DataFrame, level: float, width: float, value: str = "value") -> DataFrame:
     """Clip intensities to ``level`` plus or minus half the ``width``."""
     low, high = float(level) - float(width) / 2, float(level) + float(width) / 2
-    return voxels.withColumn(value, F.greatest(F.least(col(value), F.lit(high)), F.lit(low)))
+    v = number(col(value))
+    return voxels.withColumn(value, F.when(v.isNotNull(), F.greatest(F.least(v, F.lit(high)), F.lit(low))))
 
 
 def window_preset(voxels: DataFrame, name: str, value: str = "value") -> DataFrame:
@@ -79,7 +81,7 @@ def bin_intensity(
     if (n_bins is None) == (bin_width is None):
         raise ValueError("give either n_bins or bin_width")
     rows = _with_range(voxels, list(keys), value, mask)
-    v, low, high = col(value), F.col("__min"), F.col("__max")
+    v, low, high = number(col(value)), F.col("__min"), F.col("__max")
     if n_bins is not None:
         last = int(n_bins) - 1
         position = F.floor((v - low) / F.nullif(high - low, F.lit(0.0)) * int(n_bins))
@@ -89,7 +91,8 @@ def bin_intensity(
         last = F.greatest(F.ceil((high - low) / float(bin_width)) - 1, F.lit(0))
         position = F.floor((v - low) / float(bin_width))
         binned = F.least(F.greatest(position, F.lit(0)), last)
-    return rows.withColumn(value, binned.cast("int")).drop("__min", "__max")
+    # greatest and least skip NULL, so a missing voxel needs its own branch.
+    return rows.withColumn(value, F.when(v.isNotNull(), binned.cast("int"))).drop("__min", "__max")
 
 
 def scale_uint8(
@@ -100,9 +103,10 @@ def scale_uint8(
 ) -> DataFrame:
     """Scale to whole numbers 0..255, truncating; values outside are clipped."""
     rows = _with_range(voxels, list(keys), value, mask)
-    share = F.try_divide(col(value) - F.col("__min"), F.col("__max") - F.col("__min"))
-    scaled = F.least(F.greatest((share * 255).cast("int"), F.lit(0)), F.lit(255))
-    return rows.withColumn(value, scaled).drop("__min", "__max")
+    v, low, high = number(col(value)), F.col("__min"), F.col("__max")
+    # Clipped before it becomes an integer: values far outside the mask's range would not fit one.
+    scaled = F.least(F.greatest(F.try_divide(v - low, high - low) * 255, F.lit(0.0)), F.lit(255.0)).cast("int")
+    return rows.withColumn(value, F.when(v.isNotNull(), scaled)).drop("__min", "__max")
 
 
 def scale_intensity(
@@ -122,7 +126,7 @@ def scale_intensity(
     ``(x - median) / (upper percentile - lower percentile)``.
     """
     keys = list(keys)
-    v = col(value)
+    v = number(col(value))
     if method == "linear":
         rows = _with_range(voxels, keys, value, mask)
         share = F.try_divide(v - F.col("__min"), F.col("__max") - F.col("__min"))

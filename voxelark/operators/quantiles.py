@@ -21,12 +21,14 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from voxelark.functions.columns import col, number
+from voxelark.functions.columns import col, number, struct_of
 from voxelark.functions.sizing import attach, compact, materialize
 
 BUILTIN_GROUP_ROWS = 1_000_000
 _STEPS_PER_OCTAVE = 4096
 _SLICES = 4096
+#: Bucket of infinity, above that of the largest double (octave 1023).
+_INFINITE = 2200 * _STEPS_PER_OCTAVE
 
 
 def _bucket(value: Column) -> Column:
@@ -35,8 +37,11 @@ def _bucket(value: Column) -> Column:
     octave = F.floor(F.log2(size))
     within = F.floor((size / F.pow(F.lit(2.0), octave) - 1.0) * _STEPS_PER_OCTAVE)
     magnitude = (octave + 1100) * _STEPS_PER_OCTAVE + within
+    end = F.lit(_INFINITE).cast("long")
     return (
-        F.when(value > 0, magnitude)
+        F.when(value == float("inf"), end)
+        .when(value == float("-inf"), -end)
+        .when(value > 0, magnitude)
         .when(value < 0, -magnitude)
         .otherwise(F.lit(0))
         .cast("long")
@@ -50,7 +55,9 @@ def _interpolated(keys: Sequence[str], ranks: DataFrame, probs: Sequence[float])
         F.max(F.when(F.col("__side") == 1, F.col("__v"))).alias("__hi"),
         F.max("__frac").alias("__frac"),
     )
-    value = F.col("__lo") + (F.col("__hi") - F.col("__lo")) * F.col("__frac")
+    # Weighted ends, as the built-in aggregate does: between equal infinities a difference would be NaN.
+    lo, hi, frac = F.col("__lo"), F.col("__hi"), F.col("__frac")
+    value = F.when((lo == hi) | (frac == 0), lo).otherwise(lo * (1 - frac) + hi * frac)
     picked = [F.max(F.when(F.col("__p") == i, value)) for i in range(len(probs))]
     return both.groupBy(*keys).agg(F.array(*picked).alias("q"))
 
@@ -58,12 +65,15 @@ def _interpolated(keys: Sequence[str], ranks: DataFrame, probs: Sequence[float])
 def rank_select(
     rows: DataFrame, keys: Sequence[str], value: str, probs: Sequence[float]
 ) -> DataFrame:
-    """Percentiles by bucketed rank selection: ``keys..., q array<double>``."""
-    keys = list(keys)
-    data = rows.select(*[col(k) for k in keys], number(col(value)).alias("__v")).filter(
-        F.col("__v").isNotNull()
-    )
-    data = data.withColumn("__b", _bucket(F.col("__v")))
+    """Percentiles by bucketed rank selection: ``keys..., q array<double>``.
+
+    A NULL key is a group like any other; a group without values has a NULL ``q``.
+    """
+    names, keys = list(keys), ["__k"]
+    # Keys as one struct: it is never NULL itself, and NULL fields of equal keys are equal.
+    key = struct_of(names) if names else F.struct(F.lit(0).alias("__all"))
+    everything = rows.select(key.alias("__k"), number(col(value)).alias("__v"))
+    data = everything.filter(F.col("__v").isNotNull()).withColumn("__b", _bucket(F.col("__v")))
     histogram = data.groupBy(*keys, "__b").agg(
         F.count("*").alias("__n"), F.min("__v").alias("__min"), F.max("__v").alias("__max")
     )
@@ -130,7 +140,9 @@ def rank_select(
         )
         .select(*keys, "__p", "__side", "__frac", "__v")
     )
-    return _interpolated(keys, settled.unionByName(found), probs)
+    groups = everything.select("__k").distinct()
+    answered = groups.join(_interpolated(keys, settled.unionByName(found), probs), "__k", "left")
+    return answered.select(*[F.col("__k").getField(name).alias(name) for name in names], "q")
 
 
 def largest_group(rows: DataFrame, keys: Sequence[str]) -> int:

@@ -88,10 +88,13 @@ def describe(
     quantiles = grouped_quantiles(
         to_long(df, by, features), [*by, "feature"], "value", QUARTILES, group_rows
     )
+    # Joined by a struct, so that a NULL stratum finds its quantiles.
+    key = struct_of([*by, "feature"]).alias("__k")
     return (
-        base.join(quantiles, [*by, "feature"], "left")
+        base.withColumn("__k", key)
+        .join(quantiles.select(key, "q"), "__k", "left")
         .withColumns({"p25": F.col("q")[0], "p50": F.col("q")[1], "p75": F.col("q")[2]})
-        .select(*by, "feature", *STAT_COLUMNS)
+        .select(*[col(b) for b in by], "feature", *STAT_COLUMNS)
     )
 
 
