@@ -13,10 +13,21 @@ from voxelark.functions.sizing import shared_dir
 
 #: Bytes of text a Python helper turns into arrays at a time; bounds the memory of a worker.
 SLICE_BYTES = 1 << 19
+#: Bytes of rows handed to a Python worker at a time; Spark's own bound suits short rows, not whole texts.
+BATCH_BYTES = 4 << 20
+BATCH_CONF = "spark.sql.execution.arrow.maxBytesPerBatch"
+
+
+def small_batches(spark: SparkSession) -> None:
+    """Bound the Arrow batches of the session by BATCH_BYTES unless a smaller bound holds already."""
+    held = spark.conf.get(BATCH_CONF).removesuffix("b")
+    if not held.isdigit() or int(held) > BATCH_BYTES:
+        spark.conf.set(BATCH_CONF, str(BATCH_BYTES))
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """One of the given tables."""
+    small_batches(spark)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
@@ -26,6 +37,7 @@ def stored(df: DataFrame, label: str, *counts) -> tuple[DataFrame, dict]:
     ``counts`` are named aggregates observed while writing; they cost no job of their own.
     """
     spark = df.sparkSession
+    small_batches(spark)
     path = f"{shared_dir(spark)}/voxelark-llm/{label}-{uuid.uuid4().hex}"
     seen = Observation()
     df.observe(seen, F.count(F.lit(1)).alias("rows"), *counts).write.parquet(path)

@@ -28,7 +28,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from voxelark.llm.common import slices, table
+from voxelark.llm.common import slices, small_batches, table
 
 UNDETERMINED = "und"
 #: Hashed features: byte trigrams and byte 5-grams share the two halves.
@@ -122,6 +122,7 @@ class LanguageModel:
 
 def fit(rows: DataFrame) -> LanguageModel:
     """Learn from ``text`` and ``lang`` of all given rows."""
+    small_batches(rows.sparkSession)
     labelled = rows.filter(F.col("lang").isNotNull()).select("lang", "text")
     counts = labelled.mapInArrow(_count, "lang string, feature int, n long").groupBy("lang", "feature").agg(F.sum("n").alias("n"))
     packed = counts.groupBy("lang").agg(F.collect_list(F.struct("feature", "n")).alias("f")).collect()
