@@ -74,26 +74,25 @@ def extract_features(
 ) -> DataFrame:
     """One wide row per key: ``<config>[-<filter>]_<class>_<feature>``.
 
-    Images are cropped around their mask first, all filters run together, and all
-    filtered images of one bin width share each feature job.
+    Images are cropped around their mask first, all filters of one padding run together,
+    and all filtered images of one bin width share each feature job. A configuration
+    gives the same features alone and in company.
     """
     keys = list(keys)
     spread = [*keys, "filter_id"]
-    filtered = any(c.image_type.lower() != "original" for c in configs)
-    pad = max((c.pad for c in configs if c.image_type.lower() != "original"), default=0)
-    bank: dict[str, list[Term]] = {}
+    banks: dict[int, dict[str, list[Term]]] = {}
     owner: dict[str, FeatureConfig] = {}
     for config in configs:
+        pad = 0 if config.image_type.lower() == "original" else config.pad
         for name, terms in config.bank(spacing).items():
-            if name in bank:
+            if name in owner:
                 raise ValueError(f"two configurations produce {name!r}")
-            bank[name], owner[name] = terms, config
-    cropped = crop_to_mask(images, masks, pad, keys)
-    if filtered:
-        responses = apply_filters(cropped, bank, keys)
-    else:
-        names = F.explode(F.array(*[F.lit(n) for n in bank])).alias("filter_id")
-        responses = cropped.select(*keys, "x", "y", "z", "value", names)
+            owner[name] = config
+            banks.setdefault(pad, {})[name] = terms
+    responses = reduce(
+        DataFrame.unionByName,
+        [_responses(crop_to_mask(images, masks, pad, keys), banks[pad], owner, keys) for pad in sorted(banks)],
+    )
     inside = materialize(inside_mask(responses, masks, keys), "filtered-regions")
 
     volume = float(spacing[0] * spacing[1] * spacing[2])
@@ -121,6 +120,14 @@ def extract_features(
     return _wide(tables, keys)
 
 
+def _responses(cropped: DataFrame, bank: dict[str, list[Term]], owner: dict[str, FeatureConfig], keys: list[str]) -> DataFrame:
+    """Filtered images of one padding, told apart by ``filter_id``."""
+    if all(owner[name].image_type.lower() == "original" for name in bank):
+        names = F.explode(F.array(*[F.lit(n) for n in bank])).alias("filter_id")
+        return cropped.select(*keys, "x", "y", "z", "value", names)
+    return apply_filters(cropped, bank, keys).select(*keys, "x", "y", "z", "value", "filter_id")
+
+
 def _wide(tables, keys: list[str]) -> DataFrame:
     """All classes and filters side by side, through one long table and one pivot."""
     longs, names = [], []
