@@ -578,18 +578,20 @@ def combat(
     covars: Sequence[str] = (),
     order_by: Sequence[str] | None = None,
     names: Sequence[str] | None = None,
+    continuous: Sequence[str] = (),
     **options,
 ) -> DataFrame:
     """Harmonize a feature table within itself.
 
     Duplicate keys are dropped on both sides (first row kept), batch information
-    is joined and must be complete, then the table is fitted and transformed.
+    with its covariates, categorical and ``continuous``, is joined and must be
+    complete, then the table is fitted and transformed.
     """
-    keys, covars = list(keys), list(covars)
-    ready = prepare(features, batch, keys, [*covars, batch_col], order_by)
+    keys, covars, continuous = list(keys), list(covars), list(continuous)
+    ready = prepare(features, batch, keys, [*covars, *continuous, batch_col], order_by)
     if names is None:
         names = feature_columns(features, exclude=keys)
-    model = fit_combat(ready, names, batch_col, covars, **options)
+    model = fit_combat(ready, names, batch_col, covars, continuous, **options)
     return model.transform(ready).select(*[col(c) for c in features.columns])
 
 
@@ -621,6 +623,7 @@ def combat_external(
     ref_batch: str | None = None,
     order_by: Sequence[str] | None = None,
     names: Sequence[str] | None = None,
+    continuous: Sequence[str] = (),
     **options,
 ) -> DataFrame:
     """Harmonize new samples towards a training table.
@@ -629,8 +632,8 @@ def combat_external(
     so that they stay apart from new batches of the same name; without one all
     training samples form a single reference batch. Only new samples return.
     """
-    keys, covars = list(keys), list(covars)
-    columns = [*covars, batch_col]
+    keys, covars, continuous = list(keys), list(covars), list(continuous)
+    columns = [*covars, *continuous, batch_col]
     if names is None:
         names = feature_columns(new, exclude=keys)
     require_columns(train, names)
@@ -643,7 +646,7 @@ def combat_external(
         reference = f"{ref_batch}_ref"
     used = [*names, *columns]
     pooled = old.select(*[col(c) for c in used]).unionByName(fresh.select(*[col(c) for c in used]))
-    model = fit_combat(pooled, names, batch_col, covars, ref_batch=reference, **options)
+    model = fit_combat(pooled, names, batch_col, covars, continuous, ref_batch=reference, **options)
     return model.transform(fresh).select(*[col(c) for c in new.columns])
 
 

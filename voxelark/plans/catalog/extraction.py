@@ -5,8 +5,8 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from voxelark.plans.catalog import spatial, texture
-from voxelark.plans.catalog.common import VOX, load, rounded, voxel_grid
-from voxelark.plans.extraction import FeatureConfig, extract_features
+from voxelark.plans.catalog.common import VOX, load, rounded, sql_round, voxel_grid
+from voxelark.plans.extraction import CLASSES, FeatureConfig, extract_features, skipped_regions
 
 
 def extracted_features(spark, sf_dir):
@@ -14,7 +14,7 @@ def extracted_features(spark, sf_dir):
     image = voxel_grid(load(spark, sf_dir, "embeddings"))
     mask = image.withColumn("value", F.when(F.col("value") > -0.12, 1).otherwise(0))
     configs = [
-        FeatureConfig("Original", bin_width=texture.WIDTH),
+        FeatureConfig("Original", bin_width=texture.WIDTH, classes=CLASSES[1:]),
         FeatureConfig(
             "Gabor_S4", "Gabor", texture.WIDTH, pad=2, size=4, freq=0.25, classes=("firstorder", "glcm")
         ),
@@ -23,7 +23,27 @@ def extracted_features(spark, sf_dir):
     return rounded(extract_features(image, mask, configs, ["vec_id"]))
 
 
-QUERIES = {"extracted_features": extracted_features}
+def extracted_shape(spark, sf_dir):
+    """Shape and diagnostics of every volume with a voxel above 0.05."""
+    image = voxel_grid(load(spark, sf_dir, "embeddings"))
+    mask = image.withColumn("value", F.when(F.col("value") > 0.05, 1).otherwise(0))
+    config = FeatureConfig("Original", classes=("shape",))
+    return rounded(extract_features(image, mask, [config], ["vec_id"], texture.SPACING, with_diagnostics=True), 5)
+
+
+def regions_skipped(spark, sf_dir):
+    """Volumes whose mask is absent (no voxel above 0.2) or empty (none above 0.3)."""
+    image = voxel_grid(load(spark, sf_dir, "embeddings"))
+    mask = image.filter(F.col("value") > 0.2)
+    mask = mask.withColumn("value", F.when(F.col("value") > 0.3, 1).otherwise(0))
+    return skipped_regions(image, mask, ["vec_id"])
+
+
+QUERIES = {
+    "extracted_features": extracted_features,
+    "extracted_shape": extracted_shape,
+    "regions_skipped": regions_skipped,
+}
 
 # ---------------------------------------------------------------- checking SQL
 
@@ -51,4 +71,21 @@ _JOINED = f"SELECT * FROM ({_PARTS[0]}) p0" + "".join(
     f" JOIN ({part}) p{i} USING (vec_id)" for i, part in enumerate(_PARTS[1:], 1)
 )
 
-ORACLES = {"extracted_features": _JOINED}
+_IMAGE, _MASK = "diagnostics_Image-original", "diagnostics_Mask-original"
+_DIAGNOSTICS = f"""WITH {VOX}, i AS (SELECT vec_id, {sql_round('avg(value)', 5)} AS "{_IMAGE}_Mean",
+ {sql_round('min(value)', 5)} AS "{_IMAGE}_Minimum", {sql_round('max(value)', 5)} AS "{_IMAGE}_Maximum"
+ FROM vox GROUP BY 1)
+SELECT * FROM i JOIN (SELECT vec_id, count(*) AS "{_MASK}_VoxelNum",
+ {', '.join(f'min({a}) AS "{_MASK}_BoundingBox_{a}"' for a in 'xyz')},
+ {', '.join(f'max({a}) - min({a}) + 1 AS "{_MASK}_BoundingBox_size_{a}"' for a in 'xyz')},
+ {', '.join(sql_round(f'avg({a})', 5) + f' AS "{_MASK}_CenterOfMassIndex_{a}"' for a in 'xyz')}
+ FROM vox WHERE value > 0.05 GROUP BY 1) USING (vec_id)"""
+
+ORACLES = {
+    "extracted_features": _JOINED,
+    "extracted_shape": f"""SELECT * FROM (
+ SELECT vec_id, CAST(COLUMNS('^([A-Z].*)$') AS DOUBLE) AS 'Original_shape_\\1' FROM ({texture.ORACLES["shape_features"]}))
+ JOIN ({_DIAGNOSTICS}) USING (vec_id)""",
+    "regions_skipped": f"""WITH {VOX}, m AS (SELECT vec_id, max(value) AS top FROM vox GROUP BY 1)
+SELECT vec_id, CASE WHEN top > 0.2 THEN 'empty mask' ELSE 'no mask' END AS reason FROM m WHERE top <= 0.3""",
+}

@@ -15,13 +15,16 @@ from voxelark.operators.combat import (
     fit_combat,
     standardized_long,
 )
+from voxelark.operators.predict import LinearScorer
 from voxelark.plans.catalog.common import load, rounded, sql_round
 from voxelark.plans.pipeline import Pipeline, Step
+from voxelark.streaming.arrivals import read_arrivals, score_stream
 
 ID = ["l_orderkey", "l_linenumber", "l_suppkey", "l_partkey"]
 NAMES = ["l_quantity", "price", "l_discount", "l_tax"]
 CUT = "1998-01-01"
 WIDE = [f"e{i:02d}" for i in range(64)]
+WEIGHTS = {"l_quantity": 1.0, "price": -2.0, "l_tax": 0.5}
 
 
 def _items(spark, sf_dir):
@@ -143,6 +146,51 @@ def harmonized_chain_replayed(spark, sf_dir):
     return rounded(bundle.transform(new.select(*columns), overrides))
 
 
+def _monthly_items(spark, sf_dir):
+    """Line items with their month of shipment as a continuous covariate."""
+    return _items(spark, sf_dir).withColumn("month", F.month("l_shipdate"))
+
+
+def combat_continuous(spark, sf_dir):
+    df = _monthly_items(spark, sf_dir)
+    batches = df.select(*ID, "month", "l_linestatus")
+    return rounded(combat(df.select(*ID, *NAMES), batches, ID, "l_linestatus", names=NAMES, continuous=["month"]))
+
+
+def combat_external_continuous(spark, sf_dir):
+    df = _monthly_items(spark, sf_dir)
+    train, new = df.filter(F.col("l_shipdate") < CUT), df.filter(F.col("l_shipdate") >= CUT)
+    batches = [*ID, "month", "l_linestatus"]
+    return rounded(
+        combat_external(
+            train.select(*ID, *NAMES), train.select(*batches), new.select(*ID, *NAMES), new.select(*batches),
+            ID, "l_linestatus", ref_batch="F", names=NAMES, continuous=["month"],
+        )
+    )
+
+
+def scored_stream_harmonized(spark, sf_dir):
+    """Later shipments arrive as a stream: harmonized towards the earlier ones, normalized, scored."""
+    df = _items(spark, sf_dir)
+    columns = [*ID, "l_returnflag", *NAMES]
+    train, new = df.filter(F.col("l_shipdate") < CUT), df.filter(F.col("l_shipdate") >= CUT)
+    steps = [
+        Step("harmonize", {"batch": train.select(*ID, "l_linestatus"), "batch_col": "l_linestatus",
+                           "names": NAMES, "ref_batch": "F"}),
+        Step("normalize", {"features": NAMES, "method": "minmax", "by": "l_returnflag"}),
+    ]
+    bundle, _ = Pipeline(steps, {"keys": ID}).fit(train.select(*columns))
+    arriving = read_arrivals(spark, sf_dir, load(spark, sf_dir, "lineitem").schema, glob="lineitem.parquet")
+    arriving = arriving.filter(F.col("l_shipdate") >= CUT).withColumn("price", F.col("l_extendedprice") / 10000)
+    where = f"{shared_dir(spark)}/voxelark/stream-{uuid.uuid4().hex}"
+    score_stream(
+        arriving.select(*columns), bundle, f"{where}/out", f"{where}/checkpoint",
+        overrides={"harmonize": {"batch": new.select(*ID, "l_linestatus")}},
+        then=[Step("predict", {"model": LinearScorer(list(WEIGHTS), list(WEIGHTS.values()), 1.0)})],
+    ).awaitTermination()
+    return rounded(spark.read.parquet(f"{where}/out").select(*ID, "predictions"))
+
+
 def batches_attached(spark, sf_dir):
     df = _items(spark, sf_dir)
     suppliers = df.select("l_suppkey", "batch").distinct()
@@ -154,6 +202,9 @@ QUERIES = {
     "batches_attached": batches_attached,
     "combat_saved_estimates": combat_saved_estimates,
     "harmonized_chain_replayed": harmonized_chain_replayed,
+    "scored_stream_harmonized": scored_stream_harmonized,
+    "combat_continuous": combat_continuous,
+    "combat_external_continuous": combat_external_continuous,
     "combat_parametric": _harmonized_items(),
     "combat_no_shrinkage": _harmonized_items(eb=False),
     "combat_mean_only": _harmonized_items(mean_only=True),
@@ -182,6 +233,13 @@ _VECTORS = "SELECT vec_id, CAST(label AS VARCHAR) AS batch, 'x' AS cov, " + ", "
 ) + " FROM embeddings"
 
 
+# Values of the two model columns: dummies of a flag, or one number.
+_Z = {
+    "levels": ("CASE cov WHEN 'N' THEN 1.0 ELSE 0.0 END", "CASE cov WHEN 'R' THEN 1.0 ELSE 0.0 END"),
+    "continuous": ("CAST(CAST(cov AS FLOAT) AS DOUBLE)", "0.0"),
+}
+
+
 def _steps(base, ids, names, ref=None, covariate=False, mode="parametric", train="TRUE"):
     """Common table expressions of the method, written out over the samples."""
     keys = ", ".join(ids)
@@ -190,12 +248,13 @@ def _steps(base, ids, names, ref=None, covariate=False, mode="parametric", train
     )
     is_ref = f"batch = '{ref}'" if ref else "TRUE"
     grand = f"max(CASE WHEN {is_ref} THEN b END)" if ref else "sum(n * b) / sum(n)"
-    beta = (
-        """(s22 * s1y - s12 * s2y) / (s11 * s22 - s12 * s12) AS b1,
-           (s11 * s2y - s12 * s1y) / (s11 * s22 - s12 * s12) AS b2"""
-        if covariate
-        else "0.0 AS b1, 0.0 AS b2"
-    )
+    beta = {
+        False: "0.0 AS b1, 0.0 AS b2",
+        True: """(s22 * s1y - s12 * s2y) / (s11 * s22 - s12 * s12) AS b1,
+           (s11 * s2y - s12 * s1y) / (s11 * s22 - s12 * s12) AS b2""",
+        "continuous": "s1y / s11 AS b1, 0.0 AS b2",
+    }[covariate]
+    z1, z2 = _Z["continuous" if covariate == "continuous" else "levels"]
     stars = {
         "none": "SELECT feature, batch, gh AS gs, dh AS ds FROM est",
         "mean": "SELECT feature, batch, (t2 * gh + gbar) / (t2 + 1) AS gs, 1.0 AS ds FROM est JOIN pri USING (batch)",
@@ -220,8 +279,7 @@ def _steps(base, ids, names, ref=None, covariate=False, mode="parametric", train
 """ if mode == "parametric" else ""
     dh = "1.0" if mode == "mean" else "coalesce(nullif(var_samp(s), 0), 1)"
     return f"""WITH RECURSIVE base AS ({base}), long AS ({long}),
-tr AS (SELECT *, CASE cov WHEN 'N' THEN 1.0 ELSE 0.0 END AS z1, CASE cov WHEN 'R' THEN 1.0 ELSE 0.0 END AS z2
-  FROM long WHERE fit),
+tr AS (SELECT *, {z1} AS z1, {z2} AS z2 FROM long WHERE fit),
 cen AS (SELECT *, z1 - avg(z1) OVER w AS c1, z2 - avg(z2) OVER w AS c2, y - avg(y) OVER w AS cy
   FROM tr WINDOW w AS (PARTITION BY feature, batch)),
 cross_products AS (SELECT feature, sum(c1 * c1) AS s11, sum(c1 * c2) AS s12, sum(c2 * c2) AS s22,
@@ -246,9 +304,8 @@ pri AS (SELECT batch, max(n) AS n, avg(gh) AS gbar, var_samp(gh) AS t2,
 
 def _data_sql(base, ids, names, ref=None, covariate=False, mode="parametric", train="TRUE",
               where="TRUE", average=False, rounding=True):
-    mod = "modavg" if average else (
-        "b1 * CASE cov WHEN 'N' THEN 1.0 ELSE 0.0 END + b2 * CASE cov WHEN 'R' THEN 1.0 ELSE 0.0 END"
-    )
+    z1, z2 = _Z["continuous" if covariate == "continuous" else "levels"]
+    mod = "modavg" if average else f"b1 * {z1} + b2 * {z2}"
     keep = f"CASE WHEN batch = '{ref}' THEN y ELSE " if ref else ""
     end = " END" if ref else ""
     keys = ", ".join(ids)
@@ -271,9 +328,13 @@ _EXTERNAL = f"""SELECT * REPLACE (CASE WHEN l_shipdate < '{CUT}' THEN {{name}} E
  l_shipdate >= '{CUT}' AS is_new FROM ({_LINESTATUS})"""
 
 
-def _external_sql(name, ref, **options):
+def _monthly(sql):
+    return sql.replace("l_returnflag AS cov", "month(CAST(l_shipdate AS DATE)) AS cov")
+
+
+def _external_sql(name, ref, base=_EXTERNAL, **options):
     ids = [*ID, "is_new"]
-    sql = _data_sql(_EXTERNAL.format(name=name), ids, NAMES, ref, where="is_new", **options)
+    sql = _data_sql(base.format(name=name), ids, NAMES, ref, where="is_new", **options)
     return f"SELECT * EXCLUDE (is_new) FROM ({sql})"
 
 
@@ -281,16 +342,24 @@ _TRAINED = _data_sql(f"SELECT * FROM ({_LINESTATUS}) WHERE l_shipdate < '{CUT}'"
 _CHAIN = f"""WITH tr AS ({_TRAINED}), nw AS ({_external_sql("batch || '_ref'", "F_ref", rounding=False)}),
 flag AS (SELECT {', '.join(ID)}, l_returnflag FROM lineitem),
 lim AS (SELECT l_returnflag, {', '.join(f'min({f}) AS lo_{f}, max({f}) AS hi_{f}' for f in NAMES)}
-  FROM tr JOIN flag USING ({', '.join(ID)}) GROUP BY 1)
-SELECT {', '.join(ID)}, l_returnflag, {', '.join(
-    sql_round(f'({f} - lo_{f}) / nullif(hi_{f} - lo_{f}, 0)') + f' AS {f}' for f in NAMES)}
-FROM nw JOIN flag USING ({', '.join(ID)}) JOIN lim USING (l_returnflag)"""
+  FROM tr JOIN flag USING ({', '.join(ID)}) GROUP BY 1),
+unit AS (SELECT {', '.join(ID)}, l_returnflag, {', '.join(
+    f'({f} - lo_{f}) / nullif(hi_{f} - lo_{f}, 0) AS {f}' for f in NAMES)}
+FROM nw JOIN flag USING ({', '.join(ID)}) JOIN lim USING (l_returnflag))
+"""
 
 ORACLES = {
     "batches_attached": f"""SELECT {', '.join(ID)}, l_quantity, n_name AS batch FROM lineitem
  JOIN supplier ON l_suppkey = s_suppkey JOIN nation ON s_nationkey = n_nationkey""",
     "combat_saved_estimates": _data_sql(_VECTORS, ["vec_id"], WIDE),
-    "harmonized_chain_replayed": _CHAIN,
+    "harmonized_chain_replayed": f"""{_CHAIN} SELECT {', '.join(ID)}, l_returnflag,
+ {', '.join(sql_round(f) + f' AS {f}' for f in NAMES)} FROM unit""",
+    "scored_stream_harmonized": f"""{_CHAIN} SELECT {', '.join(ID)},
+ {sql_round('1.0 + ' + ' + '.join(f'{w} * {f}' for f, w in WEIGHTS.items()))} AS predictions FROM unit""",
+    "combat_continuous": _data_sql(_monthly(_LINESTATUS), ID, NAMES, covariate="continuous"),
+    "combat_external_continuous": _external_sql(
+        "batch || '_ref'", "F_ref", _monthly(_EXTERNAL), covariate="continuous"
+    ),
     "combat_parametric": _data_sql(_ITEMS, ID, NAMES),
     "combat_no_shrinkage": _data_sql(_ITEMS, ID, NAMES, mode="none"),
     "combat_mean_only": _data_sql(_ITEMS, ID, NAMES, mode="mean"),

@@ -21,9 +21,10 @@ from voxelark.operators.convolve import (
     log_terms,
     wavelet_bank,
 )
-from voxelark.operators.masks import crop_to_mask, inside_mask
+from voxelark.operators.masks import XYZ, crop_to_mask, inside_mask
 
-CLASSES = ("firstorder", "glcm", "gldm", "glrlm", "glszm", "ngtdm")
+#: Shape depends on the mask alone, so only Original configurations give it.
+CLASSES = ("shape", "firstorder", "glcm", "gldm", "glrlm", "glszm", "ngtdm")
 
 
 @dataclass
@@ -71,12 +72,14 @@ def extract_features(
     configs: Sequence[FeatureConfig],
     keys: Sequence[str] = KEYS,
     spacing: Sequence[float] = (1.0, 1.0, 1.0),
+    with_diagnostics: bool = False,
 ) -> DataFrame:
     """One wide row per key: ``<config>[-<filter>]_<class>_<feature>``.
 
     Images are cropped around their mask first, all filters of one padding run together,
     and all filtered images of one bin width share each feature job. A configuration
-    gives the same features alone and in company.
+    gives the same features alone and in company. ``with_diagnostics`` adds the columns
+    of :func:`diagnostics` once; :func:`skipped_regions` names the keys without a row.
     """
     keys = list(keys)
     spread = [*keys, "filter_id"]
@@ -113,11 +116,59 @@ def extract_features(
             compute["gldm"] = lambda _, near=near: texture.dependence_features(near, spread)
             compute["ngtdm"] = lambda _, near=near: texture.tone_features(near, spread)
         for kind in CLASSES:
-            if kind in wanted:
+            if kind in wanted and kind in compute:
                 using = [n for n in ids if kind in owner[n].classes]
                 table = compute[kind](levels)
                 tables.append((kind, table.filter(F.col("filter_id").isin(using)), using))
-    return _wide(tables, keys)
+    shaped = [c.name for c in configs if "shape" in c.classes and c.image_type.lower() == "original"]
+    if shaped:
+        names = F.explode(F.array(*[F.lit(n) for n in shaped])).alias("filter_id")
+        tables.append(("shape", texture.shape(masks, keys, spacing).select("*", names), shaped))
+    if not tables:
+        raise ValueError("no configuration asks for a class of features")
+    wide = _wide(tables, keys)
+    return wide.join(diagnostics(images, masks, keys), keys, "left") if with_diagnostics else wide
+
+
+def diagnostics(images: DataFrame, masks: DataFrame, keys: Sequence[str] = KEYS) -> DataFrame:
+    """Facts about each image and its mask under their published names, one row per key.
+
+    Tuples are spread over one column per axis. A key without mask voxels has NULLs.
+    """
+    keys = list(keys)
+    image, mask = "diagnostics_Image-original", "diagnostics_Mask-original"
+    whole = images.groupBy(*keys).agg(
+        F.avg("value").alias(f"{image}_Mean"),
+        F.min("value").alias(f"{image}_Minimum"),
+        F.max("value").alias(f"{image}_Maximum"),
+    )
+    inside = masks.filter(F.col("value") != 0).groupBy(*keys).agg(
+        F.count("*").alias(f"{mask}_VoxelNum"),
+        *[F.min(a).alias(f"{mask}_BoundingBox_{a}") for a in XYZ],
+        *[(F.max(a) - F.min(a) + 1).alias(f"{mask}_BoundingBox_size_{a}") for a in XYZ],
+        *[F.avg(a).alias(f"{mask}_CenterOfMassIndex_{a}") for a in XYZ],
+    )
+    return whole.join(inside, keys, "left")
+
+
+def skipped_regions(images: DataFrame, masks: DataFrame, keys: Sequence[str] = KEYS) -> DataFrame:
+    """``keys, reason`` of everything that extraction has no row for: no image, no mask, empty mask.
+
+    Both sides are added up before the one shuffle; NULL keys count as a key.
+    """
+    keys = list(keys)
+    zero = F.lit(0)
+    seen = images.select(*keys, F.lit(1).alias("__image"), zero.alias("__mask"), zero.alias("__on")).unionByName(
+        masks.select(*keys, zero.alias("__image"), F.lit(1).alias("__mask"),
+                     F.when(F.col("value") != 0, 1).otherwise(0).alias("__on"))
+    )
+    found = seen.groupBy(*keys).agg(*[F.max(c).alias(c) for c in ("__image", "__mask", "__on")])
+    reason = (
+        F.when(F.col("__image") == 0, "no image")
+        .when(F.col("__mask") == 0, "no mask")
+        .when(F.col("__on") == 0, "empty mask")
+    )
+    return found.select(*keys, reason.alias("reason")).filter(F.col("reason").isNotNull())
 
 
 def _responses(cropped: DataFrame, bank: dict[str, list[Term]], owner: dict[str, FeatureConfig], keys: list[str]) -> DataFrame:

@@ -106,8 +106,13 @@ def run_incremental(
     """
 
     def write_pool(batch: DataFrame, pool: int) -> None:
-        if not batch.isEmpty():
-            step(batch).write.mode("overwrite").parquet(f"{output}/pool={pool}")
+        # A step may read its pool several times; the source is read once.
+        batch.persist()
+        try:
+            if not batch.isEmpty():
+                step(batch).write.mode("overwrite").parquet(f"{output}/pool={pool}")
+        finally:
+            batch.unpersist()
 
     writer = stream.writeStream.foreachBatch(write_pool).option("checkpointLocation", checkpoint)
     if name:
@@ -131,6 +136,17 @@ def score_stream(
     output: str,
     checkpoint: str,
     poll: str | None = None,
+    overrides: dict | Callable[[DataFrame], dict] | None = None,
+    then: Sequence = (),
 ) -> StreamingQuery:
-    """Apply a trained bundle (harmonize, normalize, predict) to every pool."""
-    return run_incremental(stream, bundle.transform, output, checkpoint, poll)
+    """Apply a trained bundle (harmonize, normalize, predict) to every pool.
+
+    ``overrides`` gives parameters per step label, such as the batch table of the new
+    samples, or a function that makes them from a pool; ``then`` appends steps.
+    """
+
+    def step(pool: DataFrame) -> DataFrame:
+        changed = overrides(pool) if callable(overrides) else overrides
+        return bundle.transform(pool, changed, then)
+
+    return run_incremental(stream, step, output, checkpoint, poll)
