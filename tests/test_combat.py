@@ -173,6 +173,28 @@ def test_study_drops_duplicates_and_demands_batches(spark):
         combat(features, batch, covars=["site"])
 
 
+@pytest.mark.parametrize("ref", ["a", None])
+def test_continuous_covariates_come_from_the_batch_table(spark, ref):
+    train, new = sample_frame(3), sample_frame(4, 40)
+    new["patientID"] = "n" + new.patientID
+    keys = ["patientID", "sub_Analysis"]
+
+    def split(frame):
+        return spark.createDataFrame(frame[[*keys, *NAMES]]), spark.createDataFrame(frame[[*keys, "batch", "age"]])
+
+    inside = combat(*split(train), continuous=["age"], ref_batch=ref).toPandas().set_index("patientID").loc[train.patientID]
+    want = dense_combat(train, continuous=["age"], ref=ref)
+    np.testing.assert_allclose(inside[NAMES].to_numpy(), want, rtol=1e-7, atol=1e-8)
+    moved = combat_external(*split(train), *split(new), ref_batch=ref, continuous=["age"])
+    moved = moved.toPandas().set_index("patientID").loc[new.patientID]
+    pooled = pd.concat([train.assign(batch=train.batch + "_ref" if ref else "ref"), new]).reset_index(drop=True)
+    want = dense_combat(pooled, continuous=["age"], ref=f"{ref}_ref" if ref else "ref")[len(train):]
+    np.testing.assert_allclose(moved[NAMES].to_numpy(), want, rtol=1e-7, atol=1e-8)
+    with pytest.raises(ValueError, match="missing values"):
+        features, batch = split(train)
+        combat(features, batch.selectExpr(*keys, "batch", "if(patientID = 'p3', double('NaN'), age) age"), continuous=["age"])
+
+
 @pytest.mark.parametrize("ref", ["a", None])
 def test_external_mode_moves_only_new_rows(spark, ref):
     train, new = sample_frame(7), sample_frame(8, 40)

@@ -244,6 +244,32 @@ def test_pools_survive_a_restart(spark, tmp_path):
         arrivals.read_arrivals(spark, source, schema, clean="burn")
 
 
+@pytest.mark.parametrize("made_from_pool", [False, True])
+def test_stream_takes_the_batch_table_of_new_samples(spark, training, tmp_path, made_from_pool):
+    train, batch = training
+    steps = [
+        Step("harmonize", {"batch": batch, "ref_batch": "x"}),
+        Step("normalize", {"method": "minmax", "features": ["f", "g"]}),
+    ]
+    bundle, _ = Pipeline(steps, {"keys": ["patientID", "sub_Analysis"]}).fit(train)
+    new = train.withColumn("patientID", F.concat(F.lit("n"), "patientID"))
+    new_batch = batch.withColumn("patientID", F.concat(F.lit("n"), "patientID"))
+    source, out = str(tmp_path / "in"), str(tmp_path / "out")
+    new.coalesce(1).write.parquet(source)
+
+    def of_pool(pool):
+        return {"harmonize": {"batch": new_batch.join(pool.select("patientID"), "patientID", "left_semi")}}
+
+    overrides = of_pool if made_from_pool else {"harmonize": {"batch": new_batch}}
+    arriving = arrivals.read_arrivals(spark, source, train.schema)
+    then = [Step("predict", {"model": LinearScorer(["f", "g"], [2.0, 1.0])})]
+    arrivals.score_stream(arriving, bundle, out, str(tmp_path / "c"), overrides=overrides, then=then).awaitTermination()
+    want = bundle.transform(new, {"harmonize": {"batch": new_batch}}, then).orderBy("patientID").collect()
+    got = spark.read.parquet(out).orderBy("patientID").collect()
+    assert [r["patientID"] for r in got] == [r["patientID"] for r in want]
+    assert [r["predictions"] for r in got] == pytest.approx([r["predictions"] for r in want])
+
+
 def test_finished_inputs_can_be_archived(spark, tmp_path):
     source, archive = tmp_path / "in", tmp_path / "old"
     for i in range(3):

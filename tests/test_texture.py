@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from voxelark.operators import texture
 from voxelark.operators.zones import zone_sizes
-from voxelark.plans.extraction import FeatureConfig, extract_features
+from voxelark.plans.extraction import FeatureConfig, extract_features, skipped_regions
 
 K = ["patientID"]
 
@@ -230,6 +230,32 @@ def test_shape_axes_match_numpy(spark):
         assert got["VoxelVolume"] == pytest.approx(array.sum() * 4.5)
 
 
+def test_shape_diagnostics_and_skipped_regions(spark):
+    schema = "patientID string, sub_Analysis string, x int, y int, z int, value double"
+    box = [(x, y, z) for x in range(4) for y in range(3) for z in range(2)]
+    keys = [("a", "s"), ("b", "s"), ("c", "s"), (None, "s")]
+    image = spark.createDataFrame([(*k, x, y, z, float(x)) for k in keys for x, y, z in box], schema)
+    filled = [("a", "s", x, y, z, float(x > 0)) for x, y, z in box]
+    mask = spark.createDataFrame(
+        [*filled, ("b", "s", 0, 0, 0, 0.0), ("b", "s", 1, 0, 0, None), ("d", "s", 0, 0, 0, 1.0)], schema
+    )
+    both = ["patientID", "sub_Analysis"]
+    known = mask.filter("patientID <> 'd'")
+    configs = [FeatureConfig("Original", classes=("shape",)), FeatureConfig("Second", classes=("shape", "firstorder"))]
+    (row,) = extract_features(image, known, configs, both, with_diagnostics=True).collect()
+    assert row["Original_shape_VoxelCount"] == row["Second_shape_VoxelCount"] == 18
+    assert row["Second_firstorder_Mean"] == 2
+    assert row["diagnostics_Image-original_Mean"] == 1.5 and row["diagnostics_Mask-original_VoxelNum"] == 18
+    assert [row[f"diagnostics_Mask-original_BoundingBox_{a}"] for a in "xyz"] == [1, 0, 0]
+    assert [row[f"diagnostics_Mask-original_BoundingBox_size_{a}"] for a in "xyz"] == [3, 3, 2]
+    assert [row[f"diagnostics_Mask-original_CenterOfMassIndex_{a}"] for a in "xyz"] == [2, 1, 0.5]
+    skipped = {r["patientID"]: r["reason"] for r in skipped_regions(image, mask, both).collect()}
+    assert skipped == {"b": "empty mask", "c": "no mask", None: "no mask", "d": "no image"}
+    assert skipped_regions(image.limit(0), mask.limit(0), both).count() == 0
+    with pytest.raises(ValueError, match="class"):
+        extract_features(image, known, [FeatureConfig("LoG", "LoG", sigma=[1.0], classes=("shape",))], both)
+
+
 def test_extraction_joins_all_configurations(spark):
     rng = np.random.default_rng(3)
     rows = [
