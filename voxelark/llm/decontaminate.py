@@ -5,10 +5,10 @@ positions marks nine that count and three that are ignored; at every position of
 text the counted words are hashed, one hash per mask. Equal hashes of a document
 and a benchmark item are a hit on a diagonal (document position minus item
 position). Different masks ignore different places, so a passage is met although
-some of its words were replaced. Around the hits of a diagonal the aligned words are
-compared themselves: the stretch from the first hit to the end of the last one is
-an overlap when at least MIN_WORDS of its words are equal and at least
-MIN_SHARE of them are.
+some of its words were replaced. On a diagonal with a hit all aligned words of document
+and item are compared: any stretch of them is an overlap when at least MIN_WORDS of its
+words are equal and at least MIN_SHARE of them are. The stretch with the most equal
+words is kept, the shortest of these.
 
 The positions of documents are never shuffled while the hashes of the benchmark fit
 the measured broadcast bound: the join is part of the scan's stage and only hits
@@ -48,38 +48,70 @@ def seeds(rows: DataFrame) -> DataFrame:
     return starts.select("*", F.explode(F.array(*hashes)).alias("seed"))
 
 
+def best_stretch(equal):
+    """(n_equal, minus n_aligned) of the best overlap in an array of booleans; null without one.
+
+    A best stretch starts and ends with runs of equal words, so only pairs of runs are tried.
+    """
+    changed = F.concat(
+        F.array(F.lit(-1)),
+        F.filter(F.sequence(F.lit(0), F.size(equal) - 1), lambda k: ~F.get(equal, k)),
+        F.array(F.size(equal)),
+    )
+    gaps = F.transform(
+        F.slice(changed, 2, F.size(changed) - 1),
+        lambda end, i: F.struct(i.alias("i"), (F.get(changed, i) + 1).alias("lo"), end.alias("hi")),
+    )
+    runs = F.filter(gaps, lambda r: r["hi"] > r["lo"])
+
+    def ending(last):
+        tried = F.transform(
+            F.filter(runs, lambda r: r["i"] <= last["i"]),
+            lambda r: F.struct(
+                (last["hi"] - r["lo"] - last["i"] + r["i"]).alias("n_equal"), (r["lo"] - last["hi"]).alias("m")
+            ),
+        )
+        return F.array_max(
+            F.filter(tried, lambda t: (t["n_equal"] >= MIN_WORDS) & (t["n_equal"] >= -MIN_SHARE * t["m"]))
+        )
+
+    return F.array_max(F.transform(runs, ending))
+
+
 def overlaps(docs: DataFrame, items: DataFrame) -> DataFrame:
-    """(doc_id, item_id, n_aligned, n_equal): verified overlaps, the best diagonal of each pair.
+    """(doc_id, item_id, n_aligned, n_equal): verified overlaps, the best stretch of each pair.
 
     ``docs`` has doc_id and text, ``items`` has item_id and text.
     """
     item_words = items.select(F.col("item_id").cast("long").alias("item_id"), words_of("text").alias("words"))
-    item_seeds = materialize(seeds(item_words).select("item_id", F.col("at").alias("item_at"), "seed"), "item-seeds")
+    item_seeds = materialize(
+        seeds(item_words).select("item_id", F.size("words").alias("n_item"), F.col("at").alias("item_at"), "seed"), "item-seeds"
+    )
     doc_words = docs.select(F.col("doc_id").cast("long").alias("doc_id"), words_of("text").alias("words"))
     found = seeds(doc_words).select("doc_id", "at", "seed")
     small = F.broadcast(item_seeds) if fits_broadcast(item_seeds) else item_seeds
     diagonals = (
-        found.join(small, "seed")
-        .groupBy("doc_id", "item_id", (F.col("at") - F.col("item_at")).alias("shift"))
-        .agg(F.min("item_at").alias("lo"), (F.max("item_at") + SPAN).alias("hi"))
+        found.join(small, "seed").select("doc_id", "item_id", "n_item", (F.col("at") - F.col("item_at")).alias("shift")).distinct()
     )
     spots = materialize(
-        diagonals.groupBy("doc_id").agg(F.collect_list(F.struct("item_id", "shift", "lo", "hi")).alias("spots")), "seed-hits"
+        diagonals.groupBy("doc_id").agg(F.collect_list(F.struct("item_id", "n_item", "shift")).alias("spots")), "seed-hits"
     )
     met = attach(doc_words, spots, ["doc_id"], "inner", part_of=spots)
-    cuts = met.select("doc_id", "words", F.explode("spots").alias("s")).select(
-        "doc_id",
-        "s.item_id",
-        "s.lo",
-        "s.hi",
-        F.slice("words", F.col("s.shift") + F.col("s.lo") + 1, F.col("s.hi") - F.col("s.lo")).alias("doc_part"),
+    lo = F.greatest(F.lit(0), -F.col("s.shift"))
+    hi = F.least(F.col("s.n_item"), F.size("words") - F.col("s.shift"))
+    cuts = (
+        met.select("doc_id", "words", F.explode("spots").alias("s"))
+        .select("doc_id", "s.item_id", "s.shift", "words", lo.alias("lo"), (hi - lo).alias("n"))
+        .filter("n > 0")
+        .select("doc_id", "item_id", "lo", "n", F.slice("words", F.col("shift") + F.col("lo") + 1, F.col("n")).alias("doc_part"))
     )
     both = attach(cuts, item_words.withColumnRenamed("words", "item_words"), ["item_id"], "inner", "item-words")
-    pairs = F.arrays_zip("doc_part", F.slice("item_words", F.col("lo") + 1, F.col("hi") - F.col("lo")).alias("item_part"))
-    equal = F.size(F.filter(pairs, lambda p: p["doc_part"] == p["item_part"]))
-    judged = both.select("doc_id", "item_id", (F.col("hi") - F.col("lo")).alias("n_aligned"), equal.alias("n_equal"))
-    kept = judged.filter((F.col("n_equal") >= MIN_WORDS) & (F.col("n_equal") >= MIN_SHARE * F.col("n_aligned")))
-    best = kept.groupBy("doc_id", "item_id").agg(F.max(F.struct("n_equal", (-F.col("n_aligned")).alias("m"))).alias("b"))
+    item_part = F.slice("item_words", F.col("lo") + 1, F.col("n"))
+    equal = F.zip_with("doc_part", item_part, lambda a, b: F.coalesce(a == b, F.lit(False)))
+    compared = both.select("doc_id", "item_id", equal.alias("equal"))
+    enough = compared.filter(F.size(F.filter("equal", lambda e: e)) >= MIN_WORDS)
+    judged = enough.select("doc_id", "item_id", best_stretch(F.col("equal")).alias("b"))
+    best = judged.filter("b is not null").groupBy("doc_id", "item_id").agg(F.max("b").alias("b"))
     return best.select("doc_id", "item_id", (-F.col("b.m")).alias("n_aligned"), F.col("b.n_equal").alias("n_equal"))
 
 
