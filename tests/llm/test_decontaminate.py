@@ -52,3 +52,42 @@ def test_changes_near_the_ends_and_a_rewritten_middle(spark):
     got = overlaps(spark, docs, items)
     assert got == brute(docs, items)
     assert got[900, 900] == (20, 20) and {(i, i) for i, item in items if len(item) in (13, 16)} <= set(got)
+
+
+def unseen_score(masks):
+    """Greatest n_equal - 4 * n_changed of stretches of any length with MIN_WORDS equal words that no mask hits; None if unbounded."""
+    span = max(map(len, masks))
+    marks = [int(mask, 2) for mask in masks]
+    best = {(0, 0): 0}
+    edge = set(best)
+    for _ in range(400):
+        new = set()
+        for past, n in edge:
+            for same in (0, 1):
+                now = (past << 1 | same) & (1 << span) - 1
+                if same and any(now & mark == mark for mark in marks):
+                    continue
+                score = best[past, n] + (1 if same else -4)
+                state = (now, min(MIN_WORDS, n + same))
+                if score > best.get(state, -60):
+                    best[state] = score
+                    new.add(state)
+        edge = new
+        if not edge:
+            return max(score for (_, n), score in best.items() if n == MIN_WORDS)
+    return None
+
+
+def test_seeds_miss_no_overlap(spark):
+    assert MIN_SHARE == 0.8 and unseen_score(decontaminate.SEEDS) < 0
+    assert unseen_score(decontaminate.MASKS) is None
+    rng = random.Random(2)
+    items, docs = [], []
+    for length in (12, 15, 16, 20, 30, 59):
+        for kind in range(4):
+            item = [f"w{len(items)}x{k}" for k in range(length)]
+            places = set(range(kind + 1, length, 5)) if kind < 2 else set(rng.sample(range(length), length // 5))
+            docs.append((len(items), inside(rng, ["other" if k in places else w for k, w in enumerate(item)])))
+            items.append((len(items), item))
+    want = brute(docs, items)
+    assert len(want) >= 18 and overlaps(spark, docs, items) == want
