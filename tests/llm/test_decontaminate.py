@@ -91,3 +91,18 @@ def test_seeds_miss_no_overlap(spark):
             items.append((len(items), item))
     want = brute(docs, items)
     assert len(want) >= 18 and overlaps(spark, docs, items) == want
+
+
+def test_short_items_are_found_verbatim(spark):
+    items = [(1, ["one"]), (2, "to be or not".split()), (3, "k l m n o p q r s t u".split()), (4, "not so".split()), (5, [])]
+    docs = [
+        (1, "he said to be or not to be or not".split()),
+        (2, "to be or".split()),
+        (3, "to be or something not".split()),
+        (4, "k l m n o p q r s t u v one".split()),
+        (5, "k l m n o p q r s t v".split()),
+        (6, ["one"]),
+        (7, ["one"] * 40),
+    ]
+    want = {(1, 2): (4, 4), (4, 3): (11, 11), (4, 1): (1, 1), (6, 1): (1, 1), (7, 1): (1, 1)}
+    assert overlaps(spark, docs, items) == want

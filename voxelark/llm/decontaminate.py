@@ -16,7 +16,8 @@ The positions of documents are never shuffled while the hashes of the benchmark
 the measured broadcast bound: the join is part of the scan's stage and only hits
 leave it. A larger benchmark takes a shuffle join of hashes.
 
-Null and empty texts, and texts or items of fewer than MIN_WORDS words, have no overlap.
+Items of fewer than MIN_WORDS words overlap where all their words stand in a document in
+order; each length that occurs is one more seed. Null and empty texts have no overlap.
 Repeated documents or items give their own rows; extra columns are ignored.
 """
 
@@ -43,17 +44,23 @@ def words_of(text):
     return F.when(F.length(plain) > 0, F.split(plain, " ")).otherwise(F.array().cast("array<string>"))
 
 
-def seeds(rows: DataFrame) -> DataFrame:
-    """Add ``at`` and ``seed`` to rows with an array ``words``: one row per position and mask."""
-    words, at = F.col("words"), F.col("at")
-    first = F.sequence(F.lit(0), F.size(words) - min(map(len, SEEDS)))
-    starts = rows.filter(F.size(words) >= MIN_WORDS).select("*", F.explode(first).alias("at"))
+def seeds(rows: DataFrame, lengths: list[int], whole: bool) -> DataFrame:
+    """Add ``at`` and ``seed`` to rows with an array ``words``: one row per position and mask.
+
+    ``lengths`` are those of short items, which have one seed of all their words. With
+    ``whole`` the rows are items themselves, else texts that may hold them anywhere.
+    """
+    words, at, n = F.col("words"), F.col("at"), F.size("words")
+    masks = [(mask, n >= MIN_WORDS) for mask in SEEDS]
+    masks += [("1" * length, n == length if whole else n >= length) for length in lengths]
+    last = n - min(len(mask) for mask, _ in masks)
+    starts = rows.filter(last >= 0).select("*", F.explode(F.sequence(F.lit(0), last)).alias("at"))
     hashes = [
         F.when(
-            at + len(mask) <= F.size(words),
+            fits & (at + len(mask) <= n),
             F.xxhash64(F.lit(k), *[F.get(words, at + i) for i, bit in enumerate(mask) if bit == "1"]),
         )
-        for k, mask in enumerate(SEEDS)
+        for k, (mask, fits) in enumerate(masks)
     ]
     return starts.select("*", F.explode(F.array(*hashes)).alias("seed")).filter("seed is not null")
 
@@ -94,15 +101,19 @@ def overlaps(docs: DataFrame, items: DataFrame) -> DataFrame:
     ``docs`` has doc_id and text, ``items`` has item_id and text.
     """
     item_words = items.select(F.col("item_id").cast("long").alias("item_id"), words_of("text").alias("words"))
+    n_words = F.size("words")
+    short = item_words.filter((n_words > 0) & (n_words < MIN_WORDS)).select(n_words.alias("n")).distinct()
+    lengths = sorted(r.n for r in short.collect())
     item_seeds = materialize(
-        seeds(item_words).select("item_id", F.size("words").alias("n_item"), F.col("at").alias("item_at"), "seed"), "item-seeds"
+        seeds(item_words, lengths, True).select("item_id", F.size("words").alias("n_item"), F.col("at").alias("item_at"), "seed"), "item-seeds"
     )
     doc_words = docs.select(F.col("doc_id").cast("long").alias("doc_id"), words_of("text").alias("words"))
-    found = seeds(doc_words).select("doc_id", "at", "seed")
+    found = seeds(doc_words, lengths, False).select("doc_id", "at", "seed")
     small = F.broadcast(item_seeds) if fits_broadcast(item_seeds) else item_seeds
-    diagonals = (
-        found.join(small, "seed").select("doc_id", "item_id", "n_item", (F.col("at") - F.col("item_at")).alias("shift")).distinct()
-    )
+    hits = found.join(small, "seed").select("doc_id", "item_id", "n_item", (F.col("at") - F.col("item_at")).alias("shift"))
+    # Any place of a short item is as good as another, so a frequent one has one row per document.
+    place = F.when(F.col("n_item") >= MIN_WORDS, F.col("shift")).alias("place")
+    diagonals = hits.groupBy("doc_id", "item_id", "n_item", place).agg(F.min("shift").alias("shift"))
     spots = materialize(
         diagonals.groupBy("doc_id").agg(F.collect_list(F.struct("item_id", "n_item", "shift")).alias("spots")), "seed-hits"
     )
@@ -118,9 +129,13 @@ def overlaps(docs: DataFrame, items: DataFrame) -> DataFrame:
     both = attach(cuts, item_words.withColumnRenamed("words", "item_words"), ["item_id"], "inner", "item-words")
     item_part = F.slice("item_words", F.col("lo") + 1, F.col("n"))
     equal = F.zip_with("doc_part", item_part, lambda a, b: F.coalesce(a == b, F.lit(False)))
-    compared = both.select("doc_id", "item_id", equal.alias("equal"))
-    enough = compared.filter(F.size(F.filter("equal", lambda e: e)) >= MIN_WORDS)
-    judged = enough.select("doc_id", "item_id", best_stretch(F.col("equal")).alias("b"))
+    compared = both.select("doc_id", "item_id", F.size("item_words").alias("n_item"), equal.alias("equal"))
+    n_equal = F.size(F.filter("equal", lambda e: e))
+    enough = compared.filter(n_equal >= F.least(F.col("n_item"), F.lit(MIN_WORDS)))
+    verbatim = F.struct(F.col("n_item").alias("n_equal"), (-F.col("n_item")).alias("m"))
+    judged = enough.select(
+        "doc_id", "item_id", F.when(F.col("n_item") < MIN_WORDS, verbatim).otherwise(best_stretch(F.col("equal"))).alias("b")
+    )
     best = judged.filter("b is not null").groupBy("doc_id", "item_id").agg(F.max("b").alias("b"))
     return best.select("doc_id", "item_id", (-F.col("b.m")).alias("n_aligned"), F.col("b.n_equal").alias("n_equal"))
 
