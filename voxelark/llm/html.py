@@ -35,9 +35,11 @@ _BLOCKS = frozenset(
 )
 _VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 _RAW = "script|style|noscript|template|textarea|iframe|svg|math|object|title|head"
-_AWAY = frozenset("nav footer aside form menu dialog button select fieldset search header option".split())
+_AWAY = frozenset("nav footer aside menu dialog button select search header option".split())
+_FORMS = frozenset(("form", "fieldset"))
+_HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
 _SECTIONS = frozenset("nav header footer aside menu".split())
-_AWAY_ROLES = frozenset("navigation banner contentinfo complementary search alert alertdialog dialog menu menubar form".split())
+_AWAY_ROLES = frozenset("navigation banner contentinfo complementary search alert alertdialog dialog menu menubar".split())
 _AWAY_NAMES = frozenset(
     "ad ads adv advert adverts advertisement advertising sponsor sponsored promo promotion cookie cookies consent gdpr notice popup "
     "modal overlay newsletter subscribe subscription signup login sidebar widget comment comments commentlist reply replies disqus "
@@ -54,18 +56,30 @@ _ATTR = re.compile(r"(class|id|role|style|hidden|aria-hidden)(?:\s*=\s*(?:\"([^\
 _SPLIT = re.compile(r"[^a-z0-9]+")
 
 # Weights of the classifier.
-INSIDE, OUTSIDE, AWAY, LINKED, PER_WORD, MOST_WORDS, HEADING, BASE = 4.0, 4.0, 12.0, 3.0, 0.08, 2.0, 1.0, 0.5
+INSIDE, OUTSIDE, AWAY, LEADING, LINKED, PER_WORD, MOST_WORDS, HEADING, BASE = 4.0, 4.0, 12.0, 4.0, 3.0, 0.08, 2.0, 1.0, 0.5
+# Blocks of so many unlinked words are prose; a name counts fully if the prose elsewhere is this share of that below it.
+PROSE, ELSEWHERE = 10, 0.25
 # Smoothness: neighbours in page order, and consecutive blocks of one parent.
 ADJACENT, SIBLING = 0.4, 0.8
 
 
+class Mark:
+    """An element whose name, or being a form, speaks for boilerplate: a cost, no verdict."""
+
+    __slots__ = ("weight", "holds")
+
+    def __init__(self, weight: float):
+        # Whether an <article> or <main> stands in the element.
+        self.weight, self.holds = weight, False
+
+
 class Block:
     """Text of a block with what the classifier needs."""
 
-    __slots__ = ("parts", "linked", "away", "inside", "heading", "parent", "text")
+    __slots__ = ("parts", "linked", "away", "inside", "heading", "parent", "text", "marks")
 
-    def __init__(self, away: bool, inside: bool, heading: bool, parent: int):
-        self.parts, self.linked = [], 0
+    def __init__(self, away: bool, inside: bool, heading: bool, parent: int, marks: tuple[Mark, ...] = ()):
+        self.parts, self.linked, self.marks = [], 0, marks
         self.away, self.inside, self.heading, self.parent = away, inside, heading, parent
 
 
@@ -82,18 +96,31 @@ def _away(name: str, attrs: str, inside: bool) -> bool:
             return True
         if key == "style" and "display:none" in value.replace(" ", ""):
             return True
-        if key in ("class", "id") and name not in ("html", "body", "main"):
-            names = set(_SPLIT.split(value))
-            if names & _AWAY_NAMES or ("header" in names and not inside):
-                return True
     return False
 
 
+def _named(name: str, attrs: str, inside: bool) -> float:
+    """Weight of what class and id names say: AWAY for a whole name, LEADING for the first part of one."""
+    found = AWAY if name in _FORMS else 0.0
+    if not attrs or name in _HEADINGS or name in ("html", "body", "main"):
+        return found
+    for key, a, b, c in _ATTR.findall(attrs):
+        key = key.lower()
+        if key == "role" and (a or b or c).lower() == "form":
+            return AWAY
+        if key in ("class", "id"):
+            for whole in (a or b or c).lower().split():
+                lead = next(filter(None, _SPLIT.split(whole)), "")
+                if lead in _AWAY_NAMES or (lead == "header" and not inside):
+                    found = max(found, AWAY if lead == whole else LEADING)
+    return found
+
+
 def blocks_of(page: str) -> list[Block]:
     """The non-empty blocks of a page in order."""
     found: list[Block] = []
-    # name, away, inside, heading, id
-    stack: list[tuple[str, bool, bool, bool, int]] = [("", False, False, False, 0)]
+    # name, away, inside, heading, id, marks
+    stack: list[tuple[str, bool, bool, bool, int, tuple[Mark, ...]]] = [("", False, False, False, 0, ())]
     ids, links, block, at = 0, 0, None, 0
 
     def add(raw: str) -> None:
@@ -103,7 +130,7 @@ def blocks_of(page: str) -> list[Block]:
                 return
             top = stack[-1]
             # The parent of a block is the element around the one that holds its text.
-            block = Block(top[1], top[2], top[3], stack[-2][4] if len(stack) > 1 else 0)
+            block = Block(top[1], top[2], top[3], stack[-2][4] if len(stack) > 1 else 0, top[5])
         block.parts.append(raw)
         if links:
             block.linked += len(raw)
@@ -128,7 +155,12 @@ def blocks_of(page: str) -> list[Block]:
             add(" ")
         elif name == "a":
             links = 0 if m["end"] else 1
-        elif name in _BLOCKS or (name not in _VOID and m["attrs"] and not m["end"] and _away(name, m["attrs"], stack[-1][2])):
+        elif name in _BLOCKS or (
+            name not in _VOID
+            and m["attrs"]
+            and not m["end"]
+            and (_away(name, m["attrs"], stack[-1][2]) or _named(name, m["attrs"], stack[-1][2]))
+        ):
             close()
             if m["end"]:
                 for k in range(len(stack) - 1, 0, -1):
@@ -147,8 +179,13 @@ def blocks_of(page: str) -> list[Block]:
                         del stack[k:]
                         break
             top, ids = stack[-1], ids + 1
+            if name in ("article", "main"):
+                for mark in top[5]:
+                    mark.holds = True
+            weight = _named(name, m["attrs"], top[2])
+            marks = (*top[5], Mark(weight)) if weight else top[5]
             inside = top[2] or name in ("article", "main")
-            stack.append((name, top[1] or _away(name, m["attrs"], top[2]), inside, name in ("h1", "h2", "h3"), ids))
+            stack.append((name, top[1] or _away(name, m["attrs"], top[2]), inside, name in ("h1", "h2", "h3"), ids, marks))
         elif m["end"] and any(s[0] == name for s in stack[1:]):
             close()
             while stack.pop()[0] != name:
@@ -159,15 +196,45 @@ def blocks_of(page: str) -> list[Block]:
     return found
 
 
+def marked_costs(found: list[Block], prose: list[float]) -> list[float]:
+    """Cost of calling each block content that the marks around it make.
+
+    A mark loses weight as the element holds more of the page's prose, and all of it if
+    it holds the only <article> or <main> with prose and half of the page's prose.
+    """
+    total = articles = 0.0
+    below: dict[int, list[float]] = {}
+    for b, n in zip(found, prose):
+        if b.away:
+            continue
+        total, articles = total + n, articles + n * b.inside
+        for mark in b.marks:
+            sums = below.setdefault(id(mark), [0.0, 0.0])
+            sums[0] += n
+            sums[1] += n * b.inside
+
+    def weight(mark: Mark) -> float:
+        under, inside = below.get(id(mark), (0.0, 0.0))
+        if mark.holds and inside >= articles and 2 * under >= total:
+            return 0.0
+        return mark.weight * (min(1.0, (total - under) / (ELSEWHERE * under)) if under else 1.0)
+
+    weights = {id(mark): weight(mark) for b in found for mark in b.marks}
+    return [max((weights[id(mark)] for mark in b.marks), default=0.0) for b in found]
+
+
 def costs(found: list[Block]) -> tuple[list[float], list[float]]:
     """Capacities to the content and the boilerplate terminal."""
     marked = any(b.inside and not b.away for b in found)
+    counts = [len(b.text.split()) for b in found]
+    density = [min(1.0, b.linked / max(1, sum(map(len, b.parts)))) for b in found]
+    free = [n * (1 - d) for n, d in zip(counts, density)]
     content, boilerplate = [], []
-    for b in found:
-        n = len(b.text.split())
-        density = min(1.0, b.linked / max(1, sum(map(len, b.parts))))
-        content.append(BASE + INSIDE * b.inside + min(MOST_WORDS, PER_WORD * n) + HEADING * b.heading)
-        boilerplate.append(BASE + AWAY * b.away + LINKED * density * (1 - 0.5 * b.inside) + OUTSIDE * (marked and not b.inside))
+    for b, n, d, f, mark in zip(found, counts, density, free, marked_costs(found, [f if f >= PROSE else 0.0 for f in free])):
+        # Long unlinked text outvotes the first part of a name.
+        words = max(min(MOST_WORDS, PER_WORD * n), min(MOST_WORDS + mark, PER_WORD * f) if mark <= LEADING else 0.0)
+        content.append(BASE + INSIDE * b.inside + words + HEADING * b.heading)
+        boilerplate.append(BASE + max(AWAY * b.away, mark) + LINKED * d * (1 - 0.5 * b.inside) + OUTSIDE * (marked and not b.inside))
     return content, boilerplate
 
 
