@@ -26,3 +26,11 @@ def test_slugs_in_an_article_and_real_comments():
         f'<section class="comments"><article class="comment">{LONG} reply</article></section><div class="sidebar"><p>{SHORT} side</p></div>'
     )
     assert html.main_text(page) == f"Effects\n\n{LONG}\n\nWork\n\n{SHORT}"
+
+
+def test_open_heads_and_embedded_content():
+    assert html.main_text(f"<html><head><title>T</title><meta charset=x><p>{LONG}") == LONG
+    assert html.main_text(f"<html><head><title>T</title><style>p{{}}</style></head><body><p>{LONG}") == LONG
+    assert html.main_text(f"<p>{LONG} <math><mi>x</mi><mo>=</mo><mn>2</mn><annotation encoding=t>x=2</annotation></math> end") == f"{LONG} x=2 end"
+    for start in ("<object data=x>", "<svg width=1>", "<svg/>", "<svg><text>no</text></svg>"):
+        assert html.main_text(f"<p>One {start}</p><p>{LONG}") == f"One\n\n{LONG}"

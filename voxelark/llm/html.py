@@ -34,7 +34,9 @@ _BLOCKS = frozenset(
     "tfoot th thead tr ul".split()
 )
 _VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
-_RAW = "script|style|noscript|template|textarea|iframe|svg|math|object|title|head"
+_RAW = "script|style|noscript|template|textarea|iframe|title"
+#: Dropped with what they hold if they are closed.
+_DRAWN = "svg|annotation|annotation-xml"
 _AWAY = frozenset("nav footer aside menu dialog button select search header option".split())
 _FORMS = frozenset(("form", "fieldset"))
 _HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
@@ -48,10 +50,10 @@ _AWAY_NAMES = frozenset(
 )
 _TOKEN = re.compile(
     r"<!--.*?(?:-->|\Z)|<[!?][^>]*>|<(?P<raw>" + _RAW + r")\b(?:\"[^\"]*\"|'[^']*'|[^'\">])*>(?:.*?)(?:</(?P=raw)\s*>|\Z)"
+    r"|<(?P<drawn>" + _DRAWN + r")(?=[\s/>])(?:\"[^\"]*\"|'[^']*'|[^'\">])*(?:(?<=/)>|>.*?</(?P=drawn)\s*>)"
     r"|<(?P<end>/?)(?P<name>[a-zA-Z][^\s/>]*)(?P<attrs>(?:\"[^\"]*\"|'[^']*'|[^'\">])*)>|<(?=/?[a-zA-Z])[^>]*(?:>|\Z)",
     re.S | re.I,
 )
-_HEAD = re.compile(r"<head\b[^>]*>.*?(?:</head\s*>|(?=<body\b))", re.S | re.I)
 _ATTR = re.compile(r"(class|id|role|style|hidden|aria-hidden)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+)))?", re.I)
 _SPLIT = re.compile(r"[^a-z0-9]+")
 
@@ -335,7 +337,7 @@ def main_text(page: str | None) -> str:
     """Content blocks of a page in order, joined by blank lines."""
     if not page:
         return ""
-    found = blocks_of(_HEAD.sub(" ", page))
+    found = blocks_of(page)
     if not found:
         return ""
     content, boilerplate = costs(found)
