@@ -34,3 +34,8 @@ def test_open_heads_and_embedded_content():
     assert html.main_text(f"<p>{LONG} <math><mi>x</mi><mo>=</mo><mn>2</mn><annotation encoding=t>x=2</annotation></math> end") == f"{LONG} x=2 end"
     for start in ("<object data=x>", "<svg width=1>", "<svg/>", "<svg><text>no</text></svg>"):
         assert html.main_text(f"<p>One {start}</p><p>{LONG}") == f"One\n\n{LONG}"
+
+
+def test_a_teaser_article_does_not_outvote_the_text():
+    page = f"<div><p>{LONG}</p><p>{LONG}</p><p>{LONG}</p></div><article><p>Read this too</p></article>"
+    assert html.main_text(page).startswith(f"{LONG}\n\n{LONG}\n\n{LONG}")

@@ -227,16 +227,20 @@ def marked_costs(found: list[Block], prose: list[float]) -> list[float]:
 
 def costs(found: list[Block]) -> tuple[list[float], list[float]]:
     """Capacities to the content and the boilerplate terminal."""
-    marked = any(b.inside and not b.away for b in found)
     counts = [len(b.text.split()) for b in found]
     density = [min(1.0, b.linked / max(1, sum(map(len, b.parts)))) for b in found]
     free = [n * (1 - d) for n, d in zip(counts, density)]
+    marks = marked_costs(found, [f if f >= PROSE else 0.0 for f in free])
+    # Full weight only if <article> and <main> hold half of the unlinked words.
+    within = sum(f for b, f in zip(found, free) if b.inside and not b.away)
+    there = sum(f for b, f, mark in zip(found, free, marks) if not b.away and (b.inside or mark < LEADING))
+    outside = OUTSIDE * min(1.0, 2 * within / there) if there else OUTSIDE * any(b.inside and not b.away for b in found)
     content, boilerplate = [], []
-    for b, n, d, f, mark in zip(found, counts, density, free, marked_costs(found, [f if f >= PROSE else 0.0 for f in free])):
+    for b, n, d, f, mark in zip(found, counts, density, free, marks):
         # Long unlinked text outvotes the first part of a name.
         words = max(min(MOST_WORDS, PER_WORD * n), min(MOST_WORDS + mark, PER_WORD * f) if mark <= LEADING else 0.0)
         content.append(BASE + INSIDE * b.inside + words + HEADING * b.heading)
-        boilerplate.append(BASE + max(AWAY * b.away, mark) + LINKED * d * (1 - 0.5 * b.inside) + OUTSIDE * (marked and not b.inside))
+        boilerplate.append(BASE + max(AWAY * b.away, mark) + LINKED * d * (1 - 0.5 * b.inside) + outside * (not b.inside))
     return content, boilerplate
 
 
