@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from voxelark.llm import decontaminate, embeddings, html, language, minhash, pieces, quality, rollup, sharding, suffixes, superkmers
+from voxelark.llm import centroids, decontaminate, divergence, embeddings, html, language, minhash, pieces, quality, rollup, sharding, suffixes, superkmers
 
-MODULES = (rollup, minhash, sharding, language, superkmers, embeddings, html, suffixes, pieces, decontaminate, quality)
+MODULES = (rollup, minhash, sharding, language, superkmers, embeddings, html, suffixes, pieces, decontaminate, centroids, divergence, quality)
 
 
 def llm_queries() -> dict:
