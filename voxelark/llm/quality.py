@@ -48,8 +48,8 @@ MAX_LOSS = 50  # per cent of the word characters
 #: Characters, words and phrases the rules look for.
 SPACES = " \t\n\x0b\x0c\r"
 SPACE_RUN = r"[\x20\x09-\x0D]+"
-WORD_CHAR = r"[^\x20\x09-\x0D]"
 SYMBOLS = "#*$%&|<>"
+SYMBOL = "[" + SYMBOLS + "]"
 MARK_RUNS = r"[!?]{2,}"
 MARKS = r"[.,;:!?…]"
 ALONE = r"[\x20\x09-\x0D][|»›>•·/][\x20\x09-\x0D][^\n]*[\x20\x09-\x0D][|»›>•·/][\x20\x09-\x0D]"
@@ -77,11 +77,6 @@ PHRASES = (
     "follow us on",
 )
 NOTICE = "(" + "|".join(PHRASES) + ")"
-UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
-
-
-def _length_of(text: Column, without: str) -> Column:
-    return F.char_length(F.translate(text, without, ""))
 
 
 def _words(text: Column) -> Column:
@@ -90,28 +85,33 @@ def _words(text: Column) -> Column:
     return F.when(F.length(bare) > 0, F.split(bare, SPACE_RUN)).otherwise(F.array().cast("array<string>"))
 
 
-def line_rule(line: Column) -> Column:
-    """Name of the first rule that a line fails; null for good and for blank lines."""
-    plain = F.translate(line, UPPER, LOWER)
-    words = _words(plain)
-    chars, n = _length_of(line, SPACES), F.size(words)
-    symbols = F.char_length(line) - _length_of(line, SYMBOLS)
+def _without(text: Column, kept: str) -> Column:
+    """Characters of a text that the character class ``kept`` names, counted."""
+    return F.char_length(F.regexp_replace(text, f"[^{kept}]+", ""))
+
+
+def line_rule(x: Column) -> Column:
+    """Name of the first rule that a line fails; null for good and for blank lines.
+
+    ``x`` has the line, its words, and how many characters and symbols they hold. Cheap tests come
+    first: most lines need no count of letters and no search for phrases.
+    """
+    line, n = x["line"], F.size(x["words"])
+    doubled = [F.contains(line, F.lit(a + b)) for a in "!?" for b in "!?"]
     runs = F.char_length(line) - F.char_length(F.regexp_replace(line, MARK_RUNS, ""))
-    upper = F.regexp_count(line, F.lit(r"\p{Lu}"))
-    letters = F.regexp_count(line, F.lit(r"\p{L}"))
+    marks = x["symbols"] + F.when(reduce(lambda a, b: a | b, doubled), runs).otherwise(0)
     punctuation = (
-        (100 * (symbols + runs) > LINE_SYMBOLS * chars)
+        (100 * marks > LINE_SYMBOLS * x["chars"])
         | ~line.rlike(r"[\p{L}\p{N}]")
         | ((n >= UNPUNCTUATED) & ~line.rlike(MARKS))
     )
-    navigation = (
-        ((n <= SHORT_LINE) & line.rlike(ALONE))
-        | F.forall(words, lambda w: w.isin(MENU))
-        | ((letters >= CAPTION_LETTERS) & (100 * upper > CAPITALS * letters))
-    )
-    boilerplate = (n <= NOTICE_LINE) & plain.rlike(NOTICE)
+    upper = _without(line, r"\p{Lu}")
+    letters = _without(line, r"\p{L}")
+    capitals = (100 * upper > CAPITALS * CAPTION_LETTERS) & (letters >= CAPTION_LETTERS) & (100 * upper > CAPITALS * letters)
+    navigation = ((n <= SHORT_LINE) & line.rlike(ALONE)) | F.forall(x["words"], lambda w: F.lower(w).isin(MENU)) | capitals
+    boilerplate = (n <= NOTICE_LINE) & F.lower(line).rlike(NOTICE)
     return (
-        F.when(chars == 0, F.lit(None).cast("string"))
+        F.when(x["chars"] == 0, F.lit(None).cast("string"))
         .when(punctuation, F.lit("punctuation"))
         .when(navigation, F.lit("navigation"))
         .when(boilerplate, F.lit("boilerplate"))
@@ -128,22 +128,29 @@ def _head(a: Column, k: int) -> Column:
     return F.slice(a, 1, F.greatest(F.size(a) - k, F.lit(0)))
 
 
-def _repeated_words(words: Column, prints: Column) -> Column:
-    """Words inside windows that occur twice or more, from the windows' prints in order of position."""
-    placed = F.sort_array(F.transform(prints, lambda h, i: F.struct(h.alias("h"), i.alias("p"))))
+def _with_repeats(rows: DataFrame) -> DataFrame:
+    """Add ``n_repeat_words``: words inside windows that occur twice or more, from ``words`` and the windows' ``prints``.
+
+    Step by step, so that no step is computed twice; texts without equal prints have empty lists.
+    """
+    repeats = F.size(F.array_distinct("prints")) < F.size("prints")
+    placed = F.sort_array(F.transform("prints", lambda h, i: F.struct(h.alias("h"), i.alias("p"))))
+    rows = rows.withColumn("placed", F.when(repeats, placed).otherwise(F.array().cast("array<struct<h:bigint,p:int>>")))
 
     def equal(a, b):
-        return (a["h"] == b["h"]) & (F.slice(words, a["p"] + 1, WINDOW) == F.slice(words, b["p"] + 1, WINDOW))
+        same = F.slice("words", a["p"] + 1, WINDOW) == F.slice("words", b["p"] + 1, WINDOW)
+        return (a["h"] == b["h"]) & same
 
+    rows = rows.withColumn("as_next", F.zip_with(_head(F.col("placed"), 1), _tail(F.col("placed"), 1), equal))
     no = F.array(F.lit(False))
-    as_next = F.zip_with(_head(placed, 1), _tail(placed, 1), equal)
-    twice = F.zip_with(F.concat(no, as_next), F.concat(as_next, no), lambda a, b: a | b)
-    found = F.zip_with(placed, twice, lambda x, t: F.when(t, x["p"]))
-    at = F.sort_array(F.filter(found, lambda p: p.isNotNull()))
+    twice = F.zip_with(F.concat(no, "as_next"), F.concat("as_next", no), lambda a, b: a | b)
+    found = F.zip_with("placed", twice, lambda x, t: F.when(t, x["p"]))
+    rows = rows.withColumn("at", F.sort_array(F.filter(found, lambda p: p.isNotNull())))
     # A window covers its words up to the next window that was found.
-    steps = F.zip_with(_head(at, 1), _tail(at, 1), lambda a, b: F.least(b - a, F.lit(WINDOW)))
+    steps = F.zip_with(_head(F.col("at"), 1), _tail(F.col("at"), 1), lambda a, b: F.least(b - a, F.lit(WINDOW)))
     covered = F.aggregate(steps, F.lit(0).cast("long"), lambda total, s: total + s) + WINDOW
-    return F.when(F.size(at) > 0, covered).otherwise(F.lit(0).cast("long"))
+    covered = F.when(F.size("at") > 0, covered).otherwise(F.lit(0)).cast("long")
+    return rows.withColumn("n_repeat_words", covered).drop("placed", "as_next", "at")
 
 
 def judge(docs: DataFrame) -> DataFrame:
@@ -152,42 +159,50 @@ def judge(docs: DataFrame) -> DataFrame:
     (doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed, kept, n_lines,
     n_removed_lines, removed_chars, rules, cleaned): ``rules`` has one entry per line, null if it stays.
     """
-    text = F.coalesce(F.col("text").cast("string"), F.lit(""))
-    rows = docs.select("doc_id", F.col("text").cast("string").alias("raw"), text.alias("text"))
-    rows = rows.select(
-        "doc_id", "raw", "text", _words(F.col("text")).alias("words"), F.split("text", "\n", -1).alias("lines")
+    lines = F.split(F.coalesce(F.col("text").cast("string"), F.lit("")), "\n", -1)
+    rows = docs.select("doc_id", F.col("text").isNull().alias("absent"), lines.alias("lines"))
+    # Every line is split into words once; the words of the text are those of its lines.
+    cut = F.transform("lines", lambda x: F.struct(x.alias("line"), _words(x).alias("words")))
+    rows = rows.select("doc_id", "absent", cut.alias("lines"))
+    measured = F.transform(
+        "lines",
+        lambda x: F.struct(
+            x["line"].alias("line"),
+            x["words"].alias("words"),
+            F.char_length(F.array_join(x["words"], "")).cast("long").alias("chars"),
+            F.regexp_count(x["line"], F.lit(SYMBOL)).cast("long").alias("symbols"),
+        ),
     )
+    rows = rows.select("doc_id", "absent", measured.alias("lines"))
+    rows = rows.withColumn("words", F.flatten(F.transform("lines", lambda x: x["words"])))
     # Prints of windows of 2, 4 and 8 words, each from two neighbours of the one before.
     rows = rows.withColumn("prints", F.transform("words", lambda w: F.xxhash64(w)))
     for k in (1, 2, 4):
         pair = F.zip_with(_head(F.col("prints"), k), _tail(F.col("prints"), k), lambda a, b: F.xxhash64(a, b))
         rows = rows.withColumn("prints", pair)
-    filled = F.filter("lines", lambda x: x.rlike(WORD_CHAR))
-    rows = rows.select(
-        "doc_id",
-        "raw",
-        "text",
-        "words",
-        "prints",
-        F.transform("lines", lambda x: F.struct(x.alias("line"), line_rule(x).alias("rule"))).alias("judged"),
-        (F.size(filled) - F.size(F.array_distinct(filled))).cast("long").alias("n_dup_lines"),
-        F.size(filled).cast("long").alias("n_lines"),
-    )
-    bad = F.filter("judged", lambda x: x["rule"].isNotNull())
-    good = F.filter("judged", lambda x: x["rule"].isNull())
-    repeats = F.size(F.array_distinct("prints")) < F.size("prints")
+    rows = _with_repeats(rows)
+    judged = F.transform("lines", lambda x: F.struct(*[x[c].alias(c) for c in ("line", "chars", "symbols")], line_rule(x).alias("rule")))
+    rows = rows.select("doc_id", "absent", F.size("words").cast("long").alias("n_words"), "n_repeat_words", judged.alias("lines"))
+
+    def total(lines: Column, of: str) -> Column:
+        return F.aggregate(lines, F.lit(0).cast("long"), lambda done, x: done + x[of])
+
+    filled = F.transform(F.filter("lines", lambda x: x["chars"] > 0), lambda x: x["line"])
+    bad = F.filter("lines", lambda x: x["rule"].isNotNull())
+    good = F.filter("lines", lambda x: x["rule"].isNull())
+    rows = rows.withColumns({"filled": filled, "bad": bad})
     rows = rows.select(
         "doc_id",
-        F.size("words").cast("long").alias("n_words"),
-        _length_of(F.col("text"), SPACES).cast("long").alias("word_chars"),
-        (F.char_length("text") - _length_of(F.col("text"), SYMBOLS)).cast("long").alias("n_symbols"),
-        "n_dup_lines",
-        F.when(repeats, _repeated_words(F.col("words"), F.col("prints"))).otherwise(F.lit(0)).cast("long").alias("n_repeat_words"),
-        "n_lines",
-        F.size(bad).cast("long").alias("n_removed_lines"),
-        F.aggregate(bad, F.lit(0).cast("long"), lambda total, x: total + _length_of(x["line"], SPACES)).alias("removed_chars"),
-        F.transform("judged", lambda x: x["rule"]).alias("rules"),
-        F.when(F.col("raw").isNotNull(), F.array_join(F.transform(good, lambda x: x["line"]), "\n")).alias("cleaned"),
+        "n_words",
+        total(F.col("lines"), "chars").alias("word_chars"),
+        total(F.col("lines"), "symbols").alias("n_symbols"),
+        (F.size("filled") - F.size(F.array_distinct("filled"))).cast("long").alias("n_dup_lines"),
+        "n_repeat_words",
+        F.size("filled").cast("long").alias("n_lines"),
+        F.size("bad").cast("long").alias("n_removed_lines"),
+        total(F.col("bad"), "chars").alias("removed_chars"),
+        F.transform("lines", lambda x: x["rule"]).alias("rules"),
+        F.when(~F.col("absent"), F.array_join(F.transform(good, lambda x: x["line"]), "\n")).alias("cleaned"),
     )
     failed = (F.col("n_words") < MIN_WORDS) | (100 * F.col("n_repeat_words") > MAX_REPEATED * F.col("n_words"))
     rows = rows.withColumn("base_failed", failed)
@@ -212,7 +227,7 @@ def _sql() -> str:
 
     symbols = quoted(SYMBOLS)
     words = "list_filter(regexp_split_to_array({}, '[\\x20\\x09-\\x0D]+'), lambda x: x <> '')"
-    plain = f"translate(l, '{UPPER}', '{LOWER}')"
+    plain = "lower(l)"
     runs = f"length(l) - length(regexp_replace(l, {quoted(MARK_RUNS)}, '', 'g'))"
     upper, letters = "len(regexp_extract_all(l, '\\p{Lu}'))", "len(regexp_extract_all(l, '\\p{L}'))"
     tests = {
