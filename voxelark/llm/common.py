@@ -14,7 +14,7 @@ from voxelark.functions.sizing import shared_dir
 #: Bytes of text a Python helper turns into arrays at a time; bounds the memory of a worker.
 SLICE_BYTES = 1 << 19
 #: Bytes of rows handed to a Python worker at a time; Spark's own bound suits short rows, not whole texts.
-BATCH_BYTES = 4 << 20
+BATCH_BYTES = 1 << 20
 BATCH_CONF = "spark.sql.execution.arrow.maxBytesPerBatch"
 
 

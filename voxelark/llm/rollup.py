@@ -10,9 +10,9 @@ Commits are idempotent. A batch counts only once it is complete (Spark's success
 marker, written last by the job that wrote it); committing an id again changes
 nothing, and the part files of a failed attempt are overwritten by the next one.
 
-
 Null sources and languages are groups of their own. A null text is a document without
-tokens. Groups whose changes cancel out have no total. Repeated rows count repeatedly.
+tokens. Groups whose changes cancel out have no total. Repeated rows count repeatedly. An empty table has
+no totals, texts may have any length, and extra columns are ignored, whatever their names.
 """
 
 from __future__ import annotations
@@ -20,12 +20,13 @@ from __future__ import annotations
 import base64
 import uuid
 from collections.abc import Iterator
+from functools import lru_cache
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from voxelark.functions.sizing import shared_dir
+from voxelark.functions.sizing import attach, shared_dir
 from voxelark.llm.common import slices, stored, table
 
 KEYS = ["source", "lang", "tokenizer"]
@@ -82,31 +83,56 @@ def revisions(counts: DataFrame, old: str, old_tokenizer: str, new: str, new_tok
     return deletes(counts, old, old_tokenizer).unionByName(inserts(counts, new, new_tokenizer))
 
 
+@lru_cache(maxsize=1)
+def _encoder(lines: bytes, pattern: str):
+    """The encoder of a worker process; later tasks of the process find it ready."""
+    import tiktoken
+
+    ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, lines.splitlines())}
+    return tiktoken.Encoding("rollup", pat_str=pattern, mergeable_ranks=ranks, special_tokens={})
+
+
 def token_counts(docs: DataFrame, ranks_path: str, pattern: str) -> DataFrame:
-    """(doc_id, source, lang, text_print, estimate, n_tokens) of every document."""
+    """(doc_id, source, lang, mark, estimate, n_tokens) of every document; ``mark`` tells rows of one id by their text.
+
+    The ranks reach the workers as a broadcast of a file of fixed size (below 1 MB for 50,000 tokens).
+    """
     with open(ranks_path, "rb") as f:
-        lines = f.read()
+        lines = docs.sparkSession.sparkContext.broadcast(f.read())
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        import tiktoken
-
-        ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, lines.splitlines())}
-        encoder = tiktoken.Encoding("rollup", pat_str=pattern, mergeable_ranks=ranks, special_tokens={})
+        encoder = _encoder(lines.value, pattern)
         for batch in slices(batches):
             texts = batch.column(batch.schema.get_field_index("text")).to_pylist()
             n = [len(encoder.encode_ordinary(t)) if t else 0 for t in texts]
-            rest = batch.select(["doc_id", "source", "lang", "text_print", "estimate"])
+            rest = batch.select(["doc_id", "source", "lang", "mark", "estimate"])
             yield pa.RecordBatch.from_arrays([*rest.columns, pa.array(n, pa.int64())], names=[*rest.schema.names, "n_tokens"])
 
     rows = docs.select(
         F.col("doc_id").cast("long").alias("doc_id"),
         F.col("source").cast("string").alias("source"),
         F.col("lang").cast("string").alias("lang"),
-        F.sha2("text", 256).alias("text_print"),
+        F.xxhash64("text").alias("mark"),
         F.ceil(F.coalesce(F.octet_length("text"), F.lit(0)) / 4).cast("long").alias("estimate"),
         "text",
     )
-    return rows.mapInArrow(run, "doc_id long, source string, lang string, text_print string, estimate long, n_tokens long")
+    return rows.mapInArrow(run, "doc_id long, source string, lang string, mark long, estimate long, n_tokens long")
+
+
+def later_copies(docs: DataFrame) -> DataFrame:
+    """(doc_id, mark): rows whose text is that of a row with a smaller doc_id.
+
+    Groups of equal texts are reduced to their smallest id before the shuffle, and only groups with
+    two ids are joined back, by measured size and with hot texts salted.
+    """
+    prints = docs.select(
+        F.col("doc_id").cast("long").alias("doc_id"),
+        F.xxhash64("text").alias("mark"),
+        F.unhex(F.sha2("text", 256)).alias("text_print"),
+    )
+    prints = prints.filter("doc_id is not null and text_print is not null")
+    groups = prints.groupBy("text_print").agg(F.min("doc_id").alias("first"), F.max("doc_id").alias("last")).filter("first < last")
+    return attach(prints, groups, ["text_print"], "inner", "copies").filter("doc_id > first").select("doc_id", "mark")
 
 
 def rollup_query(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -115,8 +141,8 @@ def rollup_query(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     docs = table(spark, sf_dir, "documents")
     counts, _ = stored(token_counts(docs, public_tokenizers.path(f"{TOKENIZER}.tiktoken"), public_tokenizers.PATTERN), "token-counts")
-    first = counts.filter("text_print is not null").groupBy("text_print").agg(F.min("doc_id").alias("first"))
-    copies = counts.join(first, "text_print").filter("doc_id > first")
+    gone = later_copies(docs).distinct().withColumn("gone", F.lit(True))
+    copies = attach(counts, gone, ["doc_id", "mark"], "inner", "gone")
     rollup = TokenRollup(spark, f"{shared_dir(spark)}/voxelark-llm/rollup-{uuid.uuid4().hex}")
     rollup.commit("load", inserts(counts, "estimate", "quarter_bytes"))
     rollup.commit("revise", revisions(counts, "estimate", "quarter_bytes", "n_tokens", TOKENIZER))
