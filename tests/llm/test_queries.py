@@ -31,10 +31,10 @@ def test_rollup_query(spark):
 
 def cut_text(page):
     """Main text by trying all labels of a page's blocks; None for pages of many blocks."""
-    found = html.blocks_of(page or "")
+    found, made = html.blocks_of(page or "")
     if len(found) > 12:
         return None
-    content, boilerplate = html.costs(found)
+    content, boilerplate = html.costs(found, made)
     joined = html.edges(found)
 
     def cost(side):

@@ -19,7 +19,7 @@ from __future__ import annotations
 
 import html
 import re
-from collections import deque
+from collections import Counter, deque
 from collections.abc import Iterator
 
 import pyarrow as pa
@@ -36,7 +36,7 @@ _BLOCKS = frozenset(
 _VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 _RAW = "script|style|noscript|template|textarea|iframe|title"
 #: Dropped with what they hold if they are closed.
-_DRAWN = "svg|annotation|annotation-xml"
+_DRAWN = {name: re.compile(rf"</{name}\s*>", re.I) for name in ("svg", "annotation", "annotation-xml")}
 _AWAY = frozenset("nav footer aside menu dialog button select search header option".split())
 _FORMS = frozenset(("form", "fieldset"))
 _HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
@@ -50,7 +50,6 @@ _AWAY_NAMES = frozenset(
 )
 _TOKEN = re.compile(
     r"<!--.*?(?:-->|\Z)|<[!?][^>]*>|<(?P<raw>" + _RAW + r")\b(?:\"[^\"]*\"|'[^']*'|[^'\">])*>(?:.*?)(?:</(?P=raw)\s*>|\Z)"
-    r"|<(?P<drawn>" + _DRAWN + r")(?=[\s/>])(?:\"[^\"]*\"|'[^']*'|[^'\">])*(?:(?<=/)>|>.*?</(?P=drawn)\s*>)"
     r"|<(?P<end>/?)(?P<name>[a-zA-Z][^\s/>]*)(?P<attrs>(?:\"[^\"]*\"|'[^']*'|[^'\">])*)>|<(?=/?[a-zA-Z])[^>]*(?:>|\Z)",
     re.S | re.I,
 )
@@ -68,20 +67,20 @@ ADJACENT, SIBLING = 0.4, 0.8
 class Mark:
     """An element whose name, or being a form, speaks for boilerplate: a cost, no verdict."""
 
-    __slots__ = ("weight", "holds")
+    __slots__ = ("weight", "holds", "around", "prose", "inside", "cost")
 
-    def __init__(self, weight: float):
-        # Whether an <article> or <main> stands in the element.
-        self.weight, self.holds = weight, False
+    def __init__(self, weight: float, around: Mark | None):
+        # The next such element around this one; whether an <article> or <main> stands in the element.
+        self.weight, self.around, self.holds = weight, around, False
 
 
 class Block:
     """Text of a block with what the classifier needs."""
 
-    __slots__ = ("parts", "linked", "away", "inside", "heading", "parent", "text", "marks")
+    __slots__ = ("parts", "linked", "away", "inside", "heading", "parent", "text", "mark")
 
-    def __init__(self, away: bool, inside: bool, heading: bool, parent: int, marks: tuple[Mark, ...] = ()):
-        self.parts, self.linked, self.marks = [], 0, marks
+    def __init__(self, away: bool, inside: bool, heading: bool, parent: int, mark: Mark | None = None):
+        self.parts, self.linked, self.mark = [], 0, mark
         self.away, self.inside, self.heading, self.parent = away, inside, heading, parent
 
 
@@ -118,12 +117,16 @@ def _named(name: str, attrs: str, inside: bool) -> float:
     return found
 
 
-def blocks_of(page: str) -> list[Block]:
-    """The non-empty blocks of a page in order."""
+def blocks_of(page: str) -> tuple[list[Block], list[Mark]]:
+    """The non-empty blocks of a page in order, and its marks, outer ones before those inside."""
     found: list[Block] = []
-    # name, away, inside, heading, id, marks
-    stack: list[tuple[str, bool, bool, bool, int, tuple[Mark, ...]]] = [("", False, False, False, 0, ())]
+    made: list[Mark] = []
+    # name, away, inside, heading, id, innermost mark
+    stack: list[tuple[str, bool, bool, bool, int, Mark | None]] = [("", False, False, False, 0, None)]
     ids, links, block, at = 0, 0, None, 0
+    # Open elements by name, so that stray end tags cost nothing; drawings of which no end follows.
+    opened: Counter[str] = Counter()
+    unclosed: set[str] = set()
 
     def add(raw: str) -> None:
         nonlocal block
@@ -145,7 +148,11 @@ def blocks_of(page: str) -> list[Block]:
                 found.append(block)
             block = None
 
-    for m in _TOKEN.finditer(page):
+    def cut(k: int) -> None:
+        opened.subtract(s[0] for s in stack[k:])
+        del stack[k:]
+
+    while m := _TOKEN.search(page, at):
         if m.start() > at:
             add(page[at : m.start()])
         at = m.end()
@@ -153,6 +160,13 @@ def blocks_of(page: str) -> list[Block]:
         if name is None:
             continue
         name = name.lower()
+        if name in _DRAWN and not m["end"] and name not in unclosed:
+            if m["attrs"].endswith("/"):
+                continue
+            if end := _DRAWN[name].search(page, at):
+                at = end.end()
+                continue
+            unclosed.add(name)
         if name == "br":
             add(" ")
         elif name == "a":
@@ -165,72 +179,74 @@ def blocks_of(page: str) -> list[Block]:
         ):
             close()
             if m["end"]:
-                for k in range(len(stack) - 1, 0, -1):
-                    if stack[k][0] == name:
-                        del stack[k:]
-                        break
+                if opened[name]:
+                    cut(next(k for k in range(len(stack) - 1, 0, -1) if stack[k][0] == name))
                 continue
             if name in _VOID:
                 continue
-            while len(stack) > 1 and (stack[-1][0] in ("p", "h1", "h2", "h3", "h4", "h5", "h6") or (name == "li" == stack[-1][0])):
-                stack.pop()
+            while len(stack) > 1 and (stack[-1][0] in _HEADINGS or stack[-1][0] == "p" or (name == "li" == stack[-1][0])):
+                cut(len(stack) - 1)
             if name in ("article", "main"):
                 links = 0
-                for k in range(1, len(stack)):
-                    if stack[k][0] in _SECTIONS:
-                        del stack[k:]
-                        break
+                if any(opened[section] for section in _SECTIONS):
+                    cut(next(k for k in range(1, len(stack)) if stack[k][0] in _SECTIONS))
             top, ids = stack[-1], ids + 1
-            if name in ("article", "main"):
-                for mark in top[5]:
-                    mark.holds = True
-            weight = _named(name, m["attrs"], top[2])
-            marks = (*top[5], Mark(weight)) if weight else top[5]
+            mark = top[5]
+            if name in ("article", "main") and mark:
+                mark.holds = True
+            if weight := _named(name, m["attrs"], top[2]):
+                mark = Mark(weight, mark)
+                made.append(mark)
             inside = top[2] or name in ("article", "main")
-            stack.append((name, top[1] or _away(name, m["attrs"], top[2]), inside, name in ("h1", "h2", "h3"), ids, marks))
-        elif m["end"] and any(s[0] == name for s in stack[1:]):
+            stack.append((name, top[1] or _away(name, m["attrs"], top[2]), inside, name in ("h1", "h2", "h3"), ids, mark))
+            opened[name] += 1
+        elif m["end"] and opened[name]:
             close()
-            while stack.pop()[0] != name:
-                pass
+            cut(next(k for k in range(len(stack) - 1, 0, -1) if stack[k][0] == name))
     if at < len(page):
         add(page[at:])
     close()
-    return found
+    return found, made
 
 
-def marked_costs(found: list[Block], prose: list[float]) -> list[float]:
+def marked_costs(found: list[Block], made: list[Mark], prose: list[float]) -> list[float]:
     """Cost of calling each block content that the marks around it make.
 
     A mark loses weight as the element holds more of the page's prose, and all of it if
     it holds the only <article> or <main> with prose and half of the page's prose.
     """
     total = articles = 0.0
-    below: dict[int, list[float]] = {}
+    for mark in made:
+        mark.prose = mark.inside = 0.0
     for b, n in zip(found, prose):
         if b.away:
             continue
         total, articles = total + n, articles + n * b.inside
-        for mark in b.marks:
-            sums = below.setdefault(id(mark), [0.0, 0.0])
-            sums[0] += n
-            sums[1] += n * b.inside
-
-    def weight(mark: Mark) -> float:
-        under, inside = below.get(id(mark), (0.0, 0.0))
-        if mark.holds and inside >= articles and 2 * under >= total:
-            return 0.0
-        return mark.weight * (min(1.0, (total - under) / (ELSEWHERE * under)) if under else 1.0)
-
-    weights = {id(mark): weight(mark) for b in found for mark in b.marks}
-    return [max((weights[id(mark)] for mark in b.marks), default=0.0) for b in found]
-
-
-def costs(found: list[Block]) -> tuple[list[float], list[float]]:
+        if b.mark:
+            b.mark.prose += n
+            b.mark.inside += n * b.inside
+    # Inner marks come after those around them: one pass back adds up what they hold.
+    for mark in reversed(made):
+        if around := mark.around:
+            around.prose += mark.prose
+            around.inside += mark.inside
+            around.holds |= mark.holds
+    for mark in made:
+        under = mark.prose
+        if mark.holds and mark.inside >= articles and 2 * under >= total:
+            own = 0.0
+        else:
+            own = mark.weight * (min(1.0, (total - under) / (ELSEWHERE * under)) if under else 1.0)
+        mark.cost = max(own, mark.around.cost if mark.around else 0.0)
+    return [b.mark.cost if b.mark else 0.0 for b in found]
+
+
+def costs(found: list[Block], made: list[Mark]) -> tuple[list[float], list[float]]:
     """Capacities to the content and the boilerplate terminal."""
     counts = [len(b.text.split()) for b in found]
     density = [min(1.0, b.linked / max(1, sum(map(len, b.parts)))) for b in found]
     free = [n * (1 - d) for n, d in zip(counts, density)]
-    marks = marked_costs(found, [f if f >= PROSE else 0.0 for f in free])
+    marks = marked_costs(found, made, [f if f >= PROSE else 0.0 for f in free])
     # Full weight only if <article> and <main> hold half of the unlinked words.
     within = sum(f for b, f in zip(found, free) if b.inside and not b.away)
     there = sum(f for b, f, mark in zip(found, free, marks) if not b.away and (b.inside or mark < LEADING))
@@ -341,10 +357,10 @@ def main_text(page: str | None) -> str:
     """Content blocks of a page in order, joined by blank lines."""
     if not page:
         return ""
-    found = blocks_of(page)
+    found, made = blocks_of(page)
     if not found:
         return ""
-    content, boilerplate = costs(found)
+    content, boilerplate = costs(found, made)
     keep = minimum_cut(content, boilerplate, edges(found))
     return "\n\n".join(b.text for b, k in zip(found, keep) if k)
 
