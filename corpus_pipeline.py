@@ -2,6 +2,11 @@
 
 Each stage reads what the one before wrote. All but the last return the columns
 of ``documents``; a stage either drops rows or rewrites ``text`` (and ``n_chars`` with it).
+
+An empty table passes through all stages. Rows without a text have no language and go in the first
+stage. Rows without an id are kept wherever a decision rests on ids. Repeated rows of an id stay or go
+together, texts may have any length, and of near duplicates the smallest id stays. Columns beyond
+those of ``documents`` are left out.
 """
 
 from __future__ import annotations

@@ -18,7 +18,10 @@ leave it. A larger benchmark takes a shuffle join of hashes.
 
 Items of fewer than MIN_WORDS words overlap where all their words stand in a document in
 order; each length that occurs is one more seed. Null and empty texts have no overlap.
-Repeated documents or items give their own rows; extra columns are ignored.
+Documents and items are known by their ids: repeated rows of an id are one document, whose best
+stretch with an item is kept; rows without an id are in no result and stay when cleaning. Of
+equally good stretches the shortest counts. Empty tables give no rows, texts may have any length, and
+extra columns are ignored, whatever their names.
 """
 
 from __future__ import annotations
@@ -31,9 +34,6 @@ from voxelark.llm.common import table
 
 #: Every overlap is hit by one of these; to be checked again (tests) if MIN_WORDS or MIN_SHARE change.
 SEEDS = ("11111", "110111")
-#: Masks of the checking SQL.
-MASKS = ("110111011011", "101101110111", "111101101101")
-SPAN = 12
 MIN_WORDS = 12
 MIN_SHARE = 0.8
 
@@ -154,30 +154,37 @@ def decontamination_query(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _sql() -> str:
+    """Every aligned word of every diagonal with a hit, and every stretch of it."""
     words = "regexp_split_to_array(trim(regexp_replace(lower(text), '[^\\p{L}\\p{N}]+', ' ', 'g')), ' ')"
-    seeds_of = " UNION ALL ".join(
-        f"SELECT id, pos, {k} AS mask, concat_ws(' ', {', '.join(f'words[pos + {i + 1}]' for i, b in enumerate(m) if b == '1')}) AS seed FROM {{0}}"
-        for k, m in enumerate(MASKS)
+    seed = " UNION ALL ".join(
+        f"SELECT id, pos, '{m}' || concat_ws(' ', {', '.join(f'ws[pos + {i + 1}]' for i, b in enumerate(m) if b == '1')}) AS seed "
+        f"FROM {{0}} WHERE pos + {len(m)} <= len(ws) AND len(ws) >= {MIN_WORDS}"
+        for m in SEEDS
     )
-    part = (
-        "{0} AS (SELECT id, words, unnest(range(len(words) - {2})) AS pos FROM "
-        "(SELECT {3} AS id, {4} AS words FROM {1} WHERE text IS NOT NULL))"
-    )
-    at = ", ".join(part.format(a, b, SPAN - 1, c, words) for a, b, c in (("d", "documents", "doc_id"), ("i", "benchmark", "item_id")))
+    part = "{0} AS (SELECT {2} AS id, list_filter({3}, lambda w: w <> '') AS ws FROM {1} WHERE text IS NOT NULL)"
+    at = ", ".join(part.format(a, b, c, words) for a, b, c in (("d", "documents", "doc_id"), ("i", "benchmark", "item_id")))
     return f"""
 WITH {at},
-ds AS ({seeds_of.format('d')}), bs AS ({seeds_of.format('i')}),
-spots AS (
-  SELECT ds.id AS doc_id, bs.id AS item_id, ds.pos - bs.pos AS shift, min(bs.pos) AS lo, max(bs.pos) + {SPAN} AS hi
-  FROM ds JOIN bs USING (mask, seed) GROUP BY ALL),
-dw AS (SELECT DISTINCT id AS doc_id, words AS dw FROM d), iw AS (SELECT DISTINCT id AS item_id, words AS iw FROM i),
-judged AS (
-  SELECT doc_id, item_id, hi - lo AS n_aligned,
-         len(list_filter(range(lo, hi), lambda k: dw[k + shift + 1] = iw[k + 1])) AS n_equal
-  FROM spots JOIN dw USING (doc_id) JOIN iw USING (item_id)),
-best AS (
-  SELECT *, row_number() OVER (PARTITION BY doc_id, item_id ORDER BY n_equal DESC, n_aligned) AS r FROM judged
-  WHERE n_equal >= {MIN_WORDS} AND n_equal >= {MIN_SHARE} * n_aligned)
+dp AS (SELECT id, ws, unnest(range(len(ws))) AS pos FROM d), ip AS (SELECT id, ws, unnest(range(len(ws))) AS pos FROM i),
+ds AS ({seed.format('dp')}), bs AS ({seed.format('ip')}),
+spots AS (SELECT DISTINCT ds.id AS doc_id, bs.id AS item_id, ds.pos - bs.pos AS shift FROM ds JOIN bs USING (seed)),
+aligned AS (
+  SELECT doc_id, item_id, shift, unnest(range(len(iw.ws))) AS k, dw.ws AS dws, iw.ws AS iws
+  FROM spots JOIN d dw ON dw.id = doc_id JOIN i iw ON iw.id = item_id
+), equal AS (
+  SELECT doc_id, item_id, shift, k, dws[k + shift + 1] = iws[k + 1] AS same FROM aligned WHERE k + shift BETWEEN 0 AND len(dws) - 1
+), sums AS (
+  SELECT *, sum(CASE WHEN same THEN 1 ELSE 0 END) OVER (PARTITION BY doc_id, item_id, shift ORDER BY k) AS c FROM equal
+), stretches AS (
+  SELECT a.doc_id, a.item_id, b.k - a.k + 1 AS n_aligned, b.c - a.c + 1 AS n_equal
+  FROM sums a JOIN sums b ON a.doc_id = b.doc_id AND a.item_id = b.item_id AND a.shift = b.shift AND a.k <= b.k AND a.same AND b.same
+  WHERE b.c - a.c + 1 >= {MIN_WORDS} AND b.c - a.c + 1 >= {MIN_SHARE} * (b.k - a.k + 1)
+  UNION ALL
+  SELECT d.id, i.id, len(i.ws), len(i.ws) FROM d JOIN i ON len(i.ws) BETWEEN 1 AND {MIN_WORDS - 1}
+    AND contains(' ' || array_to_string(d.ws, ' ') || ' ', ' ' || array_to_string(i.ws, ' ') || ' ')
+), best AS (
+  SELECT *, row_number() OVER (PARTITION BY doc_id, item_id ORDER BY n_equal DESC, n_aligned) AS r FROM stretches
+)
 SELECT doc_id, item_id, n_aligned::BIGINT AS n_aligned, n_equal::BIGINT AS n_equal FROM best WHERE r = 1
 """
 

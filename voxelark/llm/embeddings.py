@@ -16,7 +16,9 @@ count and a link towards the tile's component), never its pairs. Equal vectors a
 one class with a multiplicity and are not compared.
 
 Vectors that are null, zero, or hold null or non-finite components, rows with a null
-label or a null id link with nothing. Vectors of different lengths are not compared.
+label or a null id link with nothing; a row without an id has a null component and is kept.
+Vectors of different lengths are not compared. Repeated rows are vectors of their own and link
+with each other. An empty table gives no rows; extra columns are ignored, whatever their names.
 """
 
 from __future__ import annotations
@@ -179,7 +181,7 @@ def near_vectors(vectors: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
         "vec_id",
         F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links"),
         F.coalesce("component_id", "vec_id").alias("component_id"),
-    ).withColumn("kept", F.col("vec_id") == F.col("component_id"))
+    ).withColumn("kept", F.col("vec_id").eqNullSafe(F.col("component_id")))
 
 
 def embedding_query(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -15,7 +15,9 @@ is one number per language and feature, whatever the number of rows.
 
 A text that is null or has no letter is ``und`` with score 0. Rows with a null
 language are never trained on. Without any training row everything is ``und``.
-Repeated rows count repeatedly; extra columns are ignored.
+Repeated rows count repeatedly; extra columns are ignored, whatever their names. An empty table
+gives an empty result. Texts may have any length. Of languages with equal losses the first
+in order of name is chosen, and the decision is flagged as ambiguous.
 """
 
 from __future__ import annotations
@@ -157,8 +159,8 @@ def predict(rows: DataFrame, model: LanguageModel) -> DataFrame:
 
 
 def held_out():
-    """Documents that are never trained on."""
-    return F.crc32(F.col("doc_id").cast("string")) % 4 == 2
+    """Documents that are never trained on; one without an id has no remainder and is not held out."""
+    return F.coalesce(F.crc32(F.col("doc_id").cast("string")) % 4 == 2, F.lit(False))
 
 
 def language_query(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -21,8 +21,10 @@ Pairs inside one component are not looked for: they change no component. With 24
 bands of 4 a pair at similarity 0.8 shares no bucket with probability 3e-6.
 
 Null texts and texts without words have an empty set and are linked with nothing.
-Texts of fewer words than a shingle are one shingle. Rows without an id take no part
-and are not returned. A doc_id is a key; exact repeated rows count once.
+Texts of fewer words than a shingle are one shingle. A row without an id takes no part in
+any group: it is returned with a null component and kept. A doc_id is a key; exact
+repeated rows have equal results. An empty table gives no rows, texts may have any length,
+and extra columns are ignored, whatever their names.
 """
 
 from __future__ import annotations
@@ -125,7 +127,7 @@ def document_sets(docs: DataFrame, width: int) -> DataFrame:
                 names=["doc_id", "n_shingles", "print", "signature"],
             )
 
-    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").filter(F.col("doc_id").isNotNull())
+    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
     sets, _ = stored(rows.mapInArrow(run, "doc_id long, n_shingles long, print binary, signature binary"), "sets")
     return sets
 
@@ -280,10 +282,10 @@ def _tiles(
 
 
 def near_duplicates(docs: DataFrame, width: int, percent: int = 80) -> DataFrame:
-    """(doc_id, n_shingles, class_id, component_id, kept) of every document."""
+    """(doc_id, n_shingles, component_id, kept, class_id) of every document; class_id is the smallest with equal shingles."""
     sets = document_sets(docs, width)
     classes, _ = stored(
-        sets.filter("n_shingles > 0")
+        sets.filter("n_shingles > 0 and doc_id is not null")
         .groupBy("print")
         .agg(F.min(F.struct("doc_id", "signature", "n_shingles")).alias("c"))
         .select("print", F.col("c.doc_id").alias("rep"), "c.signature", "c.n_shingles"),
@@ -311,13 +313,16 @@ def near_duplicates(docs: DataFrame, width: int, percent: int = 80) -> DataFrame
     by_print = classes.join(labels, classes.rep == labels.node, "left").select(
         "print", "rep", F.coalesce("component", "rep").alias("component")
     )
-    by_doc = sets.select("doc_id", "n_shingles", "print").join(by_print, "print", "left")
+    known = F.when(F.col("doc_id").isNotNull(), F.col("print")).alias("print")
+    by_doc = sets.select("doc_id", "n_shingles", known).join(by_print, "print", "left")
+    component = F.coalesce("component", "doc_id")
     return by_doc.select(
         "doc_id",
         "n_shingles",
+        component.alias("component_id"),
+        F.col("doc_id").eqNullSafe(component).alias("kept"),
         F.coalesce("rep", "doc_id").alias("class_id"),
-        F.coalesce("component", "doc_id").alias("component_id"),
-    ).withColumn("kept", F.col("doc_id") == F.col("component_id"))
+    )
 
 
 def minhash_query(spark: SparkSession, sf_dir: str) -> DataFrame:

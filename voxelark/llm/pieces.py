@@ -12,7 +12,8 @@ anew, which costs repeated segmentation and changes nothing in the result.
 Nothing is shuffled: rows stay in the partition they were read in.
 
 Null and empty texts give no ids and an empty decoded text. Repeated rows give
-repeated results. Columns other than id and text are ignored, whatever their names.
+repeated results. Columns other than id and text are ignored, whatever their names. An empty table
+gives no rows; a text longer than a slice is a slice of its own.
 """
 
 from __future__ import annotations

@@ -13,7 +13,8 @@ hold about CELL_ROWS rows, whatever the sizes of the sources.
 
 Null sources form a stratum of their own. Null texts count 8 bytes and have a null
 checksum; equal or repeated rows are separate rows (ties are broken by doc_id, then
-checksum). Row counts of the shards differ by at most one. An empty table gives no rows.
+checksum). Row counts of the shards differ by at most one. An empty table gives no rows. Texts may
+have any length; columns beside those read may have any name.
 """
 
 from __future__ import annotations

@@ -13,7 +13,8 @@ A byte is removed if a string of SIZE bytes covering it also starts earlier, in
 doc_id or earlier in the same document. Strings never cross documents and are judged on
 the input. Null texts are empty; texts shorter than SIZE lose nothing; a text equal
 to that of a smaller doc_id is removed whole if it has SIZE bytes. Rows without doc_id
-lose nothing and are not compared. Repeated rows get equal results.
+lose nothing and are not compared. Repeated rows get equal results. An empty table gives no
+rows, texts may have any length, and columns beside doc_id and text may have any name.
 """
 
 from __future__ import annotations

@@ -11,7 +11,8 @@ occurrences are split further before they travel.
 A word is removed if a window that covers it also starts in a document of a smaller
 doc_id. Null texts have no words; texts of fewer than SIZE words lose nothing; a text
 equal to that of a smaller doc_id loses all its words if it has SIZE of them. Rows
-without doc_id lose nothing and are not compared. Repeated rows get equal results.
+without doc_id lose nothing and are not compared. Repeated rows get equal results. An empty
+table gives no rows, texts may have any length, and columns beside doc_id and text may have any name.
 """
 
 from __future__ import annotations
