@@ -136,7 +136,7 @@ def test_wide_zones_settle(spark, shape):
 
 def test_neighbourhoods(spark, array):
     data = cells(array)
-    for r in texture.neighbourhoods(levels_frame(spark, array), K).collect():
+    for r in texture.surroundings(levels_frame(spark, array), K).collect():
         p = (r["x"], r["y"], r["z"])
         near = [data[q] for q in neighbours(p) if q in data]
         assert (r["level"], r["n"], r["total"], r["same"]) == (data[p], len(near), sum(near), near.count(data[p]))

@@ -15,31 +15,25 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from voxelark.functions.columns import KEYS, col
+from voxelark.functions.columns import KEYS, col, number
 from voxelark.functions.sizing import attach, materialize
+from voxelark.operators.blocks import DIRECTIONS, pair_counts, run_pieces, surroundings
 from voxelark.operators.masks import XYZ, inside_mask
 from voxelark.operators.quantiles import grouped_quantiles
 from voxelark.operators.zones import zone_sizes
 
-# One of each opposite pair of the 26 neighbour directions, as (dx, dy, dz).
-DIRECTIONS = [
-    (dx, dy, dz)
-    for dz in (-1, 0, 1)
-    for dy in (-1, 0, 1)
-    for dx in (-1, 0, 1)
-    if (dz, dy, dx) > (0, 0, 0)
-]
-
-
 def roi_levels(
     voxels: DataFrame,
     mask: DataFrame | None = None,
     bin_width: float = 25.0,
     keys: Sequence[str] = KEYS,
 ) -> DataFrame:
-    """Region voxels with their grey level, counted from 1 at the region's minimum."""
+    """Region voxels with their grey level, counted from 1 at the region's minimum.
+
+    NULL and NaN voxels are missing: they belong to no region.
+    """
     keys = list(keys)
-    inside = inside_mask(voxels, mask, keys).filter(F.col("value").isNotNull())
+    inside = inside_mask(voxels, mask, keys).withColumn("value", number(F.col("value"))).filter(F.col("value").isNotNull())
     lowest = inside.groupBy(*keys).agg(F.floor(F.min("value") / bin_width).alias("__low"))
     rows = attach(inside, lowest, keys, "inner", "region-minimum")
     level = F.floor(F.col("value") / bin_width) - F.col("__low") + 1
@@ -110,69 +104,13 @@ def firstorder(
     )
 
 
-# ------------------------------------------------------------------- neighbours
-
-
-def neighbour_pairs(
-    levels: DataFrame, keys: Sequence[str] = KEYS, directions: Sequence[tuple[int, int, int]] = DIRECTIONS
-) -> DataFrame:
-    """Voxel pairs along each direction: ``keys, x, y, z, angle, dx, dy, dz, i, j``.
-
-    Each voxel announces its level at the places its neighbours would have and an
-    equi-join on coordinates keeps those inside the region.
-    """
-    keys = list(keys)
-    offsets = F.array(
-        *[
-            F.struct(F.lit(a).alias("angle"), F.lit(dx).alias("dx"), F.lit(dy).alias("dy"), F.lit(dz).alias("dz"))
-            for a, (dx, dy, dz) in enumerate(directions)
-        ]
-    )
-    sent = levels.select(*keys, *XYZ, F.col("level").alias("i"), F.inline(offsets))
-    sent = sent.select(
-        *keys, *[(F.col(a) + F.col(f"d{a}")).alias(a) for a in XYZ], "angle", "dx", "dy", "dz", "i"
-    )
-    here = levels.select(*keys, *XYZ, F.col("level").alias("j"))
-    return sent.join(here, [*keys, *XYZ])
-
-
-def neighbourhoods(levels: DataFrame, keys: Sequence[str] = KEYS) -> DataFrame:
-    """Per voxel: level, number of neighbours, their level sum, how many are equal."""
-    keys = list(keys)
-    pairs = neighbour_pairs(levels, keys)
-    same = F.when(F.col("i") == F.col("j"), 1).otherwise(0)
-    # Coordinates in a pair are those of the receiving voxel; the sender sits one step back.
-    ends = F.array(
-        F.struct(*[F.col(a).alias(a) for a in XYZ], F.col("i").alias("other"), same.alias("same")),
-        F.struct(
-            *[(F.col(a) - F.col(f"d{a}")).alias(a) for a in XYZ], F.col("j").alias("other"), same.alias("same")
-        ),
-    )
-    met = pairs.select(*keys, F.inline(ends)).select(
-        *keys, *XYZ, F.lit(None).cast("int").alias("level"), F.lit(1).alias("one"), "other", "same"
-    )
-    own = levels.select(
-        *keys, *XYZ, "level", F.lit(0).alias("one"), F.lit(0).alias("other"), F.lit(0).alias("same")
-    )
-    return (
-        own.unionByName(met)
-        .groupBy(*keys, *XYZ)
-        .agg(
-            F.max("level").alias("level"),
-            F.sum("one").alias("n"),
-            F.sum("other").alias("total"),
-            F.sum("same").alias("same"),
-        )
-    )
-
-
 # ------------------------------------------------------------------------- GLCM
 
 
 def cooccurrence(levels: DataFrame, keys: Sequence[str] = KEYS) -> DataFrame:
     """Symmetric, normalized level-pair matrix per direction: ``keys, angle, i, j, p``."""
     keys = list(keys)
-    counts = neighbour_pairs(levels, keys).groupBy(*keys, "angle", "i", "j").agg(F.count("*").alias("n"))
+    counts = pair_counts(levels, keys)
     both = F.array(
         F.struct(F.col("i").alias("a"), F.col("j").alias("b")),
         F.struct(F.col("j").alias("a"), F.col("i").alias("b")),
@@ -383,28 +321,24 @@ def dependence_features(near: DataFrame, keys: Sequence[str] = KEYS) -> DataFram
 
 
 def gldm(levels: DataFrame, keys: Sequence[str] = KEYS) -> DataFrame:
-    return dependence_features(neighbourhoods(levels, keys), keys)
+    return dependence_features(surroundings(levels, keys), keys)
 
 
 def runs(levels: DataFrame, keys: Sequence[str] = KEYS) -> DataFrame:
     """Maximal runs of equal level per direction: ``keys, angle, i, j (length), n``.
 
-    A voxel's line in a direction is named by where the line meets a coordinate
-    plane; along it, position minus rank is constant exactly within a run.
+    Blocks count the runs that end inside them. The pieces of longer lines are put together here:
+    for pieces that follow each other, position minus the lengths before it is the same.
     """
     keys = list(keys)
-    options = []
-    for angle, d in enumerate(DIRECTIONS):
-        main = next(a for a in range(3) if d[a] != 0)
-        t = F.col(XYZ[main]) * d[main]
-        start = [(F.col(a) - t * d[k]).cast("int").alias(f"b{a}") for k, a in enumerate(XYZ)]
-        options.append(F.struct(F.lit(angle).alias("angle"), t.cast("int").alias("t"), *start))
-    lines = levels.select(*keys, "level", F.inline(F.array(*options)))
-    line = [*keys, "angle", "bx", "by", "bz", "level"]
-    order = Window.partitionBy(*line).orderBy("t")
-    islands = lines.withColumn("__run", F.col("t") - F.row_number().over(order))
-    lengths = islands.groupBy(*line, "__run").agg(F.count("*").alias("j"))
-    return lengths.groupBy(*keys, "angle", F.col("level").alias("i"), "j").agg(F.count("*").alias("n"))
+    pieces = materialize(run_pieces(levels, keys), "run-pieces")
+    line = [*keys, "angle", "i", "px", "py", "pz"]
+    before = F.sum("j").over(Window.partitionBy(*line).orderBy("t")) - F.col("j")
+    islands = pieces.filter("t is not null").withColumn("__run", F.col("t") - before)
+    whole = islands.groupBy(*line, "__run").agg(F.sum("j").alias("j"))
+    closed = pieces.filter("t is null").select(*keys, "angle", "i", "j", "n")
+    both = closed.unionByName(whole.select(*keys, "angle", "i", "j", F.lit(1).cast("long").alias("n")))
+    return both.groupBy(*keys, "angle", "i", "j").agg(F.sum("n").alias("n"))
 
 
 def glrlm(levels: DataFrame, keys: Sequence[str] = KEYS) -> DataFrame:
@@ -429,6 +363,41 @@ def glszm(levels: DataFrame, keys: Sequence[str] = KEYS) -> DataFrame:
 COARSENESS_LIMIT = 1e6
 
 
+#: Pairs of levels compared together.
+_LEVEL_PAIRS = 1 << 20
+
+
+def level_pair_sums(level: Column, count: Column, difference: Column) -> Column:
+    """Struct of sums over all pairs of a region's levels, from arrays of each level's count and summed difference."""
+    shape = "contrast double, busy double, complexity double, strong double"
+    return F.pandas_udf(_level_pair_sums, shape)(level, count, difference)
+
+
+def _level_pair_sums(level: pd.Series, count: pd.Series, difference: pd.Series) -> pd.DataFrame:
+    """The sums of some regions.
+
+    Moments and ranks give three of them without looking at pairs. The fourth divides by the sum of
+    two shares; it takes the pairs in slices, so memory stays bounded.
+    """
+
+    def sums(i: np.ndarray, n: np.ndarray, s: np.ndarray) -> tuple:
+        p, size = n / n.sum(), len(i)
+        contrast = 2 * (p * (i - (p * i).sum()) ** 2).sum()
+        middle = i - i.mean()
+        strong = 2 * (p * (size * middle**2 + (middle**2).sum())).sum()
+        ranked = np.sort(i * p)
+        busy = 2 * (ranked * (2 * np.arange(1, size + 1) - size - 1)).sum()
+        complexity, step = 0.0, max(1, _LEVEL_PAIRS // size)
+        for k in range(0, size, step):
+            a = slice(k, k + step)
+            shared = ((p * s)[a, None] + (p * s)[None, :]) / (p[a, None] + p[None, :])
+            complexity += (np.abs(i[a, None] - i[None, :]) * shared).sum()
+        return contrast, busy, complexity, strong
+
+    found = [sums(*map(np.asarray, row)) for row in zip(level, count, difference)]
+    return pd.DataFrame(found, columns=["contrast", "busy", "complexity", "strong"])
+
+
 def tone_features(near: DataFrame, keys: Sequence[str] = KEYS) -> DataFrame:
     """Features of the difference between a voxel and its neighbours' mean."""
     keys = list(keys)
@@ -438,50 +407,29 @@ def tone_features(near: DataFrame, keys: Sequence[str] = KEYS) -> DataFrame:
         .groupBy(*keys, F.col("level").cast("double").alias("i"))
         .agg(F.count("*").alias("n"), F.sum(difference).alias("s"))
     )
-    whole = Window.partitionBy(*keys)
-    rows = table.withColumn("__nv", F.sum("n").over(whole)).withColumn("p", F.col("n") / F.col("__nv"))
-    # Levels of one region are few; pairs of them are folded inside the row.
-    packed = rows.groupBy(*keys).agg(
-        F.first("__nv").alias("__nv"),
+    packed = table.groupBy(*keys).agg(
+        F.sum("n").cast("double").alias("__nv"),
         F.count("*").alias("__ng"),
         F.sum("s").alias("__s"),
-        F.sum(F.col("p") * F.col("s")).alias("__ps"),
-        F.collect_list(F.struct("i", "p", "s")).alias("__l"),
-    )
-
-    def folded(pair) -> Column:
-        def inner(a):
-            return F.aggregate("__l", F.lit(0.0), lambda acc, b: acc + pair(a, b))
-
-        return F.aggregate("__l", F.lit(0.0), lambda acc, a: acc + inner(a))
-
-    def gap2(a, b):
-        return (a["i"] - b["i"]) * (a["i"] - b["i"])
-
-    sums = packed.select(
-        *keys,
-        "__nv", "__ng", "__s", "__ps",
-        folded(lambda a, b: a["p"] * b["p"] * gap2(a, b)).alias("__contrast"),
-        folded(lambda a, b: F.abs(a["i"] * a["p"] - b["i"] * b["p"])).alias("__busy"),
-        folded(
-            lambda a, b: F.abs(a["i"] - b["i"]) * (a["p"] * a["s"] + b["p"] * b["s"]) / (a["p"] + b["p"])
-        ).alias("__complex"),
-        folded(lambda a, b: (a["p"] + b["p"]) * gap2(a, b)).alias("__strong"),
+        (F.sum(F.col("n") * F.col("s")) / F.sum("n")).alias("__ps"),
+        F.collect_list(F.struct("i", "n", "s")).alias("__l"),
     )
+    lists = [F.col("__l")[c].cast("array<double>") for c in ("i", "n", "s")]
+    sums = packed.withColumn("__t", level_pair_sums(*lists)).select(*keys, "__nv", "__ng", "__s", "__ps", "__t.*")
     zero = F.lit(0.0)
     pairs = F.col("__ng") * (F.col("__ng") - 1)
     return sums.select(
         *keys,
         F.coalesce(F.try_divide(F.lit(1.0), F.col("__ps")), F.lit(COARSENESS_LIMIT)).alias("Coarseness"),
-        F.coalesce(F.try_divide(F.col("__contrast"), pairs) * F.col("__s") / F.col("__nv"), zero).alias("Contrast"),
-        F.coalesce(F.try_divide(F.col("__ps"), F.col("__busy")), zero).alias("Busyness"),
-        (F.col("__complex") / F.col("__nv")).alias("Complexity"),
-        F.coalesce(F.try_divide(F.col("__strong"), F.col("__s")), zero).alias("Strength"),
+        F.coalesce(F.try_divide(F.col("contrast"), pairs) * F.col("__s") / F.col("__nv"), zero).alias("Contrast"),
+        F.coalesce(F.try_divide(F.col("__ps"), F.col("busy")), zero).alias("Busyness"),
+        (F.col("complexity") / F.col("__nv")).alias("Complexity"),
+        F.coalesce(F.try_divide(F.col("strong"), F.col("__s")), zero).alias("Strength"),
     )
 
 
 def ngtdm(levels: DataFrame, keys: Sequence[str] = KEYS) -> DataFrame:
-    return tone_features(neighbourhoods(levels, keys), keys)
+    return tone_features(surroundings(levels, keys), keys)
 
 
 # ------------------------------------------------------------------------ shape

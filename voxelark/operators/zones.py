@@ -1,10 +1,10 @@
 """Connected zones of equal grey level, by graph contraction.
 
-Voxels are first folded into runs along x. Runs that touch form a graph; in each
-round nodes get a fresh pseudo-random order, every node hooks onto its first
+Voxels are first joined inside blocks (see ``blocks``). Pieces that touch across the
+surface of a block form a graph, far smaller than the voxels; in each round nodes get a fresh pseudo-random order, every node hooks onto its first
 neighbour in that order, and nodes and edges are contracted several hops at once.
 At most half of the connected nodes come first among their neighbours, however
-the runs lie, so rounds grow with the logarithm of the nodes; the last node of an
+the pieces lie, so rounds grow with the logarithm of the nodes; the last node of an
 order always goes, so the rounds end by themselves. Each round is written to the
 shared folder so no lineage builds up, and hubs are handled by size-checked joins.
 """
@@ -13,54 +13,15 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from voxelark.functions.columns import KEYS
 from voxelark.functions.sizing import attach, compact, materialize
+from voxelark.operators.blocks import zone_contacts, zone_pieces
 
 #: Hops a node moves in one round.
 _HOPS = 4
-_SHIFT, _ORIGIN = 21, 1 << 20
-# Directions that leave a line along x; together with runs they cover all 26 neighbours.
-_LINES = [(1, 0), (-1, 1), (0, 1), (1, 1)]
-
-
-def _runs(levels: DataFrame, keys: list[str]) -> DataFrame:
-    """Maximal runs of equal level along x with their extent and an identifier."""
-    line = [*keys, "y", "z", "level"]
-    order = Window.partitionBy(*line).orderBy("x")
-    marked = levels.withColumn("__run", F.col("x") - F.row_number().over(order))
-    folded = marked.groupBy(*line, "__run").agg(
-        F.min("x").alias("x0"), F.max("x").alias("x1"), F.count("*").alias("size")
-    )
-    place = F.lit(0).cast("long")
-    for axis in ("z", "y", "x0"):
-        place = F.shiftleft(place, _SHIFT) + F.col(axis) + _ORIGIN
-    return folded.select(*line, "x0", "x1", "size", place.alias("node"))
-
-
-def _touching(runs: DataFrame, keys: list[str]) -> DataFrame:
-    """Pairs of runs on neighbouring lines that overlap within one voxel.
-
-    Lines are joined cell by cell: a run announces every x it reaches, widened by
-    one, and meets the voxels of the neighbouring line. Runs of a line do not
-    overlap, so each announced cell meets at most one run.
-    """
-    offsets = F.array(*[F.struct(F.lit(dy).alias("dy"), F.lit(dz).alias("dz")) for dy, dz in _LINES])
-    reach = F.explode(F.sequence(F.col("x0") - 1, F.col("x1") + 1)).alias("cell")
-    sent = runs.select(*keys, "y", "z", "level", F.col("node").alias("a"), "x0", "x1", F.inline(offsets))
-    sent = sent.select(
-        *keys, "level", "a", (F.col("y") + F.col("dy")).alias("y"), (F.col("z") + F.col("dz")).alias("z"), reach
-    )
-    cells = F.explode(F.sequence("x0", "x1")).alias("cell")
-    here = runs.select(*keys, "level", "y", "z", F.col("node").alias("b"), cells)
-    pairs = sent.join(here, [*keys, "level", "y", "z", "cell"])
-    both = F.array(
-        F.struct(F.col("a").alias("a"), F.col("b").alias("b")),
-        F.struct(F.col("b").alias("a"), F.col("a").alias("b")),
-    )
-    return pairs.select(*keys, "a", "b").distinct().select(*keys, F.inline(both)).distinct()
 
 
 def _order(node: str, turn: int) -> Column:
@@ -69,11 +30,11 @@ def _order(node: str, turn: int) -> Column:
 
 
 def zone_sizes(levels: DataFrame, keys: Sequence[str] = KEYS) -> DataFrame:
-    """``keys, node, level, size``: one row per connected zone, named by its smallest run."""
+    """``keys, node, level, size``: one row per connected zone, named by its smallest place."""
     keys = list(keys)
-    runs = compact(materialize(_runs(levels, keys), "zone-runs"))
-    nodes = runs.select(*keys, "node", "level", "size")
-    edges = compact(materialize(_touching(runs, keys), "zone-edges"))
+    pieces = compact(materialize(zone_pieces(levels, keys), "zone-pieces"))
+    nodes = pieces.select(*keys, "node", "level", "size")
+    edges = compact(materialize(zone_contacts(pieces, keys).distinct(), "zone-edges"))
     moves = []
     while edges.measured > 0:
         turn = len(moves)

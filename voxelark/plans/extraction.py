@@ -112,7 +112,7 @@ def extract_features(
             "glszm": lambda lv: texture.glszm(lv, spread),
         }
         if wanted & {"gldm", "ngtdm"}:
-            near = materialize(texture.neighbourhoods(levels, spread), "neighbourhoods")
+            near = materialize(texture.surroundings(levels, spread), "neighbourhoods")
             compute["gldm"] = lambda _, near=near: texture.dependence_features(near, spread)
             compute["ngtdm"] = lambda _, near=near: texture.tone_features(near, spread)
         for kind in CLASSES:
