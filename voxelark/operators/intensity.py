@@ -3,7 +3,8 @@
 A voxel table has one row per voxel: volume keys, ``x, y, z`` and ``value``.
 Operators needing numbers of the whole volume aggregate once per volume and then
 map the voxels with those few numbers attached. NULL and NaN voxels are missing: they
-count for nothing and stay NULL.
+count for nothing and stay NULL. A volume without a mask voxel or without a value has no such
+numbers: its voxels stay in the result with NULL, and ``skipped_volumes`` reports it.
 """
 
 from __future__ import annotations
@@ -61,7 +62,33 @@ def _with_range(voxels, keys, value, mask) -> DataFrame:
     limits = inside_mask(voxels, mask, keys).groupBy(*keys).agg(
         F.min(number(col(value))).alias("__min"), F.max(number(col(value))).alias("__max")
     )
-    return attach(voxels, limits, keys, "inner", "intensity-range")
+    return attach(voxels, limits, keys, "left", "intensity-range")
+
+
+def skipped_volumes(
+    voxels: DataFrame, mask: DataFrame | None = None, keys: Sequence[str] = KEYS, value: str = "value"
+) -> DataFrame:
+    """``keys, reason`` of the volumes for which binning, scaling or matching has no numbers to work with.
+
+    One aggregation of the voxels; with a mask also of the voxels inside it.
+    """
+    keys = list(keys)
+    some = F.count(number(col(value)))
+    found = voxels.groupBy(*[col(k) for k in keys]).agg(some.alias("__values"))
+    if mask is None:
+        reasons = found.withColumn("reason", F.when(F.col("__values") == 0, "no values"))
+    else:
+        marked = mask.groupBy(*[col(k) for k in keys]).agg(F.count_if(F.col("value") > 0).alias("__on"))
+        inside = inside_mask(voxels, mask, keys).groupBy(*[col(k) for k in keys]).agg(some.alias("__inside"))
+        both = found.join(marked, keys, "left").join(inside, keys, "left")
+        reasons = both.withColumn(
+            "reason",
+            F.when(F.col("__values") == 0, "no values")
+            .when(F.col("__on").isNull(), "no mask")
+            .when(F.col("__on") == 0, "empty mask")
+            .when(F.coalesce(F.col("__inside"), F.lit(0)) == 0, "no values inside the mask"),
+        )
+    return reasons.filter(F.col("reason").isNotNull()).select(*[col(k) for k in keys], "reason")
 
 
 def bin_intensity(
@@ -92,7 +119,8 @@ def bin_intensity(
         position = F.floor((v - low) / float(bin_width))
         binned = F.least(F.greatest(position, F.lit(0)), last)
     # greatest and least skip NULL, so a missing voxel needs its own branch.
-    return rows.withColumn(value, F.when(v.isNotNull(), binned.cast("int"))).drop("__min", "__max")
+    known = v.isNotNull() & low.isNotNull()
+    return rows.withColumn(value, F.when(known, binned.cast("int"))).drop("__min", "__max")
 
 
 def scale_uint8(
@@ -106,7 +134,7 @@ def scale_uint8(
     v, low, high = number(col(value)), F.col("__min"), F.col("__max")
     # Clipped before it becomes an integer: values far outside the mask's range would not fit one.
     scaled = F.least(F.greatest(F.try_divide(v - low, high - low) * 255, F.lit(0.0)), F.lit(255.0)).cast("int")
-    return rows.withColumn(value, F.when(v.isNotNull(), scaled)).drop("__min", "__max")
+    return rows.withColumn(value, F.when(v.isNotNull() & low.isNotNull(), scaled)).drop("__min", "__max")
 
 
 def scale_intensity(
@@ -141,7 +169,7 @@ def scale_intensity(
         stats = q.select(*keys, F.col("q")[1].alias("__c"), (F.col("q")[2] - F.col("q")[0]).alias("__s"))
     else:
         raise ValueError(f"unknown scaling method {method!r}")
-    rows = attach(voxels, stats, keys, "inner", "intensity-stats")
+    rows = attach(voxels, stats, keys, "left", "intensity-stats")
     return rows.withColumn(value, F.try_divide(v - F.col("__c"), F.col("__s"))).drop("__c", "__s")
 
 
@@ -200,7 +228,7 @@ def match_histogram(
     ref_low, ref_knots = target["low"], target["knots"]
     source = histogram_knots(inside_mask(voxels, mask, keys), keys, n_points, value)
     rows = attach(voxels, source, keys, "left", "histogram-knots")
-    mapped = _piecewise(col(value), F.col("low"), F.col("knots"), ref_low, ref_knots)
+    mapped = _piecewise(number(col(value)), F.col("low"), F.col("knots"), ref_low, ref_knots)
     if mask is not None:
         marked = mask.filter(F.col("value") > 0).select(*keys, "x", "y", "z", F.lit(True).alias("__in"))
         rows = rows.join(marked, [*keys, "x", "y", "z"], "left")

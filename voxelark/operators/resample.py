@@ -4,6 +4,9 @@ Interpolation is separable, so it runs one axis at a time. A source voxel works
 out which target positions it serves and emits them: nearest-neighbour resampling
 needs no shuffle at all, linear needs one window per axis for the next voxel on
 the line. Nothing is joined voxel to voxel.
+
+Neighbours are taken by position. A target whose source voxel is absent has no row; one
+that needs an absent, NULL or NaN neighbour is NULL.
 """
 
 from __future__ import annotations
@@ -13,7 +16,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from voxelark.functions.columns import KEYS, col
+from voxelark.functions.columns import KEYS, col, number
 from voxelark.functions.sizing import attach
 from voxelark.operators.masks import XYZ, classify_series
 
@@ -73,21 +76,29 @@ def resample(
     geometry = volumes.select(*keys, *[f"n{a}" for a in XYZ], *[f"s{a}" for a in XYZ])
     rows = attach(voxels, geometry, keys, "inner", "geometry")
     kind = voxels.schema["value"].dataType
+    rows = rows.withColumn("__out", F.lit(False))
+    if method == "linear":
+        rows = rows.withColumn("value", number(F.col("value")))
     for axis in XYZ:
         step = F.lit(float(size)) / F.col(f"s{axis}")
         new = F.bround(F.col(f"n{axis}") * (F.col(f"s{axis}") / F.lit(float(size))))
         if method == "linear":
             line = Window.partitionBy(*keys, *[a for a in XYZ if a != axis]).orderBy(axis)
-            rows = rows.withColumn("__next", F.coalesce(F.lead("value").over(line), F.col("value")))
+            edge = F.col(axis) == F.col(f"n{axis}") - 1
+            adjacent = F.lead(axis).over(line) == F.col(axis) + 1
+            following = F.when(edge, F.col("value")).when(adjacent, F.lead("value").over(line))
+            rows = rows.withColumn("__next", following)
         rows = rows.withColumn("__t", F.explode(_targets(axis, method, step, new)))
         value = F.col("value")
         if method == "linear":
             share = F.col("__t") * step - F.col(axis)
-            value = value + (F.col("__next") - value) * F.least(share, F.lit(1.0))
-        if outside == "zero":
-            value = F.when(_outside(axis, F.col("__t"), step), F.lit(0.0)).otherwise(value)
-        rows = rows.withColumns({"value": value, axis: F.col("__t").cast("int")})
+            between = value + (F.col("__next") - value) * F.least(share, F.lit(1.0))
+            value = F.when(share == 0, value).otherwise(between)
+        beyond = F.col("__out") | _outside(axis, F.col("__t"), step)
+        rows = rows.withColumns({"value": value, "__out": beyond, axis: F.col("__t").cast("int")})
     out = F.col("value").cast(kind) if method == "nearest" else F.col("value")
+    if outside == "zero":
+        out = F.when(F.col("__out"), F.lit(0).cast(kind if method == "nearest" else "double")).otherwise(out)
     return rows.select(*[out.alias("value") if c == "value" else col(c) for c in voxels.columns])
 
 

@@ -49,3 +49,17 @@ VOX = """vox AS (
   SELECT vec_id, CAST(i % 4 AS INTEGER) AS x, CAST((i // 4) % 4 AS INTEGER) AS y,
          CAST(i // 16 AS INTEGER) AS z, CAST(embedding[i + 1] AS DOUBLE) AS value
   FROM embeddings, range(64) AS r(i))"""
+
+
+def gappy_grid(embeddings: DataFrame, keys: Sequence[str] = ("vec_id",)) -> DataFrame:
+    """The same volumes with some voxels absent, some NULL and some NaN."""
+    x, y, z, k = F.col("x"), F.col("y"), F.col("z"), col(keys[0])
+    missing = F.when((3 * k + x + y + z) % 13 == 7, F.lit(float("nan"))).otherwise(F.col("value"))
+    value = F.when((k + 2 * x + y + z) % 11 != 5, missing)
+    return voxel_grid(embeddings, keys).filter((k + x + 2 * y + 3 * z) % 9 != 4).withColumn("value", value)
+
+
+# Absent voxels have no row, NULL and NaN ones are NULL.
+GAPPY = f"""{VOX}, gappy AS (
+  SELECT vec_id, x, y, z, CASE WHEN (vec_id + 2 * x + y + z) % 11 = 5 OR (3 * vec_id + x + y + z) % 13 = 7 THEN NULL
+         ELSE value END AS value FROM vox WHERE (vec_id + x + 2 * y + 3 * z) % 9 <> 4)"""

@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from voxelark.operators import intensity, masks
 from voxelark.operators.selection import drop_empty_masks, skipped_report
-from voxelark.plans.catalog.common import VOX, load, rounded, sql_round, voxel_grid
+from voxelark.plans.catalog.common import GAPPY, VOX, gappy_grid, load, rounded, sql_round, voxel_grid
 
 K = ["vec_id"]
 ON = [*K, "x", "y", "z"]
@@ -156,7 +156,47 @@ def series_classified(spark, sf_dir):
     return masks.classify_series(line.select("l_returnflag", F.inline(v)), ["l_returnflag"])
 
 
+def _gappy(spark, sf_dir):
+    return gappy_grid(load(spark, sf_dir, "embeddings"))
+
+
+def _bright_mask(spark, sf_dir):
+    """Masks of bright voxels; many are empty and every seventh volume has none."""
+    bright = F.when(F.col("value") > 0.3, 1).otherwise(0)
+    return _image(spark, sf_dir).filter("vec_id % 7 <> 0").withColumn("value", bright)
+
+
+def binned_with_gaps(spark, sf_dir):
+    return intensity.bin_intensity(_gappy(spark, sf_dir), n_bins=8, mask=_bright_mask(spark, sf_dir), keys=K)
+
+
+def binned_width_with_gaps(spark, sf_dir):
+    return intensity.bin_intensity(_gappy(spark, sf_dir), bin_width=0.05, mask=_bright_mask(spark, sf_dir), keys=K)
+
+
+def scaled_uint8_with_gaps(spark, sf_dir):
+    return intensity.scale_uint8(_gappy(spark, sf_dir), _bright_mask(spark, sf_dir), K)
+
+
+def scaled_zscore_with_gaps(spark, sf_dir):
+    return rounded(intensity.scale_intensity(_gappy(spark, sf_dir), "zscore", _bright_mask(spark, sf_dir), K))
+
+
+def scaled_robust_with_gaps(spark, sf_dir):
+    return rounded(intensity.scale_intensity(_gappy(spark, sf_dir), "robust", _bright_mask(spark, sf_dir), K))
+
+
+def volumes_skipped(spark, sf_dir):
+    return intensity.skipped_volumes(_gappy(spark, sf_dir), _bright_mask(spark, sf_dir), K)
+
+
 QUERIES = {
+    "binned_with_gaps": binned_with_gaps,
+    "binned_width_with_gaps": binned_width_with_gaps,
+    "scaled_uint8_with_gaps": scaled_uint8_with_gaps,
+    "scaled_zscore_with_gaps": scaled_zscore_with_gaps,
+    "scaled_robust_with_gaps": scaled_robust_with_gaps,
+    "volumes_skipped": volumes_skipped,
     "windowed": windowed,
     "windowed_preset": windowed_preset,
     "image_with_mask": image_with_mask,
@@ -219,7 +259,36 @@ SELECT {_V}, {sql_round(f'''CASE WHEN NOT ({apply_to.replace('v.', '')}) THEN va
 FROM j"""
 
 
+# Voxels inside the bright masks, and what they say about their volume.
+_BRIGHT = f"""{GAPPY}, bright AS (SELECT g.* FROM gappy g JOIN vox v USING (vec_id, x, y, z)
+  WHERE v.value > 0.3 AND vec_id % 7 <> 0),
+r AS (SELECT vec_id, min(value) AS lo, max(value) AS hi, avg(value) AS m, stddev_pop(value) AS s,
+  quantile_cont(value, 0.5) AS q, quantile_cont(value, 0.98) - quantile_cont(value, 0.02) AS w FROM bright GROUP BY 1)"""
+
+
+def _bright_sql(value: str) -> str:
+    known = "value IS NOT NULL AND lo IS NOT NULL"
+    return f"WITH {_BRIGHT} SELECT {_V}, CASE WHEN {known} THEN {value} END AS value FROM gappy LEFT JOIN r USING (vec_id)"
+
+
 ORACLES = {
+    "binned_with_gaps": _bright_sql(
+        """CAST(CASE WHEN hi > lo THEN least(greatest(floor((value - lo) / nullif(hi - lo, 0) * 8), 0), 7)
+  WHEN value < lo THEN 0 ELSE 7 END AS INTEGER)"""
+    ),
+    "binned_width_with_gaps": _bright_sql(
+        "CAST(least(greatest(floor((value - lo) / 0.05), 0), greatest(ceil((hi - lo) / 0.05) - 1, 0)) AS INTEGER)"
+    ),
+    "scaled_uint8_with_gaps": _bright_sql(
+        "CAST(trunc(least(greatest(coalesce((value - lo) / nullif(hi - lo, 0) * 255, 0), 0), 255)) AS INTEGER)"
+    ),
+    "scaled_zscore_with_gaps": _bright_sql(sql_round("(value - m) / nullif(s, 0)")),
+    "scaled_robust_with_gaps": _bright_sql(sql_round("(value - q) / nullif(w, 0)")),
+    "volumes_skipped": f"""WITH {_BRIGHT}, n AS (SELECT vec_id, count(value) AS n FROM gappy GROUP BY 1),
+o AS (SELECT vec_id, max(value) AS top FROM vox GROUP BY 1), i AS (SELECT vec_id, count(value) AS k FROM bright GROUP BY 1)
+SELECT vec_id, CASE WHEN n = 0 THEN 'no values' WHEN vec_id % 7 = 0 THEN 'no mask' WHEN top <= 0.3 THEN 'empty mask'
+  ELSE 'no values inside the mask' END AS reason
+FROM n JOIN o USING (vec_id) LEFT JOIN i USING (vec_id) WHERE n = 0 OR vec_id % 7 = 0 OR top <= 0.3 OR coalesce(k, 0) = 0""",
     "windowed": f"WITH {VOX} SELECT {_V}, {sql_round('least(greatest(value, -0.13), 0.17)')} AS value FROM vox",
     "windowed_preset": f"""SELECT l_orderkey, l_linenumber, l_suppkey, l_partkey,
  {sql_round('least(greatest(l_extendedprice / 100 - 300, -200.0), 300.0)')} AS value FROM lineitem""",

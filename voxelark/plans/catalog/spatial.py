@@ -6,6 +6,7 @@ import math
 
 from pyspark.sql import functions as F
 
+from voxelark.functions.columns import number
 from voxelark.operators.convolve import (
     apply_filters,
     convolve,
@@ -14,9 +15,10 @@ from voxelark.operators.convolve import (
     kernel_terms,
     log_terms,
     wavelet_bank,
+    wavelet_levels,
 )
 from voxelark.operators.resample import resample, resample_study, resampled_volumes
-from voxelark.plans.catalog.common import VOX, load, rounded, sql_round, voxel_grid
+from voxelark.plans.catalog.common import GAPPY, VOX, gappy_grid, load, rounded, sql_round, voxel_grid
 
 K = ["vec_id"]
 # Voxel size of the grids, in millimetres.
@@ -99,7 +101,41 @@ def filters_applied(spark, sf_dir):
     return rounded(apply_filters(_image(spark, sf_dir), bank, K))
 
 
+def _gappy(spark, sf_dir):
+    return gappy_grid(load(spark, sf_dir, "embeddings"))
+
+
+# An uneven kernel of three by three voxels.
+UNEVEN = [(dx, dy, 0, round(0.1 + 0.05 * (dx + 1) + 0.15 * (dy + 1), 2)) for dx in (-1, 0, 1) for dy in (-1, 0, 1)]
+
+
+def convolved_with_gaps(spark, sf_dir):
+    return rounded(convolve(_gappy(spark, sf_dir), UNEVEN, K))
+
+
+def resampled_with_gaps(spark, sf_dir):
+    return rounded(resample(_gappy(spark, sf_dir), _volumes(spark, sf_dir), 1.0, "linear", K))
+
+
+def resampled_nearest_with_gaps(spark, sf_dir):
+    marks = _gappy(spark, sf_dir).withColumn("value", F.when(number(F.col("value")) > 0, 1).otherwise(0))
+    return resample(marks, _volumes(spark, sf_dir), 1.0, "nearest", K)
+
+
+def wavelet_two_levels(spark, sf_dir):
+    return rounded(wavelet_levels(_image(spark, sf_dir), HAAR_LOW, HAAR_HIGH, 2, 0, K))
+
+
+def wavelet_second_level(spark, sf_dir):
+    return rounded(wavelet_levels(_image(spark, sf_dir), HAAR_LOW, HAAR_HIGH, 1, 1, K))
+
+
 QUERIES = {
+    "convolved_with_gaps": convolved_with_gaps,
+    "resampled_with_gaps": resampled_with_gaps,
+    "resampled_nearest_with_gaps": resampled_nearest_with_gaps,
+    "wavelet_two_levels": wavelet_two_levels,
+    "wavelet_second_level": wavelet_second_level,
     "resampled_geometry": resampled_geometry,
     "resampled_nearest": resampled_nearest,
     "resampled_linear": resampled_linear,
@@ -189,7 +225,67 @@ _BANK = {
     },
 }
 
+def _gap_convolved_sql() -> str:
+    """Every tap read at its clamped position; NULL unless all nine are there."""
+    rows = ", ".join(f"({dx}, {dy}, {w!r}::DOUBLE)" for dx, dy, _, w in UNEVEN)
+    at = " AND ".join(
+        f"v.{a} = least(greatest(t.{a} - k.d{a}, b.lo_{a}), b.hi_{a})" if a != "z" else "v.z = t.z" for a in "xyz"
+    )
+    ends = ", ".join(f"min({a}) AS lo_{a}, max({a}) AS hi_{a}" for a in "xyz")
+    return f"""WITH {GAPPY}, kernel(dx, dy, w) AS (VALUES {rows}), b AS (SELECT vec_id, {ends} FROM gappy GROUP BY 1)
+SELECT t.vec_id, t.x, t.y, t.z, CASE WHEN count(v.value) = 9 THEN {sql_round('sum(k.w * v.value)')} END AS value
+FROM gappy t JOIN b USING (vec_id) CROSS JOIN kernel k LEFT JOIN gappy v ON v.vec_id = t.vec_id AND {at}
+GROUP BY ALL"""
+
+
+def _gap_linear_sql() -> str:
+    """A row where the voxel before the target is; NULL if a corner with weight is missing."""
+    base = _linear_sql(True).split(", corners AS")[0]
+    corners = " UNION ALL ".join(
+        "SELECT tx, ty, tz, px, py, pz, lx, ly, lz, "
+        + ", ".join(f"least(l{a} + {d}, 3) AS c{a}" for a, d in zip("xyz", c))
+        + ", "
+        + " * ".join(f"least(p{a} - l{a}, 1)" if d else f"(1 - least(p{a} - l{a}, 1))" for a, d in zip("xyz", c))
+        + " AS w FROM low"
+        for c in [(i, j, k) for i in (0, 1) for j in (0, 1) for k in (0, 1)]
+    )
+    return f"""WITH {GAPPY}, grid AS ({_grid_sql(1.0)}), {base},
+corners AS (SELECT * EXCLUDE (w), sum(w) AS w FROM ({corners}) GROUP BY ALL),
+served AS (SELECT g.vec_id, c.* FROM corners c JOIN gappy g ON g.x = c.lx AND g.y = c.ly AND g.z = c.lz)
+SELECT s.vec_id, tx AS x, ty AS y, tz AS z, CASE WHEN bool_or({_OUT}) THEN 0
+  WHEN count(*) FILTER (w > 0 AND v.value IS NULL) = 0 THEN {sql_round('sum(w * v.value) FILTER (w > 0)')} END AS value
+FROM served s LEFT JOIN gappy v ON v.vec_id = s.vec_id AND v.x = cx AND v.y = cy AND v.z = cz GROUP BY 1, 2, 3, 4"""
+
+
+def _bands_sql(source: str, dilation: int, prefix: str) -> str:
+    """All eight Haar bands of a table (vec_id, x, y, z, value), taps ``dilation`` apart."""
+    haar = {"L": HAAR_LOW, "H": HAAR_HIGH}
+    rows = ", ".join(
+        f"('{prefix}-{a}{b}{c}', {i * dilation}, {j * dilation}, {k * dilation}, "
+        f"{haar[a][i + 1] * haar[b][j + 1] * haar[c][k + 1]!r}::DOUBLE)"
+        for a in "LH" for b in "LH" for c in "LH" for i in (-1, 0) for j in (-1, 0) for k in (-1, 0)
+    )
+    inside = " AND ".join(f"v.{a} = least(greatest(t.{a} - k.d{a}, 0), 3)" for a in "xyz")
+    return f"""SELECT t.vec_id, t.x, t.y, t.z, filter_id, sum(w * v.value) AS value
+FROM {source} t CROSS JOIN (VALUES {rows}) k(filter_id, dx, dy, dz, w) JOIN {source} v ON v.vec_id = t.vec_id AND {inside}
+GROUP BY ALL"""
+
+
+def _levels_sql(name: str, keep: str) -> str:
+    return f"""WITH {VOX}, one AS ({_bands_sql('vox', 1, 'wavelet')}),
+low AS (SELECT * EXCLUDE (filter_id) FROM one WHERE filter_id = 'wavelet-LLL'), two AS ({_bands_sql('low', 2, name)}),
+every AS (SELECT * FROM two{keep})
+SELECT * REPLACE ({sql_round('value')} AS value) FROM every"""
+
+
 ORACLES = {
+    "convolved_with_gaps": _gap_convolved_sql(),
+    "resampled_with_gaps": _gap_linear_sql(),
+    "resampled_nearest_with_gaps": f"""WITH {GAPPY}, grid AS ({_grid_sql(1.0)}),
+{_nearest_sql('CASE WHEN v.value > 0 THEN 1 ELSE 0 END').replace('JOIN vox v', 'JOIN gappy v')}
+SELECT * REPLACE (CAST(value AS INTEGER) AS value) FROM nearest""",
+    "wavelet_two_levels": _levels_sql("wavelet2", " UNION ALL SELECT * FROM one WHERE filter_id <> 'wavelet-LLL'"),
+    "wavelet_second_level": _levels_sql("wavelet", ""),
     "resampled_geometry": """SELECT vec_id, 4::INTEGER AS nx, 6::INTEGER AS ny, 10::INTEGER AS nz,
  1.0::DOUBLE AS sx, 1.0::DOUBLE AS sy, 1.0::DOUBLE AS sz FROM embeddings""",
     "resampled_nearest": f"""WITH {VOX}, grid AS ({_grid_sql(1.0)}),

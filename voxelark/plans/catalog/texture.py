@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from voxelark.operators import texture
 from voxelark.operators.zones import zone_sizes
-from voxelark.plans.catalog.common import VOX, load, rounded, sql_round, voxel_grid
+from voxelark.plans.catalog.common import GAPPY, VOX, gappy_grid, load, rounded, sql_round, voxel_grid
 
 K = ["vec_id"]
 WIDTH = 0.07
@@ -50,7 +50,14 @@ def maximal_correlation(spark, sf_dir):
     return rounded(texture.glcm(_levels(spark, sf_dir), K, mcc=True).select("vec_id", "MCC"))
 
 
+def levels_with_gaps(spark, sf_dir):
+    """Levels of regions in which voxels are absent, NULL and NaN."""
+    image = gappy_grid(load(spark, sf_dir, "embeddings"))
+    return rounded(texture.roi_levels(image, None, WIDTH, K))
+
+
 QUERIES = {
+    "levels_with_gaps": levels_with_gaps,
     "firstorder_features": _features(lambda lv, k: texture.firstorder(lv, k, 3.75)),
     "glcm_features": _features(texture.glcm),
     "glcm_maximal_correlation": maximal_correlation,
@@ -190,6 +197,9 @@ sz AS (SELECT vec_id, level, root, count(*) AS j FROM zone GROUP BY ALL),
 cm AS (SELECT vec_id, 0 AS angle, level AS i, j, count(*) AS n FROM sz GROUP BY ALL)"""
 
 ORACLES = {
+    "levels_with_gaps": f"""WITH {GAPPY}, g AS (SELECT * FROM gappy WHERE value IS NOT NULL)
+SELECT vec_id, x, y, z, {sql_round('value')} AS value,
+ CAST(floor(value / {WIDTH}) - floor(min(value) OVER (PARTITION BY vec_id) / {WIDTH}) + 1 AS INTEGER) AS level FROM g""",
     "firstorder_features": f"""WITH {_LV},
 b AS (SELECT vec_id, count(*) AS n, avg(value) AS m, sum(value * value) AS e, min(value) AS lo, max(value) AS hi,
   quantile_cont(value, 0.1) AS p10, quantile_cont(value, 0.9) AS p90, quantile_cont(value, 0.5) AS md,
