@@ -14,6 +14,10 @@ squares of the cells formed by batch and categorical covariates. So:
 
 The covariate coefficients come from the within-batch cross products, so the only
 matrix inverted is covariates x covariates, shared by all features.
+
+The cells are a table of their own (``CombatCells``) that merges with the cells of other
+samples and can be stored: harmonizing new samples towards a training table reads the
+training cells, never the training samples.
 """
 
 from __future__ import annotations
@@ -21,6 +25,7 @@ from __future__ import annotations
 import json
 from collections.abc import Sequence
 from dataclasses import dataclass, field
+from functools import reduce
 
 import numpy as np
 import pandas as pd
@@ -29,7 +34,7 @@ from pyspark.sql import functions as F
 
 from voxelark.functions.columns import KEYS, col, feature_columns, finite, to_long
 from voxelark.functions.sizing import attach, compact, materialize
-from voxelark.operators.selection import check_complete, require_columns
+from voxelark.operators.selection import require_columns
 from voxelark.operators.stats import WIDE_FEATURE_LIMIT, dedupe_first
 
 CONVERGENCE = 1e-4
@@ -85,6 +90,7 @@ class CombatModel:
     names: list[str]
     design: Design
     mean_only: bool = False
+    cells: CombatCells | None = None
 
     def transform(self, df: DataFrame) -> DataFrame:
         """Harmonize samples, using each sample's own covariates."""
@@ -122,6 +128,94 @@ class CombatModel:
         )
 
 
+@dataclass
+class CombatCells:
+    """Moments of every (batch, covariate cell, feature): all that fitting needs of the samples.
+
+    ``table`` has ``__batch``, the covariates, ``feature``, ``n`` samples, ``gaps`` of them without a
+    continuous covariate, ``seen`` values with their ``mean`` and centered squares ``m2``; for continuous
+    covariates also their means ``__c<i>``, cross products ``__cc<i>_<k>`` and products with the
+    value ``cy<i>``. Cells of different samples merge in any order.
+    """
+
+    table: DataFrame
+    names: list[str]
+    batch: str
+    covars: list[str] = field(default_factory=list)
+    continuous: list[str] = field(default_factory=list)
+
+    @classmethod
+    def of(
+        cls,
+        df: DataFrame,
+        names: Sequence[str],
+        batch: str = "batch",
+        covars: Sequence[str] = (),
+        continuous: Sequence[str] = (),
+    ) -> CombatCells:
+        """One pass over samples that carry their batch and covariates."""
+        design = Design(batch, list(covars), list(continuous))
+        require_columns(df, [batch, *covars, *continuous])
+        table = compact(materialize(_cells(df, names, design), "combat-cells"))
+        return cls(table, list(names), batch, list(covars), list(continuous))
+
+    def relabelled(self, batch: Column) -> CombatCells:
+        """The same cells under other batch names; cells that now share a name are merged."""
+        return self._merged(self.table.withColumn("__batch", batch))
+
+    def merge(self, other: CombatCells) -> CombatCells:
+        """Cells of both sets of samples."""
+        if (self.names, self.covars, self.continuous) != (other.names, other.covars, other.continuous):
+            raise ValueError("cells of different features or covariates do not merge")
+        return self._merged(self.table.unionByName(other.table))
+
+    def _merged(self, table: DataFrame) -> CombatCells:
+        cont = range(len(self.continuous))
+        pairs = [(i, k) for i in cont for k in range(i, len(self.continuous))]
+        by = ["__batch", *self.covars, "feature"]
+        # Means are pooled first, then every part is moved from its own mean to the pooled one.
+        size = {"mean": F.col("seen"), **{f"__c{i}": F.col("n") for i in cont}}
+        pooled = table.groupBy(*[col(k) for k in by]).agg(
+            F.collect_list(F.struct(*[c for c in table.columns if c not in by])).alias("__parts"),
+            *[F.try_divide(F.sum(w * F.col(c)), F.sum(F.when(F.col(c).isNotNull(), w))).alias(f"__to_{c}") for c, w in size.items()],
+        )
+
+        def total(value) -> Column:
+            return F.aggregate("__parts", F.lit(0.0), lambda done, p: done + F.coalesce(value(p), F.lit(0.0)))
+
+        def count(name: str) -> Column:
+            return F.aggregate("__parts", F.lit(0).cast("long"), lambda done, p: done + p[name]).alias(name)
+
+        def away(p, name: str) -> Column:
+            return p[name] - F.col(f"__to_{name}")
+
+        columns = [
+            *[count(c) for c in ("n", "gaps", "seen")],
+            F.col("__to_mean").alias("mean"),
+            total(lambda p: p["m2"] + p["seen"] * away(p, "mean") * away(p, "mean")).alias("m2"),
+            *[F.col(f"__to___c{i}").alias(f"__c{i}") for i in cont],
+        ]
+        for i, k in pairs:
+            cross = total(lambda p, i=i, k=k: p[f"__cc{i}_{k}"] + p["n"] * away(p, f"__c{i}") * away(p, f"__c{k}"))
+            columns.append(cross.alias(f"__cc{i}_{k}"))
+        for i in cont:
+            cross = total(lambda p, i=i: p[f"cy{i}"] + p["seen"] * away(p, f"__c{i}") * away(p, "mean"))
+            columns.append(cross.alias(f"cy{i}"))
+        merged = pooled.select(*[col(k) for k in by], *columns)
+        return CombatCells(compact(materialize(merged, "combat-cells")), self.names, self.batch, self.covars, self.continuous)
+
+    def save(self, path: str) -> None:
+        self.table.write.mode("errorifexists").parquet(f"{path}/cells")
+        parts = {k: v for k, v in self.__dict__.items() if k != "table"}
+        spark = self.table.sparkSession
+        spark.createDataFrame([(json.dumps(parts),)], "settings string").write.mode("errorifexists").parquet(f"{path}/settings")
+
+    @classmethod
+    def load(cls, spark: SparkSession, path: str) -> CombatCells:
+        parts = json.loads(spark.read.parquet(f"{path}/settings").first()["settings"])
+        return cls(materialize(spark.read.parquet(f"{path}/cells"), "combat-cells"), **parts)
+
+
 def _cells(df: DataFrame, names: Sequence[str], design: Design) -> DataFrame:
     """One pass over the samples: moments per (batch, covariate cell, feature)."""
     keys = ["__batch", *design.covars]
@@ -132,7 +226,8 @@ def _cells(df: DataFrame, names: Sequence[str], design: Design) -> DataFrame:
         *[_float32(col(c)).alias(x) for c, x in zip(design.continuous, cont)],
         *[finite(col(f)).alias(f) for f in names],
     )
-    shared = [F.avg(x).alias(f"__c{i}") for i, x in enumerate(cont)]
+    gaps = F.count_if(reduce(lambda a, b: a | b, [F.col(x).isNull() | F.isnan(x) for x in cont], F.lit(False)))
+    shared = [gaps.alias("gaps"), *[F.avg(x).alias(f"__c{i}") for i, x in enumerate(cont)]]
     for i, a in enumerate(cont):
         for k in range(i, len(cont)):
             shared.append((F.covar_pop(a, cont[k]) * F.count("*")).alias(f"__cc{i}_{k}"))
@@ -166,8 +261,12 @@ def _facts(cells: DataFrame, design: Design, any_feature: str) -> dict:
     """Everything the driver has to know about the cells, in one small job:
     features with gaps, covariate levels, sizes of the reference and of the smallest batch.
     """
+    one = F.col("feature") == any_feature
+    nameless = reduce(lambda a, b: a | b, [col(c).isNull() for c in ("__batch", *design.covars)])
+    missing = F.when(nameless, F.col("n")).otherwise(F.col("gaps"))
     per_batch = cells.groupBy("__batch").agg(
-        F.sum(F.when(F.col("feature") == any_feature, F.col("n"))).alias("n"),
+        F.sum(F.when(one, F.col("n"))).alias("n"),
+        F.sum(F.when(one, missing)).alias("missing"),
         F.collect_set(F.when(F.col("seen") < F.col("n"), F.col("feature"))).alias("gaps"),
         *[F.collect_set(col(c)).alias(f"l{i}") for i, c in enumerate(design.covars)],
     )
@@ -179,6 +278,7 @@ def _facts(cells: DataFrame, design: Design, any_feature: str) -> dict:
 
     row = per_batch.agg(
         F.max(F.when(is_ref, F.col("n"))).alias("ref_size"),
+        F.coalesce(F.sum("missing"), F.lit(0)).alias("missing"),
         F.min(other).alias("smallest"),
         union("gaps").alias("gaps"),
         *[union(f"l{i}").alias(f"l{i}") for i in range(len(design.covars))],
@@ -187,7 +287,8 @@ def _facts(cells: DataFrame, design: Design, any_feature: str) -> dict:
     for c, found in levels.items():
         if len(found) > MAX_DESIGN_COLUMNS:
             raise ValueError(f"covariate {c!r} has more than {MAX_DESIGN_COLUMNS} levels")
-    return {"gaps": row["gaps"] or [], "levels": levels, "ref_size": row["ref_size"], "smallest": row["smallest"]}
+    known = {k: row[k] for k in ("ref_size", "smallest", "missing")}
+    return {"gaps": row["gaps"] or [], "levels": levels, **known}
 
 
 def _inverse_cross_product(cells: DataFrame, design: Design, any_feature: str) -> np.ndarray:
@@ -383,42 +484,70 @@ def _parametric(estimates: DataFrame, priors: DataFrame) -> DataFrame:
     return joined.groupBy("batch").applyInPandas(solve, _STAR)
 
 
-def _non_parametric(estimates: DataFrame) -> DataFrame:
+#: Features of a tile: one task compares this many with this many others.
+TILE_FEATURES = 2_048
+_PART = "feature string, batch string, top double, weight double, gamma double, delta double"
+
+
+def _non_parametric(estimates: DataFrame, n_features: int) -> DataFrame:
     """Likelihood-weighted averages over the other features of the batch.
 
-    Works on sufficient statistics and in log space, block by block, so a batch's
-    features never become a table of pairs.
+    A batch's features are dealt over blocks by a hash, and every pair of blocks is a tile
+    of its own, so no task sees all pairs. A tile gives each of its features the
+    largest log weight it met and the sums relative to it; such parts merge in any order.
     """
-
-    def solve(pdf: pd.DataFrame) -> pd.DataFrame:
-        g, d = pdf["gamma_hat"].to_numpy(), pdf["delta_hat"].to_numpy()
-        n, ssq = pdf["n"].to_numpy(dtype=float), pdf["ssq"].to_numpy()
-        gamma, delta = np.empty_like(g), np.empty_like(d)
-        block = max(1, 4_000_000 // max(1, len(g)))
+    blocks = -(-n_features // TILE_FEATURES)
+    spread = F.pmod(F.xxhash64("feature"), F.lit(blocks)).cast("int")
+    every = F.explode(F.sequence(F.lit(0), F.lit(blocks - 1)))
+    rows = estimates.withColumn("i", spread).withColumn("j", every)
+    others = estimates.select("feature", "batch", "gamma_hat", "delta_hat", spread.alias("j")).withColumn("i", every)
+
+    def solve(own: pd.DataFrame, other: pd.DataFrame) -> pd.DataFrame:
+        g, d = other["gamma_hat"].to_numpy(), other["delta_hat"].to_numpy()
+        g_own, n, ssq = own["gamma_hat"].to_numpy(), own["n"].to_numpy(dtype=float), own["ssq"].to_numpy()
+        itself = pd.Index(other["feature"]).get_indexer(own["feature"])
+        parts = np.zeros((4, len(own)))
+        parts[0] = -np.inf
+        step = max(1, 2_000_000 // max(1, len(g)))
         with np.errstate(all="ignore"):
-            for start in range(0, len(g), block):
-                rows = np.arange(start, min(start + block, len(g)))
-                around = ssq[rows, None] + n[rows, None] * (g[rows, None] - g[None, :]) ** 2
-                log_weight = -0.5 * n[rows, None] * np.log(2 * np.pi * d[None, :]) - around / (2 * d[None, :])
-                log_weight[np.arange(len(rows)), rows] = -np.inf
-                weight = np.exp(log_weight - log_weight.max(axis=1, keepdims=True))
-                total = weight.sum(axis=1)
-                gamma[rows], delta[rows] = weight @ g / total, weight @ d / total
+            for start in range(0, len(own) if len(g) else 0, step):
+                k = np.arange(start, min(start + step, len(own)))
+                around = ssq[k, None] + n[k, None] * (g_own[k, None] - g[None, :]) ** 2
+                log_weight = -0.5 * n[k, None] * np.log(2 * np.pi * d[None, :]) - around / (2 * d[None, :])
+                here = itself[k] >= 0
+                log_weight[np.flatnonzero(here), itself[k][here]] = -np.inf
+                top = log_weight.max(axis=1)
+                weight = np.exp(log_weight - np.where(np.isneginf(top), 0.0, top)[:, None])
+                parts[:, k] = top, weight.sum(axis=1), weight @ g, weight @ d
         return pd.DataFrame(
-            {"feature": pdf["feature"], "batch": pdf["batch"], "gamma_star": gamma, "delta_star": delta}
+            {"feature": own["feature"], "batch": own["batch"], **dict(zip(("top", "weight", "gamma", "delta"), parts))}
         )
 
-    return estimates.groupBy("batch").applyInPandas(solve, _STAR)
+    tile = ["batch", "i", "j"]
+    parts = rows.groupBy(*tile).cogroup(others.groupBy(*tile)).applyInPandas(solve, _PART)
+    met = parts.groupBy("feature", "batch").agg(F.max("top").alias("__top"), F.collect_list(F.struct("top", "weight", "gamma", "delta")).alias("__p"))
+
+    def total(name: str) -> Column:
+        return F.aggregate("__p", F.lit(0.0), lambda done, p: done + p[name] * F.exp(p["top"] - F.col("__top")))
+
+    return met.select(
+        "feature",
+        "batch",
+        F.try_divide(total("gamma"), total("weight")).alias("gamma_star"),
+        F.try_divide(total("delta"), total("weight")).alias("delta_star"),
+    )
 
 
-def _shrunken(estimates, priors, eb: bool, parametric: bool, mean_only: bool, ref: str | None) -> DataFrame:
+def _shrunken(
+    estimates, priors, eb: bool, parametric: bool, mean_only: bool, ref: str | None, n_features: int
+) -> DataFrame:
     free = estimates if ref is None else estimates.filter(F.col("batch") != ref)
     if not eb:
         stars = free.select(
             "feature", "batch", F.col("gamma_hat").alias("gamma_star"), F.col("delta_hat").alias("delta_star")
         )
     elif not parametric:
-        stars = _non_parametric(free)
+        stars = _non_parametric(free, n_features)
     elif mean_only:
         weighted = (F.col("t2") * F.col("gamma_hat") + F.col("gamma_bar")) / (F.col("t2") + 1)
         stars = free.join(priors.select("batch", "t2", "gamma_bar"), "batch").select(
@@ -454,12 +583,28 @@ def fit_combat(
     (and later passed through unchanged) with ``drop_incomplete``.
     """
     covars, continuous = list(covars), list(continuous)
-    require_columns(df, [batch_col, *covars, *continuous])
     if features is None:
         features = feature_columns(df, exclude=[batch_col, *covars, *continuous])
-    design = Design(batch_col, covars, continuous, ref_batch=None if ref_batch is None else str(ref_batch))
-    cells = compact(materialize(_cells(df, features, design), "combat-cells"))
+    cells = CombatCells.of(df, features, batch_col, covars, continuous)
+    return fit_cells(cells, ref_batch, eb, parametric, mean_only, on_missing_ref, drop_incomplete)
+
+
+def fit_cells(
+    held: CombatCells,
+    ref_batch: str | None = None,
+    eb: bool = True,
+    parametric: bool = True,
+    mean_only: bool = False,
+    on_missing_ref: str = "error",
+    drop_incomplete: bool = False,
+) -> CombatModel:
+    """Fit ComBat from cells alone; samples without a batch or covariate are refused."""
+    features, cells = held.names, held.table
+    design = Design(held.batch, held.covars, held.continuous, ref_batch=None if ref_batch is None else str(ref_batch))
     facts = _facts(cells, design, features[0])
+    if facts["missing"]:
+        columns = [design.batch, *design.covars, *design.continuous]
+        raise ValueError(f"missing values in {columns}: {facts['missing']} samples lack one of them")
     if facts["gaps"] and not drop_incomplete:
         raise ValueError(f"features with missing or non-finite values: {facts['gaps']}")
     names = [f for f in features if f not in set(facts["gaps"])]
@@ -484,14 +629,14 @@ def fit_combat(
     per_feature, per_batch = _location_scale(cells, design, names[0])
     estimates = compact(materialize(_estimates(per_feature, per_batch, mean_only), "combat-estimates"))
     priors = _priors(estimates, mean_only)
-    stars = _shrunken(estimates, priors, eb, parametric, mean_only, design.ref_batch)
+    stars = _shrunken(estimates, priors, eb, parametric, mean_only, design.ref_batch, len(names))
     feature_batches = estimates.drop("ssq", "n").join(stars, ["feature", "batch"])
     feature_batches = compact(materialize(feature_batches, "combat-stars"))
     terms = F.array(*[F.lit(t) for t in design.term_names()]) if design.terms else F.array().cast("array<string>")
     table = per_feature.select(
         "feature", "stand_mean", "var_pooled", "mod_mean", F.map_from_arrays(terms, "__beta").alias("betas")
     )
-    return CombatModel(table, priors, feature_batches, names, design, mean_only)
+    return CombatModel(table, priors, feature_batches, names, design, mean_only, held)
 
 
 def _zero_if_known(checks: Sequence[tuple[Column, str, Column]]) -> Column:
@@ -588,11 +733,27 @@ def combat(
     complete, then the table is fitted and transformed.
     """
     keys, covars, continuous = list(keys), list(covars), list(continuous)
+    return combat_study(features, batch, keys, batch_col, covars, order_by, names, continuous, **options)[1]
+
+
+def combat_study(
+    features: DataFrame,
+    batch: DataFrame,
+    keys: Sequence[str] = KEYS,
+    batch_col: str = "batch",
+    covars: Sequence[str] = (),
+    order_by: Sequence[str] | None = None,
+    names: Sequence[str] | None = None,
+    continuous: Sequence[str] = (),
+    **options,
+) -> tuple[CombatModel, DataFrame]:
+    """The fitted model, which holds the cells of the table, and the harmonized table."""
+    keys, covars, continuous = list(keys), list(covars), list(continuous)
     ready = prepare(features, batch, keys, [*covars, *continuous, batch_col], order_by)
     if names is None:
         names = feature_columns(features, exclude=keys)
     model = fit_combat(ready, names, batch_col, covars, continuous, **options)
-    return model.transform(ready).select(*[col(c) for c in features.columns])
+    return model, model.transform(ready).select(*[col(c) for c in features.columns])
 
 
 def prepare(
@@ -602,14 +763,13 @@ def prepare(
     columns: Sequence[str],
     order_by: Sequence[str] | None = None,
 ) -> DataFrame:
-    """Deduplicate both tables, join batch information, check it is complete."""
+    """Both tables without duplicate keys, joined. Nothing is written: fitting reads the features
+    and batch columns of it only, and finds samples without batch information in the cells."""
     require_columns(batch, columns)
     rest = [c for c in features.columns if c not in keys]
     unique = dedupe_first(features, keys, order_by or rest)
     unique_batch = dedupe_first(batch.select(*[col(c) for c in [*keys, *columns]]), keys, columns)
-    ready = materialize(attach_batch(unique, unique_batch, columns, keys), "combat-input")
-    check_complete(ready, columns, keys)
-    return ready
+    return attach_batch(unique, unique_batch, columns, keys)
 
 
 def combat_external(
@@ -628,25 +788,60 @@ def combat_external(
 ) -> DataFrame:
     """Harmonize new samples towards a training table.
 
+    The training table is read once, into cells; to call this repeatedly keep the cells
+    (``training_cells``) and use ``harmonize_towards``.
+    """
+    if names is None:
+        names = feature_columns(new, exclude=list(keys))
+    require_columns(train, names)
+    cells = training_cells(train, train_batch, keys, batch_col, covars, order_by, names, continuous)
+    return harmonize_towards(cells, new, new_batch, keys, ref_batch, order_by, **options)
+
+
+def training_cells(
+    train: DataFrame,
+    train_batch: DataFrame,
+    keys: Sequence[str] = KEYS,
+    batch_col: str = "batch",
+    covars: Sequence[str] = (),
+    order_by: Sequence[str] | None = None,
+    names: Sequence[str] | None = None,
+    continuous: Sequence[str] = (),
+) -> CombatCells:
+    """Cells of a training table: all that later calls need of it."""
+    keys, columns = list(keys), [*covars, *continuous, batch_col]
+    if names is None:
+        names = feature_columns(train, exclude=keys)
+    ready = prepare(train, train_batch, keys, columns, order_by)
+    return CombatCells.of(ready, names, batch_col, covars, continuous)
+
+
+def harmonize_towards(
+    training: CombatCells,
+    new: DataFrame,
+    new_batch: DataFrame,
+    keys: Sequence[str] = KEYS,
+    ref_batch: str | None = None,
+    order_by: Sequence[str] | None = None,
+    **options,
+) -> DataFrame:
+    """Harmonize new samples towards stored training cells; no training sample is read.
+
     With a reference batch, training batches are renamed with the suffix ``_ref``
     so that they stay apart from new batches of the same name; without one all
     training samples form a single reference batch. Only new samples return.
     """
-    keys, covars, continuous = list(keys), list(covars), list(continuous)
-    columns = [*covars, *continuous, batch_col]
-    if names is None:
-        names = feature_columns(new, exclude=keys)
-    require_columns(train, names)
-    old = prepare(train, train_batch, keys, columns, order_by)
+    keys, names = list(keys), training.names
+    columns = [*training.covars, *training.continuous, training.batch]
+    require_columns(new, names)
     fresh = prepare(new, new_batch, keys, columns, order_by)
+    known = F.col("__batch").isNotNull()
     if ref_batch in (None, "", "None"):
-        old, reference = old.withColumn(batch_col, F.lit("ref")), "ref"
+        old, reference = training.relabelled(F.when(known, F.lit("ref"))), "ref"
     else:
-        old = old.withColumn(batch_col, F.concat(col(batch_col).cast("string"), F.lit("_ref")))
-        reference = f"{ref_batch}_ref"
-    used = [*names, *columns]
-    pooled = old.select(*[col(c) for c in used]).unionByName(fresh.select(*[col(c) for c in used]))
-    model = fit_combat(pooled, names, batch_col, covars, continuous, ref_batch=reference, **options)
+        old, reference = training.relabelled(F.concat(F.col("__batch"), F.lit("_ref"))), f"{ref_batch}_ref"
+    own = CombatCells.of(fresh, names, training.batch, training.covars, training.continuous)
+    model = fit_cells(old.merge(own), reference, **options)
     return model.transform(fresh).select(*[col(c) for c in new.columns])
 
 

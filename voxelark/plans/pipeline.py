@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame, SparkSession
 from voxelark.functions.columns import KEYS, feature_columns
 from voxelark.functions.sizing import materialize
 from voxelark.operators import intensity, masks, selection, stats
-from voxelark.operators.combat import combat, combat_external
+from voxelark.operators.combat import CombatCells, combat, combat_study, harmonize_towards
 from voxelark.operators.normalize import NormalizerModel, fit_normalizer
 from voxelark.operators.predict import predict
 
@@ -70,17 +70,17 @@ class _Fitted:
         keys = list(params.get("keys", KEYS))
         names = params.get("names") or feature_columns(df, exclude=keys)
         settings = {**params, "keys": keys, "names": names}
-        batch = settings.pop("batch")
-        state = {"train": df, "train_batch": batch, "settings": settings}
-        return state, combat(df, batch, **settings)
+        model, out = combat_study(df, settings.pop("batch"), **settings)
+        # The cells carry batch column, features and covariates; the samples are not needed again.
+        later = {k: v for k, v in settings.items() if k not in ("batch_col", "covars", "continuous", "names")}
+        # Later steps of the chain read the harmonized table several times.
+        return {"cells": model.cells, "settings": later}, materialize(out, "harmonized")
 
     @staticmethod
     def replay(kind: str, state: dict[str, Any], df: DataFrame, params: dict[str, Any]) -> DataFrame:
         if kind == "normalize":
             return state["model"].transform(df)
-        return combat_external(
-            state["train"], state["train_batch"], df, params["batch"], **state["settings"]
-        )
+        return harmonize_towards(state["cells"], df, params["batch"], **state["settings"])
 
 
 @dataclass
@@ -148,7 +148,7 @@ def _chain(pipeline: Pipeline, df: DataFrame, apply, timer: bool = False):
 @dataclass
 class PipelineBundle:
     """A trained chain: normalization uses the training statistics, harmonization
-    moves new samples towards the training table."""
+    moves new samples towards the training cells. No training sample is kept."""
 
     pipeline: Pipeline
     states: dict[int, dict[str, Any]]
@@ -181,9 +181,8 @@ class PipelineBundle:
                 state["model"].save(f"{path}/step={i}")
                 spark = state["model"].stats.sparkSession
                 continue
-            spark = state["train"].sparkSession
-            state["train"].write.parquet(f"{path}/step={i}/train")
-            state["train_batch"].write.parquet(f"{path}/step={i}/train_batch")
+            spark = state["cells"].table.sparkSession
+            state["cells"].save(f"{path}/step={i}/training")
             settings = json.dumps(state["settings"])
             spark.createDataFrame([(settings,)], "settings string").write.parquet(f"{path}/step={i}/settings")
         if spark is not None:
@@ -200,8 +199,7 @@ class PipelineBundle:
                 states[row["step"]] = {"model": NormalizerModel.load(spark, folder)}
             else:
                 states[row["step"]] = {
-                    "train": spark.read.parquet(f"{folder}/train"),
-                    "train_batch": spark.read.parquet(f"{folder}/train_batch"),
+                    "cells": CombatCells.load(spark, f"{folder}/training"),
                     "settings": json.loads(spark.read.parquet(f"{folder}/settings").first()["settings"]),
                 }
         return cls(pipeline, states)
