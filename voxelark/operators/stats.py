@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from voxelark.functions.columns import col, number, struct_of, to_long
 from voxelark.functions.sizing import attach, compact, materialize
-from voxelark.operators.quantiles import BUILTIN_GROUP_ROWS, grouped_quantiles
+from voxelark.operators.quantiles import BUILTIN_GROUP_ROWS, grouped_quantiles, quantile_sketches, sketch_statistics
 
 ALL = "all"
 QUARTILES = (0.25, 0.5, 0.75)
@@ -76,13 +76,23 @@ def describe(
     features: Sequence[str],
     by: Sequence[str] = (),
     group_rows: int | None = None,
+    approx: bool = False,
 ) -> DataFrame:
-    """Statistics per feature, or per group and feature when ``by`` is given."""
+    """Statistics per feature, or per group and feature when ``by`` is given.
+
+    ``approx`` takes quartiles from mergeable sketches: one pass, whatever the size of a group.
+    Exact quartiles use the built-in aggregate while the values of all features of the largest
+    group stay below its bound, and rank selection beyond.
+    """
     by = list(by)
+    if approx:
+        read = sketch_statistics(quantile_sketches(df, features, by), QUARTILES)
+        quartiles = [F.col("q")[i].alias(name) for i, name in enumerate(("p25", "p50", "p75"))]
+        return read.select(*[col(b) for b in by], "feature", "count", "mean", "std", "min", *quartiles, "max")
     if group_rows is None:
         sizes = df.groupBy(*[col(b) for b in by]).count()
         group_rows = int(sizes.agg(F.coalesce(F.max("count"), F.lit(0)).alias("m")).first()["m"])
-    if group_rows <= BUILTIN_GROUP_ROWS and len(features) <= WIDE_FEATURE_LIMIT:
+    if group_rows * len(features) <= BUILTIN_GROUP_ROWS and len(features) <= WIDE_FEATURE_LIMIT:
         return _described_in_one_pass(df, features, by)
     base = moments(df, features, by)
     quantiles = grouped_quantiles(
@@ -145,7 +155,7 @@ def describe_levels(
     empty = [F.lit(None).cast("double").alias(p) for p in ("p25", "p50", "p75")]
     columns = ["level", "feature", *STAT_COLUMNS]
     rows = df.count() if quartiles else 0
-    if quartiles and rows <= BUILTIN_GROUP_ROWS and len(features) <= WIDE_FEATURE_LIMIT:
+    if quartiles and rows * len(features) <= BUILTIN_GROUP_ROWS and len(features) <= WIDE_FEATURE_LIMIT:
         strata = describe(tagged, features, ["level"], rows)
         overall = describe(tagged, features, (), rows).withColumn("level", F.lit(ALL))
         table = strata.filter(F.col("level").isNotNull()).select(columns).unionByName(overall.select(columns))
@@ -215,12 +225,16 @@ def _orderable(df: DataFrame, name: str) -> bool:
 def duplicates(df: DataFrame, keys: Sequence[str], order_by: Sequence[str]) -> DataFrame:
     """The rows :func:`dedupe_first` leaves out, every copy of them.
 
-    Identical rows are first folded into one row with a count, which shrinks a
-    hot group of copies before any shuffle by key.
+    Keys are counted first, and only rows of repeated keys go on. Identical rows are
+    then folded into one row with a count, which shrinks a hot group of copies before any
+    shuffle by key.
     """
     keys = list(keys)
     rest = [c for c in df.columns if c not in keys]
     order = [*order_by, *[c for c in rest if c not in order_by]]
+    tagged = df.withColumn("__k", struct_of(keys))
+    several = tagged.groupBy("__k").count().filter(F.col("count") > 1).select("__k")
+    df = attach(tagged, several, ["__k"], "inner", "repeated-keys").drop("__k")
     folded = df.groupBy(*[col(c) for c in df.columns]).agg(F.count("*").alias("__n"))
     ordered = folded.withColumn("__o", struct_of(order))
     # Keys as one struct: it is never NULL itself, and NULL fields of equal keys are equal.
@@ -238,11 +252,14 @@ _COPIES_PER_CHUNK = 100_000
 
 
 def _repeat_rows(df: DataFrame, count: str) -> DataFrame:
-    """Emit each row ``count`` times; large counts are cut into chunks first."""
+    """Emit each row ``count`` times; only counts beyond a chunk are cut up and dealt over tasks."""
+
+    def emitted(rows: DataFrame, size: Column) -> DataFrame:
+        return rows.withColumn("__copy", F.explode(F.sequence(F.lit(1).cast("long"), size.cast("long"))))
+
+    few = emitted(df.filter(F.col(count) <= _COPIES_PER_CHUNK), F.col(count))
     last = F.col(count) - 1
-    chunks = F.sequence(F.lit(0).cast("long"), F.floor(last / _COPIES_PER_CHUNK))
-    chunked = df.withColumn("__chunk", F.explode(chunks))
-    size = F.least(F.col(count) - F.col("__chunk") * _COPIES_PER_CHUNK, F.lit(_COPIES_PER_CHUNK).cast("long"))
-    return chunked.repartition("__o", "__chunk").withColumn(
-        "__copy", F.explode(F.sequence(F.lit(1).cast("long"), size))
-    )
+    chunks = F.explode(F.sequence(F.lit(0).cast("long"), F.floor(last / _COPIES_PER_CHUNK)))
+    chunked = df.filter(F.col(count) > _COPIES_PER_CHUNK).withColumn("__chunk", chunks).repartition("__o", "__chunk")
+    many = emitted(chunked, F.least(F.col(count) - F.col("__chunk") * _COPIES_PER_CHUNK, F.lit(_COPIES_PER_CHUNK)))
+    return few.unionByName(many.drop("__chunk"))

@@ -9,8 +9,8 @@ from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.regression import LinearRegression
 from pyspark.sql import functions as F
 
-from voxelark.functions.columns import to_long
-from voxelark.functions.sizing import shared_dir
+from voxelark.functions.columns import feature_columns, to_long
+from voxelark.functions.sizing import attach, materialize, shared_dir
 from voxelark.operators.normalize import (
     NormalizerModel,
     attach_stats,
@@ -19,13 +19,14 @@ from voxelark.operators.normalize import (
     normalize_external,
 )
 from voxelark.operators.predict import LinearScorer, predict
-from voxelark.operators.quantiles import rank_select
+from voxelark.operators.quantiles import merge_sketches, quantile_sketches, rank_select, sketch_statistics
 from voxelark.operators.selection import include, incomplete_rows, skip
 from voxelark.operators.stats import (
     dedupe_first,
     describe,
     describe_levels,
     duplicates,
+    moments,
     stats_to_long,
     stats_to_wide,
 )
@@ -37,6 +38,7 @@ from voxelark.sources.tables import (
     prefix_features,
     read_features,
     write_features,
+    write_stats,
 )
 
 FEATURES = ["l_quantity", "l_extendedprice", "l_discount", "l_tax"]
@@ -85,6 +87,63 @@ def quantiles_by_rank(spark, sf_dir):
     return rounded(q.select(STRATUM, "feature", *[F.col("q")[i].alias(n) for i, n in enumerate(names)]), 4)
 
 
+PROBS = [0.02, 0.25, 0.5, 0.75, 0.98]
+
+
+def quantiles_sketched(spark, sf_dir):
+    """Sketches of every ship mode status and stratum, merged to strata: exact moments, and whether the estimated
+    quantiles lie within one per cent of the wanted rank and the distinct count within a tenth."""
+    df = load(spark, sf_dir, "lineitem")
+    fine = quantile_sketches(df, FEATURES, [STRATUM, "l_linestatus"])
+    read = sketch_statistics(merge_sketches(fine, [STRATUM]), PROBS)
+    read = materialize(read, "sketches")
+    ranks = attach(to_long(df, [STRATUM], FEATURES), read.select(STRATUM, "feature", "q"), [STRATUM, "feature"], "inner", part_of=read)
+    v = F.col("value")
+    # A quantile is right if the wanted rank lies between the shares below it and up to it.
+    shares = [
+        F.struct(F.avg((v < F.col("q")[i]).cast("double")).alias("below"), F.avg((v <= F.col("q")[i]).cast("double")).alias("upto"))
+        for i in range(len(PROBS))
+    ]
+    near = F.lit(True)
+    for i, p in enumerate(PROBS):
+        near = near & (F.col(f"s{i}.below") <= p + 0.01) & (F.col(f"s{i}.upto") >= p - 0.01)
+    exact = F.count_distinct(v).alias("different")
+    checked = ranks.groupBy(STRATUM, "feature").agg(exact, *[s.alias(f"s{i}") for i, s in enumerate(shares)])
+    both = read.join(checked, [STRATUM, "feature"])
+    counted = F.abs(F.col("distinct") - F.col("different")) <= 0.1 * F.col("different")
+    return rounded(
+        both.select(STRATUM, "feature", "count", "mean", "std", "min", "max", near.alias("quantiles_near"), counted.alias("distinct_near")), 4
+    )
+
+
+def quantiles_refined(spark, sf_dir):
+    """Percentiles of prices crowded around one value, so that slices are cut again until one fits."""
+    line = load(spark, sf_dir, "lineitem")
+    crowded = line.select(STRATUM, (F.lit(1e9) + F.col("l_extendedprice") / 1e4).alias("value"))
+    q = rank_select(crowded, [STRATUM], "value", [0.1, 0.5, 0.9], fit_values=50)
+    return rounded(q.select(STRATUM, *[F.col("q")[i].alias(n) for i, n in enumerate(("p10", "p50", "p90"))]), 4)
+
+
+def statistics_never_replaced(spark, sf_dir):
+    """Statistics of two groupings written to one path: both stay, the second under a name of its own."""
+    df, path = _lineitem(spark, sf_dir), f"{shared_dir(spark)}/voxelark/stats-{uuid.uuid4().hex}"
+    tables = []
+    for i, by in enumerate(([], [STRATUM])):
+        stats = describe(df, FEATURES, by).withColumn("level", F.col(STRATUM) if by else F.lit("all"))
+        written = write_stats(stats.select("level", "feature", "count", "mean"), path)
+        tables.append(spark.read.parquet(written).select(F.lit(i).alias("copy"), F.lit(written == path).alias("at_path"), "*"))
+    return rounded(tables[0].unionByName(tables[1]), 4)
+
+
+def columns_used(spark, sf_dir):
+    """The columns of a table that count as features, with how many values each has."""
+    joined = load(spark, sf_dir, "lineitem").withColumnsRenamed(
+        {"l_orderkey": "patientID_order", "l_linenumber": "diagnostics_line", "l_tax": "tax_diagnostics"}
+    )
+    names = feature_columns(joined, exclude=["l_suppkey"])
+    return moments(joined, names, []).select("feature", "count")
+
+
 def _normalized(method, stratified):
     def run(spark, sf_dir):
         df = _lineitem(spark, sf_dir)
@@ -215,6 +274,10 @@ def appended_table(spark, sf_dir):
 
 
 QUERIES = {
+    "quantiles_sketched": quantiles_sketched,
+    "quantiles_refined": quantiles_refined,
+    "statistics_never_replaced": statistics_never_replaced,
+    "columns_used": columns_used,
     "scored_by_spark_model": scored_by_spark_model,
     "saved_statistics_applied": saved_statistics_applied,
     "appended_table": appended_table,
@@ -341,6 +404,27 @@ _DEDUPE_COLUMNS = ", ".join([*ID, STRATUM, *FEATURES])
 _LISTED = "SELECT n_nationkey FROM nation WHERE n_regionkey = 1"
 
 ORACLES = {
+    "quantiles_sketched": " UNION ALL ".join(
+        f"""SELECT l_returnflag, '{f}' AS feature, count({f}) AS count, {sql_round(f'avg({f})', 4)} AS mean,
+ {sql_round(f'stddev_samp({f})', 4)} AS std, {sql_round(f'min({f})', 4)} AS min, {sql_round(f'max({f})', 4)} AS max,
+ TRUE AS quantiles_near, TRUE AS distinct_near FROM lineitem GROUP BY 1"""
+        for f in FEATURES
+    ),
+    "quantiles_refined": "SELECT l_returnflag, " + ", ".join(
+        f"{sql_round(f'quantile_cont(1e9 + l_extendedprice / 1e4, {p})', 4)} AS {n}"
+        for p, n in ((0.1, "p10"), (0.5, "p50"), (0.9, "p90"))
+    ) + " FROM lineitem GROUP BY 1",
+    "statistics_never_replaced": " UNION ALL ".join(
+        f"""SELECT {i}::INTEGER AS copy, {i == 0} AS at_path, {level} AS level, '{f}' AS feature, count({f}) AS count,
+ {sql_round(f'avg({f})', 4)} AS mean FROM lineitem{group}"""
+        for i, level, group in ((0, "'all'", ""), (1, "l_returnflag", " GROUP BY l_returnflag"))
+        for f in FEATURES
+    ),
+    "columns_used": " UNION ALL ".join(
+        f"SELECT '{n}' AS feature, count({c}) AS count FROM lineitem"
+        for n, c in (("l_partkey", "l_partkey"), ("l_quantity", "l_quantity"), ("l_extendedprice", "l_extendedprice"),
+                     ("l_discount", "l_discount"), ("tax_diagnostics", "l_tax"))
+    ),
     "scored_by_spark_model": f"""SELECT {', '.join(ID)}, {sql_round('a + b * l_quantity', 3)} AS predictions
 FROM lineitem, (SELECT regr_intercept(l_extendedprice, l_quantity) AS a,
   regr_slope(l_extendedprice, l_quantity) AS b FROM lineitem)""",
