@@ -9,10 +9,10 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from voxelark.functions.columns import KEYS
+from voxelark.functions.columns import KEYS, col
 from voxelark.functions.sizing import attach, materialize
 
 READY, REORGANIZE, INVALID = "Ready", "Ready_to_reorganize", "Invalid"
@@ -21,37 +21,52 @@ SEGMENTATION_FILE = "RTSTRUCT.dcm"
 _PATTERN_CHARACTERS = r"[\\^$.|?*+()\[\]{}]"
 
 
+#: Characters of a name's key: files and names meet on substrings of this length.
+_KEY = 3
+# Patterns with one of these have no text that every match must hold, as far as is looked for here.
+_OPEN_PATTERN = r"[\\|()\[\]{}]"
+
+
+def _required_text(name: Column, is_pattern: Column) -> Column:
+    """Lower-case text that every match of a name holds: a plain name itself, else the longest run of plain
+    characters of a pattern without groups and alternatives. Empty if there is none."""
+    # A character that may be left out or repeated at will is no part of a run.
+    runs = F.split(F.regexp_replace(name, r"(?s).[*?]", "."), r"[.^$+]")
+    longest = F.array_max(F.transform(runs, lambda r: F.struct(F.length(r).alias("n"), r.alias("r"))))["r"]
+    return F.lower(F.when(~is_pattern, name).when(~name.rlike(_OPEN_PATTERN), longest).otherwise(F.lit("")))
+
+
 def matching_files(manifest: DataFrame, keys: Sequence[str] = KEYS) -> DataFrame:
     """Files of the patient folder whose name contains a sub-analysis name.
 
-    Case-insensitive; a name with pattern characters is searched as a pattern.
-    Plain names are matched by an equi-join on the parts of the file name that
-    have the length of some sub-analysis name, so the work grows with the files,
-    not with files times sub-analyses.
+    Case-insensitive; a name with pattern characters is searched as a pattern. A name is known
+    by the last three characters of the text that its matches must hold, and meets only
+    the files whose name has those somewhere; then it is searched. So the work grows
+    with the files and their matches, not with files times sub-analyses. Names without such a text
+    (of one or two characters, or patterns of groups and alternatives) meet all files of their patient.
     """
     patient, sub = keys
     subs = manifest.filter(F.col(sub).isNotNull()).select(patient, sub).distinct()
-    subs = materialize(subs, "sub-analyses")
+    is_pattern = col(sub).rlike(_PATTERN_CHARACTERS)
+    text = _required_text(col(sub), is_pattern)
+    key = F.when(F.length(text) >= _KEY, F.substr(text, F.length(text) - (_KEY - 1), F.lit(_KEY)))
+    subs = materialize(subs.select(patient, sub, is_pattern.alias("__pattern"), key.alias("__key")), "sub-analyses")
     files = manifest.filter(F.col(sub).isNull()).select(patient, "path", "file_name")
-    is_pattern = F.col(sub).rlike(_PATTERN_CHARACTERS)
-    plain = subs.filter(~is_pattern).withColumn("__part", F.lower(sub))
-    lengths = plain.groupBy(patient).agg(F.collect_set(F.length("__part")).alias("__lengths"))
-    sized = attach(files, lengths, [patient], "inner", "name-lengths")
-    sized = sized.select(patient, "path", "file_name", F.explode("__lengths").alias("__k"))
-    size = F.length("file_name")
-    starts = F.when(size >= F.col("__k"), F.sequence(F.lit(1), size - F.col("__k") + 1))
-    parts = sized.withColumn("__at", F.explode(starts)).select(
-        patient, "path", "file_name", F.lower(F.substr("file_name", F.col("__at"), F.col("__k"))).alias("__part")
+    # One row of names per key: what a file's part may meet.
+    keyed = subs.filter(F.col("__key").isNotNull()).groupBy(patient, "__key").agg(
+        F.collect_set(F.struct(col(sub).alias("name"), "__pattern")).alias("__names")
+    )
+    lower = F.lower("file_name")
+    starts = F.when(F.length(lower) >= _KEY, F.sequence(F.lit(1), F.length(lower) - (_KEY - 1)))
+    parts = F.array_distinct(F.transform(starts, lambda i: F.substr(lower, i, F.lit(_KEY))))
+    met = attach(files.withColumn("__key", F.explode(parts)), keyed, [patient, "__key"], "inner", "name-keys")
+    met = met.select(patient, "path", "file_name", F.inline("__names"))
+    rest = files.join(subs.filter(F.col("__key").isNull()).select(patient, col(sub).alias("name"), "__pattern"), patient)
+    both = met.unionByName(rest)
+    found = F.when(F.col("__pattern"), F.expr("file_name rlike concat('(?i)', name)")).otherwise(
+        F.contains(F.lower("file_name"), F.lower("name"))
     )
-    # Names differing only in case share a part, so each part has one row of names.
-    named = plain.groupBy(patient, "__part").agg(F.collect_set(sub).alias("__names"))
-    by_text = attach(parts.distinct(), named, [patient, "__part"], "inner", "names")
-    by_text = by_text.select(patient, F.explode("__names").alias(sub), "path", "file_name")
-    patterns = subs.filter(is_pattern)
-    by_pattern = files.join(patterns, patient).filter(
-        F.expr(f"file_name rlike concat('(?i)', `{sub}`)")
-    ).select(patient, sub, "path", "file_name")
-    return by_text.unionByName(by_pattern)
+    return both.filter(found).select(patient, F.col("name").alias(sub), "path", "file_name")
 
 
 def structure_by_key(

@@ -2,9 +2,12 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import functions as F
 
 from voxelark.functions.names import canonical_mask_name, prefix_listed, suffixed_name
+from voxelark.functions.sizing import shared_dir
 from voxelark.operators.selection import filter_rois
 from voxelark.operators.structure import (
     check_structure,
@@ -14,7 +17,7 @@ from voxelark.operators.structure import (
     unsegmented,
 )
 from voxelark.plans.catalog.common import load
-from voxelark.sources.study import manifest_columns
+from voxelark.sources.study import manifest_columns, scan_manifest
 
 ROOT = "/study"
 
@@ -65,6 +68,19 @@ def named_files(spark, sf_dir):
     return matching_files(_loose_study(spark, sf_dir))
 
 
+def named_files_by_pattern(spark, sf_dir):
+    """Sub-analyses with names that are patterns, plain ones, short ones, and ones of alternatives."""
+    loose = _loose_study(spark, sf_dir)
+    name, turn = F.col("sub_Analysis"), F.length("patientID") + F.length("sub_Analysis")
+    odd = (
+        F.when(turn % 4 == 0, F.regexp_replace(name, "^(.).", "$1."))
+        .when(turn % 4 == 1, F.concat(F.substr(name, F.lit(1), F.lit(1)), F.lit(".*"), F.substr(name, F.lit(3), F.lit(9))))
+        .when(turn % 4 == 2, F.concat(F.lit("("), name, F.lit("|x)")))
+        .otherwise(F.substr(name, F.lit(1), F.lit(2)))
+    )
+    return matching_files(loose.withColumn("sub_Analysis", odd))
+
+
 def segmentation_needed(spark, sf_dir):
     return unsegmented(_sorted_study(spark, sf_dir), "dicom")
 
@@ -93,12 +109,29 @@ def listed_names_prefixed(spark, sf_dir):
     return prefix_listed(docs, ["Src1", "src7", "SRC12"])
 
 
+def study_scanned(spark, sf_dir):
+    """Files of each day and event type written to a study folder, then listed: names and sizes, contents unread."""
+    e = load(spark, sf_dir, "events")
+    root = f"{shared_dir(spark)}/voxelark/study-{uuid.uuid4().hex}"
+    lines = e.groupBy(F.concat(F.lit("D"), F.dayofmonth("ts")).alias("patient"), F.col("event_type").alias("kind")).agg(
+        F.count("*").cast("string").alias("value")
+    )
+    # One line of text per folder: its size is the length of the number and a line end.
+    lines.repartition(1).write.partitionBy("patient", "kind").text(root)
+    files = scan_manifest(spark, root).filter(F.col("file_name").endswith(".txt"))
+    return files.groupBy("patientID", "sub_Analysis").agg(
+        F.count("*").alias("files"), F.sum("length").alias("length"), F.max((F.col("modificationTime").isNotNull()).cast("int")).alias("timed")
+    )
+
+
 QUERIES = {
+    "study_scanned": study_scanned,
     "study_manifest": study_manifest,
     "structure_flags": structure_flags,
     "structure_flags_loose": structure_flags_loose,
     "structure_status": structure_status,
     "named_files": named_files,
+    "named_files_by_pattern": named_files_by_pattern,
     "segmentation_needed": segmentation_needed,
     "moves_planned": moves_planned,
     "regions_selected": regions_selected,
@@ -122,6 +155,8 @@ counted AS (SELECT s.*, count(n.path) AS k, min(n.path) AS path FROM subs s LEFT
   USING (patientID, sub_Analysis) GROUP BY 1, 2)"""
 
 ORACLES = {
+    "study_scanned": """SELECT 'patient=D' || day(ts) AS patientID, 'kind=' || event_type AS sub_Analysis, 1::BIGINT AS files,
+ length(CAST(count(*) AS VARCHAR)) + 1 AS length, 1::INTEGER AS timed FROM events GROUP BY day(ts), event_type""",
     "study_manifest": f"""WITH {_SORTED} SELECT '/study/' || patientID || '/' || sub_Analysis || '/' || inside AS path,
  patientID, sub_Analysis, inside AS "inner", string_split(inside, '/')[-1] AS file_name FROM files""",
     "structure_flags": f"""WITH {_SORTED}, f AS (SELECT patientID, sub_Analysis,
@@ -135,6 +170,12 @@ SELECT 'images' AS study, CASE WHEN bool_and(d) THEN 'Ready' ELSE 'Ready_to_reor
 UNION ALL SELECT 'segmented', CASE WHEN bool_and(d AND s) THEN 'Ready' ELSE 'Invalid' END FROM f
 UNION ALL SELECT 'loose', 'Ready_to_reorganize'""",
     "named_files": f"WITH {_LOOSE} SELECT * FROM named",
+    "named_files_by_pattern": f"""WITH {_LOOSE.split('named AS')[0]}
+odd AS (SELECT DISTINCT patientID, CASE (length(patientID) + length(sub_Analysis)) % 4
+  WHEN 0 THEN regexp_replace(sub_Analysis, '^(.).', '\\1.') WHEN 1 THEN sub_Analysis[1] || '.*' || substr(sub_Analysis, 3, 9)
+  WHEN 2 THEN '(' || sub_Analysis || '|x)' ELSE substr(sub_Analysis, 1, 2) END AS sub_Analysis FROM subs)
+SELECT s.patientID, s.sub_Analysis, '/study/' || f.patientID || '/' || f.file_name AS path, f.file_name
+FROM odd s JOIN files f ON f.patientID = s.patientID AND f.sub_Analysis IS NULL AND regexp_matches(f.file_name, s.sub_Analysis, 'i')""",
     "segmentation_needed": f"""WITH {_SORTED} SELECT patientID, sub_Analysis FROM files GROUP BY 1, 2
  HAVING NOT bool_or(inside = 'RTSTRUCT.dcm')""",
     "moves_planned": f"""WITH {_LOOSE}

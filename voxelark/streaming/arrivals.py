@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Sequence
+from collections.abc import Callable, Iterator, Sequence
 
+import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
+from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
 from voxelark.functions.sizing import attach
 
@@ -44,6 +46,67 @@ def stable_items(first: DataFrame, second: DataFrame, key: str = "patientID") ->
     return before.join(after, key).filter(F.col("length") == F.col("__after")).select(key, "length")
 
 
+def settled_sizes(
+    stream: DataFrame,
+    key: str = "patientID",
+    ts: str = "modificationTime",
+    length: str = "length",
+    quiet: str = "10 minutes",
+    watermark: str = "10 minutes",
+) -> DataFrame:
+    """``key, length, since, settled``: items whose size stayed the same for ``quiet``, once for every such size.
+
+    Rows are observations of an item's total size, from any number of polls. Each item keeps its
+    last size and since when it was seen; an equal observation ``quiet`` later settles it at once, and
+    a timer settles it when the watermark passes without another one. A change starts the
+    wait anew, also after a size was given. The state of an item is three numbers and survives a restart with
+    the query's checkpoint. Of observations at one time the largest size counts; NULL keys, times and
+    sizes are left out.
+    """
+    wait = int(pd.Timedelta(quiet).total_seconds() * 1000)
+    kind = stream.schema[key].dataType.simpleString()
+    timed = stream.select(
+        F.col(key).alias("k"), F.col(ts).cast("timestamp").alias("at"), F.col(length).cast("long").alias("size")
+    ).filter("k is not null and at is not null and size is not null")
+
+    def follow(item: tuple, batches: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
+        size, since, given = state.get if state.exists else (None, 0, False)
+        done = []
+        if state.hasTimedOut:
+            if not given:
+                done.append((size, since, since + wait))
+            given = True
+        else:
+            seen = pd.concat(list(batches)).groupby("at", sort=True)["size"].max()
+            moments = seen.index.as_unit("ms").asi8
+            for at, now in zip(moments.tolist(), seen.tolist()):
+                if size is None or now != size:
+                    size, since, given = now, at, False
+                elif not given and at - since >= wait:
+                    done.append((size, since, at))
+                    given = True
+        state.update((size, since, given))
+        if not given:
+            state.setTimeoutTimestamp(max(since + wait, state.getCurrentWatermarkMs() + 1))
+        if done:
+            lengths, starts, ends = zip(*done)
+            yield pd.DataFrame({"k": [item[0]] * len(done), "size": lengths, "since": starts, "settled": ends})
+
+    settled = timed.withWatermark("at", watermark).groupBy("k").applyInPandasWithState(
+        follow,
+        f"k {kind}, size long, since long, settled long",
+        "size long, since long, given boolean",
+        "append",
+        GroupStateTimeout.EventTimeTimeout,
+    )
+    return settled.select(
+        F.col("k").alias(key),
+        F.col("size").alias(length),
+        F.timestamp_millis("since").alias("since"),
+        F.timestamp_millis("settled").alias("settled"),
+    )
+
+
 def read_arrivals(
     spark: SparkSession,
     path: str,
@@ -122,12 +185,25 @@ def run_incremental(
 
 
 def append_results(
-    stream: DataFrame, output: str, checkpoint: str, poll: str | None = None
+    stream: DataFrame, output: str, checkpoint: str, poll: str | None = None, partitions: int | None = None
 ) -> StreamingQuery:
-    """Write an append-mode stream to Parquet, exactly once."""
+    """Write an append-mode stream to Parquet, exactly once.
+
+    ``partitions`` is the number of state partitions of a new query (a store each, opened and committed in every
+    poll); without it the session's shuffle partitions hold. The checkpoint keeps the number.
+    """
     writer = stream.writeStream.outputMode("append").format("parquet").option("path", output)
     trigger = {"processingTime": poll} if poll else {"availableNow": True}
-    return writer.option("checkpointLocation", checkpoint).trigger(**trigger).start()
+    writer = writer.option("checkpointLocation", checkpoint).trigger(**trigger)
+    conf, name = stream.sparkSession.conf, "spark.sql.shuffle.partitions"
+    held = conf.get(name)
+    try:
+        if partitions is not None:
+            conf.set(name, str(partitions))
+        # A query copies the session's settings when it starts.
+        return writer.start()
+    finally:
+        conf.set(name, held)
 
 
 def score_stream(
