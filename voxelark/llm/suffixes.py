@@ -34,6 +34,7 @@ from voxelark.llm.windows import (
     Tokens,
     _binary,
     anchor_rows,
+    as_lists,
     bucket_count,
     bucket_spans,
     chosen_runs,
@@ -85,7 +86,10 @@ def _pack(kind: Kind, splitters: np.ndarray | None, share: int):
             text, first, n, anchor, grams = chosen_runs(kind, t, batch.column(2).to_pylist())
             lead = _leads(kind, t, first, anchor, grams)
             if splitters is None:
-                yield pa.RecordBatch.from_arrays([pa.array(lead.view(np.int64))], names=["lead"])
+                # A number that depends on the place draws the sample.
+                lot = (ids[text].astype(np.uint64) * np.uint64(0xD6E8FEB86659FD93)) ^ (first - t.offsets[text]).astype(np.uint64)
+                lot = (lot * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(1)
+                yield pa.RecordBatch.from_arrays([pa.array(lead.view(np.int64)), pa.array(lot.astype(np.int64))], names=["lead", "lot"])
                 continue
             spread = (lead * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(40)
             bucket = np.searchsorted(splitters, lead, side="right") * share + (spread % np.uint64(share)).astype(np.int64)
@@ -120,7 +124,7 @@ def _sort(kind: Kind):
 
 
 def repeated_spans(docs: DataFrame, size: int = SIZE, gram: int = GRAM) -> tuple[DataFrame, DataFrame]:
-    """Spans of bytes (doc_id, lo, hi) that also start earlier, and the ids of whole copies."""
+    """Lists of spans of bytes (doc_id, spans) that also start earlier, and the ids of whole copies."""
     if gram < TOKEN:
         raise ValueError(f"an anchor must hold the leading token: gram >= {TOKEN}")
     kind = Kind(False, size, gram)
@@ -132,7 +136,8 @@ def repeated_spans(docs: DataFrame, size: int = SIZE, gram: int = GRAM) -> tuple
     # Documents drawn by a hash of their id until about SAMPLE leading tokens are met.
     part = F.pmod(F.xxhash64("doc_id"), F.lit(max(1, -(-seen["runs"] // SAMPLE)))) == 0
     some = single.join(wanted.filter(part), "doc_id")
-    leads = some.mapInArrow(_pack(kind, None, 1), "lead long").limit(2 * SAMPLE).toPandas()["lead"].to_numpy(np.int64)
+    leads = some.mapInArrow(_pack(kind, None, 1), "lead long, lot long").orderBy("lot").limit(2 * SAMPLE)
+    leads = leads.toPandas()["lead"].to_numpy(np.int64)
     ordered = np.sort(leads.view(np.uint64))
     splitters = ordered[np.arange(1, ranges) * len(ordered) // ranges] if len(ordered) else np.empty(0, np.uint64)
     met = single.join(wanted, "doc_id")
@@ -140,6 +145,7 @@ def repeated_spans(docs: DataFrame, size: int = SIZE, gram: int = GRAM) -> tuple
         _pack(kind, splitters, -(-buckets // ranges)), "bucket long, doc_id long, start long, packed binary"
     )
     spans = packed.groupBy("bucket").applyInArrow(_sort(kind), "doc_id long, lo long, hi long")
+    spans = as_lists(spans)
     if seen["hot"]:
         hot = attach(single, lists.select("doc_id", "hot").filter(F.size("hot") > 0), ["doc_id"], "inner", "hot-lists")
         spans = spans.union(hot_spans(hot, kind, within=True))

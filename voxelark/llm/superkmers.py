@@ -31,6 +31,7 @@ from voxelark.llm.windows import (
     Kind,
     _binary,
     anchor_rows,
+    as_lists,
     bucket_count,
     bucket_spans,
     chosen_runs,
@@ -89,7 +90,7 @@ def _sort(kind: Kind):
 
 
 def repeated_spans(docs: DataFrame, size: int = SIZE, gram: int = GRAM) -> tuple[DataFrame, DataFrame]:
-    """Spans of words (doc_id, lo, hi) that repeat passages of smaller documents, and the ids of whole copies."""
+    """Lists of spans of words (doc_id, spans) that repeat passages of smaller documents, and the ids of whole copies."""
     kind = Kind(True, size, gram)
     single, copies = without_copies(docs)
     lists, seen = repeated_anchors(anchor_rows(single, kind), within=False)
@@ -97,6 +98,7 @@ def repeated_spans(docs: DataFrame, size: int = SIZE, gram: int = GRAM) -> tuple
     met = single.join(lists.select("doc_id", "anchors").filter(F.size("anchors") > 0), "doc_id")
     packed = met.mapInArrow(_pack(kind, buckets), "bucket long, doc_id long, start long, packed binary")
     spans = packed.groupBy("bucket").applyInArrow(_sort(kind), "doc_id long, lo long, hi long")
+    spans = as_lists(spans)
     if seen["hot"]:
         hot = attach(single, lists.select("doc_id", "hot").filter(F.size("hot") > 0), ["doc_id"], "inner", "hot-lists")
         spans = spans.union(hot_spans(hot, kind, within=False))

@@ -32,8 +32,8 @@ from voxelark.llm.common import discard, slices, stored
 HOT_ROWS = 2_000
 #: Bytes of packed runs in a bucket, on average.
 BUCKET_BYTES = 2 << 20
-#: Windows of a hot anchor compared together in the second round.
-CHUNK = 8
+#: Windows of a hot anchor compared together after whole runs: each round cuts what differs into three.
+WIDTHS = (27, 9, 3, 1)
 _BASE = 0x9E3779B97F4A7C15
 _BYTE_HASH = np.random.default_rng(11).integers(0, 2**63, size=256, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 
@@ -339,11 +339,11 @@ def chosen_runs(kind: Kind, t: Tokens, lists: list) -> tuple:
     return text[keep], first[keep], n[keep], anchor[keep], grams
 
 
-def _split_runs(kind: Kind):
-    """Runs into chunks of at most CHUNK windows, cut at places that depend on the content around the anchor only."""
+def _split(kind: Kind, width: int):
+    """Pieces into parts of at most ``width`` windows, cut at places that depend on the content around the anchor only."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        width = kind.size - kind.gram + 1
+        inner = kind.size - kind.gram + 1
         for batch in slices(batches, "packed"):
             t = kind.tokens(_binary(batch, 2))
             grams = rolling(t.hashes, kind.gram)
@@ -354,29 +354,15 @@ def _split_runs(kind: Kind):
             away = np.empty(len(at), np.int64)
             for k in range(0, len(at), 20_000):
                 x = at[k : k + 20_000, None]
-                away[k : k + 20_000] = np.argmax(grams[x + np.arange(width)] == anchor[k : k + 20_000, None], axis=1)
+                away[k : k + 20_000] = np.argmax(grams[x + np.arange(inner)] == anchor[k : k + 20_000, None], axis=1)
             new = np.ones(len(at), bool)
             place = at + away
-            new[1:] = (body[1:] != body[:-1]) | (place[1:] != place[:-1]) | (away[1:] // CHUNK != away[:-1] // CHUNK)
+            new[1:] = (body[1:] != body[:-1]) | (place[1:] != place[:-1]) | (away[1:] // width != away[:-1] // width)
             yield _parts(kind, batch, t, body, at, np.flatnonzero(new))
 
     return run
 
 
-def _split_windows(kind: Kind):
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in slices(batches, "packed"):
-            t = kind.tokens(_binary(batch, 2))
-            n = np.diff(t.offsets) - kind.size + 1
-            body = np.repeat(np.arange(len(n)), n)
-            at = np.repeat(t.offsets[:-1], n) + np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)
-            for k in range(0, len(at), 20_000):
-                some = np.arange(min(20_000, len(at) - k))
-                yield _parts(kind, batch, t, body[k : k + 20_000], at[k : k + 20_000], some)
-
-    return run
-
-
 def _parts(kind: Kind, batch: pa.RecordBatch, t: Tokens, body, at, first) -> pa.RecordBatch:
     """Bodies of the pieces of ``at`` that begin at the positions ``first``."""
     n = np.diff(np.concatenate([first, [len(at)]]))
@@ -395,13 +381,13 @@ def _parts(kind: Kind, batch: pa.RecordBatch, t: Tokens, body, at, first) -> pa.
 
 
 def hot_spans(met: DataFrame, kind: Kind, within: bool) -> DataFrame:
-    """(doc_id, lo, hi): removed windows of hot anchors, without gathering an anchor's rows.
+    """(doc_id, spans): removed windows of hot anchors, without gathering an anchor's rows.
 
-    ``met`` has doc_id, text and the list ``hot``. Three times packed pieces are
-    compared as a whole (grouped minimum of their places, pre-aggregated) and only
-    the first occurrence of each distinct piece is cut finer: runs, chunks of a run,
-    single windows. What many documents share ends in the first round, so few
-    windows travel alone.
+    ``met`` has doc_id, text and the list ``hot``. Packed pieces are compared as a whole, finer
+    in every round (runs, then WIDTHS windows): a grouped minimum of their places, pre-aggregated,
+    tells the first occurrence of each distinct piece, and only that is cut finer. A document has one
+    row for a piece, with all its places. What many documents share ends in the first rounds, so
+    few windows travel alone.
     """
 
     def runs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -419,30 +405,34 @@ def hot_spans(met: DataFrame, kind: Kind, within: bool) -> DataFrame:
                 names=["doc_id", "start", "packed", "anchor"],
             )
 
-    shape = "doc_id long, start long, packed binary, anchor long"
-    spans = None
-    for label, split in (("runs", runs), ("chunks", _split_runs(kind)), ("windows", _split_windows(kind))):
-        pieces, _ = stored(met.mapInArrow(split, shape), f"hot-{label}")
-        by_doc = pieces.groupBy("packed", "anchor", "doc_id").agg(F.collect_list("start").alias("starts"))
-        firsts = by_doc.groupBy("packed", "anchor").agg(
-            F.min(F.struct("doc_id", F.array_sort("starts").alias("starts"))).alias("f"), F.max("doc_id").alias("last")
-        )
+    shape, piece = "doc_id long, start long, packed binary, anchor long", ["packed", "anchor"]
+    found = None
+    for label, split in (("runs", runs), *((f"windows-{w}", _split(kind, w)) for w in WIDTHS)):
+        placed = met.mapInArrow(split, shape).groupBy(*piece, "doc_id").agg(F.array_sort(F.collect_list("start")).alias("starts"))
+        by_doc, _ = stored(placed, f"hot-{label}")
+        firsts = by_doc.groupBy(*piece).agg(F.min(F.struct("doc_id", "starts")).alias("f"), F.max("doc_id").alias("last"))
         firsts, _ = stored(firsts, f"hot-{label}-firsts")
         several = F.col("f.doc_id") < F.col("last")
         later = F.col("doc_id") > F.col("f.doc_id")
+        gone = F.col("starts")
         if within:
+            # In the document of the first place all other places go.
             several = several | (F.size("f.starts") > 1)
-            later = later | (F.col("start") > F.col("f.starts")[0])
-        gone = (
-            pieces.join(firsts.filter(several), ["packed", "anchor"])
-            .filter(later)
-            .select("doc_id", F.col("start").alias("lo"), kind.length("packed").alias("length"))
-            .select("doc_id", "lo", (F.col("lo") + F.col("length")).alias("hi"))
-        )
-        spans = gone if spans is None else spans.union(gone)
+            gone = F.when(later, gone).otherwise(F.slice("starts", 2, F.greatest(F.size("starts") - 1, F.lit(0))))
+            later = later | (F.size("starts") > 1)
+        again = firsts.filter(several).select(*piece, "f", kind.length("packed").alias("length"))
+        joined = by_doc.join(again, piece).filter(later)
+        spans = F.transform(gone, lambda at: F.struct(at.alias("lo"), (at + F.col("length")).alias("hi")))
+        joined = joined.select("doc_id", spans.alias("spans"))
+        found = joined if found is None else found.union(joined)
         starts = F.slice("f.starts", 1, 1) if within else F.col("f.starts")
-        met = firsts.select(F.col("f.doc_id").alias("doc_id"), F.explode(starts).alias("start"), "packed", "anchor")
-    return spans
+        met = firsts.select(F.col("f.doc_id").alias("doc_id"), F.explode(starts).alias("start"), *piece)
+    return found
+
+
+def as_lists(spans: DataFrame) -> DataFrame:
+    """(doc_id, spans) of rows (doc_id, lo, hi)."""
+    return spans.select("doc_id", F.array(F.struct("lo", "hi")).alias("spans"))
 
 
 def merged_spans(spans):
@@ -461,12 +451,12 @@ def merged_spans(spans):
 
 
 def with_spans(docs: DataFrame, spans: DataFrame, copies: DataFrame) -> DataFrame:
-    """Every document (all columns) with ``copy`` and the merged ``spans`` to remove.
+    """Every document (all columns) with ``copy`` and the merged ``spans`` (lists of them by doc_id) to remove.
 
     The spans of documents that lose something are a small table; it is joined by its
     measured size.
     """
-    listed = spans.groupBy("doc_id").agg(F.collect_list(F.struct("lo", "hi")).alias("spans"))
+    listed = spans.groupBy("doc_id").agg(F.flatten(F.collect_list("spans")).alias("spans"))
     listed = listed.select("doc_id", merged_spans(F.col("spans")).alias("spans"))
     both = copies.join(listed, "doc_id", "full").select(F.col("doc_id").alias("__id"), F.col("copy").alias("__copy"), F.col("spans").alias("__spans"))
     rows = docs.withColumn("__id", F.col("doc_id").cast("long"))
