@@ -2,7 +2,15 @@ import numpy as np
 import pandas as pd
 import pytest
 
-from voxelark.operators.combat import CombatModel, combat, combat_external, fit_combat
+from voxelark.operators.combat import (
+    CombatCells,
+    CombatModel,
+    combat,
+    combat_external,
+    fit_combat,
+    harmonize_towards,
+    training_cells,
+)
 
 NAMES = [f"f{i}" for i in range(6)]
 
@@ -211,3 +219,55 @@ def test_external_mode_moves_only_new_rows(spark, ref):
     with pytest.raises(ValueError, match="f5"):
         old, old_batch = split(train)
         combat_external(old.drop("f5"), old_batch, *split(new), ref_batch=ref)
+
+
+KEYS = ["patientID", "sub_Analysis"]
+
+
+def halves(spark, frame, columns):
+    return spark.createDataFrame(frame[[*KEYS, *NAMES]]), spark.createDataFrame(frame[[*KEYS, *columns]])
+
+
+@pytest.mark.parametrize("covars,continuous", [([], []), (["sex"], []), (["sex"], ["age"])])
+def test_cells_merge_to_the_cells_of_all_samples(spark, covars, continuous):
+    frame = sample_frame(11, 90)
+    frame.loc[5, "f3"] = np.nan
+
+    def cells(part):
+        return CombatCells.of(spark.createDataFrame(part), NAMES, "batch", covars, continuous)
+
+    merged = cells(frame[:30]).merge(cells(frame[30:31])).merge(cells(frame[31:]))
+    by = ["__batch", *covars, "feature"]
+    a, b = (c.table.toPandas().sort_values(by).reset_index(drop=True) for c in (merged, cells(frame)))
+    pd.testing.assert_frame_equal(a[b.columns], b, rtol=1e-9, check_dtype=False)
+    with pytest.raises(ValueError, match="do not merge"):
+        merged.merge(CombatCells.of(spark.createDataFrame(frame), NAMES[:2], "batch", covars, continuous))
+
+
+@pytest.mark.parametrize("ref", ["a", None])
+def test_stored_cells_replace_the_training_rows(spark, tmp_path, ref):
+    train, new = sample_frame(7), sample_frame(8, 40)
+    new["patientID"] = "n" + new.patientID
+    features, batch = halves(spark, train, ["batch", "sex"])
+    features.write.parquet(str(tmp_path / "train"))
+    cells = training_cells(spark.read.parquet(str(tmp_path / "train")), batch, covars=["sex"])
+    cells.save(str(tmp_path / "cells"))
+    kept = CombatCells.load(spark, str(tmp_path / "cells"))
+    moved = harmonize_towards(kept, *halves(spark, new, ["batch", "sex"]), ref_batch=ref)
+    assert not any("/train/" in f for f in moved.inputFiles())
+    got = moved.toPandas().set_index("patientID").loc[new.patientID]
+    pooled = pd.concat([train.assign(batch=train.batch + "_ref" if ref else "ref"), new]).reset_index(drop=True)
+    want = dense_combat(pooled, ["sex"], ref=f"{ref}_ref" if ref else "ref")[len(train):]
+    np.testing.assert_allclose(got[NAMES].to_numpy(), want, rtol=1e-7, atol=1e-8)
+    with pytest.raises(ValueError, match="missing values"):
+        harmonize_towards(kept, *halves(spark, new.assign(batch=new.batch.where(new.index != 3)), ["batch", "sex"]))
+
+
+@pytest.mark.parametrize("tile", [1, 2, 4])
+def test_non_parametric_tiles_merge_to_one_block(spark, monkeypatch, tile):
+    from voxelark.operators import combat as module
+
+    monkeypatch.setattr(module, "TILE_FEATURES", tile)
+    frame = sample_frame(12)
+    got = fit_combat(spark.createDataFrame(frame), NAMES, parametric=False).transform(spark.createDataFrame(frame)).toPandas()
+    np.testing.assert_allclose(got[NAMES].to_numpy(), dense_combat(frame, parametric=False), rtol=1e-8, atol=1e-8)

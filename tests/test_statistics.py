@@ -216,3 +216,49 @@ def test_large_and_small_groups_agree(spark, monkeypatch, values):
     assert small == large or [[r.replace("-0.0", "0.0") for r in part] for part in small] == [
         [r.replace("-0.0", "0.0") for r in part] for part in large
     ]
+
+
+@settings(max_examples=4, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@given(
+    st.lists(
+        st.sampled_from([0.0, 5e-324, 1e-323, -5e-324, 1e308, -1e308, float("inf"), float("-inf"), 1e9, 1e9 + 1e-6, 1e9 + 2e-6, 1e9 + 3e-6])
+        | st.floats(1e6, 1e6 + 1e-3),
+        min_size=1,
+        max_size=80,
+    )
+)
+def test_crowded_ranges_are_cut_again_and_again(spark, values):
+    probs = [0.0, 0.1, 0.5, 0.77, 1.0]
+    df = table(spark, [("g", v) for v in values], "g string, v double")
+    got = rank_select(df, ["g"], "v", probs, fit_values=2).first()["q"]
+    ordered = sorted(values)
+    for p, q in zip(probs, got):
+        at = (len(values) - 1) * p
+        lo, hi, share = ordered[math.floor(at)], ordered[math.ceil(at)], at - math.floor(at)
+        want = lo if lo == hi or share == 0 else lo * (1 - share) + hi * share
+        assert (math.isnan(q) and math.isnan(want)) or q == pytest.approx(want, rel=1e-12, abs=1e-300)
+
+
+def test_sketches_merge_over_pools_and_strata(spark):
+    df = spark.range(40_000).select(
+        (F.col("id") % 3).alias("g"), (F.col("id") % 2).alias("pool"), F.pow(F.rand(3), 3).alias("v"),
+        F.when(F.col("id") % 3 == 0, F.lit(float("nan"))).otherwise((F.col("id") % 500).cast("double")).alias("w"),
+    )
+    parts = [quantiles.quantile_sketches(df.filter(F.col("pool") == k), ["v", "w"], ["g"]) for k in (0, 1)]
+    for by in (["g"], []):
+        read = quantiles.sketch_statistics(quantiles.merge_sketches(parts[0].unionByName(parts[1]), by), [0.1, 0.5, 0.9])
+        frame = df.toPandas()
+        for r in read.collect():
+            own = frame[frame.g == r["g"]] if by else frame
+            values = own[r["feature"]].dropna()
+            assert r["count"] == len(values)
+            if not len(values):
+                assert r["q"] is None and r["mean"] is None
+                continue
+            assert r["mean"] == pytest.approx(values.mean()) and r["std"] == pytest.approx(values.std())
+            assert r["distinct"] == pytest.approx(values.nunique(), rel=0.1)
+            for p, q in zip((0.1, 0.5, 0.9), r["q"]):
+                assert (values < q).mean() - 0.01 <= p <= (values <= q).mean() + 0.01
+    approx = stats.describe(df, ["v", "w"], ["g"], approx=True)
+    exact = stats.describe(df, ["v", "w"], ["g"])
+    assert approx.columns == exact.columns and approx.count() == exact.count()

@@ -1,5 +1,8 @@
 """Manifests, sources, pipelines, scoring and streams."""
 
+import datetime as dt
+import random
+import re
 from datetime import datetime
 
 import numpy as np
@@ -279,3 +282,43 @@ def test_finished_inputs_can_be_archived(spark, tmp_path):
         arrivals.append_results(stream, str(tmp_path / "out"), str(tmp_path / "check")).awaitTermination()
     assert spark.read.parquet(str(tmp_path / "out")).count() == 3
     assert list(archive.rglob("*.parquet"))
+
+
+def test_names_meet_files_by_required_text(spark):
+    """Plain names, short ones and patterns against a search of every name in every file."""
+    rng = random.Random(5)
+    names = ["CT", "ct_abdomen", "a.c", "x.*y", "(MR|PET)", "v?en", "ab+c", "T1", "pre[0-9]", "é1x", "^rt_v", "end$", "A", "dup", "DUP"]
+    files = ["rt_ct_ABDOMEN_1.dcm", "aXc.dcm", "x12y", "mr_7", "pet", "ven", "en.dcm", "abbbc", "PRE5", "É1X.dcm", "rt_ven", "the end", "t1", "dup", ""]
+    files += ["".join(rng.choice("abcxyvent_1.") for _ in range(rng.randint(1, 9))) for _ in range(60)]
+    rows = [(f"p{i % 2}", n, f"/r/p{i % 2}/{n}/1.dcm", "1.dcm", "1.dcm") for i, n in enumerate(names * 2)]
+    rows += [(f"p{i % 2}", None, f"/r/p{i % 2}/{i}{f}", None, f) for i, f in enumerate(files)]
+    df = spark.createDataFrame(rows, "patientID string, sub_Analysis string, path string, inner string, file_name string")
+    got = {(r["patientID"], r["sub_Analysis"], r["path"]) for r in matching_files(df).collect()}
+    subs = {(r[0], r[1]) for r in rows if r[1]}
+    want = {
+        (p, n, r[2]) for p, n in subs for r in rows
+        if r[1] is None and r[0] == p and (re.search(n, r[4], re.I) if re.search(r"[\\^$.|?*+()\[\]{}]", n) else n.lower() in r[4].lower())
+    }
+    assert got == want and len(got) == matching_files(df).count()
+
+
+def test_sizes_settle_once_over_restarts(spark, tmp_path):
+    """A size is given once it was the same for the wait, by an equal observation or by the timer, over restarts."""
+    source = str(tmp_path / "in")
+    polls = [
+        [("a", 0, 5), ("b", 0, 1), ("c", 0, 9), (None, 0, 1), ("d", 0, None)],
+        [("a", 1, 5), ("b", 1, 2), ("a", 1, 4)],
+        [("a", 3, 5), ("b", 3, 2), ("c", 3, 10)],
+        [("a", 9, 6), ("z", 30, 0)],
+        [("z", 60, 0)],
+    ]
+    for rows in polls:
+        timed = [(k, dt.datetime(2024, 1, 1, t // 60, t % 60), n) for k, t, n in rows]
+        spark.createDataFrame(timed, "patientID string, modificationTime timestamp, length long").coalesce(1).write.mode("append").parquet(source)
+        stream = arrivals.read_arrivals(spark, source, "patientID string, modificationTime timestamp, length long", max_files=1)
+        settled = arrivals.settled_sizes(stream, quiet="2 minutes", watermark="1 minute")
+        arrivals.append_results(settled, str(tmp_path / "out"), str(tmp_path / "check"), partitions=2).awaitTermination()
+    out = spark.read.parquet(str(tmp_path / "out")).collect()
+    got = sorted((r["patientID"], r["length"], r["since"].minute, r["settled"].minute) for r in out)
+    # z waits for a watermark that never comes; its second observation settles it.
+    assert got == [("a", 5, 0, 3), ("a", 6, 9, 11), ("b", 2, 1, 3), ("c", 10, 3, 5), ("z", 0, 30, 0)]

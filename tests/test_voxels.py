@@ -300,3 +300,84 @@ def test_missing_voxels_stay_missing(spark):
     assert got(intensity.scale_uint8(v, mask)) == [0, 127, 255, None, None, 255]
     for method in ("linear", "zscore", "robust"):
         assert [x is None for x in got(intensity.scale_intensity(v, method, mask))] == [False] * 3 + [True] * 2 + [False]
+
+
+def line(spark, values, at=None):
+    rows = [("p", "a", x, 0, 0, v) for x, v in zip(at or range(len(values)), values)]
+    return spark.createDataFrame(rows, "patientID string, sub_Analysis string, x int, y int, z int, value double")
+
+
+def along(df):
+    return {r["x"]: r["value"] for r in df.collect()}
+
+
+def test_filters_go_by_position(spark):
+    """A missing neighbour is no border: NULL beside it, the value by position elsewhere."""
+    shift = [(1, 0, 0, 1.0)]
+    assert along(convolve.convolve(line(spark, [1.0, 2.0, None, 4.0, 100.0]), shift)) == {0: 1.0, 1: 1.0, 2: None, 3: None, 4: 4.0}
+    assert along(convolve.convolve(line(spark, [1.0, 2.0, float("nan"), 4.0, 100.0]), shift))[3] is None
+    gap = line(spark, [1.0, 2.0, 4.0, 100.0], at=[0, 1, 3, 4])
+    assert along(convolve.convolve(gap, shift)) == {0: 1.0, 1: 1.0, 3: None, 4: 4.0}
+    # The border voxel of the volume itself may be missing on a line.
+    two = line(spark, [1.0, 2.0], at=[1, 2]).unionByName(line(spark, [5.0], at=[0]).selectExpr("patientID", "sub_Analysis", "x", "1 y", "z", "value"))
+    assert along(convolve.convolve(two, shift).filter("y = 0")) == {1: None, 2: 1.0}
+    far = [(2, 0, 0, 1.0), (0, 0, 0, 1.0)]
+    assert along(convolve.convolve(line(spark, [1.0, None, 3.0, 4.0, 5.0]), far)) == {0: 2.0, 1: None, 2: None, 3: None, 4: 8.0}
+
+
+def test_resampling_goes_by_position(spark):
+    vols = geometry(spark, (5, 1, 1), (2, 1, 1))
+    whole = line(spark, [0.0, 2.0, 4.0, 6.0, 8.0])
+    assert [along(resample.resample(whole, vols, 1.0, outside="edge"))[t] for t in range(10)] == [0, 1, 2, 3, 4, 5, 6, 7, 8, 8]
+    gap = along(resample.resample(line(spark, [0.0, 2.0, 6.0, 8.0], at=[0, 1, 3, 4]), vols, 1.0, outside="edge"))
+    # Targets 4 and 5 belong to the absent voxel; target 3 lacks its second neighbour.
+    assert gap == {0: 0, 1: 1, 2: 2, 3: None, 6: 6, 7: 7, 8: 8, 9: 8}
+    null = along(resample.resample(line(spark, [0.0, 2.0, None, 6.0, 8.0]), vols, 1.0, outside="edge"))
+    assert null == {0: 0, 1: 1, 2: 2, 3: None, 4: None, 5: None, 6: 6, 7: 7, 8: 8, 9: 8}
+
+
+def decomposed(array, low, high, dilation):
+    taps = {"L": low, "H": high}
+    middle = len(low) // 2
+    out = {}
+    for name in ("LH"[a] + "LH"[b] + "LH"[c] for a, b, c in np.ndindex(2, 2, 2)):
+        full = [
+            ((i - middle) * dilation, (j - middle) * dilation, (k - middle) * dilation, wa * wb * wc)
+            for i, wa in enumerate(taps[name[0]]) for j, wb in enumerate(taps[name[1]]) for k, wc in enumerate(taps[name[2]])
+        ]
+        out[name] = convolved(array, full)
+    return out
+
+
+@pytest.mark.parametrize("level,start", [(1, 0), (2, 0), (1, 1), (2, 1)])
+def test_wavelets_of_several_levels(spark, array, level, start):
+    low, high = [0.25, 0.5, 0.25], [-0.25, 0.5, -0.25]
+    got = convolve.wavelet_levels(volume(spark, array), low, high, level, start)
+    current, want = array, {}
+    for n in range(start + level):
+        bands = decomposed(current, low, high, 1 << n)
+        if n >= start:
+            prefix = "wavelet" if n == start else f"wavelet{n - start + 1}"
+            want |= {f"{prefix}-{k}": v for k, v in bands.items() if k != "LLL" or n == start + level - 1}
+        current = bands["LLL"]
+    assert {r["filter_id"] for r in got.select("filter_id").distinct().collect()} == set(want)
+    for name in ("LLL", "HLH"):
+        label = f"wavelet{level}-{name}" if level > 1 else f"wavelet-{name}"
+        np.testing.assert_allclose(dense(got.filter(F.col("filter_id") == label), array.shape), want[label], atol=1e-9)
+    with pytest.raises(ValueError):
+        convolve.wavelet_levels(volume(spark, array), low, high, 0)
+
+
+def test_volumes_without_mask_voxels_stay_and_are_reported(spark):
+    v = line(spark, [1.0, 2.0, 3.0]).unionByName(line(spark, [4.0, None, float("nan")]).withColumn("patientID", F.lit("q")))
+    v = v.unionByName(line(spark, [None, None]).withColumn("patientID", F.lit("r"))).unionByName(line(spark, [1.0]).withColumn("patientID", F.lit("s")))
+    mask = v.filter("patientID <> 's'").withColumn("value", F.when(F.col("patientID") == "q", F.col("x") > 0).otherwise(F.col("patientID") == "p").cast("int"))
+    reasons = {r["patientID"]: r["reason"] for r in intensity.skipped_volumes(v, mask).collect()}
+    assert reasons == {"q": "no values inside the mask", "r": "no values", "s": "no mask"}
+    assert [r["patientID"] for r in intensity.skipped_volumes(v).collect()] == ["r"]
+    for out in (
+        intensity.bin_intensity(v, n_bins=2, mask=mask), intensity.bin_intensity(v, bin_width=1.0, mask=mask),
+        intensity.scale_uint8(v, mask), *[intensity.scale_intensity(v, m, mask) for m in ("linear", "zscore", "robust")],
+    ):
+        assert out.count() == v.count()
+        assert {r["patientID"] for r in out.filter("value is not null").collect()} == {"p"}
