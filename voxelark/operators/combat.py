@@ -13,7 +13,10 @@ squares of the cells formed by batch and categorical covariates. So:
   the harmonized value is an affine function of the value.
 
 The covariate coefficients come from the within-batch cross products, so the only
-matrix inverted is covariates x covariates, shared by all features.
+matrix inverted is covariates x covariates, shared by all features. Where a covariate has
+more levels than there are batches and the model is large, that covariate's levels are
+eliminated instead (their block of the normal equations is diagonal): they may be many
+thousands, stay a table, and never reach the driver.
 
 The cells are a table of their own (``CombatCells``) that merges with the cells of other
 samples and can be stored: harmonizing new samples towards a training table reads the
@@ -41,7 +44,10 @@ CONVERGENCE = 1e-4
 MAX_ROUNDS = 10_000
 # Residual variance below this share of the squared level counts as zero.
 ZERO_VARIANCE = 1e-28
-MAX_DESIGN_COLUMNS = 512
+#: Model columns up to which the cross products are plain expressions; beyond them numpy adds them up in tasks.
+DENSE_TERMS = 40
+#: Model columns beside the largest block, whose cross products form one matrix on the driver.
+MAX_DESIGN_COLUMNS = 1_024
 
 
 def _float32(column: Column) -> Column:
@@ -57,10 +63,12 @@ class Design:
     continuous: list[str] = field(default_factory=list)
     levels: dict[str, list[str]] = field(default_factory=dict)
     ref_batch: str | None = None
+    #: A categorical covariate whose effects are a table of their own instead of model columns.
+    absorbed: str | None = None
 
     @property
     def terms(self) -> list[tuple[str, str | None]]:
-        dummies = [(c, level) for c in self.covars for level in self.levels[c][1:]]
+        dummies = [(c, level) for c in self.covars if c != self.absorbed for level in self.levels[c][1:]]
         return dummies + [(c, None) for c in self.continuous]
 
     def term_names(self) -> list[str]:
@@ -91,6 +99,8 @@ class CombatModel:
     design: Design
     mean_only: bool = False
     cells: CombatCells | None = None
+    #: Effects of the absorbed covariate: feature, level, effect.
+    effects: DataFrame | None = None
 
     def transform(self, df: DataFrame) -> DataFrame:
         """Harmonize samples, using each sample's own covariates."""
@@ -108,6 +118,8 @@ class CombatModel:
         self.features.write.mode("errorifexists").parquet(f"{path}/features")
         self.batches.write.mode("errorifexists").parquet(f"{path}/batches")
         self.feature_batches.write.mode("errorifexists").parquet(f"{path}/feature_batches")
+        if self.effects is not None:
+            self.effects.write.mode("errorifexists").parquet(f"{path}/effects")
         settings = json.dumps(
             {"names": self.names, "mean_only": self.mean_only, "design": self.design.__dict__}
         )
@@ -118,13 +130,15 @@ class CombatModel:
     @classmethod
     def load(cls, spark: SparkSession, path: str) -> CombatModel:
         settings = json.loads(spark.read.parquet(f"{path}/settings").first()["settings"])
+        design = Design(**settings["design"])
         return cls(
             spark.read.parquet(f"{path}/features"),
             spark.read.parquet(f"{path}/batches"),
             spark.read.parquet(f"{path}/feature_batches"),
             settings["names"],
-            Design(**settings["design"]),
+            design,
             settings["mean_only"],
+            effects=spark.read.parquet(f"{path}/effects") if design.absorbed else None,
         )
 
 
@@ -135,7 +149,8 @@ class CombatCells:
     ``table`` has ``__batch``, the covariates, ``feature``, ``n`` samples, ``gaps`` of them without a
     continuous covariate, ``seen`` values with their ``mean`` and centered squares ``m2``; for continuous
     covariates also their means ``__c<i>``, cross products ``__cc<i>_<k>`` and products with the
-    value ``cy<i>``. Cells of different samples merge in any order.
+    value ``cy<i>``. Cells of different samples merge in any order; products with the values of a feature
+    that has gaps are not kept exact, as fitting refuses or leaves out such features.
     """
 
     table: DataFrame
@@ -257,18 +272,30 @@ def _cells(df: DataFrame, names: Sequence[str], design: Design) -> DataFrame:
     return wide.select(*kept, F.inline(entries)).select(*kept, "feature", "m.*")
 
 
-def _facts(cells: DataFrame, design: Design, any_feature: str) -> dict:
-    """Everything the driver has to know about the cells, in one small job:
-    features with gaps, covariate levels, sizes of the reference and of the smallest batch.
+def _facts(cells: DataFrame, design: Design, any_feature: str, dense_terms: int) -> dict:
+    """What the driver has to know about the cells: features with gaps, covariate levels, sizes of the
+    reference and of the smallest batch. The levels of the largest covariate of a large model stay where they are.
     """
     one = F.col("feature") == any_feature
-    nameless = reduce(lambda a, b: a | b, [col(c).isNull() for c in ("__batch", *design.covars)])
+    blocks = ["__batch", *design.covars]
+    sizes = cells.filter(one).agg(*[F.count_distinct(col(c)).alias(f"s{i}") for i, c in enumerate(blocks)]).first()
+    sizes = dict(zip(blocks, sizes))
+    largest = max(blocks, key=lambda c: sizes[c])
+    columns = sum(n - 1 for c, n in sizes.items() if c != "__batch") + len(design.continuous)
+    if columns > dense_terms and largest != "__batch":
+        design.absorbed = largest
+    rest = [c for c in blocks if c not in (largest, design.absorbed)]
+    if columns > dense_terms and sum(sizes[c] - 1 for c in rest) + len(design.continuous) > MAX_DESIGN_COLUMNS:
+        raise ValueError(f"beside the largest, batches and covariates have more than {MAX_DESIGN_COLUMNS} levels: {sizes}")
+    listed = [c for c in design.covars if c != design.absorbed]
+
+    nameless = reduce(lambda a, b: a | b, [col(c).isNull() for c in blocks])
     missing = F.when(nameless, F.col("n")).otherwise(F.col("gaps"))
     per_batch = cells.groupBy("__batch").agg(
         F.sum(F.when(one, F.col("n"))).alias("n"),
         F.sum(F.when(one, missing)).alias("missing"),
         F.collect_set(F.when(F.col("seen") < F.col("n"), F.col("feature"))).alias("gaps"),
-        *[F.collect_set(col(c)).alias(f"l{i}") for i, c in enumerate(design.covars)],
+        *[F.collect_set(col(c)).alias(f"l{i}") for i, c in enumerate(listed)],
     )
     is_ref = F.col("__batch") == F.lit(design.ref_batch)
     other = F.when(~F.coalesce(is_ref, F.lit(False)), F.struct("n", "__batch"))
@@ -281,14 +308,11 @@ def _facts(cells: DataFrame, design: Design, any_feature: str) -> dict:
         F.coalesce(F.sum("missing"), F.lit(0)).alias("missing"),
         F.min(other).alias("smallest"),
         union("gaps").alias("gaps"),
-        *[union(f"l{i}").alias(f"l{i}") for i in range(len(design.covars))],
+        *[union(f"l{i}").alias(f"l{i}") for i in range(len(listed))],
     ).first()
-    levels = {c: row[f"l{i}"] for i, c in enumerate(design.covars)}
-    for c, found in levels.items():
-        if len(found) > MAX_DESIGN_COLUMNS:
-            raise ValueError(f"covariate {c!r} has more than {MAX_DESIGN_COLUMNS} levels")
+    levels = {c: row[f"l{i}"] for i, c in enumerate(listed)}
     known = {k: row[k] for k in ("ref_size", "smallest", "missing")}
-    return {"gaps": row["gaps"] or [], "levels": levels, **known}
+    return {"gaps": row["gaps"] or [], "levels": levels, "large": columns > dense_terms, **known}
 
 
 def _inverse_cross_product(cells: DataFrame, design: Design, any_feature: str) -> np.ndarray:
@@ -325,6 +349,119 @@ def _inverse_cross_product(cells: DataFrame, design: Design, any_feature: str) -
     return np.linalg.inv(matrix)
 
 
+def _within(cells: DataFrame, group: str, terms: list[tuple[str, str | None]], continuous: list[str], values: bool) -> DataFrame:
+    """Cross products of model columns around the means of ``group``, added up in tasks.
+
+    The products of columns with each other as rows (i, j, v), or with ``values`` those of columns with the
+    values as rows (feature, i, v). Cells of one level of the group meet in one task.
+    """
+    q = len(terms)
+    place = {t: i for i, t in enumerate(terms)}
+    dummies = sorted({name for name, level in terms if level is not None})
+    at = [place[c, None] for c in continuous]
+
+    def design_rows(pdf: pd.DataFrame) -> np.ndarray:
+        z = np.zeros((len(pdf), q))
+        for name in dummies:
+            where = pdf[name].map({level: i for (n, level), i in place.items() if n == name and level is not None})
+            known = where.notna().to_numpy()
+            z[np.flatnonzero(known), where[known].astype(int)] = 1.0
+        for i, k in enumerate(at):
+            z[:, k] = pdf[f"__c{i}"]
+        return z
+
+    def own_products(part: pd.DataFrame) -> np.ndarray:
+        z, n = design_rows(part), part["n"].to_numpy(float)
+        codes, level = np.unique(part[group].to_numpy(), return_inverse=True)
+        weight, sums = np.zeros(len(codes)), np.zeros((len(codes), q))
+        np.add.at(weight, level, n)
+        np.add.at(sums, level, z * n[:, None])
+        if values:
+            y, totals = n * part["mean"].to_numpy(float), np.zeros(len(codes))
+            np.add.at(totals, level, y)
+            own = z.T @ y - sums.T @ (totals / weight)
+            for i, a in enumerate(at):
+                own[a] += part[f"cy{i}"].sum()
+            return own
+        own = (z * n[:, None]).T @ z - (sums / weight[:, None]).T @ sums
+        for i, a in enumerate(at):
+            for j in range(i, len(at)):
+                shared = part[f"__cc{i}_{j}"].sum()
+                own[a, at[j]] += shared
+                if i != j:
+                    own[at[j], a] += shared
+        return own
+
+    def of_part(pdf: pd.DataFrame) -> pd.DataFrame:
+        if values:
+            each = [pd.DataFrame({"feature": f, "i": np.arange(q), "v": own_products(part)}) for f, part in pdf.groupby("feature")]
+            return pd.concat(each)
+        own = own_products(pdf)
+        i, j = np.nonzero(own)
+        return pd.DataFrame({"i": i, "j": j, "v": own[i, j]})
+
+    part = F.pmod(F.xxhash64(col(group)), F.lit(_partitions(cells))).alias("__part")
+    return cells.groupBy(part).applyInPandas(of_part, "feature string, i int, v double" if values else "i int, j int, v double")
+
+
+#: Cells a task adds up at once, on average.
+_CELLS_OF_A_PART = 20_000
+
+
+def _partitions(cells: DataFrame) -> int:
+    return max(1, -(-cells.count() // _CELLS_OF_A_PART))
+
+
+def _many_coefficients(cells: DataFrame, design: Design, any_feature: str) -> tuple[DataFrame, DataFrame | None]:
+    """Coefficients of a large model: the largest block of levels is eliminated, the rest is solved.
+
+    ``feature, __beta array`` in the order of the design's terms, and the effects of an absorbed
+    covariate (feature, level, effect), relative to its first level.
+    """
+    group, terms = design.absorbed or "__batch", list(design.terms)
+    if design.absorbed:
+        batches = sorted(r[0] for r in cells.filter(F.col("feature") == any_feature).select("__batch").distinct().collect())
+        terms = [*[("__batch", b) for b in batches[1:]], *terms]
+    q, skipped = len(terms), len(terms) - len(design.terms)
+    if q:
+        sums = _within(cells.filter(F.col("feature") == any_feature), group, terms, design.continuous, False)
+        matrix = np.zeros((q, q))
+        for r in sums.groupBy("i", "j").agg(F.sum("v").alias("v")).collect():
+            matrix[r["i"], r["j"]] = r["v"]
+        scale = np.sqrt(np.maximum(np.diag(matrix), 1e-300))
+        if np.linalg.matrix_rank(matrix / np.outer(scale, scale), tol=1e-9) < q:
+            raise ValueError("covariates are confounded with the batches (singular design)")
+        factor = np.linalg.cholesky(matrix / np.outer(scale, scale))
+        shared = cells.sparkSession.sparkContext.broadcast((factor, scale))
+
+        def solve(pdf: pd.DataFrame) -> pd.DataFrame:
+            lower, own = shared.value
+            right = np.zeros(q)
+            np.add.at(right, pdf["i"].to_numpy(), pdf["v"].to_numpy())
+            x = np.linalg.solve(lower.T, np.linalg.solve(lower, right / own)) / own
+            return pd.DataFrame({"feature": [pdf["feature"].iloc[0]], "__all": [x.tolist()]})
+
+        products = _within(cells, group, terms, design.continuous, True).groupBy("feature", "i").agg(F.sum("v").alias("v"))
+        solved = products.groupBy("feature").applyInPandas(solve, "feature string, __all array<double>")
+    else:
+        solved = cells.select("feature").distinct().withColumn("__all", F.array().cast("array<double>"))
+    solved = compact(materialize(solved.withColumn("__beta", F.slice("__all", skipped + 1, max(q - skipped, 0)) if q > skipped else F.array().cast("array<double>")), "combat-solved"))
+    beta = solved.select("feature", "__beta")
+    if not design.absorbed:
+        return beta, None
+    # What remains of a level's mean without the batches and the other terms; the first level is zero.
+    batch_place = F.create_map(*[x for i, (_, b) in enumerate(terms[:skipped]) for x in (F.lit(b), F.lit(i))]) if skipped else None
+    of_batch = F.coalesce(F.get(F.col("__all"), batch_place[F.col("__batch")]), F.lit(0.0)) if skipped else F.lit(0.0)
+    rest = F.col("mean") - of_batch - _effect(design, design.cell_value)
+    level = cells.join(solved, "feature").groupBy("feature", col(group).alias("level")).agg(
+        (F.sum(F.col("n") * rest) / F.sum("n")).alias("__g")
+    )
+    level = compact(materialize(level, "combat-levels"))
+    first = level.groupBy("feature").agg(F.min_by("__g", "level").alias("__first"))
+    effects = level.join(first, "feature").select("feature", "level", (F.col("__g") - F.col("__first")).alias("effect"))
+    return beta, compact(materialize(effects, "combat-effects"))
+
+
 def _coefficients(cells: DataFrame, design: Design, any_feature: str) -> DataFrame:
     """``feature, __beta array`` of covariate coefficients."""
     q = len(design.terms)
@@ -367,12 +504,20 @@ def _effect(design: Design, value) -> Column:
     return total
 
 
-def _location_scale(cells: DataFrame, design: Design, any_feature: str):
-    """Per feature: grand mean, pooled variance. Per feature and batch: estimates."""
-    beta = _coefficients(cells, design, any_feature)
+def _location_scale(cells: DataFrame, design: Design, any_feature: str, large: bool):
+    """Per feature: grand mean, pooled variance. Per feature and batch: estimates. Effects of an absorbed covariate."""
+    effects = None
+    if large:
+        beta, effects = _many_coefficients(cells, design, any_feature)
+    else:
+        beta = _coefficients(cells, design, any_feature)
     if design.terms:
         beta = compact(materialize(beta, "combat-coefficients"))
     fitted = cells.join(beta, "feature").withColumn("__mod", _effect(design, design.cell_value))
+    if effects is not None:
+        named = effects.withColumnRenamed("level", "__level")
+        fitted = fitted.withColumn("__level", col(design.absorbed)).join(named, ["feature", "__level"])
+        fitted = fitted.withColumn("__mod", F.col("__mod") + F.col("effect")).drop("__level", "effect")
     whole = Window.partitionBy("feature", "__batch")
     size = F.sum("n").over(whole)
     level = F.sum(F.col("n") * (F.col("mean") - F.col("__mod"))).over(whole) / size
@@ -420,7 +565,7 @@ def _location_scale(cells: DataFrame, design: Design, any_feature: str):
         F.when(zero, filler).otherwise(F.col("__var")).alias("var_pooled"),
         "__beta",
     )
-    return compact(materialize(per_feature, "combat-features")), per_batch
+    return compact(materialize(per_feature, "combat-features")), per_batch, effects
 
 
 def _estimates(per_feature: DataFrame, per_batch: DataFrame, mean_only: bool) -> DataFrame:
@@ -576,6 +721,7 @@ def fit_combat(
     mean_only: bool = False,
     on_missing_ref: str = "error",
     drop_incomplete: bool = False,
+    dense_terms: int | None = None,
 ) -> CombatModel:
     """Fit ComBat on a table that already carries batch and covariate columns.
 
@@ -586,7 +732,7 @@ def fit_combat(
     if features is None:
         features = feature_columns(df, exclude=[batch_col, *covars, *continuous])
     cells = CombatCells.of(df, features, batch_col, covars, continuous)
-    return fit_cells(cells, ref_batch, eb, parametric, mean_only, on_missing_ref, drop_incomplete)
+    return fit_cells(cells, ref_batch, eb, parametric, mean_only, on_missing_ref, drop_incomplete, dense_terms)
 
 
 def fit_cells(
@@ -597,11 +743,15 @@ def fit_cells(
     mean_only: bool = False,
     on_missing_ref: str = "error",
     drop_incomplete: bool = False,
+    dense_terms: int | None = None,
 ) -> CombatModel:
-    """Fit ComBat from cells alone; samples without a batch or covariate are refused."""
+    """Fit ComBat from cells alone; samples without a batch or covariate are refused.
+
+    Models of more than ``dense_terms`` columns eliminate their largest block of levels first.
+    """
     features, cells = held.names, held.table
     design = Design(held.batch, held.covars, held.continuous, ref_batch=None if ref_batch is None else str(ref_batch))
-    facts = _facts(cells, design, features[0])
+    facts = _facts(cells, design, features[0], DENSE_TERMS if dense_terms is None else dense_terms)
     if facts["missing"]:
         columns = [design.batch, *design.covars, *design.continuous]
         raise ValueError(f"missing values in {columns}: {facts['missing']} samples lack one of them")
@@ -626,17 +776,18 @@ def fit_cells(
             f"batch {facts['smallest']['__batch']!r} has one sample and so no variance; use mean_only"
         )
 
-    per_feature, per_batch = _location_scale(cells, design, names[0])
+    per_feature, per_batch, effects = _location_scale(cells, design, names[0], facts["large"])
     estimates = compact(materialize(_estimates(per_feature, per_batch, mean_only), "combat-estimates"))
     priors = _priors(estimates, mean_only)
     stars = _shrunken(estimates, priors, eb, parametric, mean_only, design.ref_batch, len(names))
     feature_batches = estimates.drop("ssq", "n").join(stars, ["feature", "batch"])
     feature_batches = compact(materialize(feature_batches, "combat-stars"))
     terms = F.array(*[F.lit(t) for t in design.term_names()]) if design.terms else F.array().cast("array<string>")
+    # One entry per model column; the effects of an absorbed covariate are a table of their own.
     table = per_feature.select(
         "feature", "stand_mean", "var_pooled", "mod_mean", F.map_from_arrays(terms, "__beta").alias("betas")
     )
-    return CombatModel(table, priors, feature_batches, names, design, mean_only, held)
+    return CombatModel(table, priors, feature_batches, names, design, mean_only, held, effects)
 
 
 def _zero_if_known(checks: Sequence[tuple[Column, str, Column]]) -> Column:
@@ -680,9 +831,17 @@ def _apply(model: CombatModel, df: DataFrame, average_covariates: bool) -> DataF
     )
     rows = attach(rows, arrays, ["__batch"], label="combat-arrays")
     checks = [(F.col("__m").isNotNull(), "batch", F.col("__batch"))]
+    absorbed = None if average_covariates else design.absorbed
+    if absorbed:
+        by_level = F.sort_array(F.collect_list(F.struct(order[F.col("feature")].alias("i"), "effect")))["effect"]
+        rows = rows.withColumn("__level", col(absorbed).cast("string"))
+        rows = attach(rows, model.effects.groupBy(F.col("level").alias("__level")).agg(by_level.alias("__g")), ["__level"], label="combat-levels")
+        checks.append((F.col("__g").isNotNull(), f"covariate {absorbed}", F.col("__level")))
     if not average_covariates:
         require_columns(df, [*design.covars, *design.continuous])
         for c in design.covars:
+            if c == absorbed:
+                continue
             value = col(c).cast("string")
             seen = F.coalesce(value.isin(design.levels[c]), F.lit(False))
             checks.append((seen, f"covariate {c}", value))
@@ -695,6 +854,8 @@ def _apply(model: CombatModel, df: DataFrame, average_covariates: bool) -> DataF
         center = F.col("__m")[i] + F.col("__known")
         for j in range(len(coefficients)):
             center = center + F.col(f"__b{j}")[i] * F.col(f"__z{j}")
+        if absorbed:
+            center = center + F.col("__g")[i]
         y = finite(col(name))
         value = (y - center - F.col("__shift")[i]) * F.col("__rate")[i] + center
         if design.ref_batch is not None and not average_covariates:

@@ -90,6 +90,13 @@ def combat_standardized(spark, sf_dir):
     return rounded(standardized_long(df, fit_combat(df, NAMES), ID))
 
 
+def combat_absorbed_covariate(spark, sf_dir):
+    """Two batches and a covariate of three levels, which are eliminated instead of being model columns."""
+    df = _items(spark, sf_dir)
+    model = fit_combat(df, NAMES, "l_linestatus", covars=["l_returnflag"], dense_terms=0)
+    return rounded(model.transform(df).select(*ID, *NAMES))
+
+
 def combat_study(spark, sf_dir):
     """Whole study: duplicate keys dropped, batch table joined and checked, harmonized."""
     df = _items(spark, sf_dir)
@@ -217,6 +224,8 @@ QUERIES = {
     "combat_batch_priors": combat_batch_priors,
     "combat_feature_estimates": combat_feature_estimates,
     "combat_standardized": combat_standardized,
+    "combat_solved_covariate": _harmonized_items(covars=["l_returnflag"], dense_terms=0),
+    "combat_absorbed_covariate": combat_absorbed_covariate,
     "combat_study": combat_study,
     "combat_external": _external("F"),
     "combat_external_pooled": _external(None),
@@ -380,6 +389,8 @@ ORACLES = {
  FROM gm JOIN vp USING (feature) JOIN ma USING (feature) JOIN beta USING (feature)""",
     "combat_standardized": _steps(_ITEMS, ID, NAMES)
     + f" SELECT {', '.join(ID)}, feature, {sql_round('s')} AS value FROM st",
+    "combat_solved_covariate": _data_sql(_ITEMS, ID, NAMES, covariate=True),
+    "combat_absorbed_covariate": _data_sql(_LINESTATUS, ID, NAMES, covariate=True),
     "combat_study": _data_sql(_STUDY, ID, NAMES),
     "combat_external": _external_sql("batch || '_ref'", "F_ref"),
     "combat_external_pooled": _external_sql("'ref'", "ref"),

@@ -119,9 +119,9 @@ def quantiles_sketched(spark, sf_dir):
 def quantiles_refined(spark, sf_dir):
     """Percentiles of prices crowded around one value, so that slices are cut again until one fits."""
     line = load(spark, sf_dir, "lineitem")
-    crowded = line.select(STRATUM, (F.lit(1e9) + F.col("l_extendedprice") / 1e4).alias("value"))
+    crowded = line.select(STRATUM, (F.lit(1e6) + F.col("l_extendedprice") / 1e4).alias("value"))
     q = rank_select(crowded, [STRATUM], "value", [0.1, 0.5, 0.9], fit_values=50)
-    return rounded(q.select(STRATUM, *[F.col("q")[i].alias(n) for i, n in enumerate(("p10", "p50", "p90"))]), 4)
+    return rounded(q.select(STRATUM, *[F.col("q")[i].alias(n) for i, n in enumerate(("p10", "p50", "p90"))]), 3)
 
 
 def statistics_never_replaced(spark, sf_dir):
@@ -411,7 +411,7 @@ ORACLES = {
         for f in FEATURES
     ),
     "quantiles_refined": "SELECT l_returnflag, " + ", ".join(
-        f"{sql_round(f'quantile_cont(1e9 + l_extendedprice / 1e4, {p})', 4)} AS {n}"
+        f"{sql_round(f'quantile_cont(1e6 + l_extendedprice / 1e4, {p})', 3)} AS {n}"
         for p, n in ((0.1, "p10"), (0.5, "p50"), (0.9, "p90"))
     ) + " FROM lineitem GROUP BY 1",
     "statistics_never_replaced": " UNION ALL ".join(
