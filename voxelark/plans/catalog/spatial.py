@@ -77,6 +77,18 @@ def study_resampled(spark, sf_dir):
     return rounded(resample_study(_study(spark, sf_dir), _series_volumes(spark, sf_dir), 1.0, K)[0])
 
 
+def study_images_resampled(spark, sf_dir):
+    """The images of the study alone."""
+    out = resample_study(_study(spark, sf_dir), _series_volumes(spark, sf_dir), 1.0, K, has_masks=False)[0]
+    return rounded(out)
+
+
+def study_masks_resampled(spark, sf_dir):
+    """The masks of the study alone."""
+    out = resample_study(_study(spark, sf_dir), _series_volumes(spark, sf_dir), 1.0, K)[0]
+    return rounded(out.filter(F.col("series") != "img.nii.gz"))
+
+
 def study_without_mask(spark, sf_dir):
     return resample_study(_study(spark, sf_dir), _series_volumes(spark, sf_dir), 1.0, K)[1]
 
@@ -141,6 +153,8 @@ QUERIES = {
     "resampled_linear": resampled_linear,
     "resampled_linear_edge": resampled_linear_edge,
     "study_resampled": study_resampled,
+    "study_images_resampled": study_images_resampled,
+    "study_masks_resampled": study_masks_resampled,
     "study_without_mask": study_without_mask,
     "gabor_filtered": gabor_filtered,
     "filters_applied": filters_applied,
@@ -298,6 +312,10 @@ SELECT * REPLACE ({sql_round('value')} AS value) FROM linear""",
 {_nearest_sql('CASE WHEN v.value > 0 THEN 1.0 ELSE 0.0 END')}
 SELECT vec_id, x, y, z, 'img.nii.gz' AS series, {sql_round('value')} AS value FROM linear
 UNION ALL SELECT vec_id, x, y, z, 'Mask_a.nii.gz', CAST(value AS DOUBLE) FROM nearest WHERE vec_id % 3 <> 0""",
+    "study_images_resampled": f"""WITH {VOX}, grid AS ({_grid_sql(1.0)}), {_linear_sql(True)}
+SELECT vec_id, x, y, z, 'img.nii.gz' AS series, {sql_round('value')} AS value FROM linear""",
+    "study_masks_resampled": f"""WITH {VOX}, grid AS ({_grid_sql(1.0)}), {_nearest_sql('CASE WHEN v.value > 0 THEN 1.0 ELSE 0.0 END')}
+SELECT vec_id, x, y, z, 'Mask_a.nii.gz' AS series, CAST(value AS DOUBLE) AS value FROM nearest WHERE vec_id % 3 <> 0""",
     "study_without_mask": "SELECT vec_id FROM embeddings WHERE vec_id % 3 = 0",
     "gabor_filtered": _convolved_sql({"kernel": gabor_kernel(8, 0.5, math.pi / 4)}, False),
     "filters_applied": _convolved_sql(_BANK, True),
