@@ -29,7 +29,7 @@ from voxelark.functions.sizing import attach, materialize
 from voxelark.llm.common import discard, slices, stored
 
 #: Occurrences from which an anchor is hot.
-HOT_ROWS = 2_000
+HOT_ROWS = 10_000
 #: Bytes of packed runs in a bucket, on average.
 BUCKET_BYTES = 2 << 20
 #: Windows of a hot anchor compared together after whole runs: each round cuts what differs into three.
@@ -309,13 +309,15 @@ def bucket_spans(doc, start, bodies: list, windows, join: Callable, steps: list[
     low = lead[code]
     whole = (doc[low] < doc) | ((doc[low] == doc) & (start_key[low] < start_key))
     part = ~whole & (low != np.arange(len(doc)))
-    if part.any():
-        # Same document without ``within``: the windows removed at the first occurrence are removed here.
-        for k in np.flatnonzero(part):
-            mine = b[s] == code[k]
-            out_doc = np.concatenate([out_doc, np.full(mine.sum(), doc[k])])
-            out_from = np.concatenate([out_from, start[k] + i[s][mine]])
-            out_to = np.concatenate([out_to, start[k] + i[e][mine] + size])
+    # Same document without ``within``: the windows removed at the first occurrence are removed here, too.
+    again = np.flatnonzero(part)
+    at, end = (np.searchsorted(b[s], code[again], side=side) for side in ("left", "right"))
+    n = end - at
+    which = np.repeat(again, n)
+    span = np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n) + np.repeat(at, n)
+    out_doc = np.concatenate([out_doc, doc[which]])
+    out_from = np.concatenate([out_from, start[which] + i[s][span]])
+    out_to = np.concatenate([out_to, start[which] + i[e][span] + size])
     return (
         np.concatenate([out_doc, doc[whole]]),
         np.concatenate([out_from, start[whole]]),
@@ -406,10 +408,12 @@ def hot_spans(met: DataFrame, kind: Kind, within: bool) -> DataFrame:
             )
 
     shape, piece = "doc_id long, start long, packed binary, anchor long", ["packed", "anchor"]
-    found = None
+    found = before = None
     for label, split in (("runs", runs), *((f"windows-{w}", _split(kind, w)) for w in WIDTHS)):
         placed = met.mapInArrow(split, shape).groupBy(*piece, "doc_id").agg(F.array_sort(F.collect_list("start")).alias("starts"))
         by_doc, _ = stored(placed, f"hot-{label}")
+        if before is not None:
+            discard(before)
         firsts = by_doc.groupBy(*piece).agg(F.min(F.struct("doc_id", "starts")).alias("f"), F.max("doc_id").alias("last"))
         firsts, _ = stored(firsts, f"hot-{label}-firsts")
         several = F.col("f.doc_id") < F.col("last")
@@ -423,10 +427,14 @@ def hot_spans(met: DataFrame, kind: Kind, within: bool) -> DataFrame:
         again = firsts.filter(several).select(*piece, "f", kind.length("packed").alias("length"))
         joined = by_doc.join(again, piece).filter(later)
         spans = F.transform(gone, lambda at: F.struct(at.alias("lo"), (at + F.col("length")).alias("hi")))
-        joined = joined.select("doc_id", spans.alias("spans"))
+        # What goes is small; the pieces are not needed after it.
+        joined, _ = stored(joined.select("doc_id", spans.alias("spans")), f"hot-{label}-spans")
+        discard(by_doc)
         found = joined if found is None else found.union(joined)
-        starts = F.slice("f.starts", 1, 1) if within else F.col("f.starts")
-        met = firsts.select(F.col("f.doc_id").alias("doc_id"), F.explode(starts).alias("start"), *piece)
+        start = F.col("f.starts")[0] if within else F.explode("f.starts")
+        met = firsts.select(F.col("f.doc_id").alias("doc_id"), start.alias("start"), *piece)
+        before = firsts
+    discard(before)
     return found
 
 
