@@ -326,7 +326,7 @@ def test_filters_go_by_position(spark):
 
 
 def test_resampling_goes_by_position(spark):
-    vols = geometry(spark, (5, 1, 1), (2, 1, 1))
+    vols = geometry(spark, (5, 1, 1), (2, 1, 1)).withColumn("sub_Analysis", F.lit("a"))
     whole = line(spark, [0.0, 2.0, 4.0, 6.0, 8.0])
     assert [along(resample.resample(whole, vols, 1.0, outside="edge"))[t] for t in range(10)] == [0, 1, 2, 3, 4, 5, 6, 7, 8, 8]
     gap = along(resample.resample(line(spark, [0.0, 2.0, 6.0, 8.0], at=[0, 1, 3, 4]), vols, 1.0, outside="edge"))
