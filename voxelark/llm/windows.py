@@ -360,25 +360,30 @@ def _split(kind: Kind, width: int):
             new = np.ones(len(at), bool)
             place = at + away
             new[1:] = (body[1:] != body[:-1]) | (place[1:] != place[:-1]) | (away[1:] // width != away[:-1] // width)
-            yield _parts(kind, batch, t, body, at, np.flatnonzero(new))
+            first = np.flatnonzero(new)
+            # Windows whose anchor stands in the same third all hold these tokens, whichever of them a part has.
+            core = (place - away // width * width)[first]
+            yield _parts(kind, batch, t, body, at, first, core, max(0, kind.size - width + 1))
 
     return run
 
 
-def _parts(kind: Kind, batch: pa.RecordBatch, t: Tokens, body, at, first) -> pa.RecordBatch:
-    """Bodies of the pieces of ``at`` that begin at the positions ``first``."""
+def _parts(kind: Kind, batch: pa.RecordBatch, t: Tokens, body, at, first, core, shared: int) -> pa.RecordBatch:
+    """Bodies of the pieces of ``at`` that begin at the positions ``first``, and the ``shared`` tokens at ``core`` of each."""
     n = np.diff(np.concatenate([first, [len(at)]]))
     ids = batch.column(0).to_numpy(zero_copy_only=False)
     starts = batch.column(1).to_numpy(zero_copy_only=False)
     b, a = body[first], at[first]
+    places = list(zip(a.tolist(), n.tolist()))
     return pa.RecordBatch.from_arrays(
         [
             pa.array(ids[b].astype(np.int64)),
             pa.array((starts[b] + a - t.offsets[b]).astype(np.int64)),
-            pa.array([kind.pack(t, x, k + kind.size - 1) for x, k in zip(a.tolist(), n.tolist())], pa.binary()),
+            pa.array([kind.pack(t, x, k + kind.size - 1) for x, k in places], pa.binary()),
             pa.array(batch.column(3).to_numpy(zero_copy_only=False)[b].astype(np.int64)),
+            pa.array([kind.pack(t, x, shared) for x in core.tolist()], pa.binary()),
         ],
-        names=["doc_id", "start", "packed", "anchor"],
+        names=["doc_id", "start", "packed", "anchor", "core"],
     )
 
 
@@ -387,9 +392,10 @@ def hot_spans(met: DataFrame, kind: Kind, within: bool) -> DataFrame:
 
     ``met`` has doc_id, text and the list ``hot``. Packed pieces are compared as a whole, finer
     in every round (runs, then WIDTHS windows): a grouped minimum of their places, pre-aggregated,
-    tells the first occurrence of each distinct piece, and only that is cut finer. A document has one
-    row for a piece, with all its places. What many documents share ends in the first rounds, so
-    few windows travel alone.
+    tells the first occurrence of each distinct piece, and only that is cut finer, and only if its core (what
+    all windows share that have their anchor in the same third) stands in another distinct piece: otherwise
+    none of its windows occurs outside its copies. A document has one row for a piece, with all its places. What many documents
+    share ends in the first rounds, what is unique is cut once, so few windows travel alone.
     """
 
     def runs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -403,19 +409,24 @@ def hot_spans(met: DataFrame, kind: Kind, within: bool) -> DataFrame:
                     pa.array(first - t.offsets[text]),
                     pa.array([kind.pack(t, a, k + kind.size - 1) for a, k in zip(first.tolist(), n.tolist())], pa.binary()),
                     pa.array(anchor.view(np.int64)),
+                    pa.array([b""] * len(first), pa.binary()),
                 ],
-                names=["doc_id", "start", "packed", "anchor"],
+                names=["doc_id", "start", "packed", "anchor", "core"],
             )
 
-    shape, piece = "doc_id long, start long, packed binary, anchor long", ["packed", "anchor"]
+    shape, piece = "doc_id long, start long, packed binary, anchor long, core binary", ["packed", "anchor"]
     found = before = None
     for label, split in (("runs", runs), *((f"windows-{w}", _split(kind, w)) for w in WIDTHS)):
-        placed = met.mapInArrow(split, shape).groupBy(*piece, "doc_id").agg(F.array_sort(F.collect_list("start")).alias("starts"))
+        rows = met.mapInArrow(split, shape).withColumn("core", F.xxhash64("core"))
+        placed = rows.groupBy(*piece, "doc_id").agg(F.array_sort(F.collect_list("start")).alias("starts"), F.first("core").alias("core"))
         by_doc, _ = stored(placed, f"hot-{label}")
         if before is not None:
             discard(before)
-        firsts = by_doc.groupBy(*piece).agg(F.min(F.struct("doc_id", "starts")).alias("f"), F.max("doc_id").alias("last"))
+        firsts = by_doc.groupBy(*piece).agg(
+            F.min(F.struct("doc_id", "starts")).alias("f"), F.max("doc_id").alias("last"), F.first("core").alias("core")
+        )
         firsts, _ = stored(firsts, f"hot-{label}-firsts")
+        before = firsts
         several = F.col("f.doc_id") < F.col("last")
         later = F.col("doc_id") > F.col("f.doc_id")
         gone = F.col("starts")
@@ -432,8 +443,11 @@ def hot_spans(met: DataFrame, kind: Kind, within: bool) -> DataFrame:
         discard(by_doc)
         found = joined if found is None else found.union(joined)
         start = F.col("f.starts")[0] if within else F.explode("f.starts")
+        if split is not runs:
+            # A whole run may hold its anchor several times; parts hold it at one place, so their cores can be told.
+            shared = firsts.groupBy("core", "anchor").agg(F.count(F.lit(1)).alias("pieces")).filter("pieces > 1")
+            firsts = firsts.join(shared, ["core", "anchor"])
         met = firsts.select(F.col("f.doc_id").alias("doc_id"), start.alias("start"), *piece)
-        before = firsts
     discard(before)
     return found
 
