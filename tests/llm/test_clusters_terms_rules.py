@@ -213,8 +213,8 @@ def messy(seed):
                 for _ in range(rng.randint(1, 12))]
         out.append("\n".join(body + body[: rng.randint(0, 2)]))
     out.append("\n".join(" ".join(rng.choice(words) for _ in range(200)) + "." for _ in range(100)))
-    good = "This is a plain sentence, number {} of a text that nobody would want to lose."
-    out.append("\n".join(good.format(rng.random()) for _ in range(20)) + "\nLicensed under a license.")
+    good = ["A sentence, " + " ".join(f"word{rng.randint(0, 999)}" for _ in range(12)) + "." for _ in range(20)]
+    out.append("\n".join([*good, "Licensed under a license.", "Home Menu Login"]))
     return out
 
 
