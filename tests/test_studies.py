@@ -322,3 +322,33 @@ def test_sizes_settle_once_over_restarts(spark, tmp_path):
     got = sorted((r["patientID"], r["length"], r["since"].minute, r["settled"].minute) for r in out)
     # z waits for a watermark that never comes; its second observation settles it.
     assert got == [("a", 5, 0, 3), ("a", 6, 9, 11), ("b", 2, 1, 3), ("c", 10, 3, 5), ("z", 0, 30, 0)]
+
+
+def test_settled_sizes_keep_items_in_groups(spark, tmp_path):
+    """Items of one group settle each on its own, by observations, timers and after changes, with one state row per group."""
+    source, items = str(tmp_path / "in"), 300
+    for minute in (0, 2, 5, 9, 30):
+        # Item i changes at minute 5 if i % 3 == 1, is last seen at 2 if i % 3 == 2, and first seen at 9 if i % 3 == 0 and i is odd.
+        seen = [(i, minute, 7 * i + (i % 3 == 1 and minute >= 5)) for i in range(items)
+                if not (i % 3 == 2 and minute > 2) and not (i % 6 == 3 and minute < 9)]
+        timed = [(k, dt.datetime(2024, 1, 1, 0, t), n) for k, t, n in seen]
+        spark.createDataFrame(timed, "patientID long, modificationTime timestamp, length long").coalesce(1).write.mode("append").parquet(source)
+        stream = arrivals.read_arrivals(spark, source, "patientID long, modificationTime timestamp, length long", max_files=1)
+        settled = arrivals.settled_sizes(stream, quiet="4 minutes", watermark="1 minute", groups=8)
+        query = arrivals.append_results(settled, str(tmp_path / "out"), str(tmp_path / "check"), partitions=2)
+        query.awaitTermination()
+        assert query.lastProgress["stateOperators"][0]["numRowsTotal"] <= 8
+    rows = spark.read.parquet(str(tmp_path / "out")).collect()
+    got = sorted((r["patientID"], r["length"], r["since"].minute, r["settled"].minute) for r in rows)
+    want = []
+    for i in range(items):
+        if i % 3 == 1:
+            want.append((i, 7 * i + 1, 5, 9))
+        elif i % 3 == 2:
+            want.append((i, 7 * i, 0, 4))
+        elif i % 6 == 3:
+            # Its next observation comes with the batch after the one that could have timed it.
+            want.append((i, 7 * i, 9, 30))
+        else:
+            want.append((i, 7 * i, 0, 5))
+    assert got == sorted(want)

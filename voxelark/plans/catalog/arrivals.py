@@ -7,7 +7,7 @@ import uuid
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
-from voxelark.functions.sizing import shared_dir
+from voxelark.functions.sizing import materialize, shared_dir
 from voxelark.operators.predict import LinearScorer
 from voxelark.plans.catalog.common import load, rounded, sql_round
 from voxelark.plans.pipeline import Pipeline, Step
@@ -71,6 +71,8 @@ def settled_sessions(spark, sf_dir):
 
 
 WEEKS = [(1, 7), (8, 14), (15, 21), (22, 31)]
+#: Polls, in bytes, whose items share a partition of state.
+POLL_BYTES = 16 * 1024 * 1024
 
 
 def sizes_settled(spark, sf_dir):
@@ -92,20 +94,23 @@ def sizes_settled(spark, sf_dir):
         F.sum(F.coalesce("grown", F.lit(0))).over(whole).alias("size"),
         "day",
     )
+    # Written once; each week's file is then a plain copy of its rows.
+    polls = materialize(polls, "polls")
     where, schema = _scratch(spark), "user_id long, seen timestamp, size long"
+    partitions = max(2, -(-polls.measured // POLL_BYTES))
     for first, last in WEEKS:
         polls.filter(F.col("day").between(first, last)).drop("day").coalesce(1).write.mode("append").parquet(f"{where}/in")
         if first != WEEKS[1][0]:
             continue
-        _follow_sizes(spark, where, schema).awaitTermination()
-    _follow_sizes(spark, where, schema).awaitTermination()
+        _follow_sizes(spark, where, schema, partitions).awaitTermination()
+    _follow_sizes(spark, where, schema, partitions).awaitTermination()
     return spark.read.schema("user_id long, size long, since timestamp, settled timestamp").parquet(f"{where}/out")
 
 
-def _follow_sizes(spark, where, schema):
+def _follow_sizes(spark, where, schema, partitions):
     stream = read_arrivals(spark, f"{where}/in", schema, max_files=1)
-    settled = settled_sizes(stream, "user_id", "seen", "size", "3 days", "1 day")
-    return append_results(settled, f"{where}/out", f"{where}/checkpoint", partitions=2)
+    settled = settled_sizes(stream, "user_id", "seen", "size", "3 days", "1 day", groups=64 * partitions)
+    return append_results(settled, f"{where}/out", f"{where}/checkpoint", partitions=partitions)
 
 
 def _delivered(spark, sf_dir):

@@ -46,6 +46,10 @@ def stable_items(first: DataFrame, second: DataFrame, key: str = "patientID") ->
     return before.join(after, key).filter(F.col("length") == F.col("__after")).select(key, "length")
 
 
+#: Groups that items are dealt into: the state of a group is read and written as one.
+SIZE_GROUPS = 1024
+
+
 def settled_sizes(
     stream: DataFrame,
     key: str = "patientID",
@@ -53,6 +57,7 @@ def settled_sizes(
     length: str = "length",
     quiet: str = "10 minutes",
     watermark: str = "10 minutes",
+    groups: int = SIZE_GROUPS,
 ) -> DataFrame:
     """``key, length, since, settled``: items whose size stayed the same for ``quiet``, once for every such size.
 
@@ -62,45 +67,58 @@ def settled_sizes(
     wait anew, also after a size was given. The state of an item is three numbers and survives a restart with
     the query's checkpoint. Of observations at one time the largest size counts; NULL keys, times and
     sizes are left out.
+
+    Items are dealt into ``groups`` by a hash of their key and a group's state is one row with one timer, as a call
+    costs milliseconds whatever it holds. A checkpoint belongs to one number of groups; a
+    thousand items in a group are fine.
     """
     wait = int(pd.Timedelta(quiet).total_seconds() * 1000)
     kind = stream.schema[key].dataType.simpleString()
+    # Keys travel as text: one type for the state, whatever the key is.
+    text = F.base64(F.col(key)) if kind == "binary" else F.col(key).cast("string")
     timed = stream.select(
-        F.col(key).alias("k"), F.col(ts).cast("timestamp").alias("at"), F.col(length).cast("long").alias("size")
+        text.alias("k"), F.col(ts).cast("timestamp").alias("at"), F.col(length).cast("long").alias("size")
     ).filter("k is not null and at is not null and size is not null")
 
-    def follow(item: tuple, batches: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-        size, since, given = state.get if state.exists else (None, 0, False)
-        done = []
-        if state.hasTimedOut:
-            if not given:
-                done.append((size, since, since + wait))
-            given = True
-        else:
-            seen = pd.concat(list(batches)).groupby("at", sort=True)["size"].max()
-            moments = seen.index.as_unit("ms").asi8
-            for at, now in zip(moments.tolist(), seen.tolist()):
+    def follow(group: tuple, batches: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
+        items = {k: kept for k, *kept in zip(*state.get)} if state.exists else {}
+        seen: dict[str, dict[int, int]] = {}
+        for rows in [] if state.hasTimedOut else batches:
+            moments = rows["at"].to_numpy().astype("datetime64[ms]").astype("int64")
+            for k, at, now in zip(rows["k"].tolist(), moments.tolist(), rows["size"].tolist()):
+                sizes = seen.setdefault(k, {})
+                sizes[at] = max(now, sizes.get(at, now))
+        passed, done = state.getCurrentWatermarkMs(), []
+        for k, (_, since, given) in items.items():
+            if not given and k not in seen and since + wait < passed:
+                done.append((k, items[k][0], since, since + wait))
+                items[k][2] = True
+        for k, sizes in seen.items():
+            size, since, given = items.get(k, (None, 0, False))
+            for at, now in sorted(sizes.items()):
                 if size is None or now != size:
                     size, since, given = now, at, False
                 elif not given and at - since >= wait:
-                    done.append((size, since, at))
+                    done.append((k, size, since, at))
                     given = True
-        state.update((size, since, given))
-        if not given:
-            state.setTimeoutTimestamp(max(since + wait, state.getCurrentWatermarkMs() + 1))
+            items[k] = [size, since, given]
+        state.update((list(items), *(list(column) for column in zip(*items.values()))))
+        open_ = [since + wait for _, since, given in items.values() if not given]
+        if open_:
+            state.setTimeoutTimestamp(max(min(open_), passed + 1))
         if done:
-            lengths, starts, ends = zip(*done)
-            yield pd.DataFrame({"k": [item[0]] * len(done), "size": lengths, "since": starts, "settled": ends})
+            yield pd.DataFrame(dict(zip(("k", "size", "since", "settled"), zip(*done))))
 
-    settled = timed.withWatermark("at", watermark).groupBy("k").applyInPandasWithState(
+    dealt = timed.withColumn("g", F.pmod(F.xxhash64("k"), F.lit(groups)).cast("int"))
+    settled = dealt.withWatermark("at", watermark).groupBy("g").applyInPandasWithState(
         follow,
-        f"k {kind}, size long, since long, settled long",
-        "size long, since long, given boolean",
+        "k string, size long, since long, settled long",
+        "k array<string>, size array<long>, since array<long>, given array<boolean>",
         "append",
         GroupStateTimeout.EventTimeTimeout,
     )
     return settled.select(
-        F.col("k").alias(key),
+        (F.unbase64("k") if kind == "binary" else F.col("k").cast(kind)).alias(key),
         F.col("size").alias(length),
         F.timestamp_millis("since").alias("since"),
         F.timestamp_millis("settled").alias("settled"),
