@@ -2,12 +2,14 @@
 
 import itertools
 import math
+import random
 from collections import Counter
 
 import numpy as np
 import pandas as pd
 import pytest
 
+from voxelark.functions.sizing import parts_of
 from voxelark.operators import blocks, texture
 from voxelark.operators.zones import zone_sizes
 
@@ -143,3 +145,33 @@ def test_level_pair_sums_of_many_levels():
     # Equal counts: every pair of levels contributes its distance.
     assert many["complexity"][0] == pytest.approx(2 * sum((10_000 - k) * k for k in range(1, 10_000)))
     assert math.isclose(many["contrast"][0], 2 * i.var())
+
+
+def test_runs_of_one_block_are_closed_by_the_halo(spark):
+    """Runs that no neighbouring block goes on with leave no piece, also at the surface; others still meet."""
+    rng = random.Random(11)
+    small = [("s", x, y, z, rng.randint(1, 2)) for x in range(4) for y in range(4) for z in range(4)]
+    wide = [("w", x, y, z, rng.randint(1, 2)) for x in range(29, 36) for y in range(-2, 2) for z in range(63, 66) if rng.random() < 0.9]
+    wide += [("w", 31, -1, 64, 1), ("w", 32, 0, 64, 1)]
+    levels = spark.createDataFrame(small + wide, "p string, x int, y int, z int, level int")
+    pieces = blocks.run_pieces(levels, ["p"]).filter("t is not null")
+    assert {r["p"] for r in pieces.select("p").distinct().collect()} == {"w"}
+    at = {}
+    for p, x, y, z, level in small + wide:
+        at[p, x, y, z] = min(level, at.get((p, x, y, z), level))
+    want = {}
+    for (p, x, y, z), level in at.items():
+        for angle, (dx, dy, dz) in enumerate(blocks.DIRECTIONS):
+            if at.get((p, x - dx, y - dy, z - dz)) == level:
+                continue
+            j = 1
+            while at.get((p, x + j * dx, y + j * dy, z + j * dz)) == level:
+                j += 1
+            want[p, angle, level, j] = want.get((p, angle, level, j), 0) + 1
+    got = {(r["p"], r["angle"], r["i"], r["j"]): r["n"] for r in texture.runs(levels, ["p"]).collect()}
+    assert got == want
+
+
+def test_sized_partitions_grow_with_the_data(spark):
+    assert parts_of(spark, 0, 100) == 1 and parts_of(spark, 25, 100) == 3
+    assert parts_of(spark, 100, 100) == 4 and parts_of(spark, 12345, 100) == 124

@@ -63,6 +63,20 @@ def materialize(df: DataFrame, label: str = "table") -> DataFrame:
 ONE_PARTITION_BYTES = 512 * 1024
 
 
+#: Rows, and bytes as ``materialize`` measures them, that one task of a sized shuffle takes at most, about.
+PART_ROWS = 250_000
+PART_BYTES = 32 * 1024 * 1024
+
+
+def parts_of(spark: SparkSession, size: int, each: int) -> int:
+    """Partitions of at most ``each`` of ``size``: their number grows with the data, so a task's memory doesn't.
+
+    Partitions merged by compressed size can be many times as large once sorted or hashed. Smaller
+    tables are dealt over the cores, down to a tenth of ``each``.
+    """
+    return max(1, -(-size // each), min(spark.sparkContext.defaultParallelism, -(-10 * size // each)))
+
+
 def compact(table: DataFrame) -> DataFrame:
     """A written table in one partition if it is measured to be tiny.
 

@@ -21,6 +21,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from voxelark.functions.columns import KEYS, col
+from voxelark.functions.sizing import PART_ROWS, parts_of
 
 XYZ = ("x", "y", "z")
 # One of each opposite pair of the 26 neighbour directions, as (dx, dy, dz).
@@ -60,8 +61,10 @@ def packed(voxels: DataFrame, keys: Sequence[str], halo: bool, payload: Sequence
         rows = rows.select("*", F.explode(places).alias("__o")) if halo else rows.withColumn("__o", F.lit(0))
         rows = rows.withColumns({f"b{a}": own + F.col("__o"), a: inner - EDGE * F.col("__o") + 1}).drop("__o")
     code = ((F.col("z") * _WIDE + F.col("y")) * _WIDE + F.col("x")).cast("int").alias("code")
-    blocks = [f"b{a}" for a in XYZ]
-    return rows.groupBy(*[col(k) for k in keys], *blocks).agg(F.collect_list(F.struct(code, *payload)).alias("cells"))
+    by = [*[col(k) for k in keys], *[F.col(f"b{a}") for a in XYZ]]
+    # Lists can't be combined to less before the shuffle, only sorted; so rows go to their block as they are.
+    rows = rows.repartition(parts_of(voxels.sparkSession, voxels.count(), PART_ROWS), *by)
+    return rows.groupBy(*by).agg(F.collect_list(F.struct(code, *payload)).alias("cells"))
 
 
 class Cells:
@@ -176,20 +179,24 @@ def surroundings(levels: DataFrame, keys: Sequence[str] = KEYS) -> DataFrame:
 def run_pieces(levels: DataFrame, keys: Sequence[str] = KEYS) -> DataFrame:
     """``keys, angle, i, j, n, t, px, py, pz``: runs of equal level inside their block.
 
-    Runs of length ``j`` that end inside a block are counted (``t`` is null). A run that reaches
-    the surface is a piece of its own, with the position ``t`` of its first voxel on its line and
+    Runs of length ``j`` that no neighbouring block goes on with are counted (``t`` is null). A run that goes on
+    there, as the halo shows, is a piece of its own, with the position ``t`` of its first voxel on its line and
     the place where the line meets a coordinate plane.
     """
 
     def work(cells: Cells):
         n = len(cells.key)
-        every = np.arange(n)
+        every, own = np.arange(n), np.zeros(n, bool)
+        own[cells.own] = True
         for angle, d in enumerate(DIRECTIONS):
             at, there = cells.neighbour(every, d)
             joined = there & (cells.level[at] == cells.level)
-            after = np.where(joined, at, -1)
-            head = np.ones(n, bool)
-            head[at[joined]] = False
+            after = np.where(joined & own & own[at], at, -1)
+            head = own.copy()
+            head[after[after >= 0]] = False
+            # What lies two halo cells apart is no business of this block.
+            leaves, enters = joined & own & ~own[at], np.zeros(n, bool)
+            enters[at[joined & ~own & own[at]]] = True
             first = np.flatnonzero(head)
             last, length = first.copy(), np.ones(len(first), np.int64)
             moving = np.arange(len(first))
@@ -197,9 +204,7 @@ def run_pieces(levels: DataFrame, keys: Sequence[str] = KEYS) -> DataFrame:
                 moving = moving[after[last[moving]] >= 0]
                 last[moving] = after[last[moving]]
                 length[moving] += 1
-            sides = np.array(d)[:, None]
-            before, behind = cells.local[:, first] - sides, cells.local[:, last] + sides
-            inside = np.logical_and.reduce([(s >= 1) & (s <= EDGE) for s in (before, behind)]).all(axis=0)
+            inside = ~(enters[first] | leaves[last])
             row, (i, j), count = _counted(cells.row[first[inside]], cells.level[first[inside]], length[inside])
             none = pa.nulls(len(row), pa.int32())
             yield row, (np.full(len(row), angle, np.int32), i.astype(np.int32), j, count, none, none, none, none)
@@ -213,7 +218,7 @@ def run_pieces(levels: DataFrame, keys: Sequence[str] = KEYS) -> DataFrame:
             yield cells.row[first[rest]], (angles, cells.level[first[rest]], length[rest], ones, t.astype(np.int32), *line)
 
     shape = "angle int, i int, j long, n long, t int, px int, py int, pz int"
-    return _mapped(packed(levels, keys, False), keys, work, ("level",), shape)
+    return _mapped(packed(levels, keys, True), keys, work, ("level",), shape)
 
 
 def _labels(n: int, a: np.ndarray, b: np.ndarray) -> np.ndarray:

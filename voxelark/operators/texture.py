@@ -16,7 +16,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from voxelark.functions.columns import KEYS, col, number
-from voxelark.functions.sizing import attach, materialize
+from voxelark.functions.sizing import PART_BYTES, attach, materialize, parts_of
 from voxelark.operators.blocks import DIRECTIONS, pair_counts, run_pieces, surroundings
 from voxelark.operators.masks import XYZ, inside_mask
 from voxelark.operators.quantiles import grouped_quantiles
@@ -338,6 +338,8 @@ def runs(levels: DataFrame, keys: Sequence[str] = KEYS) -> DataFrame:
     whole = islands.groupBy(*line, "__run").agg(F.sum("j").alias("j"))
     closed = pieces.filter("t is null").select(*keys, "angle", "i", "j", "n")
     both = closed.unionByName(whole.select(*keys, "angle", "i", "j", F.lit(1).cast("long").alias("n")))
+    # Runs of one block are counted already: a sum before the shuffle would hold them all for nothing.
+    both = both.repartition(parts_of(pieces.sparkSession, pieces.measured, PART_BYTES), *[col(k) for k in keys], "angle")
     return both.groupBy(*keys, "angle", "i", "j").agg(F.sum("n").alias("n"))
 
 
