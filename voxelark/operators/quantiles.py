@@ -21,7 +21,7 @@ over pools and strata, so new data never needs the old rows again.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
@@ -72,11 +72,18 @@ def _interpolated(keys: Sequence[str], ranks: DataFrame, probs: Sequence[float])
 
 
 def rank_select(
-    rows: DataFrame, keys: Sequence[str], value: str, probs: Sequence[float], fit_values: int | None = None
+    rows: DataFrame,
+    keys: Sequence[str],
+    value: str,
+    probs: Sequence[float],
+    fit_values: int | None = None,
+    groups_of: Callable[[Column], Column] | None = None,
 ) -> DataFrame:
     """Percentiles by bucketed rank selection: ``keys..., q array<double>``.
 
     A NULL key is a group like any other; a group without values has a NULL ``q``.
+    ``groups_of`` makes of a key, given as a struct, the array of all groups that its values count in, such as a
+    stratum and the whole table: bucket counts are added up for them, rows are not repeated.
     """
     names, fit_values = list(keys), FIT_VALUES if fit_values is None else fit_values
     # Keys as one struct: it is never NULL itself, and NULL fields of equal keys are equal.
@@ -84,7 +91,16 @@ def rank_select(
     everything = rows.select(key.alias("__k"), number(col(value)).alias("__v"))
     data = everything.filter(F.col("__v").isNotNull())
 
-    first = _counted(data.withColumn("__b", _bucket(F.col("__v"))), ["__k"])
+    # Values that are missing fall into a bucket too, so that their group is known.
+    histogram = everything.groupBy("__k", _bucket(F.col("__v")).alias("__b")).agg(
+        F.count("__v").alias("__n"), F.min("__v").alias("__min"), F.max("__v").alias("__max")
+    )
+    histogram = compact(materialize(histogram, "histogram"))
+    groups = F.explode(F.array("__k") if groups_of is None else groups_of(F.col("__k")))
+    members = histogram.select("__k").distinct().select("__k", groups.alias("__g"))
+    first = histogram.filter(F.col("__n") > 0).select(groups.alias("__k"), "__b", "__n", "__min", "__max")
+    first = first.groupBy("__k", "__b").agg(F.sum("__n").alias("__n"), F.min("__min").alias("__min"), F.max("__max").alias("__max"))
+    first = _with_before(first, ["__k"])
     first = first.withColumn("__total", F.sum("__n").over(Window.partitionBy("__k")))
     wanted = []
     for i, p in enumerate(probs):
@@ -107,12 +123,12 @@ def rank_select(
         left = wide.agg(F.count("*").alias("open"), F.count_if(F.col("__n") > fit_values).alias("large")).first()
         if left["open"] == 0:
             break
-        ranges = wide.groupBy("__k").agg(F.collect_set(F.struct("__lo", "__hi")).alias("__ranges"))
-        inside = attach(data, ranges, ["__k"], "inner", part_of=targets)
-        met = F.filter("__ranges", lambda r: F.col("__v").between(r["__lo"], r["__hi"]))
+        ranges = wide.select(F.col("__k").alias("__g"), "__lo", "__hi").distinct().join(members, "__g").groupBy("__k")
+        ranges = ranges.agg(F.collect_list(F.struct(F.col("__g").alias("__k"), "__lo", "__hi")).alias("__ranges"))
+        inside = attach(data, ranges, ["__k"], "inner", "ranges")
         # Ranges of one group never overlap.
-        inside = inside.select("__k", "__v", F.get(met, F.lit(0)).alias("__r")).filter(F.col("__r").isNotNull())
-        inside = inside.select("__k", "__r.*", "__v")
+        met = F.filter("__ranges", lambda r: F.col("__v").between(r["__lo"], r["__hi"]))
+        inside = inside.select("__v", F.explode(met).alias("__r")).select("__r.*", "__v")
         if left["large"] == 0:
             settled.append(_ranked(inside, wide))
             break
@@ -125,9 +141,8 @@ def rank_select(
         finer = open_.join(finer, ["__k", "__lo", "__hi"]).drop("__lo", "__hi")
         targets = _narrowed(finer)
 
-    groups = everything.select("__k").distinct()
     found = reduce(DataFrame.unionByName, settled)
-    answered = groups.join(_interpolated(["__k"], found, probs), "__k", "left")
+    answered = members.select(F.col("__g").alias("__k")).distinct().join(_interpolated(["__k"], found, probs), "__k", "left")
     return answered.select(*[F.col("__k").getField(name).alias(name) for name in names], "q")
 
 
@@ -136,6 +151,11 @@ def _counted(data: DataFrame, by: Sequence[str]) -> DataFrame:
     histogram = data.groupBy(*by, "__b").agg(
         F.count("*").alias("__n"), F.min("__v").alias("__min"), F.max("__v").alias("__max")
     )
+    return _with_before(histogram, by)
+
+
+def _with_before(histogram: DataFrame, by: Sequence[str]) -> DataFrame:
+    """A group's buckets with the number of values in the buckets before them."""
     running = Window.partitionBy(*by).orderBy("__b")
     return histogram.withColumn("__before", F.sum("__n").over(running) - F.col("__n"))
 

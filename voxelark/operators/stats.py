@@ -4,12 +4,12 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from voxelark.functions.columns import col, number, struct_of, to_long
-from voxelark.functions.sizing import attach, compact, materialize
-from voxelark.operators.quantiles import BUILTIN_GROUP_ROWS, grouped_quantiles, quantile_sketches, sketch_statistics
+from voxelark.functions.sizing import DEFAULT_HOT_ROWS, HOT_CONF, attach, compact, materialize
+from voxelark.operators.quantiles import BUILTIN_GROUP_ROWS, grouped_quantiles, quantile_sketches, rank_select, sketch_statistics
 
 ALL = "all"
 QUARTILES = (0.25, 0.5, 0.75)
@@ -164,9 +164,17 @@ def describe_levels(
     overall = overall_moments(strata).select(F.lit(ALL).alias("level"), "*")
     table = strata.filter(F.col("level").isNotNull()).unionByName(overall)
     if quartiles:
-        levels = F.explode(F.array_compact(F.array("level", F.lit(ALL)))).alias("level")
-        long = to_long(tagged, ["level"], features).select(levels, "feature", "value")
-        quantiles = grouped_quantiles(long, ["level", "feature"], "value", QUARTILES, rows)
+        long = to_long(tagged, ["level"], features)
+        if rows > BUILTIN_GROUP_ROWS:
+
+            def own_and_all(key: Column) -> Column:
+                whole = F.struct(F.lit(ALL).alias("level"), key["feature"].alias("feature"))
+                return F.array_compact(F.array(F.when(key["level"].isNotNull(), key), whole))
+
+            quantiles = rank_select(long, ["level", "feature"], "value", QUARTILES, groups_of=own_and_all)
+        else:
+            levels = F.explode(F.array_compact(F.array("level", F.lit(ALL)))).alias("level")
+            quantiles = grouped_quantiles(long.select(levels, "feature", "value"), ["level", "feature"], "value", QUARTILES, rows)
         table = table.join(quantiles, ["level", "feature"], "left").withColumns(
             {"p25": F.col("q")[0], "p50": F.col("q")[1], "p75": F.col("q")[2]}
         )
