@@ -1,4 +1,5 @@
 import math
+from collections import Counter
 
 import numpy as np
 import pytest
@@ -6,7 +7,7 @@ from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
-from voxelark.functions.sizing import materialize
+from voxelark.functions.sizing import HOT_CONF, materialize
 from voxelark.functions import sizing
 from voxelark.functions.columns import feature_columns, to_long, to_wide
 from voxelark.operators import quantiles, stats
@@ -262,3 +263,45 @@ def test_sketches_merge_over_pools_and_strata(spark):
     approx = stats.describe(df, ["v", "w"], ["g"], approx=True)
     exact = stats.describe(df, ["v", "w"], ["g"])
     assert approx.columns == exact.columns and approx.count() == exact.count()
+
+
+def test_duplicates_of_ordinary_keys_meet_in_one_shuffle(spark):
+    """Keys within the hot bound need one shuffle of the rows; beyond it the same rows come from the other way."""
+    rows = [(k, v, None if v % 3 == 0 else float(v)) for k in (None, 0.0, -0.0, 1.5, 2.5) for v in (3, 1, 1, 2)] + [(9.0, 1, None)]
+    df = spark.createDataFrame(rows, "k double, v int, w double")
+    later = stats.duplicates(df, ["k"], ["v"])
+    assert later._jdf.queryExecution().executedPlan().toString().count("hashpartitioning") == 1
+    got = Counter((r.k and r.k + 0.0, r.v, r.w) for r in later.collect())
+    want = Counter()
+    for key in {r[0] and r[0] + 0.0 for r in rows}:
+        own = sorted([r for r in rows if r[0] is not None and r[0] == key] if key is not None else [r for r in rows if r[0] is None],
+                     key=lambda r: (r[1], r[2] is not None, r[2] or 0.0))
+        want.update((key, r[1], r[2]) for r in own[1:])
+    assert got == want
+    spark.conf.set(HOT_CONF, "5")
+    try:
+        assert Counter((r.k and r.k + 0.0, r.v, r.w) for r in stats.duplicates(df, ["k"], ["v"]).collect()) == want
+    finally:
+        spark.conf.unset(HOT_CONF)
+
+
+def test_levels_share_one_histogram(spark, monkeypatch):
+    """Quartiles of strata and of all rows by rank, rows read once for both: NULL strata and missing values included."""
+    rng = np.random.default_rng(8)
+    rows = [(["a", "b", None][i % 3], float(v) if i % 7 else None, float(rng.integers(0, 5))) for i, v in enumerate(rng.normal(0, 10, 600))]
+    rows += [("empty", None, float("nan")), ("one", 2.5, 1.0)]
+    df = spark.createDataFrame(rows, "g string, u double, v double")
+    seen = []
+    chosen = stats.rank_select
+    monkeypatch.setattr(stats, "BUILTIN_GROUP_ROWS", 10)
+    monkeypatch.setattr(stats, "rank_select", lambda long, *a, **b: seen.append(long.count()) or chosen(long, *a, fit_values=20, **b))
+    got = {(r.g, r.feature): r for r in stats.describe_levels(df, ["u", "v"], "g").collect()}
+    # Two features of every row; the level of all rows needs no rows of its own.
+    assert seen == [2 * len(rows)]
+    assert set(got) == {(g, f) for g in ("a", "b", "empty", "one", "all") for f in ("u", "v")}
+    for (g, f), r in got.items():
+        values = [x for row in rows if g in ("all", row[0]) for x in [row[1 if f == "u" else 2]] if x is not None and not math.isnan(x)]
+        if not values:
+            assert (r["count"], r.p25, r.p50, r.p75) == (0, None, None, None)
+        else:
+            assert np.allclose([r.p25, r.p50, r.p75], np.percentile(values, [25, 50, 75]), rtol=1e-12)

@@ -230,16 +230,47 @@ def _orderable(df: DataFrame, name: str) -> bool:
     return "map<" not in df.schema[name].dataType.simpleString()
 
 
+#: Hash buckets of keys: together they say whether any key may be hot, for a shuffle of some numbers per task.
+_KEY_BUCKETS = 1 << 16
+
+
 def duplicates(df: DataFrame, keys: Sequence[str], order_by: Sequence[str]) -> DataFrame:
     """The rows :func:`dedupe_first` leaves out, every copy of them.
 
+    Rows are counted in hash buckets of their key first. Those of buckets within the hot bound meet
+    by key in one shuffle. Only in the others, a key may be too hot for one task.
+    """
+    spark, keys = df.sparkSession, list(keys)
+    rest = [c for c in df.columns if c not in keys]
+    order = [*order_by, *[c for c in rest if c not in order_by]]
+    # 0.0 and -0.0 are one key.
+    floating = {f.name for f in df.schema.fields if f.dataType.typeName() in ("float", "double")}
+    hashed = F.xxhash64(*[col(k) + F.lit(0.0) if k in floating else col(k) for k in keys])
+    tagged = df.withColumn("__b", F.pmod(hashed, F.lit(_KEY_BUCKETS)))
+    bound = int(spark.conf.get(HOT_CONF, str(DEFAULT_HOT_ROWS)))
+    crowded = tagged.groupBy("__b").count().filter(F.col("count") > bound).select("__b", F.lit(True).alias("__crowded"))
+    crowded = materialize(crowded, "crowded-keys")
+    if crowded.measured == 0:
+        return _later_rows(df, keys, order)
+    marked = tagged.join(F.broadcast(crowded), "__b", "left")
+    plain = marked.filter(F.col("__crowded").isNull()).select(*[col(c) for c in df.columns])
+    hot = marked.filter(F.col("__crowded")).select(*[col(c) for c in df.columns])
+    return _later_rows(plain, keys, order).unionByName(_later_rows_of_hot_keys(hot, keys, order))
+
+
+def _later_rows(df: DataFrame, keys: Sequence[str], order: Sequence[str]) -> DataFrame:
+    """All rows but the first of each key, from one sorted shuffle."""
+    place = F.row_number().over(Window.partitionBy(*[col(k) for k in keys]).orderBy(*[col(o) for o in order]))
+    return df.withColumn("__place", place).filter(F.col("__place") > 1).drop("__place")
+
+
+def _later_rows_of_hot_keys(df: DataFrame, keys: list[str], order: Sequence[str]) -> DataFrame:
+    """All rows but the first of each key, whatever the number of its rows.
+
     Keys are counted first, and only rows of repeated keys go on. Identical rows are
     then folded into one row with a count, which shrinks a hot group of copies before any
     shuffle by key.
     """
-    keys = list(keys)
-    rest = [c for c in df.columns if c not in keys]
-    order = [*order_by, *[c for c in rest if c not in order_by]]
     tagged = df.withColumn("__k", struct_of(keys))
     several = tagged.groupBy("__k").count().filter(F.col("count") > 1).select("__k")
     df = attach(tagged, several, ["__k"], "inner", "repeated-keys").drop("__k")
