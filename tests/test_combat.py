@@ -2,6 +2,7 @@ import numpy as np
 import pandas as pd
 import pytest
 
+from voxelark.operators import combat as combat_module
 from voxelark.operators.combat import (
     CombatCells,
     CombatModel,
@@ -328,3 +329,16 @@ def test_five_thousand_levels(spark):
             g = np.bincount(site, y - a[batch]) / np.bincount(site)
         want = g - g[0]
         assert np.array([got[f, f"{k:05d}"] for k in range(levels)]) == pytest.approx(want, abs=1e-6)
+
+
+def test_prepared_samples_are_shuffled_once(spark):
+    """Harmonized samples come from the written join of samples and batches: nothing is shuffled again to transform."""
+    rows = [(f"p{i}", i % 3, "ab"[i % 2], float(i * i % 17), float(i % 5)) for i in range(40)]
+    df = spark.createDataFrame(rows, "patientID string, sub_Analysis int, batch string, u double, v double")
+    keys = ["patientID", "sub_Analysis"]
+    features, batch = df.drop("batch"), df.select(*keys, "batch")
+    model, out = combat_module.combat_study(features, batch, keys, names=["u", "v"])
+    towards = combat_module.harmonize_towards(model.cells, features, batch, keys, "a")
+    for harmonized in (out, towards):
+        plan = harmonized._jdf.queryExecution().executedPlan().toString()
+        assert "hashpartitioning(patientID" not in plan and harmonized.count() == 40

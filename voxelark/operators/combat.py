@@ -910,7 +910,7 @@ def combat_study(
 ) -> tuple[CombatModel, DataFrame]:
     """The fitted model, which holds the cells of the table, and the harmonized table."""
     keys, covars, continuous = list(keys), list(covars), list(continuous)
-    ready = prepare(features, batch, keys, [*covars, *continuous, batch_col], order_by)
+    ready = materialize(prepare(features, batch, keys, [*covars, *continuous, batch_col], order_by), "prepared")
     if names is None:
         names = feature_columns(features, exclude=keys)
     model = fit_combat(ready, names, batch_col, covars, continuous, **options)
@@ -924,8 +924,9 @@ def prepare(
     columns: Sequence[str],
     order_by: Sequence[str] | None = None,
 ) -> DataFrame:
-    """Both tables without duplicate keys, joined. Nothing is written: fitting reads the features
-    and batch columns of it only, and finds samples without batch information in the cells."""
+    """Both tables without duplicate keys, joined. Who reads it twice writes it: the shuffles behind it cost more
+    than the table. Fitting reads the features and batch columns of it only, and finds samples without batch
+    information in the cells."""
     require_columns(batch, columns)
     rest = [c for c in features.columns if c not in keys]
     unique = dedupe_first(features, keys, order_by or rest)
@@ -995,7 +996,7 @@ def harmonize_towards(
     keys, names = list(keys), training.names
     columns = [*training.covars, *training.continuous, training.batch]
     require_columns(new, names)
-    fresh = prepare(new, new_batch, keys, columns, order_by)
+    fresh = materialize(prepare(new, new_batch, keys, columns, order_by), "prepared")
     known = F.col("__batch").isNotNull()
     if ref_batch in (None, "", "None"):
         old, reference = training.relabelled(F.when(known, F.lit("ref"))), "ref"
