@@ -63,8 +63,10 @@ def packed(voxels: DataFrame, keys: Sequence[str], halo: bool, payload: Sequence
     code = ((F.col("z") * _WIDE + F.col("y")) * _WIDE + F.col("x")).cast("int").alias("code")
     by = [*[col(k) for k in keys], *[F.col(f"b{a}") for a in XYZ]]
     # Lists can't be combined to less before the shuffle, only sorted; so rows go to their block as they are.
-    rows = rows.repartition(parts_of(voxels.sparkSession, voxels.count(), PART_ROWS), *by)
-    return rows.groupBy(*by).agg(F.collect_list(F.struct(code, *payload)).alias("cells"))
+    dealt = parts_of(voxels.sparkSession, voxels.count(), PART_ROWS)
+    table = rows.repartition(dealt, *by).groupBy(*by).agg(F.collect_list(F.struct(code, *payload)).alias("cells"))
+    table.dealt = dealt
+    return table
 
 
 class Cells:
@@ -151,7 +153,10 @@ def pair_counts(levels: DataFrame, keys: Sequence[str] = KEYS) -> DataFrame:
             yield row, (np.full(len(row), angle, np.int32), i, j, n)
 
     shape = "angle int, i int, j int, n long"
-    parts = _mapped(packed(levels, keys, True), keys, work, ("level",), shape)
+    blocks = packed(levels, keys, True)
+    parts = _mapped(blocks, keys, work, ("level",), shape)
+    # Pairs of one block are counted already; by region and direction they serve all that comes after.
+    parts = parts.repartition(4 * blocks.dealt, *[col(k) for k in keys], "angle")
     return parts.groupBy(*[col(k) for k in keys], "angle", "i", "j").agg(F.sum("n").alias("n"))
 
 

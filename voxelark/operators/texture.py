@@ -16,10 +16,10 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from voxelark.functions.columns import KEYS, col, number
-from voxelark.functions.sizing import PART_BYTES, attach, materialize, parts_of
+from voxelark.functions.sizing import PART_BYTES, PART_ROWS, attach, materialize, parts_of
 from voxelark.operators.blocks import DIRECTIONS, pair_counts, run_pieces, surroundings
 from voxelark.operators.masks import XYZ, inside_mask
-from voxelark.operators.quantiles import grouped_quantiles
+from voxelark.operators.quantiles import grouped_quantiles, largest_group
 from voxelark.operators.zones import zone_sizes
 
 def roi_levels(
@@ -47,11 +47,47 @@ def _entropy(p: Column) -> Column:
 # ------------------------------------------------------------------ first order
 
 
-def firstorder(
-    levels: DataFrame, keys: Sequence[str] = KEYS, voxel_volume: float = 1.0
-) -> DataFrame:
-    """Intensity statistics per region."""
-    keys = list(keys)
+#: Voxels of the largest region that first-order features take in one task.
+REGION_ROWS = 1_000_000
+_PROBS = (0.1, 0.25, 0.5, 0.75, 0.9)
+
+
+def _moments_of(d: Column) -> list[Column]:
+    return [
+        F.avg(F.abs(d)).alias("MeanAbsoluteDeviation"),
+        F.avg(d * d).alias("Variance"),
+        F.avg(d * d * d).alias("__m3"),
+        F.avg(d * d * d * d).alias("__m4"),
+    ]
+
+
+def _region_statistics(levels: DataFrame, keys: list[str]) -> DataFrame:
+    """Sums of regions that fit a task each: every voxel is shuffled once and all passes run where its region lies."""
+    v, region = F.col("value"), Window.partitionBy(*keys)
+    given = levels.dropna(subset=keys).select(*keys, "value", "level")
+    rows = given.repartition(parts_of(levels.sparkSession, levels.count(), PART_ROWS), *[col(k) for k in keys])
+    q = F.percentile(number(v), F.array(*[F.lit(p) for p in _PROBS]))
+    rows = rows.withColumns({"__n": F.count("*").over(region), "Mean": F.avg(v).over(region), "q": q.over(region)})
+    core = F.when(v.between(F.col("q")[0], F.col("q")[4]), v)
+    share = F.count("*").over(Window.partitionBy(*keys, "level")) / F.col("__n")
+    rows = rows.withColumns({"__core": F.avg(core).over(region), "__p": share})
+    return rows.groupBy(*keys).agg(
+        F.count("*").alias("__n"),
+        F.first("Mean").alias("Mean"),
+        F.sum(v * v).alias("Energy"),
+        F.min(v).alias("Minimum"),
+        F.max(v).alias("Maximum"),
+        F.first("q").alias("q"),
+        *_moments_of(v - F.col("Mean")),
+        F.avg(F.abs(core - F.col("__core"))).alias("RobustMeanAbsoluteDeviation"),
+        # Each voxel holds its part of its level's share.
+        (-F.sum(F.log2("__p") / F.col("__n"))).alias("Entropy"),
+        F.sum(F.col("__p") / F.col("__n")).alias("Uniformity"),
+    )
+
+
+def _spread_statistics(levels: DataFrame, keys: list[str], largest: int) -> DataFrame:
+    """The same of regions of any size, by aggregations that combine before they shuffle."""
     v = F.col("value")
     base = levels.groupBy(*keys).agg(
         F.count("*").alias("__n"),
@@ -60,18 +96,12 @@ def firstorder(
         F.min(v).alias("Minimum"),
         F.max(v).alias("Maximum"),
     )
-    q = grouped_quantiles(levels, keys, "value", [0.1, 0.25, 0.5, 0.75, 0.9])
+    q = grouped_quantiles(levels, keys, "value", _PROBS, largest)
     base = materialize(base.join(q, keys), "firstorder")
     rows = attach(levels, base.select(*keys, "Mean", "q"), keys, "inner", part_of=base)
     d = v - F.col("Mean")
     core = F.when(v.between(F.col("q")[0], F.col("q")[4]), v)
-    moments = rows.groupBy(*keys).agg(
-        F.avg(F.abs(d)).alias("MeanAbsoluteDeviation"),
-        F.avg(d * d).alias("Variance"),
-        F.avg(d * d * d).alias("__m3"),
-        F.avg(d * d * d * d).alias("__m4"),
-        F.avg(core).alias("__core"),
-    )
+    moments = rows.groupBy(*keys).agg(*_moments_of(d), F.avg(core).alias("__core"))
     moments = materialize(moments, "firstorder-moments")
     centered = attach(rows, moments.select(*keys, "__core"), keys, "inner", part_of=moments)
     robust = centered.groupBy(*keys).agg(F.avg(F.abs(core - F.col("__core"))).alias("RobustMeanAbsoluteDeviation"))
@@ -80,8 +110,18 @@ def firstorder(
     spread = histogram.withColumn("__p", share).groupBy(*keys).agg(
         _entropy(F.col("__p")).alias("Entropy"), F.sum(F.col("__p") * F.col("__p")).alias("Uniformity")
     )
+    return base.join(moments, keys).join(robust, keys).join(spread, keys)
+
+
+def firstorder(
+    levels: DataFrame, keys: Sequence[str] = KEYS, voxel_volume: float = 1.0
+) -> DataFrame:
+    """Intensity statistics per region."""
+    keys = list(keys)
+    largest = largest_group(levels, keys)
+    table = _region_statistics(levels, keys) if largest <= REGION_ROWS else _spread_statistics(levels, keys, largest)
     sd = F.sqrt("Variance")
-    return base.join(moments, keys).join(robust, keys).join(spread, keys).select(
+    return table.select(
         *keys,
         "Energy",
         (F.col("Energy") * float(voxel_volume)).alias("TotalEnergy"),
@@ -131,19 +171,25 @@ def glcm(levels: DataFrame, keys: Sequence[str] = KEYS, mcc: bool = False) -> Da
     """
     keys = list(keys)
     by = [*keys, "angle"]
-    matrix = materialize(cooccurrence(levels, keys), "glcm")
-    top = materialize(levels.groupBy(*keys).agg(F.max("level").alias("__ng")), "levels")
+    # Rows lie by region and direction from their counts on, so windows and sums here need no other shuffle.
+    matrix = cooccurrence(levels, keys)
+    matrix = materialize(matrix, "glcm") if mcc else matrix
+    angles = F.explode(F.array(*[F.lit(a) for a in range(len(DIRECTIONS))])).alias("angle")
+    top = levels.groupBy(*keys).agg(F.max("level").alias("__ng")).select(*keys, angles, "__ng")
     p, i, j = F.col("p"), F.col("i"), F.col("j")
-    rows = attach(matrix, top, keys, "inner", part_of=top)
+    gap = F.abs(i - j)
+    rows = matrix.join(top, by).withColumns({"__s": i + j, "__d": gap})
     rows = rows.withColumns(
         {
+            "__ps": F.sum(p).over(Window.partitionBy(*by, "__s")),
+            "__pd": F.sum(p).over(Window.partitionBy(*by, "__d")),
             "__mu": F.sum(i * p).over(Window.partitionBy(*by)),
             "__px": F.sum(p).over(Window.partitionBy(*by, "i")),
             "__py": F.sum(p).over(Window.partitionBy(*by, "j")),
             "__da": F.sum(F.abs(i - j) * p).over(Window.partitionBy(*by)),
         }
     )
-    mu, gap, ng = F.col("__mu"), F.abs(i - j), F.col("__ng")
+    mu, ng = F.col("__mu"), F.col("__ng")
     around = i + j - 2 * mu
     plain = rows.groupBy(*by).agg(
         F.sum(i * j * p).alias("Autocorrelation"),
@@ -159,6 +205,8 @@ def glcm(levels: DataFrame, keys: Sequence[str] = KEYS, mcc: bool = False) -> Da
         _entropy(p).alias("JointEntropy"),
         (-F.sum(p * F.log2(F.col("__px")))).alias("__hx"),
         (-F.sum(p * F.log2(F.col("__py")))).alias("__hy"),
+        (-F.sum(p * F.log2(F.col("__ps")))).alias("__hs"),
+        (-F.sum(p * F.log2(F.col("__pd")))).alias("__hd"),
         F.sum(p / (1 + gap * gap)).alias("Idm"),
         F.sum(p / (1 + gap * gap / (ng * ng))).alias("Idmn"),
         F.sum(p / (1 + gap)).alias("Id"),
@@ -177,20 +225,15 @@ def glcm(levels: DataFrame, keys: Sequence[str] = KEYS, mcc: bool = False) -> Da
             "Correlation": F.coalesce(F.try_divide(F.col("__cov"), F.col("SumSquares")), F.lit(1.0)),
             "Imc1": F.coalesce(F.try_divide(F.col("JointEntropy") - mixed, larger), F.lit(0.0)),
             "Imc2": F.sqrt(F.greatest(inner, F.lit(0.0))),
+            "SumEntropy": F.col("__hs"),
+            "DifferenceEntropy": F.col("__hd"),
         }
-    ).drop("__cov", "__hx", "__hy")
+    ).drop("__cov", "__hx", "__hy", "__hs", "__hd")
 
-    def grouped_entropy(group: Column, name: str) -> DataFrame:
-        sums = matrix.groupBy(*by, group.alias("k")).agg(F.sum("p").alias("q"))
-        return sums.groupBy(*by).agg(_entropy(F.col("q")).alias(name))
-
-    table = plain.join(grouped_entropy(i + j, "SumEntropy"), by).join(
-        grouped_entropy(gap, "DifferenceEntropy"), by
-    )
     if mcc:
-        table = table.join(_maximal_correlation(matrix, keys), by)
-    names = [c for c in table.columns if c not in by]
-    return table.groupBy(*keys).agg(*[F.avg(n).alias(n) for n in names])
+        plain = plain.join(_maximal_correlation(matrix, keys), by)
+    names = [c for c in plain.columns if c not in by]
+    return plain.groupBy(*keys).agg(*[F.avg(n).alias(n) for n in names])
 
 
 def _maximal_correlation(matrix: DataFrame, keys: Sequence[str]) -> DataFrame:
