@@ -34,6 +34,8 @@ from voxelark.llm.common import table
 
 #: Every overlap is hit by one of these; to be checked again (tests) if MIN_WORDS or MIN_SHARE change.
 SEEDS = ("11111", "110111")
+#: Spaced seeds that miss overlaps of any length, so not used: the tests hold SEEDS against them.
+MASKS = ("110111011011", "101101110111", "111101101101")
 MIN_WORDS = 12
 MIN_SHARE = 0.8
 
