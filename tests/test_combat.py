@@ -12,6 +12,7 @@ from voxelark.operators.combat import (
     harmonize_towards,
     training_cells,
 )
+from voxelark.plans.catalog import harmonize
 
 NAMES = [f"f{i}" for i in range(6)]
 
@@ -342,3 +343,23 @@ def test_prepared_samples_are_shuffled_once(spark):
     for harmonized in (out, towards):
         plan = harmonized._jdf.queryExecution().executedPlan().toString()
         assert "hashpartitioning(patientID" not in plan and harmonized.count() == 40
+
+
+def test_items_stay_where_they_are(spark, tmp_path):
+    """Few suppliers go to the line items, whatever size Spark guesses; copies and unknown suppliers as in any inner join."""
+    items = [(i, i, s, 1, 2.0, 3.0, 0.1, 0.2, "A", "F", "1997-01-01") for i, s in enumerate([0, 0, 1, 2, 7, None])]
+    columns = "l_orderkey long, l_partkey long, l_suppkey long, l_linenumber int, l_quantity double, l_extendedprice double, l_discount double, l_tax double, l_returnflag string, l_linestatus string, l_shipdate string"
+    spark.createDataFrame(items, columns).write.parquet(f"{tmp_path}/lineitem.parquet")
+    suppliers = [(0, 1), (1, 1), (1, 2), (2, 9), (None, 1)]
+    spark.createDataFrame(suppliers, "s_suppkey long, s_nationkey int").write.parquet(f"{tmp_path}/supplier.parquet")
+    spark.createDataFrame([(1, "a"), (2, "b")], "n_nationkey int, n_name string").write.parquet(f"{tmp_path}/nation.parquet")
+    held = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", -1)
+    try:
+        df = harmonize._items(spark, str(tmp_path))
+        plan = df._jdf.queryExecution().executedPlan().toString()
+        got = sorted((r["l_orderkey"], r["batch"]) for r in df.collect())
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", held)
+    assert got == [(0, "a"), (1, "a"), (2, "a"), (2, "b")]
+    assert "hashpartitioning" not in plan

@@ -305,3 +305,20 @@ def test_levels_share_one_histogram(spark, monkeypatch):
             assert (r["count"], r.p25, r.p50, r.p75) == (0, None, None, None)
         else:
             assert np.allclose([r.p25, r.p50, r.p75], np.percentile(values, [25, 50, 75]), rtol=1e-12)
+
+
+def test_first_rows_travel_once(spark):
+    rows = [(k % 5 if k % 7 else None, [None, "b", "a"][k % 3], float(k * 13 % 11)) for k in range(60)] * 2
+    df = spark.createDataFrame(rows, "key int, t string, v double")
+    out = stats.dedupe_first(df, ["key"], ["v"])
+    want = {}
+    for k, t, v in rows:
+        order = (v, t is not None, t or "")
+        want[k] = min(want.get(k, (order, t)), (order, t), key=lambda pair: pair[0])
+    assert {r["key"]: (r["t"], r["v"]) for r in out.collect()} == {k: (t, order[0]) for k, (order, t) in want.items()}
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    assert "min_by" not in plan and out.columns == df.columns
+    # A column without an order is no part of it.
+    mapped = df.withColumn("m", F.create_map("t", "v")).filter("t is not null")
+    assert stats.dedupe_first(mapped, ["key"], ["v"]).count() == 6
+    assert stats.dedupe_first(df, ["key"], ["key"]).count() == stats.dedupe_first(df.select("key"), ["key"], ["key"]).count() == 6

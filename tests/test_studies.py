@@ -14,9 +14,11 @@ from pyspark.ml.regression import LinearRegression
 from pyspark.sql import functions as F
 
 from voxelark.functions.names import prefix_listed, stem, suffixed_name
+from voxelark.operators import combat as combat_module
 from voxelark.operators.predict import LinearScorer, predict
 from voxelark.operators.selection import check_complete, filter_rois, include, skip
 from voxelark.operators.structure import check_structure, matching_files, reorganize_plan, unsegmented
+from voxelark.plans import pipeline as pipeline_module
 from voxelark.plans.pipeline import Pipeline, PipelineBundle, Step
 from voxelark.sources import tables
 from voxelark.sources.study import manifest_columns, scan_manifest
@@ -352,3 +354,52 @@ def test_settled_sizes_keep_items_in_groups(spark, tmp_path):
         else:
             want.append((i, 7 * i, 0, 5))
     assert got == sorted(want)
+
+
+def test_keys_do_not_pass_through_python(spark):
+    big = 2**53 + 1
+    df = spark.createDataFrame([(big, 1.0, 2.0), (None, 3.0, None), (5, 4.0, 1.0)], "k long, f double, g double")
+    out = predict(df.coalesce(1), LinearScorer(["f", "g"], [2.0, 1.0], 1.0), keys=["k"])
+    assert {(r["k"], r["predictions"]) for r in out.collect()} == {(big, 5.0), (None, None), (5, 10.0)}
+    assert out.columns == ["k", "predictions"] and "ArrowEvalPython" in out._jdf.queryExecution().toString()
+    assert predict(df.filter("f > 9"), LinearScorer(["g", "f"], [2.0, 1.0]), keys=["k", "f"]).count() == 0
+
+
+def test_a_pool_read_once_is_not_persisted(spark, training, tmp_path):
+    train, batch = training
+    keys = {"keys": ["patientID", "sub_Analysis"]}
+    normalize = Step("normalize", {"method": "minmax", "features": ["f", "g"]})
+    bundle, _ = Pipeline([Step("harmonize", {"batch": batch, "ref_batch": "x"}), normalize], keys).fit(train)
+    score = Step("predict", {"model": LinearScorer(["f", "g"], [2.0, 1.0])})
+    assert bundle.reads_once([score]) and bundle.reads_once([Step("dedupe", {})])
+    assert not bundle.reads_once([Step("predict", {}, source="input")])
+    plain, _ = Pipeline([normalize], keys).fit(train)
+    assert plain.reads_once([score]) and not plain.reads_once([Step("match_histogram", {})])
+
+    seen, transform = [], bundle.transform
+
+    def watched(pool, *args):
+        seen.append(pool.storageLevel.useMemory)
+        return transform(pool, *args)
+
+    bundle.transform = watched
+    source = str(tmp_path / "in")
+    train.coalesce(1).write.parquet(source)
+    overrides = {"harmonize": {"batch": batch}}
+    for i, given in enumerate([overrides, lambda pool: overrides]):
+        arriving = arrivals.read_arrivals(spark, source, train.schema)
+        where = str(tmp_path / f"out{i}")
+        arrivals.score_stream(arriving, bundle, f"{where}/o", f"{where}/c", overrides=given, then=[score]).awaitTermination()
+    assert seen == [False, True]
+
+
+def test_fitting_a_chain_writes_the_samples_once(spark, training, monkeypatch):
+    written = []
+    real = combat_module.materialize
+    for module in (combat_module, pipeline_module):
+        monkeypatch.setattr(module, "materialize", lambda df, label="table": (written.append((label, df.columns)), real(df, label))[1])
+    train, batch = training
+    steps = [Step("harmonize", {"batch": batch, "ref_batch": "x"}), Step("normalize", {"method": "minmax", "features": ["f", "g"]})]
+    _, out = Pipeline(steps, {"keys": ["patientID", "sub_Analysis"]}).fit(train)
+    assert out.count() == train.count()
+    assert [label for label, columns in written if "patientID" in columns] == ["prepared"]

@@ -46,7 +46,7 @@ def predict(
 ) -> DataFrame:
     """Keys and ``predictions``, scored batch-wise in the workers.
 
-    Only keys and the model's own features reach Python; the model travels with the
+    Only the model's own features reach Python and only predictions return; the model travels with the
     task code (Spark ships a large one once per executor). A Spark ML model is
     applied as it is.
     """
@@ -56,14 +56,14 @@ def predict(
         return scored.select(*[col(k) for k in keys], F.col("prediction").alias("predictions"))
     names = list(feature_names) if feature_names is not None else model_features(model)
     require_columns(df, [*keys, *names])
-    needed = list(dict.fromkeys([*keys, *names]))
 
-    def score(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    @F.pandas_udf(result)
+    def score(batches: Iterator[pd.DataFrame]) -> Iterator[pd.Series]:
         for batch in batches:
-            out = batch[keys].copy()
+            out = pd.DataFrame(index=batch.index)
             out["predictions"] = np.asarray(model.predict(batch[names])) if len(batch) else []
-            yield out
+            yield out["predictions"]
 
-    narrow = df.select(*[col(c) for c in needed])
-    types = ", ".join(f"`{k}` {df.schema[k].dataType.simpleString()}" for k in keys)
-    return narrow.mapInPandas(score, f"{types}, predictions {result}")
+    needed = list(dict.fromkeys(names)) or keys
+    values = F.struct(*[col(c).alias(c) for c in needed])
+    return df.select(*[col(k) for k in keys], score(values).alias("predictions"))

@@ -6,7 +6,7 @@ import uuid
 
 from pyspark.sql import functions as F
 
-from voxelark.functions.sizing import shared_dir
+from voxelark.functions.sizing import attach, shared_dir
 from voxelark.operators.combat import (
     CombatModel,
     attach_batch,
@@ -32,8 +32,10 @@ def _items(spark, sf_dir):
     line = load(spark, sf_dir, "lineitem").withColumn("price", F.col("l_extendedprice") / 10000)
     supplier = load(spark, sf_dir, "supplier").select("s_suppkey", "s_nationkey")
     nation = load(spark, sf_dir, "nation").select("n_nationkey", F.col("n_name").alias("batch"))
-    batches = supplier.join(nation, supplier.s_nationkey == nation.n_nationkey).select("s_suppkey", "batch")
-    return line.join(batches, line.l_suppkey == batches.s_suppkey).select(
+    batches = supplier.join(nation, supplier.s_nationkey == nation.n_nationkey)
+    # Spark guesses the size of a join by multiplying, and would shuffle all line items to a few suppliers.
+    batches = batches.select(F.col("s_suppkey").alias("l_suppkey"), "batch")
+    return attach(line, batches, ["l_suppkey"], "inner", "supplier-batches").select(
         *ID, "l_shipdate", "batch", "l_linestatus", "l_returnflag", *NAMES
     )
 

@@ -73,8 +73,8 @@ class _Fitted:
         model, out = combat_study(df, settings.pop("batch"), **settings)
         # The cells carry batch column, features and covariates; the samples are not needed again.
         later = {k: v for k, v in settings.items() if k not in ("batch_col", "covars", "continuous", "names")}
-        # Later steps of the chain read the harmonized table several times.
-        return {"cells": model.cells, "settings": later}, materialize(out, "harmonized")
+        # However often later steps read it: a projection of the written samples, without a shuffle.
+        return {"cells": model.cells, "settings": later}, out
 
     @staticmethod
     def replay(kind: str, state: dict[str, Any], df: DataFrame, params: dict[str, Any]) -> DataFrame:
@@ -173,6 +173,16 @@ class PipelineBundle:
 
         return _chain(replayed, df, apply)
 
+    def reads_once(self, then: Sequence[Step] = ()) -> bool:
+        """Whether ``transform`` surely reads its table once: harmonization writes its samples, and
+        normalization and prediction before it go by rows."""
+        steps = [*self.pipeline.steps, *then]
+        if any(step.source is not None for step in steps):
+            return False
+        names = [step.name for step in steps]
+        before = names[: names.index("harmonize")] if "harmonize" in names else names
+        return all(name in ("normalize", "predict") for name in before)
+
     def save(self, path: str) -> None:
         """Store everything fitted as Parquet. Plain steps stay in code."""
         spark = None

@@ -178,22 +178,27 @@ def run_incremental(
     checkpoint: str,
     poll: str | None = None,
     name: str | None = None,
+    keep: bool = True,
 ) -> StreamingQuery:
     """Run ``step`` once on everything found since the last poll.
 
     Each micro-batch is one pool, named by its batch number and written to its own
     partition with overwrite, so a batch repeated after a failure leaves no
     duplicates. Without ``poll`` the waiting data is processed and the query ends.
+
+    A pool is persisted, so its source is read once by a step that reads the pool several times. For a step that reads
+    it once, ``keep=False`` saves building that copy, which can be larger than the executors' memory.
     """
 
     def write_pool(batch: DataFrame, pool: int) -> None:
-        # A step may read its pool several times; the source is read once.
-        batch.persist()
+        if keep:
+            batch.persist()
         try:
             if not batch.isEmpty():
                 step(batch).write.mode("overwrite").parquet(f"{output}/pool={pool}")
         finally:
-            batch.unpersist()
+            if keep:
+                batch.unpersist()
 
     writer = stream.writeStream.foreachBatch(write_pool).option("checkpointLocation", checkpoint)
     if name:
@@ -236,11 +241,13 @@ def score_stream(
     """Apply a trained bundle (harmonize, normalize, predict) to every pool.
 
     ``overrides`` gives parameters per step label, such as the batch table of the new
-    samples, or a function that makes them from a pool; ``then`` appends steps.
+    samples, or a function that makes them from a pool; ``then`` appends steps. A pool is persisted
+    unless the chain reads it only once.
     """
 
     def step(pool: DataFrame) -> DataFrame:
         changed = overrides(pool) if callable(overrides) else overrides
         return bundle.transform(pool, changed, then)
 
-    return run_incremental(stream, step, output, checkpoint, poll)
+    keep = callable(overrides) or not bundle.reads_once(then)
+    return run_incremental(stream, step, output, checkpoint, poll, keep=keep)
