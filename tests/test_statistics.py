@@ -322,3 +322,25 @@ def test_first_rows_travel_once(spark):
     mapped = df.withColumn("m", F.create_map("t", "v")).filter("t is not null")
     assert stats.dedupe_first(mapped, ["key"], ["v"]).count() == 6
     assert stats.dedupe_first(df, ["key"], ["key"]).count() == stats.dedupe_first(df.select("key"), ["key"], ["key"]).count() == 6
+
+
+def test_first_rows_are_compared_without_aggregates(spark):
+    """Neighbours of a sorted partition, before the shuffle and after it; a join by the same keys adds nothing."""
+    rows = [(k % 7 if k % 5 else None, k % 3, [None, "b", "a"][k % 4 % 3], float(k * 13 % 11)) for k in range(200)] * 2
+    df = spark.createDataFrame(rows, "key long, part int, t string, v double").repartition(3)
+    out = stats.dedupe_first(df, ["key", "part"], ["t"])
+    want = {}
+    for key, part, t, v in rows:
+        order = (t is not None, t or "", v)
+        want[key, part] = min(want.get((key, part), order), order)
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    assert "Aggregate" not in plan and plan.count("WindowGroupLimit") == 2
+    assert plan.index("WindowGroupLimit") < plan.index("hashpartitioning") < plan.rindex("WindowGroupLimit")
+    got = out.collect()
+    assert out.columns == df.columns and len(got) == len(want)
+    assert all(want[r["key"], r["part"]] == (r["t"] is not None, r["t"] or "", r["v"]) for r in got)
+    joined = out.select("*").join(stats.dedupe_first(df.select("key", "part", "v"), ["key", "part"], ["v"]).hint("merge"), ["key", "part"], "left")
+    assert joined._jdf.queryExecution().executedPlan().toString().count("hashpartitioning") == 2
+    # Of floating keys, 0.0 and -0.0 are one, and come back as 0.0.
+    floating = spark.createDataFrame([(-0.0, 2), (0.0, 3), (None, 1)], "key double, v int")
+    assert sorted((str(r["key"]), r["v"]) for r in stats.dedupe_first(floating, ["key"], ["v"]).collect()) == [("0.0", 2), ("None", 1)]
